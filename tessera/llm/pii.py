@@ -1,0 +1,249 @@
+"""Personal information in free text.
+
+One Aho-Corasick pass finds anchors: at-signs, dialling prefixes, identifier
+and street words, given names. Local parsers then expand each anchor to the
+whole email address, number, street address or name and check it (check digit,
+top-level domain, boundaries). Texts are read whole, in Arrow batches.
+"""
+
+from __future__ import annotations
+
+import re
+from collections.abc import Iterator
+from functools import lru_cache
+
+import ahocorasick
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Given names that anchor a person's name.
+GIVEN = (
+    "Anna Anna-Maria Aurélie Barbara Beat Blaise Chantal Chiara Cédric Dario Elena Fabio Françoise Giovanna Heidi "
+    "Jean-Marc Jürg Köbi Luc Luca Lukas Marc Maria Mireille Mirjam Monika Nicoletta Nils Noémie Odile Ornella Pascal "
+    "Patrizia Peter Regula Renzo Reto Sandro Silvia Stefan Sylvie Thierry Tiziano Urs Ursina Verena Yves"
+).split()
+# How family names are built; used where only an initial stands beside them.
+FAMILY_STARTS = "Bram Chur Dall Ewis Flur Gams Hasel Isch Jons Krum Leng Murg Nesp Quell Rohr Sill Trüb Ulm Wangs Zurf".split()
+FAMILY_ENDS = "egger wyler torf hauen mettler rieden lacher zinggen staller bühler".split()
+FAMILY = (
+    "Amstalden Bellaripa Bergschwend Brügglen Caminetta Cathrün Delporte Dürrgraben Entremur Eschlimoos Favrichon Fontabran "
+    "Grandvex Gstaldern Haldimoor Hirschenreut Hofstätt Ilgenrüt Ittenried Jolimay Kaltbrunner Kesslinger Kräbühl Lavertezzo "
+    "Lindmoser Montabris Morandex Niedrist Nussgart Orsenigo Pontresio Pradasca Quadrelli Rebstöckli Rovenasca Ruchmatt Sertigen "
+    "Stegmoos Sulzgrund Tannwald Thalrüd Tschamott Uffikoner Valsangia Vonrüti Vuagnier Wyssloch Zellhag Zwirnbach"
+).split()
+# Words of streets, in compounds and alone.
+STREET_ENDS = "strasse straße gasse weg platz rain halde allee ring graben quai steig hof matte".split()
+STREET_WORDS = (
+    "rue avenue chemin route place impasse ruelle sentier quai boulevard allée passage montée esplanade "
+    "via piazza strada salita vicolo viale contrada largo piazzetta"
+).split()
+# Words after which an identity document's number stands.
+PAPER_CUES = ["Reisepass", "Ausweis", "Identitätskarte", "passeport", "passaporto", "'identit", "identità", "Passeport", "Passaporto", "passport", "Pass Nr", "identity card", "pass da viadi"]
+INSURANCE_CUES = ["AHV", "AVS", "756", "ersichertennummer", "d'assur", "d'assicurat", "die Nummer", "le numéro", "il numero", "ohnausweis", "mentionne que", "________", "certificato di salario", "assicurat", "NAVS"]
+SURE, STREET_MAX = 60, 60
+
+_UP = "A-ZÀ-ÖØ-Þ"
+_SURNAME = rf"[{_UP}][\w'’]*[^\W\d_](?:-[{_UP}][\w'’]*[^\W\d_])?"
+_PART = r"(?:(?:von|van|de|di|du|del|della|dal|da|des|zur|zum|la|le|der|den)\s){1,3}|d['’]"
+_FORWARD = re.compile(rf"(\s)({_PART})?({_SURNAME})(?![\w@])")
+_BACKWARD = re.compile(rf"(?:^|[^\w.@'’-])((?:{_PART})?({_SURNAME}))(,?\s)$")
+_KNOWN = rf"(?:(?:{'|'.join(FAMILY_STARTS)})(?:{'|'.join(FAMILY_ENDS)})|{'|'.join(FAMILY)})"
+_IS_KNOWN = re.compile(rf"{_KNOWN}(?:-{_KNOWN})?", re.I)
+_INITIAL_FIRST = re.compile(rf"(?<![\w.'’@-])[{_UP}]\.(?:[- ]?[{_UP}]\.)?\s(?:{_PART})?{_KNOWN}(?:-{_KNOWN})?(?![\w@])")
+_INITIAL_LAST = re.compile(rf"(?<![\w.'’@-])(?:{_KNOWN}(?:-{_KNOWN})?|{_KNOWN.upper()}),?\s[{_UP}]\.(?![\w@])")
+_PHONE = re.compile(r"(?:(?:\+|00)\d{2}[ ./-]?(?:\(0\))?[ ./-]?\d{2}|0\d{2})(?:[./-]|\s)?\d{3}(?:[./-]|\s)?\d{2}(?:[./-]|\s)?\d{2}(?!\d)")
+_NEW_AHV = re.compile(r"756([ .-]?)\d{4}\1\d{4}\1\d{2}(?![\d.-]?\d)")
+_OLD_AHV = re.compile(r"(?<![\d.])\d{3}\.\d{2}\.\d{3}\.\d{3}(?![\d.]?\d)")
+_PAPER = re.compile(rf"(?<![\w-])[A-Z](?:\d{{7}}|\d{{3}}[A-Z]\d{{4}})(?![\w-])")
+_LOCAL = re.compile(r"[\w.%+-]+ ?$")
+_DOMAIN = re.compile(r" ?([A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,})(?![\w-])")
+_HOUSE = r"\d{1,4} ?[a-z]?(?![\w'’.]*\d)(?!\w)"
+_COMPOUND = re.compile(rf"(?:strasse|straße|gasse|weg|platz|rain|halde|allee|ring|graben|quai|steig|hof|matte|str\.)\s({_HOUSE})", re.I)
+_COMPOUND_START = re.compile(rf"(?:[{_UP}][a-zäöü]+(?:e|er|en|em) )?(?:[{_UP}][\w.-]*)?$")
+_STREET_AFTER = re.compile(
+    rf"(?:\s(?:de la|de l['’]|des|de|du|della|dell['’]|delle|degli|dei|dal|dalla|del|di|da|al|alla|ai|alle|la|le|les|d['’]|l['’]))?(?:\s|(?<=['’]))[{_UP}][\w'’-]*(?:\s[{_UP}][\w'’-]*){{0,3}}(?:\s({_HOUSE}))?"
+)
+_PLACED = re.compile(rf"(?:Im|Am|Zum|Zur|(?:Unter|Auf|In|An|Hinter|Ob|Bei|Vor) de[rmn]) (?!Jahr|Verfahren|Fall|Umfang|Band|Monat)[{_UP}][\w-]+ \d{{1,3}}[a-z]?(?=,? (?:in |à |a )?\d{{4}} [{_UP}]|\n\d{{4}} [{_UP}]| in [{_UP}]| ist | war )")
+_HOUSE_BEFORE = re.compile(r"(?<![\w.'’-])(\d{1,4} ?[a-z]?),?\s$")
+_BLOCK = re.compile(rf"\n([{_UP}][^\n@,;:]{{2,40}}\s\d{{1,3}}[a-z]?)\n(?=\d{{4}} [{_UP}])")
+
+
+@lru_cache(maxsize=1)
+def _anchors() -> ahocorasick.Automaton:
+    words: dict[str, set[str]] = {}
+
+    def add(kind: str, *values: str) -> None:
+        for v in values:
+            words.setdefault(v, set()).add(kind)
+
+    add("email", "@", "(at)", "[at]", "(AT)", "[AT]", "(At)", "[At]", " at ")
+    add("phone", "+", *[f"0{n:02d}" for n in range(10, 100)], "00")
+    add("number", *INSURANCE_CUES)
+    add("paper", *PAPER_CUES)
+    add("compound", *[f"{w}{s}" for w in [*STREET_ENDS, "str."] for s in " \n"], *[f"{w.capitalize()}{s}" for w in STREET_ENDS for s in " \n"])
+    add("street", *[f"{w}{s}" for w in STREET_WORDS for s in " \n"], *[f"{w.capitalize()}{s}" for w in STREET_WORDS for s in " \n"])
+    add("placed", "Im ", "Am ", "Zum ", "Zur ", *[f"{p} de{e} " for p in ("Unter", "Auf", "In", "An", "Hinter", "Ob", "Bei", "Vor") for e in "rmn"])
+    add("given", *GIVEN)
+    add("family", *FAMILY_ENDS, *[f[1:] for f in FAMILY], *[e.upper() for e in FAMILY_ENDS], *[f.upper()[1:] for f in FAMILY])
+    machine = ahocorasick.Automaton()
+    for word, kinds in words.items():
+        machine.add_word(word, (len(word), tuple(kinds)))
+    machine.make_automaton()
+    return machine
+
+
+def _checked(digits: str) -> bool:
+    return len(digits) == 13 and sum(int(c) * (3 if i % 2 else 1) for i, c in enumerate(digits)) % 10 == 0
+
+
+def _email(t: str, start: int, end: int) -> tuple[int, int] | None:
+    local, domain = _LOCAL.search(t, max(0, start - 80), start), _DOMAIN.match(t, end)
+    if not local or not domain or not any(c.isalnum() for c in local.group()):
+        return None
+    if t[start:end] == " at " and " " in t[start - 1 : start]:
+        return None
+    at = local.start()
+    while t[at] in ".+-%":
+        at += 1
+    return at, domain.end()
+
+
+def _phone(t: str, start: int) -> tuple[int, int] | None:
+    if start and (t[start - 1].isalnum() or t[start - 1] in "_+.-/'’"):
+        return None
+    m = _PHONE.match(t, start)
+    return m.span() if m else None
+
+
+def _street(t: str, start: int, end: int) -> tuple[int, int] | None:
+    if start and (t[start - 1].isalnum() or t[start - 1] in "-'’@._"):
+        return None
+    m = _STREET_AFTER.match(t, end - 1)
+    if not m:
+        return None
+    if m.group(1):
+        return start, m.end(1)
+    before = _HOUSE_BEFORE.search(t, max(0, start - 8), start)
+    return (before.start(1), m.end()) if before else None
+
+
+def _compound(t: str, start: int, end: int) -> tuple[int, int] | None:
+    m = _COMPOUND.match(t, start)
+    if not m:
+        return None
+    left = _COMPOUND_START.search(t, max(0, start - 40), start)
+    at = left.start() if left else start
+    if at and (t[at - 1].isalnum() or t[at - 1] in "-@._"):
+        return None
+    if not t[at].isupper():
+        return None
+    return at, m.end(1)
+
+
+def _name(t: str, start: int, end: int) -> tuple[int, int] | None:
+    if start and (t[start - 1].isalnum() or t[start - 1] in "-@._"):
+        return None
+    if end < len(t) and (t[end].isalnum() or t[end] in "@_+" or (t[end] == "-" and t[end + 1 : end + 2].isupper()) or (t[end] == "." and t[end + 1 : end + 2].isalnum())):
+        return None
+    after, before = _FORWARD.match(t, end), _BACKWARD.search(t, max(0, start - 60), start)
+    if after and (_IS_KNOWN.fullmatch(after.group(3)) or after.group(3).isupper()):
+        return start, after.end(3)
+    if before and (_IS_KNOWN.fullmatch(before.group(2)) or before.group(2).isupper() and len(before.group(2)) > 2):
+        return before.start(1), end
+    if after and after.group(1) == " " and not re.match(r"\s\d", t[after.end(3) : after.end(3) + 2]):
+        return start, after.end(3)
+    return None
+
+
+def find(text: str | None) -> list[tuple[int, int, str]]:
+    """(start, end, type) of each piece of personal data, in order, without overlaps.
+
+    Null and empty texts hold none. Where two pieces overlap, an email wins
+    over an address, number or name; otherwise the earlier and longer one wins.
+    """
+    if not text:
+        return []
+    found: set[tuple[int, int, int, str]] = set()
+    reach = -1
+    for last, (size, kinds) in _anchors().iter(text):
+        start, end = last - size + 1, last + 1
+        for kind in kinds:
+            if kind == "phone":
+                span, rank, name = _phone(text, start), 1, "phone"
+            elif kind == "given":
+                span, rank, name = _name(text, start, end), 3, "name"
+            elif kind == "email":
+                span, rank, name = _email(text, start, end), 0, "email"
+            elif kind == "street":
+                span, rank, name = _street(text, start, end), 2, "address"
+            elif kind == "compound":
+                span, rank, name = _compound(text, start, end), 2, "address"
+            elif kind == "placed":
+                m = _PLACED.match(text, start)
+                span, rank, name = m and m.span(), 2, "address"
+            elif kind == "family":
+                lo = max(0, start - 30)
+                for pattern in (_INITIAL_FIRST, _INITIAL_LAST):
+                    for m in pattern.finditer(text, lo, min(len(text), end + 14)):
+                        if m.start() <= start < m.end():
+                            found.add((3, m.start(), m.end(), "name"))
+                continue
+            elif kind == "paper":
+                for m in _PAPER.finditer(text, end, end + SURE):
+                    found.add((1, m.start(), m.end(), "id_number"))
+                continue
+            else:
+                if start < reach:
+                    continue
+                reach = end
+                for m in _NEW_AHV.finditer(text, start, min(len(text), end + 50)):
+                    if not text[m.start() - 1 : m.start()].isalnum() and _checked(re.sub(r"\D", "", m.group())):
+                        found.add((1, m.start(), m.end(), "id_number"))
+                for m in _OLD_AHV.finditer(text, end, min(len(text), end + 50)):
+                    found.add((1, m.start(), m.end(), "id_number"))
+                continue
+            if span:
+                found.add((rank, *span, name))
+    if "\n" in text:
+        for m in _BLOCK.finditer(text):
+            found.add((2, m.start(1), m.end(1), "address"))
+    kept: list[tuple[int, int, str]] = []
+    for _, start, end, kind in sorted(found, key=lambda x: (x[0], x[1], -x[2])):
+        if all(end <= a or start >= b for a, b, _ in kept):
+            kept.append((start, end, kind))
+    return sorted(kept)
+
+
+def redact(text: str | None) -> str | None:
+    """``text`` with ``[EMAIL]``, ``[PHONE]``, ``[ID_NUMBER]``, ``[ADDRESS]`` or ``[NAME]`` for each piece; null stays null."""
+    if text is None:
+        return None
+    out, at = [], 0
+    for start, end, kind in find(text):
+        out += [text[at:start], f"[{kind.upper()}]"]
+        at = end
+    return "".join([*out, text[at:]])
+
+
+def find_all(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """id_column, pii_type, pii_text: one row for each different piece of each id."""
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = {(i, kind, text[a:b]) for i, text in zip(batch["id"], batch["text"]) if text for a, b, kind in find(text)}
+            yield pd.DataFrame(list(rows), columns=["id", "pii_type", "pii_text"])
+
+    source = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where(F.length("text") > 0)
+    kind = dict(source.dtypes)["id"]
+    return source.mapInPandas(scan, f"id {kind}, pii_type string, pii_text string").distinct().withColumnRenamed("id", id_column)
+
+
+def redact_all(df: DataFrame, text_column: str) -> DataFrame:
+    """``df`` with ``text_column`` redacted; all other columns and rows as they are."""
+
+    @F.pandas_udf("string")
+    def clean(texts: pd.Series) -> pd.Series:
+        return texts.map(redact, na_action="ignore")
+
+    return df.withColumn(text_column, clean(F.col(text_column)))
