@@ -24,3 +24,25 @@ def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {"p1_found": p1_found, "p1_redacted": p1_redacted}
 SQL: dict[str, str] = {}
+
+
+def _p4(spark: SparkSession, d: str) -> DataFrame:
+    from tessera.llm import language
+
+    decisions = table(spark, d, "decisions", "decision_id", "language", "full_text")
+    return language.segments(decisions, "decision_id", "language", "full_text", language.fit(decisions, "decision_id", "language", "full_text"))
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Missing or wrong labels (seg -1) and paragraphs in another language: decision_id, seg, lang."""
+    from tessera.llm import language
+
+    return language.corrections(_p4(spark, d)).select(F.col("id").alias("decision_id"), "seg", "lang").distinct()
+
+
+def p4_languages(spark: SparkSession, d: str) -> DataFrame:
+    """The language and confidence of each decision and each paragraph of running text."""
+    return _p4(spark, d).select(F.col("id").alias("decision_id"), "seg", "lang", F.round("confidence", 3).alias("confidence")).distinct()
+
+
+QUERIES |= {"p4_found": p4_found, "p4_languages": p4_languages}
