@@ -46,3 +46,49 @@ def p4_languages(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p4_found": p4_found, "p4_languages": p4_languages}
+
+
+def _p5(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return (
+        table(spark, d, "decisions", "decision_id", "title", "regeste", "full_text", "judges", "pdf_url", "source", "scraped_at"),
+        table(spark, d, "decision_representations", "canonical_decision_id", "member_decision_id"),
+        table(spark, d, "data_sources", "source", "trust_rank"),
+    )
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """The decision whose value survives, for each group and field: group_id, field_name, decision_id."""
+    from tessera.llm import survivors
+
+    return survivors.winners(survivors.ballots(*_p5(spark, d))).select("group_id", "field_name", "decision_id")
+
+
+def p5_records(spark: SparkSession, d: str) -> DataFrame:
+    """One surviving record for each group."""
+    from tessera.llm import survivors
+
+    return survivors.records(*_p5(spark, d))
+
+
+QUERIES |= {"p5_found": p5_found, "p5_records": p5_records}
+
+_VALUE = "CASE WHEN lower(trim({0})) IN ('', 'none', 'n/a', '-') THEN NULL ELSE {0} END"
+SQL["p5_found"] = f"""
+WITH RECURSIVE ends AS (SELECT canonical_decision_id AS u, member_decision_id AS v FROM decision_representations UNION SELECT member_decision_id, canonical_decision_id FROM decision_representations),
+reach(u, v) AS (SELECT u, u FROM ends UNION SELECT r.u, e.v FROM reach r JOIN ends e ON r.v = e.u),
+root AS (SELECT u AS decision_id, min(v) AS root FROM reach GROUP BY 1),
+since AS (SELECT decision_id, min(scraped_at) AS scraped_at FROM decisions GROUP BY 1),
+versions AS (
+  SELECT decision_id, scraped_at, min(source) AS source, max(length({_VALUE.format("full_text")})) AS size, max({_VALUE.format("full_text")}) AS full_text,
+    max({_VALUE.format("title")}) AS title, max({_VALUE.format("regeste")}) AS regeste, max({_VALUE.format("judges")}) AS judges, max({_VALUE.format("pdf_url")}) AS pdf_url
+  FROM decisions JOIN since USING (decision_id, scraped_at) GROUP BY ALL),
+members AS (SELECT *, coalesce(trust_rank, 1000000) AS trust FROM versions JOIN root USING (decision_id) LEFT JOIN data_sources USING (source)),
+named AS (SELECT *, min(decision_id) OVER (PARTITION BY root) AS group_id FROM members),
+long AS (
+  SELECT group_id, decision_id, 'full_text' AS field_name, -size::BIGINT AS a, 0 AS b FROM named WHERE full_text IS NOT NULL
+  UNION ALL SELECT group_id, decision_id, 'title', -epoch(scraped_at)::BIGINT, 0 FROM named WHERE title IS NOT NULL
+  UNION ALL SELECT group_id, decision_id, 'regeste', -epoch(scraped_at)::BIGINT, 0 FROM named WHERE regeste IS NOT NULL
+  UNION ALL SELECT group_id, decision_id, 'judges', trust, -epoch(scraped_at)::BIGINT FROM named WHERE judges IS NOT NULL
+  UNION ALL SELECT group_id, decision_id, 'pdf_url', trust, -epoch(scraped_at)::BIGINT FROM named WHERE pdf_url IS NOT NULL)
+SELECT group_id, field_name, decision_id FROM long QUALIFY row_number() OVER (PARTITION BY group_id, field_name ORDER BY a, b, decision_id) = 1
+"""
