@@ -92,3 +92,32 @@ long AS (
   UNION ALL SELECT group_id, decision_id, 'pdf_url', trust, -epoch(scraped_at)::BIGINT FROM named WHERE pdf_url IS NOT NULL)
 SELECT group_id, field_name, decision_id FROM long QUALIFY row_number() OVER (PARTITION BY group_id, field_name ORDER BY a, b, decision_id) = 1
 """
+
+
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    """The ids of documents.text under byte_bpe_50k: doc_id, ids."""
+    from tessera.llm import tokens
+
+    return tokens.encode(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
+
+
+def _p8(spark: SparkSession, d: str) -> DataFrame:
+    from tessera.llm import mixing, tokens
+
+    sized = tokens.counts(table(spark, d, "documents", "doc_id", "source", "text"), ["doc_id", "source"], "text")
+    return mixing.mixture(sized, table(spark, d, "data_sources", "source", "target_share", "max_repeats"))
+
+
+def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
+    """The mixture of documents to data_sources.target_share: doc_id, copy, source, n_tokens, slot."""
+    return _p8(spark, d)
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual shares of the mixture."""
+    from tessera.llm import mixing
+
+    return mixing.shares(_p8(spark, d), table(spark, d, "data_sources", "source", "target_share"))
+
+
+QUERIES |= {"p7_ids": p7_ids, "p8_mixture": p8_mixture, "p8_shares": p8_shares}
