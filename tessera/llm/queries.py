@@ -121,3 +121,24 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p7_ids": p7_ids, "p8_mixture": p8_mixture, "p8_shares": p8_shares}
+
+
+def _p9(spark: SparkSession, d: str) -> DataFrame:
+    from tessera.llm import residue
+
+    documents = table(spark, d, "documents", "doc_id", "text")
+    return residue.score(documents, "doc_id", "text", residue.fit(documents, "doc_id", "text"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold residue in place of a court text: doc_id."""
+    return _p9(spark, d).where("residue").select("doc_id").distinct()
+
+
+def p9_kept(spark: SparkSession, d: str) -> DataFrame:
+    """All documents that are no residue, whole."""
+    found = _p9(spark, d).where("residue").select("doc_id")
+    return table(spark, d, "documents", "doc_id", "text", "lang", "source").join(found, "doc_id", "left_anti")
+
+
+QUERIES |= {"p9_found": p9_found, "p9_kept": p9_kept}
