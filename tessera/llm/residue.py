@@ -35,7 +35,7 @@ CUES = [
     r"\b(?:error|erreur|errore|fehler|http status)\s*(?:code\s*)?:?\s*[45]\d\d\b", r"\b[45]\d\d\b\s*[-–:]?\s*(?:not found|forbidden|bad gateway|internal server error|service unavailable|gone|too many requests)", r"\bnot found \(404\)",
     r"\bjavascript\b", r"\bcookies?\b", r"<noscript>", r"\bskripte?\b", r"\bscripts?\b", r"\blorem\b", r"\bipsum\b", r"\b(?:todo\W+todo|tbd|xxxx+\W+xxxx+)\b", r"\bblindtext\b", r"\bplatzhaltertext\b", r"\bfülltext\b", r"\btexte à compléter\b",
     r"\bqui andrà il testo\b", r"\bcoming soon\b", r"\bpage introuvable\b", r"\bpagina inesistente\b", r"\bseite nicht gefunden\b", r"\bsession (?:a expiré|expired)\b", r"\bsitzung ist abgelaufen\b", r"\bschiefgelaufen\b", r"\bkeine treffer\b", r"\bpanne technique\b", r"\bunexpected failure\b", r"\btraceback\b",
-    r"\berreur inattendue\b", r"\bsiamo spiacenti\b", r"\bhoppla\b", r"\boops\b", r"\bnoscript\b", r"\bzugriff verweigert\b", r"\bkein zugriff\b", r"\baccès refusé\b", r"\baccesso negato\b", r"\bmaintenance\b", r"\bwartung\b", r"\bgewartet\b",
+    r"\berreur inattendue\b", r"\bsi è verificato un problema\b", r"\bsiamo spiacenti\b", r"\bhoppla\b", r"\boops\b", r"\bnoscript\b", r"\bzugriff verweigert\b", r"\bkein zugriff\b", r"\baccès refusé\b", r"\baccesso negato\b", r"\bmaintenance\b", r"\bwartung\b", r"\bgewartet\b",
     r"\bmanutenzione\b", r"\baccess denied\b", r"\brechargez la page\b", r"\bnicht unterstützt\b", r"\bdésolés?\b", r"\bsorry\b", r"\bun problème est survenu\b", r"\bnessun risultato\b", r"\baucun résultat\b", r"\bno results\b", r"\bcaptcha\b",
 ]
 _SLOT = re.compile("|".join(SLOTS))
@@ -70,9 +70,9 @@ _MAYBE = re.compile(r"[%#][A-Za-z_]{3}|__[A-Za-z]|«[A-Z_]{3}")
 
 
 def _slotted(text: str) -> str:
-    """``text`` with a word, three times, for every unfilled slot."""
+    """``text`` with a word, four times, for every unfilled slot."""
     if any(x in text for x in ("{", "<", "[", "@@", "XX")) or (any(x in text for x in "%#_«") and _MAYBE.search(text)):
-        return _SLOT.sub(" ‹slot› ‹slot› ‹slot› ", text)
+        return _SLOT.sub(" ‹slot› ‹slot› ‹slot› ‹slot› ", text)
     return text
 
 
