@@ -142,3 +142,24 @@ def p9_kept(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES |= {"p9_found": p9_found, "p9_kept": p9_kept}
+
+
+def _p6(spark: SparkSession, d: str, texts: bool) -> DataFrame:
+    from tessera.llm import scans
+
+    decisions = table(spark, d, "decisions", "decision_id", "docket_number", "full_text", "content_text")
+    fields = ["full_text", "content_text"]
+    return scans.repairs(decisions, "decision_id", "docket_number", fields, scans.lexicon(decisions, fields), texts)
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Repairs of scanned texts: decision_id, field_name, kind, item."""
+    return _p6(spark, d, texts=False)
+
+
+def p6_repaired(spark: SparkSession, d: str) -> DataFrame:
+    """Every text of decisions as continuous paragraphs."""
+    return _p6(spark, d, texts=True)
+
+
+QUERIES |= {"p6_found": p6_found, "p6_repaired": p6_repaired}
