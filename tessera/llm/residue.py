@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 #: The bound of the training sample: trusted and unlabelled records; characters of each that are used to train.
 TRUSTED, UNLABELLED, SAMPLE_CHARS = 600, 1_500, 2_000
+#: Only shorter records can be trusted to be residue; longer ones are judged by the model alone.
+TRUSTED_CHARS = 1_500
 #: Rounds, pseudo-count, share of residue among unlabelled passages, most odds of a word and, for each word, of a passage, odds beyond doubt.
 ROUNDS, PSEUDO, PRIOR, WORD_ODDS, PASSAGE_ODDS, DOUBT = 5, 0.3, 0.03, 4.0, 2.0, 3.0
 #: Words in the model, least words and greatest share of different ones of a passage that repeats itself, tokens a worker remembers.
@@ -56,7 +58,8 @@ def trusted(text: Column) -> Column:
     repeats = (F.size(words) >= REPEAT_WORDS) & (F.size(F.array_distinct(words)) < F.size(words) * 0.3)
     filler = F.size(F.filter(words, lambda w: w.rlike(r"^(?:lorem|ipsum|dolor|amet)\W*$"))) >= 4
     error = text.rlike(r"(?im)^\W*(?:(?:error|erreur|errore|fehler|http status)\W*[45]\d\d\b|[45]\d\d\W+(?:not found|forbidden|bad gateway|gone|too many))")
-    return F.coalesce((slots * 3 > F.length(text)) | ((F.length(text) < 1500) & (repeats | filler)) | ((F.length(text) < 170) & cue) | ((F.length(text) < 350) & error), F.lit(False))
+    told = (slots * 3 > F.length(text)) | repeats | filler | ((F.length(text) < 170) & cue) | ((F.length(text) < 350) & error)
+    return F.coalesce(F.when(F.length(text) < TRUSTED_CHARS, told), F.lit(False))
 
 
 def _plain(token: str) -> str:
@@ -207,15 +210,20 @@ def train(sure: list[str], rest: list[str]) -> Model:
 
 def fit(df: DataFrame, id_column: str, text_column: str) -> Model:
     """A model trained on at most ``TRUSTED`` and ``UNLABELLED`` records, drawn by the hash of their id from all rows."""
-    rows = df.select(F.col(id_column).alias("id"), F.substring(text_column, 1, SAMPLE_CHARS).alias("text"), trusted(F.col(text_column)).alias("sure"), F.xxhash64(id_column).alias("h")).where(F.trim("text") != "")
-    marked = rows.select("id", "sure", "h")
+    from tessera.session import materialize
+
+    rows = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where(F.trim("text") != "")
+    # the marks are worked out once; only ids, marks and hashes are kept
+    marked = materialize(rows.select("id", trusted(F.col("text")).alias("sure"), F.xxhash64("id").alias("h")), "marks")
     sure = marked.where("sure").orderBy("h", "id").limit(TRUSTED)
     rest = marked.where("not sure").orderBy("h", "id").limit(UNLABELLED)
-    chosen = sure.unionByName(rest).select("id", "sure").collect()
-    ids = df.sparkSession.createDataFrame([(r["id"],) for r in chosen], f"id {dict(rows.dtypes)['id']}") if chosen else rows.select("id").limit(0)
-    drawn = rows.join(F.broadcast(ids), "id", "left_semi").select("id", "text", "sure").collect()
+    chosen = {r["id"]: r["sure"] for r in sure.unionByName(rest).collect()}
+    if not chosen:
+        return Model({}, {})
+    ids = df.sparkSession.createDataFrame([(i,) for i in chosen], f"id {dict(rows.dtypes)['id']}")
+    drawn = rows.select("id", F.substring("text", 1, SAMPLE_CHARS).alias("text")).join(F.broadcast(ids), "id", "left_semi").collect()
     drawn.sort(key=lambda r: str(r["id"]))
-    return train([r["text"] for r in drawn if r["sure"]], [r["text"] for r in drawn if not r["sure"]])
+    return train([r["text"] for r in drawn if chosen[r["id"]]], [r["text"] for r in drawn if not chosen[r["id"]]])
 
 
 def score(df: DataFrame, id_column: str, text_column: str, model: Model) -> DataFrame:
