@@ -153,7 +153,8 @@ def court_of_docket(c: Column) -> Column:
 def citation_confidence(source: dict[str, Column], target: dict[str, Column], ref: Column, rank: Column, count: Column) -> Column:
     """Confidence in 0.05-0.99 that a reference means a target; ``source`` and ``target`` have court, canton, date."""
     told = court_of_docket(ref)
-    days = F.datediff(source["date"].try_cast("date"), target["date"].try_cast("date"))
+    iso = lambda x: F.when(F.trim(x).rlike(r"^\d{4}-\d{2}-\d{2}$"), F.trim(x).try_cast("date"))
+    days = F.datediff(iso(source["date"]), iso(target["date"]))
     nothing = F.lit(0.0)
 
     def same(a: Column, b: Column, worth: float) -> Column:
