@@ -110,7 +110,7 @@ def match(index: DataFrame, q: Query) -> DataFrame:
     for phrase in q.phrases:
         first = rows.where(F.col("term") == phrase[0]).select("doc", "field", F.explode("places").alias("place"))
         for n, word in enumerate(phrase[1:], 1):
-            nxt = rows.where(F.col("term") == word).select("doc", "field", (F.explode("places") - n).alias("place"))
+            nxt = rows.where(F.col("term") == word).select("doc", "field", F.explode(F.transform("places", lambda x: x - n)).alias("place"))
             first = first.join(nxt, ["doc", "field", "place"])
         need.append(first.select("doc").distinct())
     if not need:

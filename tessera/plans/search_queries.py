@@ -89,11 +89,11 @@ def fts_11_signal_rerank(s: SparkSession, d: str) -> DataFrame:
     return docs.join(F.broadcast(f), c("doc_id") == c("doc")).select("doc", signals.alias("raw")).orderBy(c("raw").desc(), "doc").limit(30).select("doc", F.round("raw", 6).alias("score"))
 
 
-@R.add(_BM25 + "SELECT doc FROM (SELECT doc FROM scored ORDER BY score, doc LIMIT 200) JOIN documents ON doc_id = doc WHERE lang = 'fr'")
+@R.add(_BM25 + "SELECT doc FROM (SELECT doc FROM scored ORDER BY score, doc LIMIT 200) JOIN documents ON doc_id = doc WHERE lang = 'de'")
 def fts_14_candidate_filter(s: SparkSession, d: str) -> DataFrame:
     index, sizes = _index(s, d)
     top = S.bm25(index, sizes, WORDS).orderBy("score", "doc").limit(200)
-    return _docs(s, d).where("lang = 'fr'").select(c("doc_id").alias("doc")).join(F.broadcast(top.select("doc")), "doc", "left_semi")
+    return _docs(s, d).where("lang = 'de'").select(c("doc_id").alias("doc")).join(F.broadcast(top.select("doc")), "doc", "left_semi")
 
 
 @R.add(_POSTINGS + "SELECT doc, round(sum(tf::DOUBLE / len * CASE term WHEN 'mangel' THEN 1.0 ELSE 0.5 END), 6) AS score FROM p JOIN sizes USING (doc) WHERE term IN ('mangel', 'gericht') AND tf::DOUBLE / len > 0.01 GROUP BY 1")
@@ -117,6 +117,6 @@ def fts_19_best_chunk(s: SparkSession, d: str) -> DataFrame:
     return e.groupBy("label").agg(F.round(F.max(S.cosine(c("embedding"), query)), 5).alias("best"))
 
 
-@R.add("""SELECT DISTINCT decision_id FROM decisions WHERE decision_id = 'bger_1C_2634_2012' OR docket_number = '1C_2634/2012'""")
+@R.add("""SELECT DISTINCT decision_id FROM decisions WHERE decision_id = 'gr_gerichte_SR2_02_588' OR docket_number = 'D-5722/2009'""")
 def fts_26_lookup(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "decisions", "decision_id", "docket_number").where((c("decision_id") == "bger_1C_2634_2012") | (c("docket_number") == "1C_2634/2012")).select("decision_id").distinct()
+    return table(s, d, "decisions", "decision_id", "docket_number").where((c("decision_id") == "gr_gerichte_SR2_02_588") | (c("docket_number") == "D-5722/2009")).select("decision_id").distinct()
