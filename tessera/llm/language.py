@@ -26,8 +26,11 @@ NOTATIONS = {"deu": "de", "ger": "de", "deutsch": "de", "german": "de", "fra": "
 #: The bound of the training sample: labelled documents drawn, and kept for each language, and paragraphs of each.
 DRAWN, PER_LANGUAGE, PARAGRAPHS = 30_000, 250, 4
 BUCKETS, WIDTH, EPOCHS, RATE, BATCH = 1 << 16, 16, 4, 0.5, 64
-#: Least letters of a text or paragraph, least confidence, words a worker remembers, least share of running words.
-LEAST_LETTERS, REJECT, REMEMBERED, RUNNING = 40, 0.6, 300_000, 0.55
+#: Least letters of a text or paragraph, least confidence, words a worker remembers.
+LEAST_LETTERS, REJECT, REMEMBERED = 40, 0.6, 300_000
+#: Share of words in lower case that makes running text, and a lower one that does so where the language is sure
+#: (blocks of names and addresses have few such words and no sure language; German nouns are capitals).
+RUNNING, RUNNING_IF_SURE, SURE = 0.55, 0.28, 0.97
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 
 
@@ -201,10 +204,11 @@ def segments(df: DataFrame, id_column: str, label_column: str, text_column: str,
             main = by_text.argmax(axis=1)
             main_sure = np.maximum(sure[np.arange(len(batch)), main], by_text.max(axis=1) / np.maximum(total, 1))
             big = total >= LEAST_LETTERS
-            running = big[owner] & (letters >= LEAST_LETTERS) & (sums[:, k + 2] >= RUNNING * sums[:, k + 3])
+            best, conf = chances.argmax(axis=1), chances.max(axis=1)
+            small = sums[:, k + 2] / np.maximum(sums[:, k + 3], 1)
+            running = big[owner] & (letters >= LEAST_LETTERS) & ((small >= RUNNING) | ((small >= RUNNING_IF_SURE) & (conf >= SURE)))
             names = np.array(LANGUAGES, dtype=object)
             texts = pd.DataFrame({"id": batch["id"], "seg": -1, "lang": np.where(main_sure >= REJECT, names[main], None), "confidence": main_sure, "main": names[main], "named": batch["named"]})[big]
-            best, conf = chances.argmax(axis=1), chances.max(axis=1)
             parts = pd.DataFrame({"id": batch["id"].to_numpy()[owner], "seg": number, "lang": np.where(conf >= REJECT, names[best], None), "confidence": conf, "main": names[main[owner]], "named": batch["named"].to_numpy()[owner]})[running]
             yield pd.concat([texts, parts], ignore_index=True)
 
