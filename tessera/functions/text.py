@@ -261,17 +261,3 @@ def wilson(good: Column, n: Column, z: float = 1.96) -> Column:
     middle = (p + zz / (2 * n)) / (1 + zz / n)
     half = z * F.sqrt(p * (1 - p) / n + zz / (4 * n * n)) / (1 + zz / n)
     return F.when(n > 0, F.struct((middle - half).alias("low"), (middle + half).alias("high")))
-
-
-#: What ``register`` makes callable from SQL.
-SQL_FUNCTIONS = {"graph_docket": graph_docket, "token_docket": token_docket, "docket_key": docket_key, "id_docket": id_docket, "docket_spaces": docket_spaces, "dedup_signature": dedup_signature, "clean_text": clean_text, "language_of": language_of, "iso_week": iso_week, "court_of_docket": court_of_docket, "reference_tokens": reference_tokens}
-
-
-def register(spark) -> list[str]:
-    """Makes ``SQL_FUNCTIONS`` callable from SQL as temporary SQL functions; returns their names."""
-    for name, f in SQL_FUNCTIONS.items():
-        kind = "timestamp" if name == "iso_week" else "string"
-        body = spark.createDataFrame([], f"x {kind}").select(f(F.col("x")).alias("y"))._jdf.queryExecution().analyzed().expressions().head()
-        sql = body.sql() if not hasattr(body, "child") else body.child().sql()
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(x {kind.upper()}) RETURN {sql}")
-    return sorted(SQL_FUNCTIONS)

@@ -71,3 +71,78 @@ def tvf_16_identity_channels(s: SparkSession, d: str) -> DataFrame:
 def tvf_18_blank_line_paragraphs(s: SparkSession, d: str) -> DataFrame:
     parts = F.filter(F.split("text", "\n\n"), lambda x: F.length(x) >= 20)
     return _texts(s, d).select("doc_id", F.posexplode(parts).alias("n", "p")).select("doc_id", c("n").cast("bigint").alias("n"), F.length("p").cast("bigint").alias("n_chars"))
+
+
+def _prior_texts(s: SparkSession, d: str) -> DataFrame:
+    """Decisions behind a made-up appeal against another one of the same table."""
+    refs = table(s, d, "decision_citations", "source_decision_id", "target_ref").where(c("target_ref").rlike(r"^\d[A-Z]_\d+/\d{4}$")).groupBy(c("source_decision_id").alias("decision_id")).agg(F.min("target_ref").alias("ref"))
+    return refs.select("decision_id", "ref", F.concat(F.lit("Beschwerde gegen den Entscheid des Obergerichts vom 3. Mai 2020 ("), "ref", F.lit(").\nSachverhalt:\nA.")).alias("t"))
+
+
+@R.add(r"""SELECT source_decision_id AS decision_id, min(target_ref) AS prior FROM decision_citations WHERE regexp_matches(target_ref, '^\d[A-Z]_\d+/\d{4}$') GROUP BY 1""")
+def tvf_03_prior_instances(s: SparkSession, d: str) -> DataFrame:
+    from pyspark.sql.types import ArrayType, StringType
+
+    return _prior_texts(s, d).select("decision_id", F.explode(E.as_udf(E.prior_instances, ArrayType(StringType()))(c("t"))).alias("prior"))
+
+
+@R.add()
+def tvf_04_dockets_in_brackets(s: SparkSession, d: str) -> DataFrame:
+    rows = ["SBK.2025.285", "A/1168/2024 und 35.2024.77", "4A_291/2017, LZ250038", "nichts"]
+    return s.createDataFrame([(r, E.dockets_in_brackets(r)) for r in rows], "content string, dockets array<string>")
+
+
+@R.add()
+def tvf_06_joined_dockets(s: SparkSession, d: str) -> DataFrame:
+    rows = [("4A_1/2020", "Urteil 4A_1/2020, 4A_2/2020 und 4A_3/2020 vom"), ("4A_1/2020", "Urteil 4A_1/2020 vom"), ("4A_9/2020", "4A_1/2020, 4A_2/2020")]
+    return s.createDataFrame([(lead, t, E.joined_dockets(t, lead)) for lead, t in rows], "lead string, head string, dockets array<string>")
+
+
+@R.add()
+def tvf_10_orders(s: SparkSession, d: str) -> DataFrame:
+    from pyspark.sql.types import ArrayType, StringType
+
+    found = E.sections_udf()(c("text"))
+    return _texts(s, d).select("doc_id", found.alias("s")).select("doc_id", F.posexplode(E.as_udf(E.orders, ArrayType(StringType()))(c("s.orders"))).alias("n", "order"))
+
+
+@R.add()
+def tvf_13_trilingual_headnotes(s: SparkSession, d: str) -> DataFrame:
+    """The head-notes of the decisions of a court, one for each language, as one text; split again."""
+    from pyspark.sql.types import MapType, StringType
+
+    notes = table(s, d, "decisions", "court", "language", "regeste").where("language in ('de', 'fr', 'it') and length(trim(regeste)) >= 20").groupBy("court", "language").agg(F.min(F.regexp_replace("regeste", r"\s+", " ")).alias("n"))
+    whole = notes.groupBy("court").agg(F.array_join(F.array_sort(F.collect_list(F.concat(F.lit("Regeste ("), "language", F.lit(")\n"), "n"))), "\n").alias("t"))
+    return whole.select("court", F.explode(E.as_udf(E.split_headnote, MapType(StringType(), StringType()))(c("t"))).alias("language", "note"))
+
+
+@R.add("""SELECT court FROM (SELECT court, language, min(regexp_replace(regeste, '\\s+', ' ', 'g')) AS n FROM decisions WHERE language IN ('de', 'fr', 'it') AND length(trim(regeste)) >= 20 GROUP BY 1, 2) GROUP BY 1 HAVING count(*) >= 2""".replace("\\\\", "\\"))
+def tvf_14_parallel_rows(s: SparkSession, d: str) -> DataFrame:
+    return tvf_13_trilingual_headnotes(s, d).groupBy("court").agg(F.count("*").alias("n")).where("n >= 2").select("court")
+
+
+@R.add("""SELECT decision_id, round(length(regeste)::DOUBLE / length(full_text), 4) AS ratio FROM (SELECT DISTINCT decision_id, regeste, full_text, title FROM decisions) WHERE length(regeste) >= 60 AND length(full_text) >= 500 AND regeste <> coalesce(title, '')""")
+def tvf_15_summary_pairs(s: SparkSession, d: str) -> DataFrame:
+    rows = table(s, d, "decisions", "decision_id", "regeste", "full_text", "title").distinct().where((F.length("regeste") >= 60) & (F.length("full_text") >= 500) & (c("regeste") != F.coalesce("title", F.lit(""))))
+    return rows.select("decision_id", F.round(F.length("regeste") / F.length("full_text"), 4).alias("ratio"))
+
+
+@R.add("""WITH g AS (SELECT * FROM (VALUES ('mietvertrag', 'de', 1), ('contrat de bail', 'fr', 1), ('contratto di locazione', 'it', 1), ('kündigung', 'de', 2), ('congé', 'fr', 2), ('disdetta', 'it', 2)) t(term, lang, concept)) SELECT a.term AS asked, b.term AS other, b.lang FROM g a JOIN g b USING (concept) WHERE a.term IN ('mietvertrag', 'congé') AND a.term <> b.term""")
+def tvf_17_equivalents(s: SparkSession, d: str) -> DataFrame:
+    g = s.createDataFrame([("mietvertrag", "de", 1), ("contrat de bail", "fr", 1), ("contratto di locazione", "it", 1), ("kündigung", "de", 2), ("congé", "fr", 2), ("disdetta", "it", 2)], "other string, lang string, concept int")
+    asked = g.where("other in ('mietvertrag', 'congé')").select(c("other").alias("asked"), "concept")
+    return asked.join(F.broadcast(g), "concept").where("asked <> other").select("asked", "other", "lang")
+
+
+@R.add()
+def tvf_19_amendments(s: SparkSession, d: str) -> DataFrame:
+    from pyspark.sql.types import ArrayType
+
+    rows = table(s, d, "bge_register", "bge_reference", "volume", "first_page").select("bge_reference", F.concat(F.lit("Fassung gemäss AS 20"), F.lpad((c("volume") % 24).cast("string"), 2, "0"), F.lit(" "), c("first_page").cast("string"), F.lit(" (BBl 2001 II 33).")).alias("t"))
+    return rows.select("bge_reference", F.explode(E.as_udf(E.amendments, ArrayType(E.AMENDMENT))(c("t"))).alias("a")).select("bge_reference", "a.kind", "a.year", "a.page", "a.context")
+
+
+@R.add()
+def tvf_21_paragraph_hints(s: SparkSession, d: str) -> DataFrame:
+    rows = ["Mietrecht (E. 2.1, 3-5 und 7).", "Bail (consid. 4.2–4.4).", "nichts (E. x)", "(E. 1-90)"]
+    return s.createDataFrame([(r, E.paragraph_hints(r)) for r in rows], "note string, numbers array<string>")

@@ -116,3 +116,45 @@ def inc_21_freshness(s: SparkSession, d: str) -> DataFrame:
 @R.add("""WITH g AS (SELECT user_id, epoch(ts) - lag(epoch(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS g FROM events), h AS (SELECT user_id, CASE WHEN g > 0 AND g < 1800 THEN g END AS g FROM g), s AS (SELECT user_id, count(*) AS n, count(g) AS gaps, avg(g) AS m, stddev_pop(g) / avg(g) AS cv FROM h GROUP BY 1) SELECT user_id, n, gaps, CASE WHEN (gaps >= 5 AND (cv < 0.15 OR m < 2.0)) OR n > 120 THEN 'bot' ELSE 'person' END AS verdict FROM s""")
 def inc_25_visitor_state(s: SparkSession, d: str) -> DataFrame:
     return C.visitors_batch(table(s, d, "events", "user_id", "ts"), "ts").select("user_id", "n", "gaps", "verdict")
+
+
+@R.add("""SELECT user_id, min(event_id) AS first_event FROM events GROUP BY 1""")
+def inc_07_seen_set(s: SparkSession, d: str) -> DataFrame:
+    from tessera.session import shared_dir
+
+    stream = s.readStream.schema(C.EVENTS).option("pathGlobFilter", "events.parquet").parquet(d)
+    name = f"seen_{uuid.uuid4().hex[:8]}"
+    seen = C.run_available(C.once(stream, "user_id", "ts", "60 days").select("user_id"), name, "append", f"{shared_dir(s)}/{name}")
+    return seen.join(table(s, d, "events", "user_id", "event_id"), "user_id").groupBy("user_id").agg(F.min("event_id").alias("first_event"))
+
+
+@R.add("""WITH g AS (SELECT user_id, epoch(ts) - lag(epoch(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS g FROM events), h AS (SELECT user_id, CASE WHEN g > 0 AND g < 1800 THEN g END AS g FROM g), s AS (SELECT user_id, count(*) AS n, count(g) AS gaps, avg(g) AS m, stddev_pop(g) / avg(g) AS cv FROM h GROUP BY 1) SELECT verdict, count(*) AS visitors FROM (SELECT CASE WHEN (gaps >= 5 AND (cv < 0.15 OR m < 2.0)) OR n > 120 THEN 'bot' ELSE 'person' END AS verdict FROM s) GROUP BY 1""")
+def inc_26_verdicts_from_stream(s: SparkSession, d: str) -> DataFrame:
+    from tessera.session import shared_dir
+
+    stream = s.readStream.schema(C.EVENTS).option("pathGlobFilter", "events.parquet").parquet(d)
+    name = f"visitors_{uuid.uuid4().hex[:8]}"
+    out = C.run_available(C.visitors(stream, "ts"), name, "update", f"{shared_dir(s)}/{name}")
+    last = out.groupBy("user_id").agg(F.max_by("verdict", "n").alias("verdict"))
+    return last.groupBy("verdict").agg(F.count("*").alias("visitors"))
+
+
+@R.add("""SELECT target_ref AS k, CASE WHEN citation_count > 3 THEN 1 ELSE 0 END AS retry_count FROM citation_gaps""")
+def inc_18_retry(s: SparkSession, d: str) -> DataFrame:
+    gaps = table(s, d, "citation_gaps", "target_ref", "citation_count", "checked_at")
+    queue = gaps.select(c("target_ref").alias("k"), F.lit(0).alias("retry_count"), F.lit(None).cast("date").alias("next_retry_at"))
+    failed = gaps.where("citation_count > 3").select(c("target_ref").alias("k"), F.to_date("checked_at").alias("at"))
+    return I.retry(queue, failed, "k", "at").select("k", "retry_count")
+
+
+@R.add("""SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events WHERE ts >= DATE '2024-01-30' - 10 GROUP BY 1, 2""")
+def inc_22_history_window(s: SparkSession, d: str) -> DataFrame:
+    rows = I.retained(table(s, d, "events", "event_type", "ts"), "ts", "2024-01-30", 10)
+    return rows.groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
+
+
+@R.add("""SELECT doc_id FROM documents WHERE doc_id > 300""")
+def inc_23_resume(s: SparkSession, d: str) -> DataFrame:
+    """What an earlier run has not done: an anti-join on its keys, not an offset."""
+    docs = table(s, d, "documents", "doc_id")
+    return docs.join(docs.where("doc_id <= 300"), "doc_id", "left_anti")

@@ -100,3 +100,77 @@ def snk_15_versioned_snapshot(s: SparkSession, d: str) -> DataFrame:
 def snk_21_bibtex_and_ris(s: SparkSession, d: str) -> DataFrame:
     cols = {"id": c("decision_id"), "court": c("court"), "docket": c("docket_number"), "date": c("decision_date"), "url": c("source_url")}
     return table(s, d, "decisions", "decision_id", "court", "docket_number", "decision_date", "source_url").select("decision_id", writers.bibtex(cols).alias("bibtex"), writers.ris(cols).alias("ris"))
+
+
+@R.add("""SELECT source_decision_id AS source, target_ref AS ref, sum(mention_count)::BIGINT AS mentions FROM decision_citations WHERE target_ref IS NOT NULL AND source_decision_id IS NOT NULL GROUP BY 1, 2""")
+def snk_05_graph_export(s: SparkSession, d: str) -> DataFrame:
+    from tessera.operators import graph
+
+    out = _folder(s)
+    graph.edges(table(s, d, "decision_citations").where("target_ref is not null and source_decision_id is not null")).write.option("compression", "zstd").parquet(f"{out}/edges")
+    return s.read.parquet(f"{out}/edges").select("source", "ref", "mentions")
+
+
+@R.add()
+def snk_06_structure_export(s: SparkSession, d: str) -> DataFrame:
+    from tessera.functions import extract
+
+    out = _folder(s)
+    found = table(s, d, "documents", "doc_id", "text").where(c("text").isNotNull()).select("doc_id", extract.sections_udf()(c("text")).alias("s"))
+    found.select("doc_id", *[F.coalesce(c(f"s.{k}") != "", F.lit(False)).alias(f"has_{k}") for k in ("facts", "reasons", "orders")], "s.method").write.option("compression", "zstd").parquet(out)
+    return s.read.parquet(out)
+
+
+@R.add("""SELECT decision_id, decision_date FROM (SELECT DISTINCT decision_id, decision_date FROM decisions) WHERE decision_id NOT IN (SELECT decision_id FROM decisions WHERE scraped_at < TIMESTAMP '2023-12-01')""")
+def snk_10_delta_bundle(s: SparkSession, d: str) -> DataFrame:
+    out = _folder(s)
+    rows = table(s, d, "decisions", "decision_id", "decision_date", "scraped_at")
+    old = rows.where(c("scraped_at") < F.lit("2023-12-01").cast("timestamp_ntz")).select("decision_id")
+    rows.select("decision_id", "decision_date").distinct().join(old, "decision_id", "left_anti").sortWithinPartitions("decision_date", "decision_id").write.option("compression", "zstd").parquet(out)
+    return s.read.parquet(out)
+
+
+@R.add("""SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 30""")
+def snk_19_feed(s: SparkSession, d: str) -> DataFrame:
+    rows = table(s, d, "orders", "o_orderkey", "o_totalprice", "o_orderdate").orderBy(c("o_orderdate").desc(), c("o_orderkey").desc()).limit(30)
+    page = [{"title": str(r["o_totalprice"]), "link": f"https://example.org/{r['o_orderkey']}", "date": str(r["o_orderdate"])} for r in rows.collect()]
+    for made in (writers.rss(page, "Orders", "https://example.org"), writers.atom(page, "Orders", "https://example.org")):
+        if made.count("https://example.org/") < len(page):
+            raise ValueError("a feed lacks entries")
+    return rows.select("o_orderkey", "o_totalprice")
+
+
+@R.add()
+def snk_18_dashboard(s: SparkSession, d: str) -> DataFrame:
+    by_court = table(s, d, "decisions", "court").groupBy("court").agg(F.count("*").alias("n")).orderBy("court")
+    by_type = table(s, d, "events", "event_type").groupBy("event_type").agg(F.count("*").alias("n")).orderBy("event_type")
+    return s.createDataFrame([(writers.dashboard({"courts": by_court, "events": by_type}),)], "json string")
+
+
+@R.add("""SELECT 'q1' AS query_id, 'Miete' AS query, 'a' AS doc, 2 AS grade UNION ALL SELECT 'q1__2', 'Pacht', 'b', 1""")
+def src_36_golden_queries(s: SparkSession, d: str) -> DataFrame:
+    out = _folder(s)
+    for n, (query, doc, grade) in enumerate((("Miete", "a", 2), ("Pacht", "b", 1))):
+        body = f'{{"queries": [{{"id": "q1", "query": "{query}", "tags": [], "relevant": [{{"decision_id": "{doc}", "grade": {grade}}}]}}]}}'
+        s.createDataFrame([(body,)], "value string").write.text(f"{out}/{n}")
+    return readers.goldens(s, [f"{out}/0", f"{out}/1"])
+
+
+class NationPages:
+    """Pages of numbers for the paged source."""
+
+    def __init__(self, options: dict[str, str]) -> None:
+        self.size = int(options["size"])
+
+    def pages(self) -> list[int]:
+        return list(range(5))
+
+    def fetch(self, page: int):
+        return [(page, page * self.size + k) for k in range(self.size)]
+
+
+@R.add("""SELECT n_regionkey AS page, count(*) AS n FROM nation GROUP BY 1""")
+def src_21_paged_service(s: SparkSession, d: str) -> DataFrame:
+    readers.register_paged(s)
+    df = s.read.format("paged").option("service", "tessera.plans.source_queries:NationPages").option("columns", "page int, k int").option("size", "5").load()
+    return df.groupBy("page").agg(F.count("*").alias("n"))
