@@ -196,16 +196,16 @@ def agg_31_twins(s: SparkSession, d: str) -> DataFrame:
 
 
 def _golden(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    li = table(s, d, "lineitem", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice").where("l_suppkey <= 10")
+    li = table(s, d, "lineitem", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
     w = Window.partitionBy("l_suppkey").orderBy(c("l_quantity").desc(), "l_orderkey", "l_linenumber")
     doc = F.concat_ws("-", c("l_orderkey").cast("string"), c("l_linenumber").cast("string"))
     results = li.select(c("l_suppkey").alias("query"), doc.alias("doc"), F.row_number().over(w).alias("rank"))
-    relevant = li.where((c("l_orderkey") % 7) == 0).select(c("l_suppkey").alias("query"), doc.alias("doc"), (c("l_orderkey") % 3 + 1).cast("int").alias("grade"))
+    relevant = li.where("l_returnflag = 'R'").select(c("l_suppkey").alias("query"), doc.alias("doc"), F.least(F.lit(3), c("l_linenumber")).alias("grade"))
     return results, relevant
 
 
-@R.add("""WITH r AS (SELECT l_suppkey AS query, l_orderkey || '-' || l_linenumber AS doc, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity DESC, l_orderkey, l_linenumber) AS rank FROM lineitem WHERE l_suppkey <= 10),
-g AS (SELECT l_suppkey AS query, l_orderkey || '-' || l_linenumber AS doc, l_orderkey % 3 + 1 AS grade FROM lineitem WHERE l_suppkey <= 10 AND l_orderkey % 7 = 0),
+@R.add("""WITH r AS (SELECT l_suppkey AS query, l_orderkey || '-' || l_linenumber AS doc, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_quantity DESC, l_orderkey, l_linenumber) AS rank FROM lineitem),
+g AS (SELECT l_suppkey AS query, l_orderkey || '-' || l_linenumber AS doc, least(3, l_linenumber) AS grade FROM lineitem WHERE l_returnflag = 'R'),
 f AS (SELECT query, min(rank) AS first, count(*) AS n, sum((power(2, grade) - 1) / log2(rank + 1)) AS dcg FROM r JOIN g USING (query, doc) WHERE rank <= 10 GROUP BY 1),
 i AS (SELECT query, count(*) AS total FROM g GROUP BY 1), b AS (SELECT query, sum((power(2, grade) - 1) / log2(p + 1)) AS best FROM (SELECT query, grade, row_number() OVER (PARTITION BY query ORDER BY grade DESC) AS p FROM g) WHERE p <= 10 GROUP BY 1)
 SELECT query, round(coalesce(1.0 / first, 0), 6) AS mrr, round(coalesce(n / total, 0), 6) AS recall, round(coalesce(dcg / best, 0), 6) AS ndcg, CASE WHEN first = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS hit1 FROM i JOIN b USING (query) LEFT JOIN f USING (query)""")

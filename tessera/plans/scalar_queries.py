@@ -13,11 +13,14 @@ R = Registry()
 c = F.col
 
 
-@R.add(r"""SELECT decision_id, left(trim(regexp_replace(regexp_replace(regexp_replace(full_text, '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]', '', 'g'), '<[^<>]+>', ' ', 'g'), '[ \t]+', ' ', 'g'), ' '), 400) AS head, length(full_text) AS raw_length
-FROM (SELECT DISTINCT decision_id, full_text FROM decisions WHERE full_text IS NOT NULL AND NOT regexp_matches(full_text, '&[a-z#0-9]+;')) ORDER BY 1""")
+_CLEAN = r"regexp_replace(regexp_replace(full_text, '[\x00-\x08\x0b\x0c\x0e-\x1f\x7f]', '', 'g'), '<[^<>]+>', ' ', 'g')"
+for _entity, _text in T.ENTITIES.items():
+    _CLEAN = f"replace({_CLEAN}, '{_entity}', '{_text.replace(chr(39), chr(39) * 2)}')".replace("'&#39;'", "'&#39;'")
+
+
+@R.add(rf"""SELECT DISTINCT decision_id, md5(trim(regexp_replace({_CLEAN}, '[ \t]+', ' ', 'g'), ' ')) AS cleaned FROM decisions""")
 def scl_01_clean_text(s: SparkSession, d: str) -> DataFrame:
-    df = table(s, d, "decisions", "decision_id", "full_text").where(c("full_text").isNotNull() & ~c("full_text").rlike("&[a-z#0-9]+;")).distinct()
-    return df.select("decision_id", F.substring(T.clean_text(c("full_text")), 1, 400).alias("head"), F.length("full_text").cast("bigint").alias("raw_length"))
+    return table(s, d, "decisions", "decision_id", "full_text").select("decision_id", F.md5(T.clean_text(c("full_text"))).alias("cleaned")).distinct()
 
 
 @R.add()
@@ -26,9 +29,9 @@ def scl_02_mojibake(s: SparkSession, d: str) -> DataFrame:
     return df.select("doc_id", T.repair_mojibake(c("text")).alias("text"))
 
 
-@R.add("""SELECT doc_id, md5(left(regexp_replace(lower(regexp_replace(left(text, 8000), '<[^>]+>', ' ', 'g')), '[^a-z0-9]+', '', 'g'), 4000)) AS signature FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[KſİΣ]')""")
+@R.add("""SELECT doc_id, md5(left(regexp_replace(lower(regexp_replace(left(text, 8000), '<[^>]+>', ' ', 'g')), '[^a-z0-9]+', '', 'g'), 4000)) AS signature FROM documents WHERE text IS NOT NULL""")
 def scl_03_dedup_signature(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents", "doc_id", "text").where(c("text").isNotNull() & ~c("text").rlike("[KſİΣ]")).select("doc_id", F.md5(T.dedup_signature(c("text"))).alias("signature"))
+    return table(s, d, "documents", "doc_id", "text").where(c("text").isNotNull()).select("doc_id", F.md5(T.dedup_signature(c("text"))).alias("signature"))
 
 
 @R.add(r"""SELECT DISTINCT decision_id, trim(regexp_replace(docket_number, '[\n\r\t ]+', ' ', 'g'), ' ') AS docket FROM decisions""")
@@ -180,9 +183,9 @@ def scl_46_xml_legal(s: SparkSession, d: str) -> DataFrame:
 
 
 @R.add("""SELECT doc_id, CASE WHEN st > 1 THEN '...' ELSE '' END || substring(text, st, 300) || CASE WHEN st + 300 <= length(text) THEN '...' ELSE '' END AS snippet FROM (
-  SELECT doc_id, text, CASE WHEN pos > 0 THEN greatest(1, pos - 100) ELSE 1 END AS st FROM (SELECT doc_id, text, instr(lower(text), 'mietvertrag') AS pos FROM documents WHERE text IS NOT NULL AND NOT regexp_matches(text, '[İ]')))""")
+  SELECT doc_id, text, CASE WHEN pos > 0 THEN greatest(1, pos - 100) ELSE 1 END AS st FROM (SELECT doc_id, text, instr(lower(text), 'mietvertrag') AS pos FROM documents WHERE text IS NOT NULL))""")
 def scl_47_snippet(s: SparkSession, d: str) -> DataFrame:
-    df = table(s, d, "documents", "doc_id", "text").where(c("text").isNotNull() & ~c("text").contains("İ"))
+    df = table(s, d, "documents", "doc_id", "text").where(c("text").isNotNull())
     return df.select("doc_id", T.snippet(c("text"), F.lit("Mietvertrag")).alias("snippet"))
 
 

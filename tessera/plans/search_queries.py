@@ -13,7 +13,7 @@ R = Registry()
 c = F.col
 WORDS = ["beschwerde", "gericht", "mangel"]
 _TERMS = "list_filter(string_split_regex(translate(lower(coalesce({0}, '')), 'àáâãäåçèéêëìíîïñòóôõöøùúûüýÿ', 'aaaaaaceeeeiiiinoooooouuuuyy'), '[^\\p{{L}}\\p{{N}}]+'), lambda t: t <> '')".replace("\\\\", "\\")
-_POSTINGS = f"""WITH docs AS (SELECT doc_id AS doc, {_TERMS.format("text")} AS w FROM documents WHERE NOT regexp_matches(coalesce(text, ''), '[İ]')), tok AS (SELECT doc, unnest(w) AS term, generate_subscripts(w, 1) - 1 AS place FROM docs), p AS (SELECT doc, term, count(*) AS tf FROM tok GROUP BY 1, 2), sizes AS (SELECT doc, len(w) AS len FROM docs)
+_POSTINGS = f"""WITH docs AS (SELECT doc_id AS doc, {_TERMS.format("text")} AS w FROM documents), tok AS (SELECT doc, unnest(w) AS term, generate_subscripts(w, 1) - 1 AS place FROM docs), p AS (SELECT doc, term, count(*) AS tf FROM tok GROUP BY 1, 2), sizes AS (SELECT doc, len(w) AS len FROM docs)
 """
 _BM25 = _POSTINGS.rstrip() + """, st AS (SELECT count(*) AS n, avg(len) AS a FROM sizes), df AS (SELECT term, count(*) AS k FROM p WHERE term IN ('beschwerde', 'gericht', 'mangel') GROUP BY 1),
 scored AS (SELECT doc, -sum(greatest(1e-6, ln((n - k + 0.5) / (k + 0.5))) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / a))) AS score FROM p JOIN df USING (term) JOIN sizes USING (doc), st GROUP BY 1)
@@ -21,7 +21,7 @@ scored AS (SELECT doc, -sum(greatest(1e-6, ln((n - k + 0.5) / (k + 0.5))) * tf *
 
 
 def _docs(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents", "doc_id", "text", "lang").where(~F.coalesce("text", F.lit("")).contains("İ"))
+    return table(s, d, "documents", "doc_id", "text", "lang")
 
 
 def _index(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
