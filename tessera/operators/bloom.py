@@ -39,7 +39,7 @@ class Bloom:
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("p") + 1)).alias("map"))
         )
         words = np.zeros(self.bits // 8, dtype=np.uint8)
-        for row in pages.toLocalIterator():
+        for row in pages.collect():  # at most MAX_BITS / PAGE rows of 4 KB
             at = (row["page"] - 1) * (PAGE // 8)
             words[at : at + PAGE // 8] = np.frombuffer(row["map"], dtype=np.uint8)
         self._shared = self.spark.sparkContext.broadcast(words)
