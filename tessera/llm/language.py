@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 LANGUAGES = ("de", "fr", "it", "rm", "en")
 #: Notations of the labels, besides the two-letter ones.
 NOTATIONS = {"deu": "de", "ger": "de", "deutsch": "de", "german": "de", "fra": "fr", "fre": "fr", "français": "fr", "french": "fr", "ita": "it", "italiano": "it", "italian": "it", "roh": "rm", "rumantsch": "rm", "romansh": "rm", "eng": "en", "english": "en"}
-#: The bound of the training sample: labelled documents drawn, and kept for each language, and paragraphs of each.
-DRAWN, PER_LANGUAGE, PARAGRAPHS = 30_000, 250, 4
+#: The bound of the training sample: labelled documents drawn, and kept for each language, paragraphs and characters of each.
+DRAWN, PER_LANGUAGE, PARAGRAPHS, SAMPLE_CHARS = 30_000, 250, 4, 6000
 BUCKETS, WIDTH, EPOCHS, RATE, BATCH = 1 << 16, 16, 4, 0.5, 64
 #: Least letters of a text or paragraph, least confidence, words a worker remembers.
 LEAST_LETTERS, REJECT, REMEMBERED = 40, 0.6, 300_000
@@ -129,7 +129,7 @@ def fit(df: DataFrame, id_column: str, label_column: str, text_column: str) -> M
         if len(kept[r["lang"]]) < PER_LANGUAGE:
             kept[r["lang"]][r["id"]] = None
     chosen = df.sparkSession.createDataFrame([(i, c) for c, ids in kept.items() for i in ids], f"id {dict(marked.dtypes)['id']}, lang string")
-    rows = df.select(F.col(id_column).alias("id"), F.substring(text_column, 1, 6000).alias("text")).join(F.broadcast(chosen), "id").where(F.length("text") >= LEAST_LETTERS).dropDuplicates(["id"]).collect()
+    rows = df.select(F.col(id_column).alias("id"), F.substring(text_column, 1, SAMPLE_CHARS).alias("text")).join(F.broadcast(chosen), "id").where(F.length("text") >= LEAST_LETTERS).dropDuplicates(["id"]).collect()
     texts, labels = [], []
     for r in sorted(rows, key=lambda r: zlib.crc32(str(r["id"]).encode())):
         for p in [p for p in r["text"].split("\n\n") if len(p) > 80][:PARAGRAPHS]:

@@ -16,10 +16,10 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
-    """decisions with typed placeholders in full_text."""
+    """Every row of decisions with typed placeholders in full_text."""
     from tessera.llm import pii
 
-    return pii.redact_all(table(spark, d, "decisions", "decision_id", "full_text"), "full_text").distinct()
+    return pii.redact_all(table(spark, d, "decisions", "decision_id", "full_text"), "full_text")
 
 
 QUERIES = {"p1_found": p1_found, "p1_redacted": p1_redacted}
@@ -137,8 +137,10 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p9_kept(spark: SparkSession, d: str) -> DataFrame:
     """All documents that are no residue, whole."""
-    found = _p9(spark, d).where("residue").select("doc_id")
-    return table(spark, d, "documents", "doc_id", "text", "lang", "source").join(found, "doc_id", "left_anti")
+    from tessera.llm import residue
+
+    documents = table(spark, d, "documents", "doc_id", "text", "lang", "source")
+    return residue.keep(documents, "text", residue.fit(documents, "doc_id", "text"))
 
 
 QUERIES |= {"p9_found": p9_found, "p9_kept": p9_kept}

@@ -17,6 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 #: The bound of the training sample: trusted and unlabelled records; characters of each that are used to train.
 TRUSTED, UNLABELLED, SAMPLE_CHARS = 600, 1_500, 2_000
@@ -240,3 +241,18 @@ def score(df: DataFrame, id_column: str, text_column: str, model: Model) -> Data
 
     rows = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
     return rows.mapInPandas(scan, f"id {dict(rows.dtypes)['id']}, residue boolean, odds double").withColumnRenamed("id", id_column)
+
+
+def keep(df: DataFrame, text_column: str, model: Model) -> DataFrame:
+    """The rows of ``df`` whose text is no residue, in one pass and without moving a text."""
+    shared = df.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf(BooleanType())
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        reader = Reader(shared.value)
+        for texts in batches:
+            if len(reader) > REMEMBERED:
+                reader = Reader(shared.value)
+            yield pd.Series(reader.read(texts.tolist())[0])
+
+    return df.where(~found(F.col(text_column)))

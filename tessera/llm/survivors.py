@@ -84,6 +84,13 @@ def records(decisions: DataFrame, links: DataFrame, sources: DataFrame) -> DataF
     """One record for each group: group_id, the surviving value of each field, and the decision it comes from."""
     won = winners(ballots(decisions, links, sources))
     wide = won.groupBy("group_id").pivot("field_name", list(RULES)).agg(F.first("value").alias("value"), F.first("decision_id").alias("from"))
-    texts = decisions.where(is_value(F.col("full_text"))).select(F.col("decision_id").alias("full_text_from"), "full_text").join(wide.select("full_text_from").distinct(), "full_text_from", "left_semi").groupBy("full_text_from").agg(F.max("full_text").alias("full_text"))
+    from tessera.operators.bloom import Bloom
+    from tessera.session import materialize
+
+    wide = materialize(wide, "survivors")
+    # of all texts only the winners', but for the filter's few errors, travel to the join
+    wanted = wide.select("full_text_from").where("full_text_from is not null")
+    likely = Bloom(wanted, "full_text_from").might_hold(F.col("decision_id"))
+    texts = decisions.select("decision_id", "full_text").where(likely).where(is_value(F.col("full_text"))).withColumnRenamed("decision_id", "full_text_from").join(wanted, "full_text_from", "left_semi").groupBy("full_text_from").agg(F.max("full_text").alias("full_text"))
     values = [c for f in RULES for c in (F.col("full_text") if f == "full_text" else F.col(f"{f}_value").alias(f), F.col(f"{f}_from"))]
     return wide.join(texts, "full_text_from", "left").select("group_id", *values)
