@@ -49,12 +49,12 @@ def parents(decisions: DataFrame, register: DataFrame, removals: DataFrame) -> D
 def orphans(references: DataFrame, decisions: DataFrame, register: DataFrame, removals: DataFrame) -> DataFrame:
     """The orphan references with their status: ``missing``, ``deleted`` or ``late``.
 
-    ``references``: table_name, source_decision_id, target_ref, seen_at. Repeated
-    rows come out once. A null ``seen_at`` has a null month and is never late.
+    ``references``: table_name, source_decision_id, target_ref, seen_at; other
+    columns are left out. Repeated rows come out once. A null ``seen_at`` has a null month and is never late.
     """
     from tessera.session import materialize
 
-    keyed = references.withColumn("key", reference_key(F.col("target_ref"))).where(F.col("key").isNotNull())
+    keyed = references.select("table_name", "source_decision_id", "target_ref", "seen_at").withColumn("key", reference_key(F.col("target_ref"))).where(F.col("key").isNotNull())
     known = materialize(parents(decisions, register, removals), "parents")
     bloom = Bloom(known.select("key"), "key")
     keyed = keyed.withColumn("maybe", bloom.might_hold(F.col("key")))

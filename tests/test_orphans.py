@@ -35,7 +35,8 @@ def test_states(spark):
     refs = spark.createDataFrame(
         [("t", "s", r, T0) for r in ("1a 1 2020", "1B_2/2020", "BGE 1 I 1", "dtf 1-i-1", "1C_3/2020", "1D_4/2020", "1E_5/2020", "Rz. 3", None, "")] + [("t", "s", "1E_5/2020", T0), ("t", "s", "1B_2/2020", None)], "table_name string, source_decision_id string, target_ref string, seen_at timestamp_ntz"
     )
-    got = {(r["target_ref"], r["ref_month"], r["status"]) for r in O.orphans(refs, *tables).collect()}
+    clashing = refs.selectExpr("*", "1 as key", "2 as since", "3 as status", "4 as maybe", "5 as state")
+    got = {(r["target_ref"], r["ref_month"], r["status"]) for r in O.orphans(clashing, *tables).collect()}
     assert got == {("1B_2/2020", "2023-01", "late"), ("1D_4/2020", "2023-01", "deleted"), ("1E_5/2020", "2023-01", "missing")}
 
 
