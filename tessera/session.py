@@ -61,3 +61,22 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the package to Python workers that could not import it.
+
+    Nothing is done where the workers see it anyway: started in the
+    repository's folder, or with it in PYTHONPATH. Else Spark serves it, once
+    for each context.
+    """
+    import shutil
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    context = spark.sparkContext
+    if root in known or os.getcwd() == root or getattr(context, "_tessera_shipped", False):
+        return
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="tessera-"), "tessera"), "zip", root, "tessera")
+    context.addPyFile(archive)
+    context._tessera_shipped = True
