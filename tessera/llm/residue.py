@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 #: The bound of the training sample: trusted and unlabelled records; characters of each that are used to train.
-TRUSTED, UNLABELLED, SAMPLE_CHARS = 600, 1_500, 2_000
+TRUSTED, UNLABELLED, SAMPLE_CHARS = 1_000, 1_500, 2_000
 #: Only shorter records can be trusted to be residue; longer ones are judged by the model alone.
 TRUSTED_CHARS = 1_500
 #: Rounds, pseudo-count, share of residue among unlabelled passages, most odds of a word and, for each word, of a passage, odds beyond doubt.
-ROUNDS, PSEUDO, PRIOR, WORD_ODDS, PASSAGE_ODDS, DOUBT = 5, 0.3, 0.03, 4.0, 2.0, 3.0
+ROUNDS, PSEUDO, PRIOR, WORD_ODDS, PASSAGE_ODDS, DOUBT = 5, 0.3, 0.03, 4.0, 2.0, 0.1
 #: Words in the model, least words and greatest share of different ones of a passage that repeats itself, tokens a worker remembers.
 KNOWN, REPEAT_WORDS, REPEAT_SHARE, REMEMBERED = 4096, 8, 0.4, 300_000
 
@@ -41,6 +41,8 @@ CUES = [
     r"\berreur inattendue\b", r"\bsi è verificato un problema\b", r"\bsiamo spiacenti\b", r"\bhoppla\b", r"\boops\b", r"\bnoscript\b", r"\bzugriff verweigert\b", r"\bkein zugriff\b", r"\baccès refusé\b", r"\baccesso negato\b", r"\bmaintenance\b", r"\bwartung\b", r"\bgewartet\b",
     r"\bmanutenzione\b", r"\baccess denied\b", r"\brechargez la page\b", r"\bnicht unterstützt\b", r"\bdésolés?\b", r"\bsorry\b", r"\bun problème est survenu\b", r"\bnessun risultato\b", r"\baucun résultat\b", r"\bno results\b", r"\bcaptcha\b",
 ]
+#: A slot outweighs the words of a real heading around it.
+SLOT_WORDS = " " + "‹slot› " * 6
 _SLOT = re.compile("|".join(SLOTS))
 _HEX = re.compile(r"^(?=.*\d)[0-9a-f]{5,}$")
 _TRIM = "\"'’.,;:!?()[]«»„“”<>|·*…-–"
@@ -74,9 +76,9 @@ _MAYBE = re.compile(r"[%#][A-Za-z_]{3}|__[A-Za-z]|«[A-Z_]{3}")
 
 
 def _slotted(text: str) -> str:
-    """``text`` with a word, four times, for every unfilled slot."""
+    """``text`` with a word, six times, for every unfilled slot."""
     if any(x in text for x in ("{", "<", "[", "@@", "XX")) or (any(x in text for x in "%#_«") and _MAYBE.search(text)):
-        return _SLOT.sub(" ‹slot› ‹slot› ‹slot› ‹slot› ", text)
+        return _SLOT.sub(SLOT_WORDS, text)
     return text
 
 
