@@ -25,6 +25,7 @@ LANGUAGES = ("de", "fr", "it", "rm", "en")
 NOTATIONS = {"deu": "de", "ger": "de", "deutsch": "de", "german": "de", "fra": "fr", "fre": "fr", "français": "fr", "french": "fr", "ita": "it", "italiano": "it", "italian": "it", "roh": "rm", "rumantsch": "rm", "romansh": "rm", "eng": "en", "english": "en"}
 #: The bound of the training sample: labelled documents drawn, and kept for each language, paragraphs and characters of each.
 DRAWN, PER_LANGUAGE, PARAGRAPHS, SAMPLE_CHARS = 30_000, 250, 4, 6000
+HASHES = 1 << 40
 BUCKETS, WIDTH, EPOCHS, RATE, BATCH = 1 << 16, 16, 4, 0.5, 64
 #: Least letters of a text or paragraph, least confidence, words a worker remembers.
 LEAST_LETTERS, REJECT, REMEMBERED = 40, 0.6, 300_000
@@ -122,8 +123,10 @@ def fit(df: DataFrame, id_column: str, label_column: str, text_column: str) -> M
     Labels may be wrong now and then: after a first round, paragraphs that it
     reads otherwise leave the sample. With no usable label the model rejects all.
     """
-    marked = df.select(F.col(id_column).alias("id"), label(F.col(label_column)).alias("lang"), F.xxhash64(id_column).alias("h")).where(F.col("lang").isNotNull() & F.col("id").isNotNull())
-    drawn = marked.orderBy("h", "id").limit(DRAWN).collect()
+    marked = df.select(F.col(id_column).alias("id"), label(F.col(label_column)).alias("lang"), F.pmod(F.xxhash64(id_column), F.lit(HASHES)).alias("h")).where(F.col("lang").isNotNull() & F.col("id").isNotNull())
+    # the smallest hashes of all rows; a cut well above them spares every task from offering as many
+    cut = HASHES * min(1.0, 2 * DRAWN / max(1, marked.count()))
+    drawn = marked.where(F.col("h") <= cut).orderBy("h", "id").limit(DRAWN).collect()
     kept: dict[str, dict[str, None]] = {c: {} for c in LANGUAGES}
     for r in drawn:
         if len(kept[r["lang"]]) < PER_LANGUAGE:
