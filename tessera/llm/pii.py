@@ -60,7 +60,9 @@ _LOCAL = re.compile(r"[\w.%+-]+ ?$")
 _DOMAIN = re.compile(r" ?([A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,})(?![\w-])")
 _HOUSE = r"\d{1,4} ?[a-z]?(?![\w'’.]*\d)(?!\w)"
 _COMPOUND = re.compile(rf"(?:strasse|straße|gasse|weg|platz|rain|halde|allee|ring|graben|quai|steig|hof|matte|str\.)\s({_HOUSE})", re.I)
-_COMPOUND_START = re.compile(rf"(?:[{_UP}][a-zäöü]+(?:e|er|en|em) )?(?:[{_UP}][\w.-]*)?$")
+# Adjectives that begin a street's name.
+_ADJECTIVE = r"(?:Alt|Neu|Hinter|Vorder|Ober|Unter|Lang|Kurz|Gross|Groß|Klein|Inner|Äusser|Mittler|Breit|Eng|Hoh|Tief|Schmal)e[rnms]?"
+_COMPOUND_START = re.compile(rf"(?:{_ADJECTIVE}\s)?(?:[{_UP}][\w.-]*)?$")
 _STREET_AFTER = re.compile(
     rf"(?:\s(?:de la|de l['’]|des|de|du|della|dell['’]|delle|degli|dei|dal|dalla|del|di|da|al|alla|ai|alle|la|le|les|d['’]|l['’]))?(?:\s|(?<=['’]))[{_UP}][\w'’-]*(?:\s[{_UP}][\w'’-]*){{0,3}}(?:\s({_HOUSE}))?"
 )

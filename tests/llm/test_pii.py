@@ -14,6 +14,7 @@ CASES = [
     ("(AHV-Nr. 508.83.271.127), UID CHE-340.111.222", {("id_number", "508.83.271.127")}),
     ("mit dem Reisepass C331P7817 und dem Ausweis Nr. S8100060, im Verfahren PS182020", {("id_number", "C331P7817"), ("id_number", "S8100060")}),
     ("Zustelladresse: Alte Säumerstrasse 67a, 5099 Crapteig.", {("address", "Alte Säumerstrasse 67a")}),
+    ("an der Adresse Rebenrain 10, 4099 Altmatten, sowie Obere Gasse 3", {("address", "Rebenrain 10"), ("address", "Obere Gasse 3")}),
     ("devant le 82, avenue des Grands-Prés à Crapteig, chemin de l'Orge 53", {("address", "82, avenue des Grands-Prés"), ("address", "chemin de l'Orge 53")}),
     ("Via ai Castagni 96, Salita al Mulino 57\nDie Parzelle Nr. 12 am Rebbergweg ist frei; la parcelle à la route de la Combe n'est pas bâtie.", {("address", "Via ai Castagni 96"), ("address", "Salita al Mulino 57")}),
     ("Gemäss Ursina Montabris-Bramhauen war Richter Krumegger krank.", {("name", "Ursina Montabris-Bramhauen")}),
