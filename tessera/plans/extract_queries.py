@@ -22,10 +22,16 @@ p AS (SELECT doc_id, regexp_extract(m, 'Art\. (\d+) Abs\. (\d+) ([A-Z]{2,5})$',
 SELECT DISTINCT doc_id, 'ART.' || a || '.ABS.' || b || '.' || l AS normalised FROM p WHERE l <> ''""")
 def tvf_01_statutes(s: SparkSession, d: str) -> DataFrame:
     rows = _texts(s, d).select("doc_id", F.explode(E.statutes(c("text"))).alias("r"))
-    # the SQL reads the plain German form only; the comparison keeps the same form
+    # the SQL reads the plain German form only; the comparison keeps the same form, tvf_01_all_statutes keeps all of them
     return rows.where(c("r.normalised").rlike(r"^ART\.\d+\.ABS\.\d+\.[A-Z]{2,5}$")).join(_texts(s, d).where(c("text").rlike(r"Art\. \d+ Abs\. \d+ [A-Z]{2,5}\b")).select("doc_id", c("text").alias("t")), "doc_id").where(F.expr(r"t rlike concat('Art[.] ', r.article, ' Abs[.] ', r.paragraph, ' ', r.law, '([^A-Za-z0-9_]|$)')")).select("doc_id", c("r.normalised").alias("normalised")).distinct()
 
 
+@R.add()
+def tvf_01_all_statutes(s: SparkSession, d: str) -> DataFrame:
+    """Every provision of every text; RE2 has no look-ahead for its numbers, so there is no SQL."""
+    return _texts(s, d).select("doc_id", F.explode(E.statutes(c("text"))).alias("r")).select("doc_id", "r.law", "r.article", "r.paragraph", "r.normalised")
+
+
 @R.add(r"""SELECT DISTINCT doc_id, 'BGE ' || regexp_extract(m, '(\d+)\s+([A-Za-z]+)\s+(\d+)$', 1) || ' ' || upper(regexp_extract(m, '(\d+)\s+([A-Za-z]+)\s+(\d+)$', 2)) || ' ' || regexp_extract(m, '(\d+)\s+([A-Za-z]+)\s+(\d+)$', 3) AS normalised FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)\b(?:BGE|ATF|DTF)\s+\d{1,3}\s+[IVX]{1,4}\s+\d{1,4}\b')) AS m FROM documents)""")
 def tvf_02_citations(s: SparkSession, d: str) -> DataFrame:
     return _texts(s, d).select("doc_id", F.explode(E.citations(c("text"))).alias("r")).where("r.kind = 'bge'").select("doc_id", c("r.normalised").alias("normalised")).distinct()
