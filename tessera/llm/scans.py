@@ -68,7 +68,7 @@ def counts(df: DataFrame, columns: list[str]) -> tuple[dict[str, int], dict[tupl
             both: Counter = Counter()
             for (a, b), n in pairs.items():
                 both[(core(a), core(b))] += n
-            return pd.DataFrame([(w, "", n) for w, n in clean.items() if w] + [(a, b, n) for (a, b), n in both.items() if a and b and n > 1], columns=["a", "b", "n"])
+            return pd.DataFrame([(w, "", n) for w, n in clean.items() if w] + [(a, b, n) for (a, b), n in both.items() if a and b], columns=["a", "b", "n"])
 
         for batch in batches:
             for c in columns:

@@ -46,3 +46,12 @@ def test_table(spark, lex):
     assert got.where("decision_id = 'a'").count() == 11 and got.where("decision_id is null").first()["item"] == "Gemeinde"
     assert S.repairs(df.limit(0), "decision_id", "docket_number", ["full_text"], lex).count() == 0
     assert S.lexicon(df.limit(0), ["full_text"]).words == {}
+
+
+@pytest.mark.parametrize("parts", [1, 6])
+def test_pair_counts_do_not_depend_on_tasks(spark, parts):
+    # every pair comes once in each text, so once in each task
+    df = spark.createDataFrame([("eins zwei drei",)] * 6, "full_text string").repartition(parts)
+    words, pairs, floor = S.counts(df, ["full_text"])
+    assert floor == S.LEAST and words == {"eins": 6, "zwei": 6, "drei": 6}
+    assert pairs == {("eins", "zwei"): 6, ("zwei", "drei"): 6}
