@@ -73,9 +73,8 @@ def scl_34_proceeding(s: SparkSession, d: str) -> DataFrame:
 
 @R.add()
 def scl_36_appealed(s: SparkSession, d: str) -> DataFrame:
-    rows = [("a", "Beschwerde gegen das Urteil des Obergerichts Zürich vom 3. Mai 2020 (LB117672)."), ("b", "recours contre l'arrêt de la Cour de justice Genève du 2 mars 2019 (ATA/1/2019)."), ("c", "contro la sentenza del Tribunale d'appello Ticino, e"), ("d", "nichts")]
-    x = s.createDataFrame(rows, "id string, t string").select("id", D.appealed(c("t")).alias("a"))
-    return x.select("id", "a.court", "a.docket")
+    x = table(s, d, "decisions", "decision_id", "full_text").select("decision_id", D.appealed(c("full_text")).alias("a"))
+    return x.where(c("a").isNotNull()).select("decision_id", "a.court", "a.docket").distinct()
 
 
 @R.add("""SELECT DISTINCT decision_id, CASE WHEN y IS NOT NULL THEN concat_ws(':', 'ECLI:CH', upper(replace(lower(court), '_', '')), y::VARCHAR, upper(replace(regexp_replace(lower(trim(docket_number)), '[^a-z0-9]+', '-', 'g'), '-', '.'))) END AS ecli FROM (SELECT *, try_cast(nullif(regexp_extract(decision_date, '^([0-9]{4})-', 1), '') AS INT) AS y FROM decisions)""")

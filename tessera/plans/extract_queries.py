@@ -17,6 +17,10 @@ def _texts(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "documents", "doc_id", "text").where(c("text").isNotNull())
 
 
+def _full_texts(s: SparkSession, d: str, *columns: str) -> DataFrame:
+    return table(s, d, "decisions", "decision_id", "full_text", *columns).where(c("full_text").isNotNull())
+
+
 @R.add(r"""WITH m AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)\b(?:Artikel|Art\.?)\s*(?:\d+(?:\s*(?:bis|ter|quater|quinquies|sexies)|[a-z]\b)?)\s*(?:(?:Absatz|Abs\.?|al\.?|cpv\.?)\s*(?:\d+(?:\s*(?:bis|ter|quater|quinquies|sexies)|[a-z]\b)?))?\s*(?:[A-Z][A-Z0-9]{1,11})\b')) AS m FROM documents WHERE regexp_matches(text, 'Art\. \d+ Abs\. \d+ [A-Z]{2,5}\b')),
 p AS (SELECT doc_id, regexp_extract(m, 'Art\. (\d+) Abs\. (\d+) ([A-Z]{2,5})$', 1) AS a, regexp_extract(m, 'Art\. (\d+) Abs\. (\d+) ([A-Z]{2,5})$', 2) AS b, regexp_extract(m, 'Art\. (\d+) Abs\. (\d+) ([A-Z]{2,5})$', 3) AS l FROM m)
 SELECT DISTINCT doc_id, 'ART.' || a || '.ABS.' || b || '.' || l AS normalised FROM p WHERE l <> ''""")
@@ -92,16 +96,26 @@ def tvf_03_prior_instances(s: SparkSession, d: str) -> DataFrame:
     return _prior_texts(s, d).select("decision_id", F.explode(E.as_udf(E.prior_instances, ArrayType(StringType()))(c("t"))).alias("prior"))
 
 
+@R.add()
+def tvf_03_all_prior_instances(s: SparkSession, d: str) -> DataFrame:
+    """The dockets that the full texts themselves name as appealed against."""
+    from pyspark.sql.types import ArrayType, StringType
+
+    return _full_texts(s, d).select("decision_id", F.explode(E.as_udf(E.prior_instances, ArrayType(StringType()))(c("full_text"))).alias("prior")).distinct()
+
+
 @R.add()
 def tvf_04_dockets_in_brackets(s: SparkSession, d: str) -> DataFrame:
-    rows = ["SBK.2025.285", "A/1168/2024 und 35.2024.77", "4A_291/2017, LZ250038", "nichts"]
-    return s.createDataFrame([(r, E.dockets_in_brackets(r)) for r in rows], "content string, dockets array<string>")
+    from pyspark.sql.types import ArrayType, StringType
+
+    brackets = _full_texts(s, d).select("decision_id", F.explode(F.regexp_extract_all("full_text", F.lit(r"\(([^)]+)\)"), F.lit(1))).alias("content"))
+    return brackets.select("decision_id", "content", F.explode(E.as_udf(E.dockets_in_brackets, ArrayType(StringType()))(c("content"))).alias("docket")).distinct()
 
 
 @R.add()
 def tvf_06_joined_dockets(s: SparkSession, d: str) -> DataFrame:
-    rows = [("4A_1/2020", "Urteil 4A_1/2020, 4A_2/2020 und 4A_3/2020 vom"), ("4A_1/2020", "Urteil 4A_1/2020 vom"), ("4A_9/2020", "4A_1/2020, 4A_2/2020")]
-    return s.createDataFrame([(lead, t, E.joined_dockets(t, lead)) for lead, t in rows], "lead string, head string, dockets array<string>")
+    rows = _full_texts(s, d, "docket_number").where(c("docket_number").isNotNull())
+    return rows.select("decision_id", c("docket_number").alias("lead"), F.explode(E.joined_dockets_udf()(c("full_text"), c("docket_number"))).alias("docket")).distinct()
 
 
 @R.add()
@@ -142,13 +156,16 @@ def tvf_17_equivalents(s: SparkSession, d: str) -> DataFrame:
 
 @R.add()
 def tvf_19_amendments(s: SparkSession, d: str) -> DataFrame:
+    """Every reference in decisions.full_text and documents.text; repeated ones stay."""
     from pyspark.sql.types import ArrayType
 
-    rows = table(s, d, "bge_register", "bge_reference", "volume", "first_page").select("bge_reference", F.concat(F.lit("Fassung gemäss AS 20"), F.lpad((c("volume") % 24).cast("string"), 2, "0"), F.lit(" "), c("first_page").cast("string"), F.lit(" (BBl 2001 II 33).")).alias("t"))
-    return rows.select("bge_reference", F.explode(E.as_udf(E.amendments, ArrayType(E.AMENDMENT))(c("t"))).alias("a")).select("bge_reference", "a.kind", "a.year", "a.page", "a.context")
+    texts = _full_texts(s, d).select(F.lit("decisions").alias("table_name"), c("decision_id").alias("id"), c("full_text").alias("t")).union(_texts(s, d).select(F.lit("documents"), c("doc_id").cast("string"), "text"))
+    return texts.select("table_name", "id", F.explode(E.as_udf(E.amendments, ArrayType(E.AMENDMENT))(c("t"))).alias("a")).select("table_name", "id", "a.kind", "a.year", "a.page", "a.context")
 
 
 @R.add()
 def tvf_21_paragraph_hints(s: SparkSession, d: str) -> DataFrame:
-    rows = ["Mietrecht (E. 2.1, 3-5 und 7).", "Bail (consid. 4.2–4.4).", "nichts (E. x)", "(E. 1-90)"]
-    return s.createDataFrame([(r, E.paragraph_hints(r)) for r in rows], "note string, numbers array<string>")
+    from pyspark.sql.types import ArrayType, StringType
+
+    notes = table(s, d, "decisions", "decision_id", "regeste").where(c("regeste").isNotNull())
+    return notes.select("decision_id", F.explode(E.as_udf(E.paragraph_hints, ArrayType(StringType()))(c("regeste"))).alias("number")).distinct()

@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 import __spark_entry__ as entry
 from tessera.functions import extract as E
 
@@ -35,3 +37,38 @@ def test_all_statutes(spark, tmp_path):
     assert sorted(got, key=str) == want and len(want) == 14
     forms = {r[-1] for r in got}
     assert {"ART.13.ABS.2.CC", "ART.8.ZGB", "ART.5.ABS.1bis.STPO", "ART.16.ABS.4.CC", "ART.7.EMRK"} <= forms
+
+
+DECISIONS = "decision_id string, docket_number string, full_text string, regeste string"
+ROWS = [
+    ("a", "4A_1/2020", "Urteil 4A_1/2020, 4A_2/2020 und 4A_3/2020 vom 1. Mai 2021\nBeschwerde gegen das Urteil des Obergerichts Zürich vom 3. Mai 2020 (LB117672).\nSachverhalt:\nA. Siehe (" + "vgl. dazu ausführlich und mit weiteren Hinweisen auf die Lehre und die Praxis der Gerichte " * 2 + ", SBK.2025.285).", "Mietrecht (E. 2.1, 3-5 und 7)."),
+    ("b", "4A_9/2020", "Urteil 4A_9/2020 vom 1. Mai 2021\nrecours contre l'arrêt de la Cour de justice Genève du 2 mars 2019 (A/1168/2024 et 35.2024.77). Fassung gemäss AS 2013 4417 (BBl 2001 II 33).", "Bail (consid. 4.2–4.4)."),
+    ("c", "4A_9/2020", "4A_1/2020, 4A_2/2020. AS 2013 4417 und AS 2013 4417. Nichts (nichts).", "nichts (E. x) (E. 1-90)"),
+    ("d", None, None, None),
+]
+WANTED = {
+    "tvf_03_all_prior_instances": [("a", "LB117672"), ("b", "A/1168/2024"), ("b", "35.2024.77")],
+    "tvf_04_dockets_in_brackets": [("a", "LB117672"), ("a", "SBK.2025.285"), ("b", "A/1168/2024"), ("b", "35.2024.77")],
+    "tvf_06_joined_dockets": [("a", "4A_1/2020"), ("a", "4A_2/2020"), ("a", "4A_3/2020")],
+    "tvf_21_paragraph_hints": [("a", "2.1"), ("a", "3"), ("a", "4"), ("a", "5"), ("a", "7"), ("b", "4.2"), ("b", "4.3"), ("b", "4.4")],
+    "scl_36_appealed": [("a", "LB117672"), ("b", "A/1168/2024 et 35.2024.77")],
+}
+
+
+@pytest.mark.parametrize("query", WANTED)
+def test_real_rows_of_decisions(spark, tmp_path, query):
+    got = run(spark, tmp_path, query, "decisions", ROWS, DECISIONS)
+    assert sorted((r[0], r[-1]) for r in got) == sorted(WANTED[query])
+
+
+def test_amendments_of_both_tables(spark, tmp_path):
+    spark.createDataFrame([(7, "modifié, RO 2019 1234"), (8, None)], "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = run(spark, tmp_path, "tvf_19_amendments", "decisions", ROWS, DECISIONS)
+    assert sorted(r[:5] for r in got) == [("decisions", "b", "dispatch", "2001", "33"), ("decisions", "b", "law", "2013", "4417"), ("decisions", "c", "law", "2013", "4417"), ("decisions", "c", "law", "2013", "4417"), ("documents", "7", "law", "2019", "1234")]
+
+
+def test_literal_rows():
+    assert E.dockets_in_brackets("A/1168/2024 und 35.2024.77") == ["A/1168/2024", "35.2024.77"] and E.dockets_in_brackets("nichts") == []
+    assert E.dockets_in_brackets("4A_291/2017, LZ250038") == ["4A_291/2017", "LZ250038"]
+    assert E.joined_dockets("Urteil 4A_1/2020 vom", "4A_1/2020") == [] and E.joined_dockets("4A_1/2020, 4A_2/2020", "4A_9/2020") == []
+    assert E.paragraph_hints("Mietrecht (E. 2.1, 3-5 und 7).") == ["2.1", "3", "4", "5", "7"] and E.paragraph_hints("(E. 1-90)") == []
