@@ -3,13 +3,18 @@
 One Aho-Corasick pass finds anchors: at-signs, dialling prefixes, identifier
 and street words, given names. Local parsers then expand each anchor to the
 whole email address, number, street address or name and check it (check digit,
-top-level domain, boundaries). Texts are read whole, in Arrow batches.
+top-level domain, boundaries). Names are also anchored by titles, initials,
+address blocks and signatures. Which words are given names and which can be no
+family name is learned from where they stand in all texts (``learn``), on top of a
+public list of given names. Texts are read whole, in Arrow batches.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import ahocorasick
@@ -17,21 +22,45 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Given names that anchor a person's name.
+# Common given names of the five languages, as any public list of names has them.
 GIVEN = (
-    "Anna Anna-Maria Aurélie Barbara Beat Blaise Chantal Chiara Cédric Dario Elena Fabio Françoise Giovanna Heidi "
-    "Jean-Marc Jürg Köbi Luc Luca Lukas Marc Maria Mireille Mirjam Monika Nicoletta Nils Noémie Odile Ornella Pascal "
-    "Patrizia Peter Regula Renzo Reto Sandro Silvia Stefan Sylvie Thierry Tiziano Urs Ursina Verena Yves"
+    "Adrian Alain Albert Alessandro Alexander Alexandra Alfred Alice Andrea Andreas Angela Anita Anna Anne Annemarie Anton Antonio Arnold Barbara Beat Beatrice Bernard "
+    "Bernhard Bettina Brigitte Bruno Carla Carlo Carmen Caroline Catherine Chantal Charles Chiara Christian Christina Christine Christoph Claude Claudia Claudio Corinne "
+    "Cornelia Daniel Daniela Daniele David Denise Diego Dieter Dominique Doris Edith Eduard Elena Elisabeth Emma Enrico Eric Erika Ernst Esther Eva Fabio Felix Ferdinand Florian "
+    "Francesca Francesco François Françoise Franz Friedrich Fritz Gabriel Gabriela Georg Georges Gerhard Gian Giovanna Giovanni Giuseppe Guido Hans Hansruedi Heidi Heinrich "
+    "Helena Helene Henri Hermann Hugo Irene Isabelle Jacqueline Jacques James Jean Jeanne Johann Johannes John Josef Julia Julien Jürg Karin Karl Katharina Klaus Kurt Laura Laurent Lea "
+    "Leo Luca Lucia Lukas Madeleine Manuela Marc Marco Margrit Maria Marianne Marie Mario Markus Martha Martin Martina Mary Matthias Max Michael Michel Michele Monika "
+    "Nadia Nicolas Nicole Oliver Olivier Oskar Paolo Pascal Patricia Patrick Paul Peter Philippe Pia Pierre Rahel Regula Reto Richard Robert Roberto Roland Rolf Rosa Ruth "
+    "Samuel Sandra Sara Silvia Simon Sophie Stefan Stéphane Susanne Sylvie Theresia Thierry Thomas Ueli Urs Ursina Ursula Verena Walter Werner William Yves"
 ).split()
-# How family names are built; used where only an initial stands beside them.
-FAMILY_STARTS = "Bram Chur Dall Ewis Flur Gams Hasel Isch Jons Krum Leng Murg Nesp Quell Rohr Sill Trüb Ulm Wangs Zurf".split()
-FAMILY_ENDS = "egger wyler torf hauen mettler rieden lacher zinggen staller bühler".split()
-FAMILY = (
-    "Amstalden Bellaripa Bergschwend Brügglen Caminetta Cathrün Delporte Dürrgraben Entremur Eschlimoos Favrichon Fontabran "
-    "Grandvex Gstaldern Haldimoor Hirschenreut Hofstätt Ilgenrüt Ittenried Jolimay Kaltbrunner Kesslinger Kräbühl Lavertezzo "
-    "Lindmoser Montabris Morandex Niedrist Nussgart Orsenigo Pontresio Pradasca Quadrelli Rebstöckli Rovenasca Ruchmatt Sertigen "
-    "Stegmoos Sulzgrund Tannwald Thalrüd Tschamott Uffikoner Valsangia Vonrüti Vuagnier Wyssloch Zellhag Zwirnbach"
+# Titles and parts in a case before the full name of a private person.
+TITLES = (
+    "Herr Herrn Frau Zeuge Zeugen Zeugin Mme Madame Monsieur Mlle témoin témoins signora signor Signora Signor sig. sig.ra Sig. Sig.ra teste testimone Mr Mr. Mrs Mrs. Ms Ms. Miss "
+    "witness Witness signur signura Signur Signura perditga Dr. Prof. Beschwerdeführer Beschwerdeführerin Kläger Klägerin Beklagte Beklagter Beklagten Versicherte Versicherter Patientin Patient recourant recourante "
+    "ricorrente demandeur demanderesse attore attrice plaintiff defendant"
 ).split()
+# Offices before a family name that stands alone.
+OFFICES = (
+    "Richter Richterin Bundesrichter Bundesrichterin Oberrichter Oberrichterin Einzelrichter Einzelrichterin Präsident Präsidentin Gerichtsschreiber Gerichtsschreiberin Referent Referentin "
+    "juge Juge greffier greffière président présidente giudice cancelliere cancelliera segretario segretaria presidente derschader derschadra actuar actuara judge Judge clerk"
+).split()
+# Words with a capital that are no part of a name.
+STOP = frozenset(
+    "Der Die Das Den Dem Des Ein Eine Einen Einer Eines Er Sie Es Wir Im Am Zum Zur Vom Beim Mit Nach Vor Auf Aus Bei Für Von Zu An In Um Als Wie Wenn Da Dass Gemäss Laut Soweit Gegen Und Oder "
+    "Nicht Auch Dieser Diese Dieses Art Abs Der Le La Les Un Une Des Du Au Aux Il Elle Ils Elles On Par Pour Dans Sur Selon Avec Sans Et Ou Que Ce Cette Ces Lo Gli Una Uno Del Della Dei "
+    "Nel Nella Con Per Da Di Secondo Ed Che Questo Questa Igl Ina In Tenor Cun Per The A An Of By With According And Or He She It They "
+    "Januar Februar März April Mai Juni Juli August September Oktober November Dezember Montag Dienstag Mittwoch Donnerstag Freitag Samstag Sonntag "
+    "Recht Gericht Urteil Kammer Abteilung Kanton Gemeinde Staat Bund Schweiz Suisse Svizzera Switzerland Rechtsanwalt Rechtsanwältin Fürsprecher Advokat Advokatin Avvocato Avocat Avocate Maître Avv "
+    "Doktor Professor Direktor Direktorin Gutachter Gutachterin Rechnung Zeuge Herr Frau Treuhand Partner Kommentar Bundesgericht Obergericht Kantonsgericht Verwaltungsgericht Tribunal Tribunale Cour Corte Court "
+    "AG SA GmbH Sàrl Sagl KG Ltd Inc BGE ATF DTF ZGB OR StGB CC CO CP LTF BGG".split()
+)
+STOP |= {o.capitalize() for o in OFFICES} | {t.rstrip(".").capitalize() for t in TITLES}
+# Words that make the name before them one of a firm.
+_FIRM = r" (?:&|AG\b|SA\b|GmbH\b|Sàrl\b|Sagl\b|KG\b|Ltd\b|Inc\b|Treuhand\b|Partner\b)"
+# Closings of letters, the line after which a name signs.
+_CLOSING = r"(?:Grüsse|Grüssen|Gruss|Hochachtungsvoll|salutations|distinguées|cordialement|saluti|ossequi|regards|sincerely|faithfully|salids)"
+#: Share and least count of a word that is told by its uses; share of its uses as a given name or beside one; words of a partial count.
+WORD_SHARE, WORD_LEAST, AS_GIVEN, AS_FAMILY, FLUSH = 1e-7, 4, 0.2, 0.05, 200_000
 # Words of streets, in compounds and alone.
 STREET_ENDS = "strasse straße gasse weg platz rain halde allee ring graben quai steig hof matte".split()
 STREET_WORDS = (
@@ -40,39 +69,69 @@ STREET_WORDS = (
 ).split()
 # Words after which an identity document's number stands.
 PAPER_CUES = ["Reisepass", "Ausweis", "Identitätskarte", "passeport", "passaporto", "'identit", "identità", "Passeport", "Passaporto", "passport", "Pass Nr", "identity card", "pass da viadi"]
-INSURANCE_CUES = ["AHV", "AVS", "756", "ersichertennummer", "d'assur", "d'assicurat", "die Nummer", "le numéro", "il numero", "ohnausweis", "mentionne que", "________", "certificato di salario", "assicurat", "NAVS"]
-SURE, STREET_MAX = 60, 60
 
 _UP = "A-ZÀ-ÖØ-Þ"
 _SURNAME = rf"[{_UP}][\w'’]*[^\W\d_](?:-[{_UP}][\w'’]*[^\W\d_])?"
 _PART = r"(?:(?:von|van|de|di|du|del|della|dal|da|des|zur|zum|la|le|der|den)\s){1,3}|d['’]"
+_CAP = rf"[{_UP}][\w’']*[^\W\d_](?:-[{_UP}][\w’']*[^\W\d_])*"
 _FORWARD = re.compile(rf"(\s)({_PART})?({_SURNAME})(?![\w@])")
-_BACKWARD = re.compile(rf"(?:^|[^\w.@'’-])((?:{_PART})?({_SURNAME}))(,?\s)$")
-_KNOWN = rf"(?:(?:{'|'.join(FAMILY_STARTS)})(?:{'|'.join(FAMILY_ENDS)})|{'|'.join(FAMILY)})"
-_IS_KNOWN = re.compile(rf"{_KNOWN}(?:-{_KNOWN})?", re.I)
-_INITIAL_FIRST = re.compile(rf"(?<![\w.'’@-])[{_UP}]\.(?:[- ]?[{_UP}]\.)?\s(?:{_PART})?{_KNOWN}(?:-{_KNOWN})?(?![\w@])")
-_INITIAL_LAST = re.compile(rf"(?<![\w.'’@-])(?:{_KNOWN}(?:-{_KNOWN})?|{_KNOWN.upper()}),?\s[{_UP}]\.(?![\w@])")
+_BACK_WORD = re.compile(rf"(?<![\w.@'’-])((?:{_PART})?({_SURNAME}))(,?\s)")
+_INITIAL_FIRST = re.compile(rf"(?<![\w.'’@-])[{_UP}]\.(?:[- ]?[{_UP}]\.)?\s(?:{_PART})?({_SURNAME})(?![\w@])")
+_INITIAL_LAST = re.compile(rf"(?<![\w.'’@-])({_SURNAME}),?\s[{_UP}]\.(?![\w@])")
+_TITLED = re.compile(rf"(?<![\w.])(?:{'|'.join(map(re.escape, TITLES))})\s({_CAP})(,?)\s(?:{_PART})?({_SURNAME})(?![\w@])")
+_OFFICE = re.compile(rf"(?<!\w)(?:{'|'.join(OFFICES)})\s({_CAP})(?!\s[{_UP}]|\w)")
+_LINE = re.compile(rf"(?<=\n)({_CAP})(,?) (?:{_PART})?({_SURNAME})(?=\n[^\n]*\d ?[a-z]?\n(?:[A-Z]{{1,2}}-)?\d{{4,5}} )")
+_SIGNED = re.compile(rf"{_CLOSING}[^\n\w]*\n+({_CAP})(,?) (?:{_PART})?({_SURNAME})(?=\n|$)")
+_KNOWN_FIRST = re.compile(rf"(?<![\w.@-])(?:{'|'.join(GIVEN)}) (?:{_PART})?({_SURNAME})(?![\w@])")
+_WORD = re.compile(rf"(?<![\w@.])[{_UP}][\w’'-]*[^\W\d_]")
+_FIRM_AFTER, _HOUSED = re.compile(_FIRM), re.compile(r"\s\d")
+# Particles of family names.
+_PARTICLES = frozenset("von van de di du del della dal da des zur zum la le der den".split())
 _PHONE = re.compile(r"(?:(?:\+|00)\d{2}[ ./-]?(?:\(0\))?[ ./-]?\d{2}|0\d{2})(?:[./-]|\s)?\d{3}(?:[./-]|\s)?\d{2}(?:[./-]|\s)?\d{2}(?!\d)")
 _NEW_AHV = re.compile(r"756([ .-]?)\d{4}\1\d{4}\1\d{2}(?![\d.-]?\d)")
 _OLD_AHV = re.compile(r"(?<![\d.])\d{3}\.\d{2}\.\d{3}\.\d{3}(?![\d.]?\d)")
 _PAPER = re.compile(rf"(?<![\w-])[A-Z](?:\d{{7}}|\d{{3}}[A-Z]\d{{4}})(?![\w-])")
-_LOCAL = re.compile(r"[\w.%+-]+ ?$")
+_LOCAL_SIGNS = "_.%+-"
 _DOMAIN = re.compile(r" ?([A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,})(?![\w-])")
 _HOUSE = r"\d{1,4} ?[a-z]?(?![\w'’.]*\d)(?!\w)"
 _COMPOUND = re.compile(rf"(?:strasse|straße|gasse|weg|platz|rain|halde|allee|ring|graben|quai|steig|hof|matte|str\.)\s({_HOUSE})", re.I)
 # Adjectives that begin a street's name.
 _ADJECTIVE = r"(?:Alt|Neu|Hinter|Vorder|Ober|Unter|Lang|Kurz|Gross|Groß|Klein|Inner|Äusser|Mittler|Breit|Eng|Hoh|Tief|Schmal)e[rnms]?"
-_COMPOUND_START = re.compile(rf"(?:{_ADJECTIVE}\s)?(?:[{_UP}][\w.-]*)?$")
+_ADJECTIVE_BEFORE = re.compile(rf"(?<![\w@._-]){_ADJECTIVE}\s")
 _STREET_AFTER = re.compile(
     rf"(?:\s(?:de la|de l['’]|des|de|du|della|dell['’]|delle|degli|dei|dal|dalla|del|di|da|al|alla|ai|alle|la|le|les|d['’]|l['’]))?(?:\s|(?<=['’]))[{_UP}][\w'’-]*(?:\s[{_UP}][\w'’-]*){{0,3}}(?:\s({_HOUSE}))?"
 )
 _PLACED = re.compile(rf"(?:Im|Am|Zum|Zur|(?:Unter|Auf|In|An|Hinter|Ob|Bei|Vor) de[rmn]) (?!Jahr|Verfahren|Fall|Umfang|Band|Monat)[{_UP}][\w-]+ \d{{1,3}}[a-z]?(?=,? (?:in |à |a )?\d{{4}} [{_UP}]|\n\d{{4}} [{_UP}]| in [{_UP}]| ist | war )")
-_HOUSE_BEFORE = re.compile(r"(?<![\w.'’-])(\d{1,4} ?[a-z]?),?\s$")
+_HOUSE_BEFORE = re.compile(r"(?<![\w.'’-])(\d{1,4} ?[a-z]?),?\s$")  # a house number has four digits and a letter at most
 _BLOCK = re.compile(rf"\n([{_UP}][^\n@,;:]{{2,40}}\s\d{{1,3}}[a-z]?)\n(?=\d{{4}} [{_UP}])")
 
 
-@lru_cache(maxsize=1)
-def _anchors() -> ahocorasick.Automaton:
+class Names:
+    """Given names and common words, as ``learn`` finds them in the corpus; without it, the fixed lists alone."""
+
+    def __init__(self, given: Iterable[str] = (), common: Iterable[str] = ()) -> None:
+        self.given = frozenset(GIVEN) | frozenset(given)
+        self.common = frozenset(common) - self.given
+        self.machine = _automaton(self.given)
+
+    def __reduce__(self) -> tuple:
+        return Names, (sorted(self.given), sorted(self.common))
+
+    def family(self, word: str) -> bool:
+        """Whether ``word`` may be a family name: no word of the language, alone or in any of its joined parts."""
+        if len(word) < 3:
+            return False
+        for part in _spelled(word).split("-"):
+            if part in STOP or part in self.common or part in self.given and "-" not in word:
+                return False
+        return True
+
+
+def _spelled(word: str) -> str:
+    return word.title() if word.isupper() else word
+
+
+def _automaton(given: Iterable[str]) -> ahocorasick.Automaton:
     words: dict[str, set[str]] = {}
 
     def add(kind: str, *values: str) -> None:
@@ -81,16 +140,14 @@ def _anchors() -> ahocorasick.Automaton:
 
     add("email", "@", "(at)", "[at]", "(AT)", "[AT]", "(At)", "[At]", " at ")
     add("phone", "+", *[f"0{n:02d}" for n in range(10, 100)], "00")
-    add("number", *INSURANCE_CUES)
     add("paper", *PAPER_CUES)
     add("compound", *[f"{w}{s}" for w in [*STREET_ENDS, "str."] for s in " \n"], *[f"{w.capitalize()}{s}" for w in STREET_ENDS for s in " \n"])
     add("street", *[f"{w}{s}" for w in STREET_WORDS for s in " \n"], *[f"{w.capitalize()}{s}" for w in STREET_WORDS for s in " \n"])
     add("placed", "Im ", "Am ", "Zum ", "Zur ", *[f"{p} de{e} " for p in ("Unter", "Auf", "In", "An", "Hinter", "Ob", "Bei", "Vor") for e in "rmn"])
-    add("given", *GIVEN)
-    add("family", *FAMILY_ENDS, *[f[1:] for f in FAMILY], *[e.upper() for e in FAMILY_ENDS], *[f.upper()[1:] for f in FAMILY])
+    add("given", *given)
     machine = ahocorasick.Automaton()
     for word, kinds in words.items():
-        machine.add_word(word, (len(word), tuple(kinds)))
+        machine.add_word(word, (len(word), tuple(sorted(kinds))))
     machine.make_automaton()
     return machine
 
@@ -99,13 +156,20 @@ def _checked(digits: str) -> bool:
     return len(digits) == 13 and sum(int(c) * (3 if i % 2 else 1) for i, c in enumerate(digits)) % 10 == 0
 
 
+def _back(t: str, at: int, signs: str) -> int:
+    """Where the run of letters, digits and ``signs`` that ends before ``at`` begins."""
+    while at and (t[at - 1].isalnum() or t[at - 1] in signs):
+        at -= 1
+    return at
+
+
 def _email(t: str, start: int, end: int) -> tuple[int, int] | None:
-    local, domain = _LOCAL.search(t, max(0, start - 80), start), _DOMAIN.match(t, end)
-    if not local or not domain or not any(c.isalnum() for c in local.group()):
+    stop = start - 1 if t[start - 1 : start] == " " else start
+    at, domain = _back(t, stop, _LOCAL_SIGNS), _DOMAIN.match(t, end)
+    if not domain or not any(c.isalnum() for c in t[at:stop]):
         return None
     if t[start:end] == " at " and " " in t[start - 1 : start]:
         return None
-    at = local.start()
     while t[at] in ".+-%":
         at += 1
     return at, domain.end()
@@ -130,12 +194,21 @@ def _street(t: str, start: int, end: int) -> tuple[int, int] | None:
     return (before.start(1), m.end()) if before else None
 
 
+def _word_before(t: str, at: int) -> int:
+    """Where the word that ends with the blank before ``at`` begins."""
+    return _back(t, at - 1, "'’-.") if at and t[at - 1].isspace() else at
+
+
 def _compound(t: str, start: int, end: int) -> tuple[int, int] | None:
     m = _COMPOUND.match(t, start)
     if not m:
         return None
-    left = _COMPOUND_START.search(t, max(0, start - 40), start)
-    at = left.start() if left else start
+    at = _back(t, start, "_.-")
+    if at == start and not t[start].isupper():
+        return None
+    left = _word_before(t, at)
+    if left < at and _ADJECTIVE_BEFORE.fullmatch(t, left, at):
+        at = left
     if at and (t[at - 1].isalnum() or t[at - 1] in "-@._"):
         return None
     if not t[at].isupper():
@@ -143,22 +216,52 @@ def _compound(t: str, start: int, end: int) -> tuple[int, int] | None:
     return at, m.end(1)
 
 
-def _name(t: str, start: int, end: int) -> tuple[int, int] | None:
+def _back_name(t: str, start: int) -> re.Match | None:
+    """The family name, with its particles, right before ``start``."""
+    first = at = _word_before(t, start - 1 if t[start - 2 : start - 1] == "," else start)
+    if t[start - 2 : start - 1] == ",":
+        first = at = _back(t, start - 2, "'’-.")
+    while at and t[at - 1].isspace():
+        word = _word_before(t, at)
+        if word == at or t[word : at - 1] not in _PARTICLES:
+            break
+        at = word
+    return _BACK_WORD.fullmatch(t, at, start) or _BACK_WORD.fullmatch(t, first, start)
+
+
+def _name(t: str, start: int, end: int, names: Names) -> tuple[int, int] | None:
     if start and (t[start - 1].isalnum() or t[start - 1] in "-@._"):
         return None
     if end < len(t) and (t[end].isalnum() or t[end] in "@_+" or (t[end] == "-" and t[end + 1 : end + 2].isupper()) or (t[end] == "." and t[end + 1 : end + 2].isalnum())):
         return None
-    after, before = _FORWARD.match(t, end), _BACKWARD.search(t, max(0, start - 60), start)
-    if after and (_IS_KNOWN.fullmatch(after.group(3)) or after.group(3).isupper()):
+    after = _FORWARD.match(t, end)
+    if after and (after.group(1) != " " or not names.family(after.group(3))):
+        after = None
+    if after and after.group(3).isupper():
         return start, after.end(3)
-    if before and (_IS_KNOWN.fullmatch(before.group(2)) or before.group(2).isupper() and len(before.group(2)) > 2):
+    before = _back_name(t, start) if start and t[start - 1].isspace() else None
+    if before and not names.family(before.group(2)):
+        before = None
+    if after and _FIRM_AFTER.match(t, after.end(3)):
+        return None
+    if after and _HOUSED.match(t, after.end(3)):
+        after = None
+    if before and (before.group(2).isupper() or not after):
         return before.start(1), end
-    if after and after.group(1) == " " and not re.match(r"\s\d", t[after.end(3) : after.end(3) + 2]):
-        return start, after.end(3)
-    return None
+    return (start, after.end(3)) if after else None
+
 
+def _label(t: str, m: re.Match) -> bool:
+    """Whether the initial of ``m`` is rather the letter of a paragraph: at the text's start, or at a line's with more words behind."""
+    if m.start() == 0:
+        return True
+    if t[m.start() - 1] != "\n":
+        return False
+    stop = t.find("\n", m.end())
+    return any(map(str.isalnum, t[m.end() : len(t) if stop < 0 else stop]))
 
-def find(text: str | None) -> list[tuple[int, int, str]]:
+
+def find(text: str | None, names: Names | None = None) -> list[tuple[int, int, str]]:
     """(start, end, type) of each piece of personal data, in order, without overlaps.
 
     Null and empty texts hold none. Where two pieces overlap, an email wins
@@ -166,15 +269,16 @@ def find(text: str | None) -> list[tuple[int, int, str]]:
     """
     if not text:
         return []
+    names = names or _plain()
     found: set[tuple[int, int, int, str]] = set()
-    reach = -1
-    for last, (size, kinds) in _anchors().iter(text):
+    cues: list[int] = []
+    for last, (size, kinds) in names.machine.iter(text):
         start, end = last - size + 1, last + 1
         for kind in kinds:
             if kind == "phone":
                 span, rank, name = _phone(text, start), 1, "phone"
             elif kind == "given":
-                span, rank, name = _name(text, start, end), 3, "name"
+                span, rank, name = _name(text, start, end, names), 3, "name"
             elif kind == "email":
                 span, rank, name = _email(text, start, end), 0, "email"
             elif kind == "street":
@@ -184,56 +288,135 @@ def find(text: str | None) -> list[tuple[int, int, str]]:
             elif kind == "placed":
                 m = _PLACED.match(text, start)
                 span, rank, name = m and m.span(), 2, "address"
-            elif kind == "family":
-                lo = max(0, start - 30)
-                for pattern in (_INITIAL_FIRST, _INITIAL_LAST):
-                    for m in pattern.finditer(text, lo, min(len(text), end + 14)):
-                        if m.start() <= start < m.end():
-                            found.add((3, m.start(), m.end(), "name"))
-                continue
-            elif kind == "paper":
-                for m in _PAPER.finditer(text, end, end + SURE):
-                    found.add((1, m.start(), m.end(), "id_number"))
-                continue
             else:
-                if start < reach:
-                    continue
-                reach = end
-                for m in _NEW_AHV.finditer(text, start, min(len(text), end + 50)):
-                    if not text[m.start() - 1 : m.start()].isalnum() and _checked(re.sub(r"\D", "", m.group())):
-                        found.add((1, m.start(), m.end(), "id_number"))
-                for m in _OLD_AHV.finditer(text, end, min(len(text), end + 50)):
-                    found.add((1, m.start(), m.end(), "id_number"))
+                cues.append(end)
                 continue
             if span:
                 found.add((rank, *span, name))
+    if cues:
+        # a cue holds for its paragraph
+        reach = at = 0
+        for cue in cues:
+            if cue < reach:
+                continue
+            at, reach = max(reach, text.rfind("\n\n", 0, cue)), text.find("\n\n", cue)
+            reach = len(text) if reach < 0 else reach
+            found.update((1, m.start(), m.end(), "id_number") for m in _PAPER.finditer(text, at, reach))
+    for m in _NEW_AHV.finditer(text):
+        if not text[m.start() - 1 : m.start()].isalnum() and _checked(re.sub(r"\D", "", m.group())):
+            found.add((1, m.start(), m.end(), "id_number"))
+    found.update((1, m.start(), m.end(), "id_number") for m in _OLD_AHV.finditer(text))
+    found.update((3, m.start(1), m.end(3), "name") for pattern in (_TITLED, _LINE, _SIGNED) for m in pattern.finditer(text) if names.family(m.group(3)) and _spelled(m.group(1)) not in STOP and (names.family(m.group(1)) or _spelled(m.group(1)) in names.given) and not _FIRM_AFTER.match(text, m.end(3)))
+    for m in _INITIAL_FIRST.finditer(text):
+        if names.family(m.group(1)) and not _label(text, m) and not _FIRM_AFTER.match(text, m.end()):
+            found.add((3, m.start(), m.end(), "name"))
+    for m in _INITIAL_LAST.finditer(text):
+        if names.common and m.group().find(",") > 0 and names.family(m.group(1)):
+            found.add((4, m.start(), m.end(), "name"))
     if "\n" in text:
         for m in _BLOCK.finditer(text):
             found.add((2, m.start(1), m.end(1), "address"))
+    starts: list[int] = []
     kept: list[tuple[int, int, str]] = []
     for _, start, end, kind in sorted(found, key=lambda x: (x[0], x[1], -x[2])):
-        if all(end <= a or start >= b for a, b, _ in kept):
-            kept.append((start, end, kind))
-    return sorted(kept)
+        at = bisect_left(starts, start)
+        if (at == len(kept) or kept[at][0] >= end) and (at == 0 or kept[at - 1][1] <= start):
+            starts.insert(at, start)
+            kept.insert(at, (start, end, kind))
+    return kept
 
 
-def redact(text: str | None) -> str | None:
+@lru_cache(maxsize=1)
+def _plain() -> Names:
+    return Names()
+
+
+def redact(text: str | None, names: Names | None = None) -> str | None:
     """``text`` with ``[EMAIL]``, ``[PHONE]``, ``[ID_NUMBER]``, ``[ADDRESS]`` or ``[NAME]`` for each piece; null stays null."""
     if text is None:
         return None
     out, at = [], 0
-    for start, end, kind in find(text):
+    for start, end, kind in find(text, names):
         out += [text[at:start], f"[{kind.upper()}]"]
         at = end
     return "".join([*out, text[at:]])
 
 
-def find_all(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
+def _uses(text: str, given: Counter, family: Counter) -> None:
+    """Counts the words of ``text`` in the places of a given and of a family name."""
+
+    def pair(one: str, comma: str, two: str) -> None:
+        first, last = (two, one) if comma or one.isupper() and not two.isupper() else (one, two)
+        given[_spelled(first)] += 1
+        family.update(_spelled(last).split("-"))
+
+    for pattern in (_TITLED, _LINE, _SIGNED):
+        for m in pattern.finditer(text):
+            pair(*m.groups())
+    for m in _OFFICE.finditer(text):
+        family.update(_spelled(m.group(1)).split("-"))
+    for m in _INITIAL_FIRST.finditer(text):
+        if not _label(text, m):
+            family.update(_spelled(m.group(1)).split("-"))
+    for m in _KNOWN_FIRST.finditer(text):
+        family.update(_spelled(m.group(1)).split("-"))
+
+
+def learn(df: DataFrame, text_column: str) -> Names:
+    """Given names and common words of all texts, by where they stand.
+
+    Every word with a capital is counted, and how often it stands as a given
+    name (after a title, in an address block, under a letter) or as a family
+    name (there, after an office, an initial or a known given name). A word that
+    mostly stands as a given name is one; one that hardly ever stands as a
+    family name is a common word. Only words above a least share of all words
+    are told, which bounds both lists whatever the corpus (``WORD_SHARE``: 1e7
+    words at most, and by Zipf's law far fewer); a rarer word may be a name.
+    """
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words: Counter = Counter()
+        given: Counter = Counter()
+        family: Counter = Counter()
+
+        def out() -> pd.DataFrame:
+            keys = list(words | given | family)
+            return pd.DataFrame({"word": pd.Series(keys, dtype=object), "n": [words[k] for k in keys], "g": [given[k] for k in keys], "f": [family[k] for k in keys]})
+
+        for batch in batches:
+            for text in batch["text"]:
+                for w, n in Counter(_WORD.findall(text)).items():
+                    words[_spelled(w)] += n
+                    if "-" in w:
+                        for part in _spelled(w).split("-"):
+                            words[part] += n
+                _uses(text, given, family)
+            if len(words) > FLUSH:
+                yield out()
+                words.clear()
+                given.clear()
+                family.clear()
+        yield out()
+
+    from tessera.session import materialize
+
+    counted = df.select(F.col(text_column).alias("text")).where(F.length("text") > 0).mapInPandas(count, "word string, n bigint, g bigint, f bigint")
+    table = materialize(counted.groupBy("word").agg(*[F.sum(c).alias(c) for c in "ngf"]), "names")
+    total = table.agg(F.sum("n")).first()[0] or 0
+    least = max(WORD_LEAST, int(total * WORD_SHARE))
+    known = table.where(F.col("n") >= least)
+    given = [r["word"] for r in known.where((F.col("g") >= 2) & (F.col("g") >= AS_GIVEN * F.col("n"))).select("word").collect()]
+    common = [r["word"] for r in known.where(F.col("f") < AS_FAMILY * F.col("n")).select("word").collect()]
+    return Names([w for w in given if w not in STOP and len(w) > 2], common)
+
+
+def find_all(df: DataFrame, id_column: str, text_column: str, names: Names | None = None) -> DataFrame:
     """id_column, pii_type, pii_text: one row for each different piece of each id."""
+    shared = df.sparkSession.sparkContext.broadcast(names or Names())
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = {(i, kind, text[a:b]) for i, text in zip(batch["id"], batch["text"]) if text for a, b, kind in find(text)}
+            rows = {(i, kind, text[a:b]) for i, text in zip(batch["id"], batch["text"]) if text for a, b, kind in find(text, shared.value)}
             yield pd.DataFrame(list(rows), columns=["id", "pii_type", "pii_text"])
 
     source = df.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).where(F.length("text") > 0)
@@ -241,11 +424,12 @@ def find_all(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return source.mapInPandas(scan, f"id {kind}, pii_type string, pii_text string").distinct().withColumnRenamed("id", id_column)
 
 
-def redact_all(df: DataFrame, text_column: str) -> DataFrame:
+def redact_all(df: DataFrame, text_column: str, names: Names | None = None) -> DataFrame:
     """``df`` with ``text_column`` redacted; all other columns and rows as they are."""
+    shared = df.sparkSession.sparkContext.broadcast(names or Names())
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
-        return texts.map(redact, na_action="ignore")
+        return texts.map(lambda text: redact(text, shared.value), na_action="ignore")
 
     return df.withColumn(text_column, clean(F.col(text_column)))

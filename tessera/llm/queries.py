@@ -12,14 +12,16 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     """Personal data in decisions.full_text: decision_id, pii_type, pii_text."""
     from tessera.llm import pii
 
-    return pii.find_all(table(spark, d, "decisions", "decision_id", "full_text"), "decision_id", "full_text")
+    decisions = table(spark, d, "decisions", "decision_id", "full_text")
+    return pii.find_all(decisions, "decision_id", "full_text", pii.learn(decisions, "full_text"))
 
 
 def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
     """Every row of decisions with typed placeholders in full_text."""
     from tessera.llm import pii
 
-    return pii.redact_all(table(spark, d, "decisions", "decision_id", "full_text"), "full_text")
+    decisions = table(spark, d, "decisions", "decision_id", "full_text")
+    return pii.redact_all(decisions, "full_text", pii.learn(decisions, "full_text"))
 
 
 QUERIES = {"p1_found": p1_found, "p1_redacted": p1_redacted}

@@ -29,6 +29,53 @@ def test_pieces(text, pieces):
     assert {(k, text[a:b]) for a, b, k in pii.find(text)} == pieces
 
 
+#: Names that no list of the operator holds, in the places where texts have them.
+OTHERS = "Xaver Zgraggen;Kreszenz Aufdermauer;Ottokar Imfeld;Fulvia Rezzonico;Ambrogio Quattropani;Gwendoline Bochatay;Ignace Pittet;Duri Cavelti;Seraina Tönz;Wilhelmina Thorne".split(";")
+FRAMES = ["Der Zeuge {} sagte aus.", "Mme {} a été entendue.", "La signora {} è stata sentita.", "Freundliche Grüsse\n{}\nTel.", "Urteil:\n{}\nLindenweg 7\n8000 Zürich", "Herr {} wohnt dort.", "Mr. {} appealed."]
+
+
+@pytest.mark.parametrize("frame", FRAMES)
+def test_names_outside_the_list(frame):
+    assert not {n.split()[0] for n in OTHERS} & set(pii.GIVEN)
+    for name in [*OTHERS, "Hans Müller", "Sophie Dupont", "Thomas Weber"]:
+        text = frame.format(name)
+        assert name in {text[a:b] for a, b, k in pii.find(text) if k == "name"}
+
+
+@pytest.mark.parametrize(
+    "text, names",
+    [
+        ("Gemäss Hans Müller war Frau Sandra Keller mit H. Meier dort.", {"Hans Müller", "Sandra Keller", "H. Meier"}),
+        ("Kontakt: Emma Thompson, Martin O'Neill und John van der Berg.", {"Emma Thompson", "Martin O'Neill", "John van der Berg"}),
+        ("Im Fall Peter Muster AG, BGE 120 II 5, Richter Meier; Mme la Juge Favre, M. le Juge Rochat", set()),
+        ("A. Streitig ist die Sache.\nB. Beschwerde wird erhoben.", set()),
+    ],
+)
+def test_names_by_shape(text, names):
+    assert {text[a:b] for a, b, k in pii.find(text) if k == "name"} == names
+
+
+def test_learns_given_names_and_common_words(spark):
+    """Names that stand in telling places teach the operator to find them anywhere, whatever the partitions."""
+    rows = [(FRAMES[i % len(FRAMES)].format(n) + " Gemäss Streitwert bleibt der Streitwert.",) for i in range(21) for n in OTHERS]
+    df = spark.createDataFrame(rows, "t string")
+    one, many = pii.learn(df.repartition(1), "t"), pii.learn(df.repartition(7), "t")
+    assert one.given == many.given and one.common == many.common
+    assert {n.split()[0] for n in OTHERS} <= one.given and "Streitwert" in one.common
+    for n in OTHERS:
+        given, family = n.split()
+        text = f"Auf {n} ausgestellt, an {family}, {given} und {family.upper()} {given}. A. Streitwert: keiner."
+        assert {text[a:b] for a, b, _ in pii.find(text, one)} == {n, f"{family}, {given}", f"{family.upper()} {given}"}
+    assert pii.learn(df.limit(0), "t").common == frozenset()
+
+
+def test_no_windows():
+    long = "a" * 300 + "@b.example"
+    assert pii.find(f"x {long}") == [(2, 2 + len(long), "email")]
+    far = "Reisepass " + "und wieder " * 50 + "C331P7817"
+    assert [far[a:b] for a, b, _ in pii.find(far)] == ["C331P7817"]
+
+
 def test_redaction():
     assert pii.redact("Gemäss Urs Gamsstaller, 070 790 04 93, an a@b.example.") == "Gemäss [NAME], [PHONE], an [EMAIL]."
     assert pii.redact(None) is None and pii.redact("") == "" and pii.redact("ohne") == "ohne"
