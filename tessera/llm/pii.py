@@ -57,8 +57,8 @@ STOP = frozenset(
 STOP |= {o.capitalize() for o in OFFICES} | {t.rstrip(".").capitalize() for t in TITLES}
 # Words that make the name before them one of a firm.
 _FIRM = r" (?:&|AG\b|SA\b|GmbH\b|Sàrl\b|Sagl\b|KG\b|Ltd\b|Inc\b|Treuhand\b|Partner\b)"
-# Closings of letters, the line after which a name signs.
-_CLOSING = r"(?:Grüsse|Grüssen|Gruss|Hochachtungsvoll|salutations|distinguées|cordialement|saluti|ossequi|regards|sincerely|faithfully|salids)"
+# The last words of closings of letters, the line after which a name signs.
+CLOSINGS = "Grüsse Grüssen Gruss Hochachtungsvoll salutations distinguées cordialement saluti ossequi regards sincerely faithfully salids".split()
 #: Share and least count of a word that is told by its uses; share of its uses as a given name or beside one; words of a partial count.
 WORD_SHARE, WORD_LEAST, AS_GIVEN, AS_FAMILY, FLUSH = 1e-7, 4, 0.2, 0.05, 200_000
 # Words of streets, in compounds and alone.
@@ -71,25 +71,25 @@ STREET_WORDS = (
 PAPER_CUES = ["Reisepass", "Ausweis", "Identitätskarte", "passeport", "passaporto", "'identit", "identità", "Passeport", "Passaporto", "passport", "Pass Nr", "identity card", "pass da viadi"]
 
 _UP = "A-ZÀ-ÖØ-Þ"
+_CAPITALS = [c for c in map(chr, range(65, 223)) if re.match(f"[{_UP}]", c)]
 _SURNAME = rf"[{_UP}][\w'’]*[^\W\d_](?:-[{_UP}][\w'’]*[^\W\d_])?"
 _PART = r"(?:(?:von|van|de|di|du|del|della|dal|da|des|zur|zum|la|le|der|den)\s){1,3}|d['’]"
 _CAP = rf"[{_UP}][\w’']*[^\W\d_](?:-[{_UP}][\w’']*[^\W\d_])*"
 _FORWARD = re.compile(rf"(\s)({_PART})?({_SURNAME})(?![\w@])")
 _BACK_WORD = re.compile(rf"(?<![\w.@'’-])((?:{_PART})?({_SURNAME}))(,?\s)")
-_INITIAL_FIRST = re.compile(rf"(?<![\w.'’@-])[{_UP}]\.(?:[- ]?[{_UP}]\.)?\s(?:{_PART})?({_SURNAME})(?![\w@])")
-_INITIAL_LAST = re.compile(rf"(?<![\w.'’@-])({_SURNAME}),?\s[{_UP}]\.(?![\w@])")
-_TITLED = re.compile(rf"(?<![\w.])(?:{'|'.join(map(re.escape, TITLES))})\s({_CAP})(,?)\s(?:{_PART})?({_SURNAME})(?![\w@])")
-_OFFICE = re.compile(rf"(?<!\w)(?:{'|'.join(OFFICES)})\s({_CAP})(?!\s[{_UP}]|\w)")
-_LINE = re.compile(rf"(?<=\n)({_CAP})(,?) (?:{_PART})?({_SURNAME})(?=\n[^\n]*\d ?[a-z]?\n(?:[A-Z]{{1,2}}-)?\d{{4,5}} )")
-_SIGNED = re.compile(rf"{_CLOSING}[^\n\w]*\n+({_CAP})(,?) (?:{_PART})?({_SURNAME})(?=\n|$)")
-_KNOWN_FIRST = re.compile(rf"(?<![\w.@-])(?:{'|'.join(GIVEN)}) (?:{_PART})?({_SURNAME})(?![\w@])")
+_AFTER_INITIAL = re.compile(rf"(\s)(?:{_PART})?({_SURNAME})(?![\w@])")
+_PAIR = re.compile(rf"({_CAP})(,?)\s(?:{_PART})?({_SURNAME})(?![\w@])")
+_ALONE = re.compile(rf"({_CAP})(?!\s[{_UP}]|\w)")
+_LINE = re.compile(rf"\n({_CAP})(,?) (?:{_PART})?({_SURNAME})(?=\n[^\n]*\d ?[a-z]?\n(?:[A-Z]{{1,2}}-)?\d{{4,5}} )")
+_SIGNED = re.compile(rf"[^\n\w]*\n+({_CAP})(,?) (?:{_PART})?({_SURNAME})(?=[\n»]|$)")
 _WORD = re.compile(rf"(?<![\w@.])[{_UP}][\w’'-]*[^\W\d_]")
 _FIRM_AFTER, _HOUSED = re.compile(_FIRM), re.compile(r"\s\d")
+_FIRST_INITIALS = frozenset(f"{c}." for c in _CAPITALS)
 # Particles of family names.
 _PARTICLES = frozenset("von van de di du del della dal da des zur zum la le der den".split())
 _PHONE = re.compile(r"(?:(?:\+|00)\d{2}[ ./-]?(?:\(0\))?[ ./-]?\d{2}|0\d{2})(?:[./-]|\s)?\d{3}(?:[./-]|\s)?\d{2}(?:[./-]|\s)?\d{2}(?!\d)")
 _NEW_AHV = re.compile(r"756([ .-]?)\d{4}\1\d{4}\1\d{2}(?![\d.-]?\d)")
-_OLD_AHV = re.compile(r"(?<![\d.])\d{3}\.\d{2}\.\d{3}\.\d{3}(?![\d.]?\d)")
+_OLD_AHV = re.compile(r"\.\d{2}\.\d{3}\.\d{3}(?![\d.]?\d)")
 _PAPER = re.compile(rf"(?<![\w-])[A-Z](?:\d{{7}}|\d{{3}}[A-Z]\d{{4}})(?![\w-])")
 _LOCAL_SIGNS = "_.%+-"
 _DOMAIN = re.compile(r" ?([A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)*\.[A-Za-z]{2,})(?![\w-])")
@@ -103,7 +103,7 @@ _STREET_AFTER = re.compile(
 )
 _PLACED = re.compile(rf"(?:Im|Am|Zum|Zur|(?:Unter|Auf|In|An|Hinter|Ob|Bei|Vor) de[rmn]) (?!Jahr|Verfahren|Fall|Umfang|Band|Monat)[{_UP}][\w-]+ \d{{1,3}}[a-z]?(?=,? (?:in |à |a )?\d{{4}} [{_UP}]|\n\d{{4}} [{_UP}]| in [{_UP}]| ist | war )")
 _HOUSE_BEFORE = re.compile(r"(?<![\w.'’-])(\d{1,4} ?[a-z]?),?\s$")  # a house number has four digits and a letter at most
-_BLOCK = re.compile(rf"\n([{_UP}][^\n@,;:]{{2,40}}\s\d{{1,3}}[a-z]?)\n(?=\d{{4}} [{_UP}])")
+_BLOCK = re.compile(rf"\n([{_UP}][^\n@,;:]+\s\d{{1,3}}[a-z]?)\n(?=\d{{4}} [{_UP}])")
 
 
 class Names:
@@ -145,6 +145,11 @@ def _automaton(given: Iterable[str]) -> ahocorasick.Automaton:
     add("street", *[f"{w}{s}" for w in STREET_WORDS for s in " \n"], *[f"{w.capitalize()}{s}" for w in STREET_WORDS for s in " \n"])
     add("placed", "Im ", "Am ", "Zum ", "Zur ", *[f"{p} de{e} " for p in ("Unter", "Auf", "In", "An", "Hinter", "Ob", "Bei", "Vor") for e in "rmn"])
     add("given", *given)
+    add("number", "756")
+    add("titled", *[f"{t}{s}" for t in TITLES for s in " \n"])
+    add("office", *[f"{o}{s}" for o in OFFICES for s in " \n"])
+    add("signed", *CLOSINGS)
+    add("initial", *[f"{c}.{s}" for c in _CAPITALS for s in " \n"])
     machine = ahocorasick.Automaton()
     for word, kinds in words.items():
         machine.add_word(word, (len(word), tuple(sorted(kinds))))
@@ -251,14 +256,42 @@ def _name(t: str, start: int, end: int, names: Names) -> tuple[int, int] | None:
     return (start, after.end(3)) if after else None
 
 
-def _label(t: str, m: re.Match) -> bool:
-    """Whether the initial of ``m`` is rather the letter of a paragraph: at the text's start, or at a line's with more words behind."""
-    if m.start() == 0:
-        return True
-    if t[m.start() - 1] != "\n":
-        return False
-    stop = t.find("\n", m.end())
-    return any(map(str.isalnum, t[m.end() : len(t) if stop < 0 else stop]))
+def _initial(t: str, last: int, names: Names | None) -> tuple[int, int, str] | None:
+    """(start, end, family) of the name whose (last) initial's point stands at ``last``; before or behind it the family name.
+
+    An initial at a text's start, or at a line's with more words behind, is rather
+    the letter of a paragraph.
+    """
+    at = last - 1
+    if at > 1 and t[at - 2 : at] in _FIRST_INITIALS:
+        at -= 2
+    elif at > 2 and t[at - 1] in "- " and t[at - 3 : at - 1] in _FIRST_INITIALS:
+        at -= 3
+    if at and (t[at - 1].isalnum() or t[at - 1] in "_.'’@-"):
+        return None
+    m = _AFTER_INITIAL.match(t, last + 1)
+    if m and (names is None or names.family(m.group(2))):
+        if at == 0 or _FIRM_AFTER.match(t, m.end()):
+            return None
+        if t[at - 1] == "\n":
+            stop = t.find("\n", m.end())
+            if any(map(str.isalnum, t[m.end() : len(t) if stop < 0 else stop])):
+                return None
+        return at, m.end(), m.group(2)
+    if names is not None and t[at - 2 : at] == ", " and t[at:last] != "M":  # M. is a title, too
+        before = _back_name(t, at)
+        if before and names.family(before.group(2)):
+            return before.start(1), last + 1, before.group(2)
+    return None
+
+
+def _titled(t: str, start: int, end: int) -> re.Match | None:
+    return None if start and (t[start - 1].isalnum() or t[start - 1] in "._-") else _PAIR.match(t, end)
+
+
+def _pair(m: re.Match | None, names: Names) -> bool:
+    """Whether the two words of ``m`` may be a given and a family name."""
+    return m is not None and names.family(m.group(3)) and (names.family(m.group(1)) or _spelled(m.group(1)) in names.given) and not _FIRM_AFTER.match(m.string, m.end(3))
 
 
 def find(text: str | None, names: Names | None = None) -> list[tuple[int, int, str]]:
@@ -288,9 +321,24 @@ def find(text: str | None, names: Names | None = None) -> list[tuple[int, int, s
             elif kind == "placed":
                 m = _PLACED.match(text, start)
                 span, rank, name = m and m.span(), 2, "address"
-            else:
+            elif kind == "initial":
+                span, rank, name = _initial(text, end - 2, names), 3, "name"
+                span = span and span[:2]
+            elif kind == "titled":
+                m = _titled(text, start, end)
+                span, rank, name = _pair(m, names) and m.span(), 3, "name"
+            elif kind == "signed":
+                m = _SIGNED.match(text, end)
+                span, rank, name = _pair(m, names) and (m.start(1), m.end(3)), 3, "name"
+            elif kind == "number":
+                m = _NEW_AHV.match(text, start)
+                good = m and not text[start - 1 : start].isalnum() and _checked(re.sub(r"\D", "", m.group()))
+                span, rank, name = good and m.span(), 1, "id_number"
+            elif kind == "paper":
                 cues.append(end)
                 continue
+            else:
+                continue
             if span:
                 found.add((rank, *span, name))
     if cues:
@@ -302,20 +350,14 @@ def find(text: str | None, names: Names | None = None) -> list[tuple[int, int, s
             at, reach = max(reach, text.rfind("\n\n", 0, cue)), text.find("\n\n", cue)
             reach = len(text) if reach < 0 else reach
             found.update((1, m.start(), m.end(), "id_number") for m in _PAPER.finditer(text, at, reach))
-    for m in _NEW_AHV.finditer(text):
-        if not text[m.start() - 1 : m.start()].isalnum() and _checked(re.sub(r"\D", "", m.group())):
-            found.add((1, m.start(), m.end(), "id_number"))
-    found.update((1, m.start(), m.end(), "id_number") for m in _OLD_AHV.finditer(text))
-    found.update((3, m.start(1), m.end(3), "name") for pattern in (_TITLED, _LINE, _SIGNED) for m in pattern.finditer(text) if names.family(m.group(3)) and _spelled(m.group(1)) not in STOP and (names.family(m.group(1)) or _spelled(m.group(1)) in names.given) and not _FIRM_AFTER.match(text, m.end(3)))
-    for m in _INITIAL_FIRST.finditer(text):
-        if names.family(m.group(1)) and not _label(text, m) and not _FIRM_AFTER.match(text, m.end()):
-            found.add((3, m.start(), m.end(), "name"))
-    for m in _INITIAL_LAST.finditer(text):
-        if names.common and m.group().find(",") > 0 and names.family(m.group(1)):
-            found.add((4, m.start(), m.end(), "name"))
+    for m in _OLD_AHV.finditer(text):
+        at = m.start() - 3
+        if at >= 0 and text[at : at + 3].isdigit() and not (at and (text[at - 1].isdigit() or text[at - 1] == ".")):
+            found.add((1, at, m.end(), "id_number"))
     if "\n" in text:
         for m in _BLOCK.finditer(text):
             found.add((2, m.start(1), m.end(1), "address"))
+        found.update((3, m.start(1), m.end(3), "name") for m in _LINE.finditer(text) if _pair(m, names))
     starts: list[int] = []
     kept: list[tuple[int, int, str]] = []
     for _, start, end, kind in sorted(found, key=lambda x: (x[0], x[1], -x[2])):
@@ -342,24 +384,38 @@ def redact(text: str | None, names: Names | None = None) -> str | None:
     return "".join([*out, text[at:]])
 
 
-def _uses(text: str, given: Counter, family: Counter) -> None:
+def _uses(text: str, machine: ahocorasick.Automaton, given: Counter, family: Counter) -> None:
     """Counts the words of ``text`` in the places of a given and of a family name."""
 
-    def pair(one: str, comma: str, two: str) -> None:
-        first, last = (two, one) if comma or one.isupper() and not two.isupper() else (one, two)
-        given[_spelled(first)] += 1
-        family.update(_spelled(last).split("-"))
+    def pair(m: re.Match | None) -> None:
+        if m:
+            one, comma, two = m.groups()
+            first, last = (two, one) if comma or one.isupper() and not two.isupper() else (one, two)
+            given[_spelled(first)] += 1
+            family.update(_spelled(last).split("-"))
 
-    for pattern in (_TITLED, _LINE, _SIGNED):
-        for m in pattern.finditer(text):
-            pair(*m.groups())
-    for m in _OFFICE.finditer(text):
-        family.update(_spelled(m.group(1)).split("-"))
-    for m in _INITIAL_FIRST.finditer(text):
-        if not _label(text, m):
-            family.update(_spelled(m.group(1)).split("-"))
-    for m in _KNOWN_FIRST.finditer(text):
-        family.update(_spelled(m.group(1)).split("-"))
+    for last, (size, kinds) in machine.iter(text):
+        start, end = last - size + 1, last + 1
+        for kind in kinds:
+            if kind == "titled":
+                pair(_titled(text, start, end))
+            elif kind == "signed":
+                pair(_SIGNED.match(text, end))
+            elif kind == "office":
+                m = not text[start - 1 : start].isalpha() and _ALONE.match(text, end)
+                if m:
+                    family.update(_spelled(m.group(1)).split("-"))
+            elif kind == "initial":
+                hit = _initial(text, end - 2, None)
+                if hit:
+                    family.update(_spelled(hit[2]).split("-"))
+            elif kind == "given" and text[end : end + 1] == " " and not (text[start - 1 : start].isalpha() or text[start - 1 : start] == "-"):
+                m = _AFTER_INITIAL.match(text, end)
+                if m:
+                    family.update(_spelled(m.group(2)).split("-"))
+    if "\n" in text:
+        for m in _LINE.finditer(text):
+            pair(m)
 
 
 def learn(df: DataFrame, text_column: str) -> Names:
@@ -375,25 +431,29 @@ def learn(df: DataFrame, text_column: str) -> Names:
     """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words: Counter = Counter()
+        tokens: Counter = Counter()
         given: Counter = Counter()
         family: Counter = Counter()
+        machine = _plain().machine
 
         def out() -> pd.DataFrame:
-            keys = list(words | given | family)
-            return pd.DataFrame({"word": pd.Series(keys, dtype=object), "n": [words[k] for k in keys], "g": [given[k] for k in keys], "f": [family[k] for k in keys]})
-
-        for batch in batches:
-            for text in batch["text"]:
-                for w, n in Counter(_WORD.findall(text)).items():
+            words: Counter = Counter()
+            for token, n in tokens.items():
+                for w in _WORD.findall(token):
                     words[_spelled(w)] += n
                     if "-" in w:
                         for part in _spelled(w).split("-"):
                             words[part] += n
-                _uses(text, given, family)
-            if len(words) > FLUSH:
+            keys = list(words.keys() | given.keys() | family.keys())
+            return pd.DataFrame({"word": pd.Series(keys, dtype=object), "n": [words[k] for k in keys], "g": [given[k] for k in keys], "f": [family[k] for k in keys]})
+
+        for batch in batches:
+            for text in batch["text"]:
+                tokens.update(text.split())
+                _uses(text, machine, given, family)
+            if len(tokens) > FLUSH:
                 yield out()
-                words.clear()
+                tokens.clear()
                 given.clear()
                 family.clear()
         yield out()
