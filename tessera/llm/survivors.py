@@ -1,9 +1,12 @@
 """One surviving record for each group of records of the same thing.
 
 Fields are unpivoted to long rows. Each row votes for its normalised value with
-its source's trust times a decay by age; the votes give the support of a value.
-The winning value is the one that the field's rule ranks first; the winners
-are pivoted back. Both steps aggregate partially, so a large group is no large task.
+its source's trust times a decay by age. A field's rule is a weight: the ballot
+that it prefers weighs as much as a whole vote, every other one its share of
+what all others together may weigh at most. The weights are summed for each value,
+the greatest sum wins (``max_by``), and the winners are pivoted back. A field
+without a rule is decided by trust and age alone. All steps aggregate partially,
+so a large group is no large task.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ NOTHING = ["", "none", "n/a", "-"]
 HALF_LIFE = 365.0
 #: Rank of a source that the trust table does not have.
 UNTRUSTED = 1_000_000
-#: field -> what ranks its values: longest, latest, or most trusted and then latest.
+#: field -> what ranks its values: longest, latest, most trusted and then latest, or None for the votes alone.
 RULES = {"full_text": "longest", "title": "latest", "regeste": "latest", "judges": "trusted", "pdf_url": "trusted"}
 
 
@@ -55,28 +58,40 @@ def ballots(decisions: DataFrame, links: DataFrame, sources: DataFrame) -> DataF
 
     versions = materialize(versions, "versions")
     trust = sources.groupBy("source").agg(F.min("trust_rank").alias("trust_rank"))
+    newest = versions.agg(F.max("scraped_at")).first()[0]
     members = groups(links, versions).join(versions, "decision_id").join(F.broadcast(trust), "source", "left").withColumn("trust_rank", F.coalesce("trust_rank", F.lit(UNTRUSTED)))
     seconds = F.coalesce(F.unix_seconds(F.col("scraped_at").cast("timestamp")), F.lit(-(1 << 40)))
-    rank = {"longest": (F.col("size").cast("bigint"), F.lit(0).cast("bigint")), "latest": (seconds, F.lit(0).cast("bigint")), "trusted": (-F.col("trust_rank").cast("bigint"), seconds)}
+    rank = {"longest": (F.col("size").cast("bigint"), F.lit(0).cast("bigint")), "latest": (seconds, F.lit(0).cast("bigint")), "trusted": (-F.col("trust_rank").cast("bigint"), seconds), None: (F.lit(None).cast("bigint"), F.lit(None).cast("bigint"))}
     long = members.select(
         "group_id", "decision_id", "scraped_at", "trust_rank",
         F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("value"), rank[r][0].alias("first"), rank[r][1].alias("second")) for f, r in RULES.items()])).alias("b"),
     )
-    age = F.coalesce(F.datediff(F.lit("2030-01-01").cast("date"), F.col("scraped_at")), F.lit(10_000))
-    return long.select("group_id", "b.field_name", "decision_id", "b.value", "b.first", "b.second", (F.pow(F.lit(0.5), age / HALF_LIFE) / F.col("trust_rank")).alias("vote")).where(F.col("value").isNotNull())
+    # days behind the newest record of all; one without a time is as old as can be
+    age = F.coalesce(F.datediff(F.lit(newest).cast("timestamp_ntz"), F.col("scraped_at")), F.lit(10_000))
+    vote = F.pow(F.lit(0.5), age / HALF_LIFE) / F.greatest("trust_rank", F.lit(1))
+    return materialize(long.select("group_id", "b.field_name", "decision_id", "b.value", "b.first", "b.second", vote.alias("vote")).where(F.col("value").isNotNull()), "ballots")
 
 
 def winners(votes: DataFrame) -> DataFrame:
     """group_id, field_name, decision_id, value, support: the survivor of each field and its share of the votes.
 
-    The votes of equal values (case and blanks apart) are summed. The rule ranks
-    before the votes, ties go to the smallest decision_id.
+    The weights of equal values (case and blanks apart) are summed and the value
+    with the greatest sum survives, in its best ballot's spelling. The ballot that
+    the field's rule ranks first, ties going to the smallest decision_id, weighs 1;
+    of the other n - 1 each weighs its vote, which is at most 1, over n, so that
+    they never outweigh it together. Without a rule (``first`` is null) the votes
+    are the weights. ``support`` is the share of the votes alone.
     """
     key = F.lower(F.trim(F.regexp_replace("value", r"\s+", " ")))
     order = F.struct((-F.col("first")).alias("a"), (-F.col("second")).alias("b"), F.col("decision_id").alias("c"))
-    by_value = votes.withColumn("key", key).groupBy("group_id", "field_name", "key").agg(F.min_by(F.struct("decision_id", "value"), order).alias("best"), F.min(order).alias("order"), F.sum("vote").alias("votes"))
-    # the greatest (first, second) wins; among equals the smallest decision_id, which is the least ``order``
-    tops = by_value.groupBy("group_id", "field_name").agg(F.min_by(F.struct("best", "votes"), F.col("order")).alias("w"), F.sum("votes").alias("all_votes"))
+    # one row for each group and field
+    leads = votes.groupBy("group_id", "field_name").agg(F.min(order).alias("lead"), F.count("*").alias("n"))
+    ruled = F.col("first").isNotNull()
+    weight = F.when(ruled & (order == F.col("lead")), F.lit(1.0)).when(ruled, F.col("vote") / F.col("n")).otherwise(F.col("vote"))
+    weighed = votes.join(leads, ["group_id", "field_name"]).withColumn("weight", weight)
+    by_value = weighed.withColumn("key", key).groupBy("group_id", "field_name", "key").agg(F.min_by(F.struct("decision_id", "value"), order).alias("best"), F.sum("weight").alias("weights"), F.sum("vote").alias("votes"))
+    # equal sums can only come where no rule holds; the greatest key goes first then
+    tops = by_value.groupBy("group_id", "field_name").agg(F.max_by(F.struct("best", "votes"), F.struct("weights", "key")).alias("w"), F.sum("votes").alias("all_votes"))
     return tops.select("group_id", "field_name", F.col("w.best.decision_id").alias("decision_id"), F.col("w.best.value").alias("value"), (F.col("w.votes") / F.col("all_votes")).alias("support"))
 
 

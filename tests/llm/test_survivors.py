@@ -43,3 +43,15 @@ def test_empty(spark):
     assert _found(spark, [], [])[0] == {}
     assert _found(spark, [("a", "t", None, None, None, None, "s1", T[0])], [])[0] == {}
     assert _found(spark, [("a", "t", None, None, None, None, None, None)], [("a", "a")])[0] == {("a", "title"): "a"}
+
+
+def test_a_rule_outweighs_all_other_votes(spark):
+    """The newest title stands against forty older equal ones; without a rule these win."""
+    rows = [(f"m{n:02d}", "common" if n else "newest", None, None, None, None, "s1", T[0] if n else T[7]) for n in range(41)]
+    d = spark.createDataFrame(rows, D)
+    li = spark.createDataFrame([("m00", f"m{n:02d}") for n in range(1, 41)], "canonical_decision_id string, member_decision_id string")
+    so = spark.createDataFrame([("s1", 1)], "source string, trust_rank int")
+    votes = S.ballots(d, li, so).where("field_name = 'title'")
+    assert [r["value"] for r in S.winners(votes).collect()] == ["newest"]
+    free = votes.withColumn("first", S.F.lit(None).cast("bigint")).withColumn("second", S.F.lit(None).cast("bigint"))
+    assert [(r["value"], r["decision_id"]) for r in S.winners(free).collect()] == [("common", "m01")]
