@@ -21,28 +21,33 @@ def _full_texts(s: SparkSession, d: str, *columns: str) -> DataFrame:
     return table(s, d, "decisions", "decision_id", "full_text", *columns).where(c("full_text").isNotNull())
 
 
-@R.add(r"""WITH m AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)\b(?:Artikel|Art\.?)\s*(?:\d+(?:\s*(?:bis|ter|quater|quinquies|sexies)|[a-z]\b)?)\s*(?:(?:Absatz|Abs\.?|al\.?|cpv\.?)\s*(?:\d+(?:\s*(?:bis|ter|quater|quinquies|sexies)|[a-z]\b)?))?\s*(?:[A-Z][A-Z0-9]{1,11})\b')) AS m FROM documents WHERE regexp_matches(text, 'Art\. \d+ Abs\. \d+ [A-Z]{2,5}\b')),
-p AS (SELECT doc_id, regexp_extract(m, 'Art\. (\d+) Abs\. (\d+) ([A-Z]{2,5})$', 1) AS a, regexp_extract(m, 'Art\. (\d+) Abs\. (\d+) ([A-Z]{2,5})$', 2) AS b, regexp_extract(m, 'Art\. (\d+) Abs\. (\d+) ([A-Z]{2,5})$', 3) AS l FROM m)
-SELECT DISTINCT doc_id, 'ART.' || a || '.ABS.' || b || '.' || l AS normalised FROM p WHERE l <> ''""")
+def _statutes_sql() -> str:
+    p, q = E.STATUTE.replace("'", "''"), E.STATUTE_PARAGRAPH.replace("'", "''")
+    squeezed = lambda x: rf"lower(regexp_replace({x}, '\s+', '', 'g'))"
+    words = ", ".join(f"'{w}'" for w in sorted(E.NO_LAWS))
+    return rf"""WITH m AS (SELECT doc_id, unnest(regexp_extract_all(text, '{p}')) AS m FROM documents),
+g AS (SELECT doc_id, {squeezed(f"regexp_extract(m, '{p}', 1)")} AS article, nullif({squeezed(f"regexp_extract(regexp_extract(m, '{p}', 2), '{q}', 1)")}, '') AS paragraph, regexp_extract(m, '{p}', 3) AS written FROM m),
+f AS (SELECT *, length(regexp_replace(written, '[^A-Z]', '', 'g')) AS capitals FROM g)
+SELECT DISTINCT doc_id, upper(written) AS law, article, paragraph, concat_ws('.', 'ART', article, 'ABS.' || paragraph, upper(written)) AS normalised FROM f
+WHERE capitals > 0 AND NOT (capitals = 1 AND length(written) > 3) AND upper(written) NOT IN ({words})"""
+
+
+@R.add(_statutes_sql())
 def tvf_01_statutes(s: SparkSession, d: str) -> DataFrame:
-    rows = _texts(s, d).select("doc_id", F.explode(E.statutes(c("text"))).alias("r"))
-    # the SQL reads the plain German form only; the comparison keeps the same form, tvf_01_all_statutes keeps all of them
-    return rows.where(c("r.normalised").rlike(r"^ART\.\d+\.ABS\.\d+\.[A-Z]{2,5}$")).join(_texts(s, d).where(c("text").rlike(r"Art\. \d+ Abs\. \d+ [A-Z]{2,5}\b")).select("doc_id", c("text").alias("t")), "doc_id").where(F.expr(r"t rlike concat('Art[.] ', r.article, ' Abs[.] ', r.paragraph, ' ', r.law, '([^A-Za-z0-9_]|$)')")).select("doc_id", c("r.normalised").alias("normalised")).distinct()
-
-
-@R.add()
-def tvf_01_all_statutes(s: SparkSession, d: str) -> DataFrame:
-    """Every provision of every text; RE2 has no look-ahead for its numbers, so there is no SQL."""
+    """Every provision of every text, in all languages and forms."""
     return _texts(s, d).select("doc_id", F.explode(E.statutes(c("text"))).alias("r")).select("doc_id", "r.law", "r.article", "r.paragraph", "r.normalised")
 
 
-@R.add(r"""SELECT DISTINCT doc_id, 'BGE ' || regexp_extract(m, '(\d+)\s+([A-Za-z]+)\s+(\d+)$', 1) || ' ' || upper(regexp_extract(m, '(\d+)\s+([A-Za-z]+)\s+(\d+)$', 2)) || ' ' || regexp_extract(m, '(\d+)\s+([A-Za-z]+)\s+(\d+)$', 3) AS normalised FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)\b(?:BGE|ATF|DTF)\s+\d{1,3}\s+[IVX]{1,4}\s+\d{1,4}\b')) AS m FROM documents)""")
+@R.add(r"""WITH series AS (SELECT doc_id, unnest(regexp_extract_all(text, '(?i)\b(?:BGE|ATF|DTF)\s+\d{1,3}\s+[IVX]{1,4}\s+\d{1,4}\b')) AS m FROM documents),
+dockets AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '\b[A-Z0-9]{1,4}[._-]\d{1,6}[/_]\d{4}\b')) AS m FROM documents
+  UNION ALL SELECT doc_id, unnest(regexp_extract_all(text, '\b[A-Z]{1,6}\.\d{4}\.\d{1,6}\b')) FROM documents
+  UNION ALL SELECT doc_id, m FROM (SELECT doc_id, unnest(regexp_extract_all(text, '(?:(?:[Bb][Gg][Ee]|[Aa][Tt][Ff]|[Dd][Tt][Ff])\s)?\b\d{1,3}\s+[IVX]{1,4}\s+\d{1,4}\b')) AS m FROM documents) WHERE regexp_matches(m, '^\d')),
+plain AS (SELECT doc_id, upper(trim(m)) AS raw, regexp_replace(upper(trim(m)), '\s+', ' ', 'g') AS bare FROM dockets)
+SELECT DISTINCT doc_id, 'bge' AS kind, upper(regexp_replace(m, '^\w+\s+(\d+)\s+(\w+)\s+(\d+)$', 'BGE \1 \2 \3')) AS normalised FROM series
+UNION ALL SELECT DISTINCT doc_id, 'docket', CASE WHEN regexp_matches(bare, '^\d{1,3} [IVX]{1,4} \d{1,4}$') THEN bare ELSE trim(regexp_replace(raw, '[-./_]+', '_', 'g'), '_') END FROM plain""")
 def tvf_02_citations(s: SparkSession, d: str) -> DataFrame:
-    return _texts(s, d).select("doc_id", F.explode(E.citations(c("text"))).alias("r")).where("r.kind = 'bge'").select("doc_id", c("r.normalised").alias("normalised")).distinct()
-
-
-@R.add()
-def tvf_02_all_citations(s: SparkSession, d: str) -> DataFrame:
+    """Every citation of every text: the published series, both docket forms, and the series without its name."""
     return _texts(s, d).select("doc_id", F.explode(E.citations(c("text"))).alias("r")).select("doc_id", "r.kind", "r.normalised")
 
 

@@ -13,30 +13,43 @@ def run(spark, folder, query, table, rows, schema):
     return [tuple(r) for r in entry.queries()[query](spark, str(folder)).collect()]
 
 
-def provisions(text):
-    """The rule of statutes written out by hand."""
-    number = r"\d+(?:\s*(?:bis|ter|quater|quinquies|sexies)|[a-z](?![a-z]))?"
-    mark = r"(?:Absatz|Abs\.?|alinea\.?|alin\.?|al\.?|cpv\.?|co\.?|para\.?)"
-    sub = r"(?:(?:Ziffer|Ziff|lit|Bst|Buchst|Satz|S|ch|let|n)\.?\s*(?:\d+|[a-z])\s+)?"
-    out = set()
-    for m in re.finditer(rf"(?ia)\b(?:Artikel|Art\.?)\s*({number})\s*(?:{mark}\s*({number}))?\s*(?:(?:ff|ss|segg)\.?\s+)?{sub}([A-Z][A-Z0-9]{{1,11}}(?:/[A-Z0-9]{{2,6}})?)\b", text or ""):
-        article, paragraph, law = re.sub(r"\s", "", m.group(1)).lower(), m.group(2) and re.sub(r"\s", "", m.group(2)).lower(), m.group(3)
-        capitals = sum(x.isupper() for x in law)
-        if capitals and not (capitals == 1 and len(law) > 3) and law.upper() not in E.NO_LAWS:
-            out.add((law.upper(), article, paragraph, f"ART.{article}" + (f".ABS.{paragraph}" if paragraph else "") + f".{law.upper()}"))
-    return out
-
-
 def test_all_statutes(spark, tmp_path):
     texts = [
         "Nach Art. 41 Abs. 1 OR und Art. 8 ZGB, Art. 5 Abs. 1bis lit. a StPO sowie Artikel 12 Absatz 3 AIG.", "l'art. 13 al. 2 CC, art. 9 Cst et art. 29 al. 1 LTF", "giusta l'art. 16 cpv. 4 CC e l'art. 58 cpv. 3 CP", "Art. 6 ff. OR, Art. 28a ZGB, Art. 7 Ziff. 2 EMRK",
         "art. 4 al. 1 CF tenor la dretgira; Art. 5 der Verfassung, Art. 41 Abs. 1 OR und Art. 41 Abs. 1 OR", "Nichts.", None, "",
     ]
-    got = run(spark, tmp_path, "tvf_01_all_statutes", "documents", list(enumerate(texts)), "doc_id bigint, text string")
-    want = sorted(((i, *p) for i, t in enumerate(texts) for p in provisions(t)), key=str)
-    assert sorted(got, key=str) == want and len(want) == 14
-    forms = {r[-1] for r in got}
-    assert {"ART.13.ABS.2.CC", "ART.8.ZGB", "ART.5.ABS.1bis.STPO", "ART.16.ABS.4.CC", "ART.7.EMRK"} <= forms
+    got = run(spark, tmp_path, "tvf_01_statutes", "documents", list(enumerate(texts)), "doc_id bigint, text string")
+    want = {
+        0: ["ART.41.ABS.1.OR", "ART.8.ZGB", "ART.5.ABS.1bis.STPO", "ART.12.ABS.3.AIG"], 1: ["ART.13.ABS.2.CC", "ART.9.CST", "ART.29.ABS.1.LTF"], 2: ["ART.16.ABS.4.CC", "ART.58.ABS.3.CP"],
+        3: ["ART.6.OR", "ART.28a.ZGB", "ART.7.EMRK"], 4: ["ART.4.ABS.1.CF", "ART.41.ABS.1.OR"],
+    }
+    assert sorted((r[0], r[-1]) for r in got) == sorted((i, n) for i, names in want.items() for n in names)
+    for _, law, article, paragraph, name in got:
+        assert name == f"ART.{article}" + (f".ABS.{paragraph}" if paragraph else "") + f".{law}"
+
+
+PROVISIONS = {
+    "Art. 10 BV und Art. 36 Abs. 3 ZPO": {"ART.10.BV", "ART.36.ABS.3.ZPO"},
+    "art. 9 al. 4 CEDH, Art. 7 cpv. 3 LPGA": {"ART.9.ABS.4.CEDH", "ART.7.ABS.3.LPGA"},
+    "Art. 8bis BV, Art. 34ter BV, Art. 8 Abs. 2bis BV": {"ART.8bis.BV", "ART.34ter.BV", "ART.8.ABS.2bis.BV"},
+    "Art. 5 Abs. 1 lit. a Ziff. 2 StPO": {"ART.5.ABS.1.STPO"},
+    "Artikel 97 CO, art. 97 al. 2 CO": {"ART.97.CO", "ART.97.ABS.2.CO"},
+    "Art. 12 Abs. 3 und 4; art. 3 du règlement; Art. 8 al. Zürich; Art. 4 Oder": set(),
+}
+
+
+def test_forms_of_provisions(spark):
+    df = spark.createDataFrame([(t,) for t in [*PROVISIONS, None]], "t string").select("t", E.statutes(E.F.col("t")).alias("r"))
+    got = {r["t"]: r["r"] and {x["normalised"] for x in r["r"]} for r in df.collect()}
+    assert got.pop(None) is None
+    assert {t: x or set() for t, x in got.items()} == PROVISIONS
+
+
+def test_forms_of_citations(spark):
+    text = "Vgl. BGE 147 I 268, ATF 120 II 5 sowie Urteil 1A.122/2005, VB.2018.00411 und 99 III 7; dtf 130 V 2."
+    got = spark.createDataFrame([(text,), (None,), ("",)], "t string").select(E.citations(E.F.col("t")).alias("r")).collect()
+    assert {(x["kind"], x["normalised"]) for x in got[0]["r"]} == {("bge", "BGE 147 I 268"), ("bge", "BGE 120 II 5"), ("bge", "BGE 130 V 2"), ("docket", "1A_122_2005"), ("docket", "VB_2018_00411"), ("docket", "99 III 7")}
+    assert not got[1]["r"] and not got[2]["r"]
 
 
 DECISIONS = "decision_id string, docket_number string, full_text string, regeste string"
