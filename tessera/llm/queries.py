@@ -111,7 +111,7 @@ def _p8(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p8_mixture(spark: SparkSession, d: str) -> DataFrame:
-    """The mixture of documents to data_sources.target_share: doc_id, copy, source, n_tokens, slot."""
+    """The mixture of documents to data_sources.target_share: doc_id, copy, source, n_tokens, slot, position, source_short."""
     return _p8(spark, d)
 
 

@@ -71,3 +71,38 @@ def test_small_sources_are_repeated_up_to_their_share(spark):
     s = spark.createDataFrame([("a", 0.6, 1), ("b", 0.4, 5)], "source string, target_share double, max_repeats int")
     by = {r["source"]: r for r in M.shares(M.mixture(d, s, block=70), s).collect()}
     assert abs(by["a"]["actual_share"] - 0.6) < 0.01 and abs(by["b"]["actual_share"] - 0.4) < 0.01
+
+
+def test_the_mixture_itself_is_less_than_a_block_away(spark):
+    """At the end of every slot, with documents up to a block long, a source that is repeated and one that runs out."""
+    sizes = [1 + (i * i * 37) % 1000 for i in range(1500)]
+    d = spark.createDataFrame([(i, "abc"[i % 7 % 3] if i > 60 else "d", n) for i, n in enumerate(sizes)], "doc_id bigint, source string, n_tokens int")
+    s = spark.createDataFrame([("a", 0.5, 2), ("b", 0.29997, 1), ("c", 0.2, 4), ("d", 0.00003, 1)], "source string, target_share double, max_repeats int")
+    block = max(sizes)
+    rows = M.mixture(d, s, block=block).orderBy("slot", "position").collect()
+    quantum, slots = -(-block // M.QUANTA), max(r["slot"] for r in rows) + 1
+    assert len({(r["doc_id"], r["copy"]) for r in rows}) == len(rows)
+    for source, w in (("a", 0.5), ("b", 0.29997), ("c", 0.2), ("d", 0.00003)):
+        had, at, own = 0, 0, [r for r in rows if r["source"] == source]
+        if any(r["source_short"] for r in own):
+            continue
+        for slot in range(slots):
+            while at < len(own) and own[at]["slot"] <= slot:
+                had += own[at]["n_tokens"]
+                at += 1
+            assert abs(had - w * (slot + 1) * quantum) < block, (source, slot)
+
+
+def test_exact_shares():
+    assert M.whole_weights({"a": 0.5, "b": 0.3, "c": 0.2, "z": 0.0}) == {"a": 5, "b": 3, "c": 2}
+    assert M.whole_weights({"a": 0.99997, "b": 0.00003}) == {"a": 99997, "b": 3}
+    rough = M.whole_weights({"a": 2 / 3, "b": 1 / 3, "c": 1e-12})
+    assert rough["c"] == 1 and abs(sum(rough.values()) - M.PERIOD) <= 3
+    assert M.whole_weights({}) == {}
+
+
+def test_a_source_that_falls_short_by_little_is_told(spark):
+    d = spark.createDataFrame([(i, "a", 10) for i in range(970)] + [(2000 + i, "b", 10) for i in range(14)], "doc_id bigint, source string, n_tokens int")
+    s = spark.createDataFrame([("a", 0.97, 1), ("b", 0.03, 2), ("none", 0.0, 1)], "source string, target_share double, max_repeats int")
+    by = {r["source"]: r for r in M.shares(M.mixture(d, s, block=100), s).collect()}
+    assert by["b"]["short"] and by["b"]["n_documents"] == 28 and not by["a"]["short"] and not by["none"]["short"]
