@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from math import log
 
 import pandas as pd
@@ -30,23 +30,23 @@ CONFUSIONS = {
     ("ü", "ii"): 1.6, ("B", "8"): 0.8, ("ä", "a"): 1.6, ("ö", "o"): 1.6, ("ü", "u"): 1.6, ("S", "5"): 0.8, ("O", "0"): 0.8, ("I", "1"): 0.9, ("I", "l"): 1.4, ("f", "l"): 1.6, ("rn", "m"): 1.2, ("nn", "im"): 1.4, ("l", "I"): 1.2, ("w", "vv"): 1.2, ("b", "6"): 1.0, ("z", "2"): 1.0, ("G", "6"): 1.0, ("Z", "2"): 1.0,
     ("c", "e"): 1.6, ("f", "t"): 1.8, ("n", "ri"): 1.6, ("h", "b"): 1.8, ("è", "6"): 1.2, ("è", "e"): 1.8, ("é", "e"): 1.8, ("à", "a"): 1.8,
 }
-# Names of courts as their running headers have them.
-COURTS = [
-    "Bundesgericht", "Bundesstrafgericht", "Bundesverwaltungsgericht", "Obergericht Zürich", "Obergericht Aargau", "Kantonsgericht St. Gallen", "Cour de justice Genève",
-    "Tribunal cantonal Vaud", "Tribunale d'appello Ticino", "Dretgira chantunala Grischun", "Appellationsgericht Basel-Stadt", "Verwaltungsgericht Bern",
-]
 # Words after a hyphen that stands for a left-out part.
 SUSPENDED = {"und", "oder", "sowie", "bzw.", "bis", "et", "ou", "e", "ed", "o", "u", "and", "or", "resp."}
 #: Least share of all words and least count of a lexicon word and of a pair; how many times commoner a repair is; words of a partial count.
 SHARE, LEAST, COMMONER, FLUSH = 1e-6, 4, 20, 1_500_000
-#: Repairs of one word, tokens a worker remembers, weight of neighbours, dearest repair.
-REPAIRS, REMEMBERED, NEIGHBOURS, DEAREST = 2, 500_000, 1.0, 3.4
+#: Tokens a worker remembers, weight of neighbours, dearest repair (of two misread letters), least look-alikes and their least share of a text that make it a scan.
+REMEMBERED, NEIGHBOURS, DEAREST, LOOKALIKES, LOOKALIKE_SHARE = 500_000, 1.0, 3.4, 3, 0.005
+#: Least number and share of texts of a running header's part.
+HEAD_LEAST, HEAD_SHARE, HEAD_CHARS = 4, 1e-6, 120
 
 _PAGE = re.compile(r"^\s*(?:[-–—] ?\d{1,4} ?[-–—]|(?:Seite|Page|Pagina|Pag\.|S\.|page|pagina|seite) ?\d{1,4}(?: ?(?:von|sur|di|da|of|/) ?\d{1,4})?|p(?:ag|g)?\. ?\d{1,4}|\[\d{1,4}\]|\d{1,4} ?/ ?\d{1,4}|\d{1,3})\s*$")
-_FOLDED = {c.casefold() for c in COURTS}
+#: Marks the counts of header parts among those of pairs.
+HEAD = "\0header"
 _EDGE = ".,;:!?()[]«»„“”\"'’‹›…"
 _DIVIDED = re.compile(r"([^\W\d_])([-¬­‐])\s*$")
-_GAP = re.compile(r"\s{2,}")
+_GAP = re.compile(r"\s{2,}|\s[-–—|·]\s")
+#: A page line that is more than a number.
+_DECORATED = re.compile(r"[^\d\s]")
 
 
 def core(token: str) -> str:
@@ -54,12 +54,31 @@ def core(token: str) -> str:
     return token.strip(_EDGE)
 
 
-def counts(df: DataFrame, columns: list[str]) -> tuple[dict[str, int], dict[tuple[str, str], int], int]:
-    """Words and pairs of neighbours above the least share, and the number of all words of ``columns``."""
+def parts(line: str) -> list[str]:
+    """The parts of a line between gaps and dashes, folded, without page numbers."""
+    return [p for p in (x.strip() for x in _GAP.split(line.strip().casefold())) if p and not _PAGE.match(p)]
+
+
+def running(lines: list[str]) -> set[str]:
+    """Parts of short lines that stand beside a page line, or in one line with its number, twice or more."""
+    pages = {i for i, line in enumerate(lines) if _PAGE.match(line)}
+    beside: Counter = Counter()
+    for i, line in enumerate(lines):
+        if i in pages or not line.strip() or len(line) > HEAD_CHARS or line.rstrip().endswith((".", ",", ";", ":", "-", "¬")):
+            continue
+        own = parts(line)
+        if i - 1 in pages or i + 1 in pages or len(own) < len(_GAP.split(line.strip())):
+            beside.update({p for p in own if len(p) > 2})
+    return {p for p, n in beside.items() if n > 1}
+
+
+def statistics(df: DataFrame, columns: list[str]) -> tuple[dict[str, int], dict[tuple[str, str], int], int, set[str]]:
+    """Words and pairs of neighbours above the least share, the least count, and the parts of running headers of ``columns``."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words: Counter = Counter()
         pairs: Counter = Counter()
+        heads: Counter = Counter()
 
         def out() -> pd.DataFrame:
             clean: Counter = Counter()
@@ -68,7 +87,8 @@ def counts(df: DataFrame, columns: list[str]) -> tuple[dict[str, int], dict[tupl
             both: Counter = Counter()
             for (a, b), n in pairs.items():
                 both[(core(a), core(b))] += n
-            return pd.DataFrame([(w, "", n) for w, n in clean.items() if w] + [(a, b, n) for (a, b), n in both.items() if a and b], columns=["a", "b", "n"])
+            rows = [(w, "", n) for w, n in clean.items() if w] + [(a, b, n) for (a, b), n in both.items() if a and b]
+            return pd.DataFrame(rows + [(h, HEAD, n) for h, n in heads.items()], columns=["a", "b", "n"])
 
         for batch in batches:
             for c in columns:
@@ -77,32 +97,45 @@ def counts(df: DataFrame, columns: list[str]) -> tuple[dict[str, int], dict[tupl
                         tokens = text.split()
                         words.update(tokens)
                         pairs.update(zip(tokens, tokens[1:]))
+                        heads[""] += 1
+                        if "\n" in text:
+                            heads.update(running(text.split("\n")))
             if len(pairs) > FLUSH:
                 yield out()
                 words.clear()
                 pairs.clear()
+                heads.clear()
         yield out()
 
     table = df.select(*columns).mapInPandas(count, "a string, b string, n bigint").groupBy("a", "b").agg(F.sum("n").alias("n"))
     from tessera.session import materialize
 
     # what the least count leaves out can't be in the lexicon of any corpus
-    table = materialize(table.where((F.col("n") >= LEAST) | (F.col("b") == "")), "words")
+    table = materialize(table.where((F.col("n") >= LEAST) | (F.col("b") == "") | ((F.col("b") == HEAD) & (F.col("a") == ""))), "words")
     total = table.where("b = ''").agg(F.sum("n")).first()[0] or 0
     floor = max(LEAST, int(total * SHARE))
-    kept = table.where(F.col("n") >= floor).toPandas()
+    texts = table.where((F.col("b") == HEAD) & (F.col("a") == "")).agg(F.sum("n")).first()[0] or 0
+    heads = {r["a"] for r in table.where((F.col("b") == HEAD) & (F.col("a") != "") & (F.col("n") >= max(HEAD_LEAST, int(texts * HEAD_SHARE)))).select("a").collect()}
+    kept = table.where((F.col("n") >= floor) & (F.col("b") != HEAD)).toPandas()
     singles = kept[kept["b"] == ""]
     words = dict(zip(singles["a"], singles["n"].astype(int)))
     doubles = kept[kept["b"] != ""]
     pairs = {(a, b): int(n) for a, b, n in zip(doubles["a"], doubles["b"], doubles["n"]) if a in words and b in words}
-    return words, pairs, floor
+    return words, pairs, floor, heads
+
+
+def counts(df: DataFrame, columns: list[str]) -> tuple[dict[str, int], dict[tuple[str, str], int], int]:
+    """``statistics`` without the headers."""
+    return statistics(df, columns)[:3]
 
 
 class Lexicon:
     """Frequent words, pairs of neighbours and the symmetric-delete index."""
 
-    def __init__(self, words: dict[str, int], pairs: dict[tuple[str, str], int], floor: int) -> None:
-        self.words, self.pairs, self.floor = words, pairs, floor
+    def __init__(self, words: dict[str, int], pairs: dict[tuple[str, str], int], floor: int, heads: Iterable[str] = ()) -> None:
+        self.words, self.pairs, self.floor, self.heads = words, pairs, floor, frozenset(heads)
+        #: A word below the least count counts as a quarter of it: a repair by letters alone then needs the same share of all words at every size.
+        self.unknown = max(1, floor // LEAST)
         self.by_look: dict[str, list[tuple[str, float]]] = defaultdict(list)
         for (right, look), cost in CONFUSIONS.items():
             self.by_look[look].append((right, cost))
@@ -132,7 +165,7 @@ class Lexicon:
         """Lexicon words that ``token`` may be a misreading of, with their scores; none if it is a good word itself."""
         if len(token) < 2 or not any(c.isalpha() for c in token) or token.isupper() and not any(c.isdigit() for c in token):
             return []
-        own = self.words.get(token, self.floor if self.floor > LEAST else 1)
+        own = self.words.get(token, self.unknown)
         found: dict[str, float] = {}
 
         def offer(word: str, cost: float) -> None:
@@ -157,7 +190,7 @@ class Lexicon:
             cut = max(token.rfind("'"), token.rfind("’")) + 1
             if 0 < cut < len(token) - 2 and token[cut:] not in self.words:
                 return [(token[:cut] + w, s) for w, s in self.candidates(token[cut:])]
-        return sorted(scored, key=lambda x: (-x[1], x[0]))[:8]
+        return sorted(scored, key=lambda x: (-x[1], x[0]))
 
     def divided(self, left: str, sign: str, right: str) -> bool:
         """Whether ``sign`` at a line end divides a word and is no part of its spelling."""
@@ -189,27 +222,36 @@ class Repairer:
         return found
 
     def frames(self, lines: list[str], docket: str | None) -> dict[int, str]:
-        """line number -> 'page' or 'header', for the lines of a text that shows the pages of a scan."""
+        """line number -> 'page' or 'header', for the lines of a text that shows the pages of a scan.
+
+        Header parts are the docket, what the corpus has learned and what comes
+        back in this text. A text shows pages by two lines with page numbers, by one
+        at a page's edge (the text's first or last line, or beside a header), or by a
+        header that comes back.
+        """
         pages = [i for i, line in enumerate(lines) if _PAGE.match(line)]
-        names = set(_FOLDED)
+        names = self.lexicon.heads | running(lines)
         if docket and docket.strip():
-            own = docket.strip().casefold()
-            names |= {own, *(f"{c} - {own}" for c in _FOLDED), *(f"{own} - {c}" for c in _FOLDED)}
+            names |= {docket.strip().casefold()}
         named: list[int] = []
+        back: Counter = Counter()
         numbered: list[int] = []
         for i, line in enumerate(lines):
-            low = line.strip().casefold()
-            if not low or len(low) > 120:
+            if not line.strip() or len(line.strip()) > HEAD_CHARS:
                 continue
-            if low in names:
-                named.append(i)
-            else:
-                parts = _GAP.split(low)
-                if len(parts) >= 2 and any(p in names for p in parts) and all(p in names or _PAGE.match(p) for p in parts):
+            own = parts(line)
+            if own and all(p in names for p in own):
+                if len(own) < len(_GAP.split(line.strip())):
                     numbered.append(i)
-        if len(pages) + len(numbered) < 2:
-            return {}
-        frames = {i: "page" for i in pages} | {i: "header" for i in named + numbered}
+                else:
+                    named.append(i)
+                back.update(set(own))
+        if len(pages) + len(numbered) < 2 and max(back.values(), default=0) < 2:
+            shown = [i for i, line in enumerate(lines) if line.strip()]
+            edges = {shown[0], shown[-1]} if shown else set()
+            if not any(i - 1 in named or i + 1 in named or i in edges and _DECORATED.search(lines[i]) for i in pages) and not edges & set(numbered):
+                return {}
+        frames = {i: "page" for i in pages} | {i: "header" for i in [*named, *numbered]}
         # other lines that come back beside page numbers
         beside: dict[str, list[int]] = defaultdict(list)
         for i in pages:
@@ -221,9 +263,15 @@ class Repairer:
                 frames |= {j: "header" for j in same}
         return frames
 
+    def misread(self, text: str) -> bool:
+        """Whether so many of the text's words look like misread ones that it comes from a scan."""
+        tokens = text.split()
+        alike = {t for t in set(tokens) if self.lexicon.words.get(core(t), 0) <= self.lexicon.unknown and self._choices(t)}
+        return len(alike) >= LOOKALIKES and sum(t in alike for t in tokens) >= LOOKALIKE_SHARE * len(tokens)
+
     def repair(self, text: str | None, docket: str | None = None) -> tuple[str | None, list[tuple[str, str]]]:
         """The text as continuous paragraphs, and (kind, item) of each repair. Null stays null, an empty text empty."""
-        if not text or "\n" not in text:
+        if not text:
             return text, []
         lines = text.split("\n")
         frames = self.frames(lines, docket)
@@ -254,7 +302,7 @@ class Repairer:
             paragraphs[-1] += tokens
         if open_word is not None:
             paragraphs[-1].append("".join(open_word))
-        read = bool(frames)
+        read = bool(frames) or self.misread(text)
         out = []
         for words in paragraphs:
             if not words:
@@ -289,7 +337,17 @@ class Repairer:
 
 def lexicon(df: DataFrame, columns: list[str]) -> Lexicon:
     """The lexicon of all texts of ``columns``."""
-    return Lexicon(*counts(df, columns))
+    return Lexicon(*statistics(df, columns))
+
+
+#: The last broadcast value and its repairer, kept for the worker's next tasks.
+_KEPT: list = [None, None]
+
+
+def _repairer(value: tuple) -> Repairer:
+    if _KEPT[0] is not value:
+        _KEPT[:] = [value, Repairer(Lexicon(*value))]
+    return _KEPT[1]
 
 
 def repairs(df: DataFrame, id_column: str, docket_column: str, columns: list[str], lex: Lexicon, texts: bool = False) -> DataFrame:
@@ -298,11 +356,11 @@ def repairs(df: DataFrame, id_column: str, docket_column: str, columns: list[str
     Null and empty texts give no row. Rows with the same id are repaired each
     and give the same items once.
     """
-    shared = df.sparkSession.sparkContext.broadcast((lex.words, lex.pairs, lex.floor))
+    shared = df.sparkSession.sparkContext.broadcast((lex.words, lex.pairs, lex.floor, lex.heads))
     kind = dict(df.dtypes)[id_column]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        repairer = Repairer(Lexicon(*shared.value))
+        repairer = _repairer(shared.value)
         for batch in batches:
             rows: dict[tuple, None] = {}
             for c in columns:

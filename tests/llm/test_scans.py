@@ -55,3 +55,41 @@ def test_pair_counts_do_not_depend_on_tasks(spark, parts):
     words, pairs, floor = S.counts(df, ["full_text"])
     assert floor == S.LEAST and words == {"eins": 6, "zwei": 6, "drei": 6}
     assert pairs == {("eins", "zwei"): 6, ("zwei", "drei"): 6}
+
+
+def test_an_unknown_courts_header_goes(lex):
+    """Neither court nor docket is known to the lexicon; the header comes back beside the page numbers."""
+    text = "Die Beschwerde erweist sich in diesem Punkt\n- 1 -\nKantonsgericht Wallis\nals unbegründet und das\n- 2 -\nKantonsgericht Wallis\nGericht weist sie ab."
+    whole, items = S.Repairer(lex).repair(text)
+    assert set(items) == {("page", "- 1 -"), ("page", "- 2 -"), ("header", "Kantonsgericht Wallis")}
+    assert whole == "Die Beschwerde erweist sich in diesem Punkt als unbegründet und das Gericht weist sie ab."
+
+
+def test_headers_are_learned_from_the_corpus(spark):
+    page = "Das Gericht weist sie ab\n{n}\nTribunal de Xville\nund mehr\n{m}\nTribunal de Xville\nund so."
+    df = spark.createDataFrame([(page.format(n=n, m=n + 1),) for n in range(1, 7)] + [("Nur ein Text.",)], "t string")
+    lex = S.lexicon(df.repartition(3), ["t"])
+    assert lex.heads == {"tribunal de xville"}
+    one = "Das Gericht\nTribunal de Xville   7\nweist sie ab.\nTribunal de Xville"
+    assert set(S.Repairer(lex).repair(one)[1]) == {("header", "Tribunal de Xville   7"), ("header", "Tribunal de Xville")}
+
+
+def test_letters_are_repaired_where_many_words_are_misread(lex):
+    text = "Die Bcschwerde erwe1st sich als unbegriindet, das Gericlit weist sie ab."
+    whole, items = S.Repairer(lex).repair(text)
+    assert {("char", "Beschwerde"), ("char", "erweist"), ("char", "Gericht")} <= set(items) and "Beschwerde erweist" in whole
+
+
+def test_a_corpus_and_its_double_are_repaired_alike(spark):
+    rows = [(GOOD,)] * 60 + [(SCAN,)]
+    once = S.lexicon(spark.createDataFrame(rows, "t string"), ["t"])
+    twice = S.lexicon(spark.createDataFrame(rows * 2, "t string").repartition(5), ["t"])
+    assert S.Repairer(once).repair(SCAN, "LB117672") == S.Repairer(twice).repair(SCAN, "LB117672")
+
+
+def test_unknown_words_count_in_shares():
+    """The least count that a repair by letters needs is the same share of all words, whatever the floor."""
+    for floor in (4, 40, 400):
+        lex = S.Lexicon({"Gericht": 20 * max(1, floor // 4), "andere": 10 * floor}, {}, floor)
+        assert [w for w, _ in lex.candidates("Gerieht")] == ["Gericht"] or [w for w, _ in lex.candidates("Gericlit")] == ["Gericht"]
+        assert S.Lexicon({"Gericht": 20 * max(1, floor // 4) - 1}, {}, floor).candidates("Gericlit") == []
