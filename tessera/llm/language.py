@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 LANGUAGES = ("de", "fr", "it", "rm", "en")
 #: Notations of the labels, besides the two-letter ones.
 NOTATIONS = {"deu": "de", "ger": "de", "deutsch": "de", "german": "de", "fra": "fr", "fre": "fr", "français": "fr", "french": "fr", "ita": "it", "italiano": "it", "italian": "it", "roh": "rm", "rumantsch": "rm", "romansh": "rm", "eng": "en", "english": "en"}
-#: The bound of the training sample: labelled documents drawn, and kept for each language, paragraphs and characters of each.
-DRAWN, PER_LANGUAGE, PARAGRAPHS, SAMPLE_CHARS = 30_000, 250, 4, 6000
-HASHES = 1 << 40
+#: The bound of the training sample: labelled documents of each language; paragraphs, their least characters, their words, and characters of each document.
+PER_LANGUAGE, PARAGRAPHS, PARAGRAPH_CHARS, PARAGRAPH_WORDS, SAMPLE_CHARS = 250, 4, 80, 40, 6000
+#: Range of the hashes that the sample is drawn by, and how many times as many as are kept are drawn.
+HASHES, OVERDRAWN = 1 << 40, 4
 BUCKETS, WIDTH, EPOCHS, RATE, BATCH = 1 << 16, 16, 4, 0.5, 64
 #: Least letters of a text or paragraph, least confidence, words a worker remembers.
 LEAST_LETTERS, REJECT, REMEMBERED = 40, 0.6, 300_000
@@ -124,19 +125,22 @@ def fit(df: DataFrame, id_column: str, label_column: str, text_column: str) -> M
     reads otherwise leave the sample. With no usable label the model rejects all.
     """
     marked = df.select(F.col(id_column).alias("id"), label(F.col(label_column)).alias("lang"), F.pmod(F.xxhash64(id_column), F.lit(HASHES)).alias("h")).where(F.col("lang").isNotNull() & F.col("id").isNotNull())
-    # the smallest hashes of all rows; a cut well above them spares every task from offering as many
-    cut = HASHES * min(1.0, 2 * DRAWN / max(1, marked.count()))
-    drawn = marked.where(F.col("h") <= cut).orderBy("h", "id").limit(DRAWN).collect()
+    # the smallest hashes of each language: those below a cut of its own, of which enough are kept
+    cuts = {r["lang"]: int(HASHES * min(1.0, OVERDRAWN * PER_LANGUAGE / r["n"])) for r in marked.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    below = F.lit(False)
+    for code, cut in cuts.items():
+        below = below | ((F.col("lang") == code) & (F.col("h") <= cut))
+    drawn = marked.where(below).distinct().collect()
     kept: dict[str, dict[str, None]] = {c: {} for c in LANGUAGES}
-    for r in drawn:
+    for r in sorted(drawn, key=lambda r: (r["h"], str(r["id"]))):
         if len(kept[r["lang"]]) < PER_LANGUAGE:
             kept[r["lang"]][r["id"]] = None
     chosen = df.sparkSession.createDataFrame([(i, c) for c, ids in kept.items() for i in ids], f"id {dict(marked.dtypes)['id']}, lang string")
     rows = df.select(F.col(id_column).alias("id"), F.substring(text_column, 1, SAMPLE_CHARS).alias("text")).join(F.broadcast(chosen), "id").where(F.length("text") >= LEAST_LETTERS).dropDuplicates(["id"]).collect()
     texts, labels = [], []
     for r in sorted(rows, key=lambda r: zlib.crc32(str(r["id"]).encode())):
-        for p in [p for p in r["text"].split("\n\n") if len(p) > 80][:PARAGRAPHS]:
-            ids = [b for w in _WORD.findall(p)[:40] if len(w) > 1 and not w.isupper() for b in subwords(w)]
+        for p in [p for p in r["text"].split("\n\n") if len(p) > PARAGRAPH_CHARS][:PARAGRAPHS]:
+            ids = [b for w in _WORD.findall(p)[:PARAGRAPH_WORDS] if len(w) > 1 and not w.isupper() for b in subwords(w)]
             if ids:
                 texts.append(ids)
                 labels.append(LANGUAGES.index(r["lang"]))
@@ -220,7 +224,10 @@ def segments(df: DataFrame, id_column: str, label_column: str, text_column: str,
 
 
 def corrections(found: DataFrame) -> DataFrame:
-    """Of ``segments``: texts whose label is missing or names another language, and paragraphs in another language than their text."""
-    wrong = (F.col("seg") < 0) & (F.col("named").isNull() | (F.col("named") != F.col("main")))
+    """Of ``segments``: texts whose label is missing or names another language, and paragraphs in another language than their text.
+
+    A text or paragraph whose language is rejected (null) corrects nothing.
+    """
+    wrong = (F.col("seg") < 0) & F.col("lang").isNotNull() & (F.col("named").isNull() | (F.col("named") != F.col("main")))
     other = (F.col("seg") >= 0) & (F.col("lang") != F.col("main"))
     return found.where(wrong | other).select("id", "seg", F.when(F.col("seg") < 0, F.col("main")).otherwise(F.col("lang")).alias("lang"), "confidence")

@@ -56,3 +56,16 @@ def test_no_labels_reject_all(spark):
     m = L.fit(df, "decision_id", "language", "full_text")
     assert L.segments(df, "decision_id", "language", "full_text", m).where("lang is not null").count() == 0
     assert L.segments(df.limit(0), "decision_id", "language", "full_text", m).count() == 0
+
+
+def test_without_confidence_nothing_is_corrected(spark):
+    df = spark.createDataFrame([("a", None, PARTS["de"])], "decision_id string, language string, full_text string")
+    m = L.fit(df, "decision_id", "language", "full_text")
+    assert L.corrections(L.segments(df, "decision_id", "language", "full_text", m)).count() == 0
+
+
+def test_a_rare_language_is_drawn_whole(spark):
+    """Eight of four thousand labelled texts are French; all of them train, and the model knows the language."""
+    rows = [(f"d{n}", "de", f"{PARTS['de']} {n}") for n in range(4000)] + [(f"f{n}", "fr", f"{PARTS['fr']} {n}") for n in range(8)]
+    m = L.fit(spark.createDataFrame(rows, "decision_id string, language string, full_text string"), "decision_id", "language", "full_text")
+    assert _run(spark, m, [("x", None, PARTS["fr"])]).where("seg = -1").first()["main"] == "fr"
