@@ -37,7 +37,7 @@ SHARE, LEAST, COMMONER, FLUSH = 1e-6, 4, 20, 1_500_000
 #: Tokens a worker remembers, weight of neighbours, dearest repair (of two misread letters), least look-alikes and their least share of a text that make it a scan.
 REMEMBERED, NEIGHBOURS, DEAREST, LOOKALIKES, LOOKALIKE_SHARE = 500_000, 1.0, 3.4, 3, 0.005
 #: Least number and share of texts of a running header's part.
-HEAD_LEAST, HEAD_SHARE, HEAD_CHARS = 4, 1e-6, 120
+HEAD_LEAST, HEAD_SHARE, HEAD_CHARS, PAGE_CHARS = 4, 1e-6, 120, 120
 
 _PAGE = re.compile(r"^\s*(?:[-–—] ?\d{1,4} ?[-–—]|(?:Seite|Page|Pagina|Pag\.|S\.|page|pagina|seite) ?\d{1,4}(?: ?(?:von|sur|di|da|of|/) ?\d{1,4})?|p(?:ag|g)?\. ?\d{1,4}|\[\d{1,4}\]|\d{1,4} ?/ ?\d{1,4}|\d{1,3})\s*$")
 #: Marks the counts of header parts among those of pairs.
@@ -45,6 +45,7 @@ HEAD = "\0header"
 _EDGE = ".,;:!?()[]«»„“”\"'’‹›…"
 _DIVIDED = re.compile(r"([^\W\d_])([-¬­‐])\s*$")
 _GAP = re.compile(r"\s{2,}|\s[-–—|·]\s")
+_DASH = re.compile(r"\s[-–—|·]\s")
 #: A page line that is more than a number.
 _DECORATED = re.compile(r"[^\d\s]")
 
@@ -54,20 +55,29 @@ def core(token: str) -> str:
     return token.strip(_EDGE)
 
 
-def parts(line: str) -> list[str]:
-    """The parts of a line between gaps and dashes, folded, without page numbers."""
-    return [p for p in (x.strip() for x in _GAP.split(line.strip().casefold())) if p and not _PAGE.match(p)]
+def is_page(line: str) -> bool:
+    return len(line) < PAGE_CHARS and _PAGE.match(line) is not None
 
 
-def running(lines: list[str]) -> set[str]:
-    """Parts of short lines that stand beside a page line, or in one line with its number, twice or more."""
-    pages = {i for i, line in enumerate(lines) if _PAGE.match(line)}
+def parts(line: str) -> tuple[list[str], bool]:
+    """The parts of a line between gaps and dashes, folded, without page numbers; and whether there were such."""
+    low = line.strip().casefold()
+    if "  " not in low and "\t" not in low and not _DASH.search(low):
+        return ([low], False) if low else ([], False)
+    split = [p for p in map(str.strip, _GAP.split(low)) if p]
+    kept = [p for p in split if not _PAGE.match(p)]
+    return kept, len(kept) < len(split)
+
+
+def running(lines: list[str], pages: set[int]) -> set[str]:
+    """Parts of short lines that stand beside a line of ``pages``, or in one line with a page number, twice or more."""
     beside: Counter = Counter()
+    near = {j for i in pages for j in (i - 1, i + 1) if 0 <= j < len(lines)} - pages
     for i, line in enumerate(lines):
-        if i in pages or not line.strip() or len(line) > HEAD_CHARS or line.rstrip().endswith((".", ",", ";", ":", "-", "¬")):
+        if i not in near and "  " not in line and "\t" not in line or i in pages or not 2 < len(line.strip()) <= HEAD_CHARS or line.rstrip().endswith((".", ",", ";", ":", "-", "¬")):
             continue
-        own = parts(line)
-        if i - 1 in pages or i + 1 in pages or len(own) < len(_GAP.split(line.strip())):
+        own, number = parts(line)
+        if i in near or number:
             beside.update({p for p in own if len(p) > 2})
     return {p for p, n in beside.items() if n > 1}
 
@@ -99,7 +109,8 @@ def statistics(df: DataFrame, columns: list[str]) -> tuple[dict[str, int], dict[
                         pairs.update(zip(tokens, tokens[1:]))
                         heads[""] += 1
                         if "\n" in text:
-                            heads.update(running(text.split("\n")))
+                            lines = text.split("\n")
+                            heads.update(running(lines, {i for i, line in enumerate(lines) if is_page(line)}))
             if len(pairs) > FLUSH:
                 yield out()
                 words.clear()
@@ -205,12 +216,27 @@ class Lexicon:
         return joined >= spelled
 
 
+class _Odd(dict):
+    """token -> whether it is unknown and looks like a word of the lexicon. Filled as tokens come."""
+
+    def __init__(self, repairer: Repairer) -> None:
+        self.repairer = repairer
+
+    def __missing__(self, token: str) -> bool:
+        if len(self) > REMEMBERED:
+            self.clear()
+        lexicon = self.repairer.lexicon
+        self[token] = found = lexicon.words.get(core(token), 0) <= lexicon.unknown and bool(self.repairer._choices(token))
+        return found
+
+
 class Repairer:
     """Repairs texts by a lexicon; remembers what it decided on each token."""
 
     def __init__(self, lexicon: Lexicon) -> None:
         self.lexicon = lexicon
         self.known: dict[str, list[tuple[str, float]]] = {}
+        self.odd = _Odd(self)
 
     def _choices(self, token: str) -> list[tuple[str, float]]:
         found = self.known.get(token)
@@ -229,19 +255,19 @@ class Repairer:
         at a page's edge (the text's first or last line, or beside a header), or by a
         header that comes back.
         """
-        pages = [i for i, line in enumerate(lines) if _PAGE.match(line)]
-        names = self.lexicon.heads | running(lines)
+        pages = [i for i, line in enumerate(lines) if is_page(line)]
+        names = self.lexicon.heads | running(lines, set(pages))
         if docket and docket.strip():
             names |= {docket.strip().casefold()}
         named: list[int] = []
         back: Counter = Counter()
         numbered: list[int] = []
         for i, line in enumerate(lines):
-            if not line.strip() or len(line.strip()) > HEAD_CHARS:
+            if len(line) > HEAD_CHARS and len(line.strip()) > HEAD_CHARS:
                 continue
-            own = parts(line)
-            if own and all(p in names for p in own):
-                if len(own) < len(_GAP.split(line.strip())):
+            own, number = parts(line)
+            if own and names.issuperset(own):
+                if number:
                     numbered.append(i)
                 else:
                     named.append(i)
@@ -266,8 +292,9 @@ class Repairer:
     def misread(self, text: str) -> bool:
         """Whether so many of the text's words look like misread ones that it comes from a scan."""
         tokens = text.split()
-        alike = {t for t in set(tokens) if self.lexicon.words.get(core(t), 0) <= self.lexicon.unknown and self._choices(t)}
-        return len(alike) >= LOOKALIKES and sum(t in alike for t in tokens) >= LOOKALIKE_SHARE * len(tokens)
+        odd = self.odd
+        alike = [t for t in tokens if odd[t]]
+        return len(alike) >= LOOKALIKE_SHARE * len(tokens) and len(set(alike)) >= LOOKALIKES
 
     def repair(self, text: str | None, docket: str | None = None) -> tuple[str | None, list[tuple[str, str]]]:
         """The text as continuous paragraphs, and (kind, item) of each repair. Null stays null, an empty text empty."""
