@@ -22,26 +22,33 @@ def resolve(graph: DataFrame, decisions: DataFrame, register: DataFrame, window:
     with its prefix, the series without, and the last beginning within
     ``window`` pages before. Candidates of a reference are ranked newest first.
     """
-    own = decisions.groupBy("decision_id").agg(F.min("court").alias("court"), F.min("canton").alias("canton"), F.max("decision_date").alias("date"), F.min("docket_number").alias("docket"))
-    src = own.select(F.col("decision_id").alias("source"), F.struct("court", "canton", "date").alias("s"))
-    refs = graph.select("source", "ref").withColumn("key", T.graph_docket(F.col("ref")))
-    by_docket = own.select(F.col("decision_id").alias("target"), F.struct("court", "canton", "date").alias("t"), T.graph_docket(F.col("docket")).alias("key"))
+    from tessera.session import materialize
+
+    own = materialize(
+        decisions.groupBy(F.col("decision_id").alias("id")).agg(F.min("court").alias("court"), F.min("canton").alias("canton"), F.max("decision_date").alias("date"), F.min("docket_number").alias("docket")).withColumn("key", T.graph_docket(F.col("docket"))).drop("docket"), "own"
+    )
+    pairs = materialize(graph.select("source", "ref").distinct(), "pairs")
+    # a reference's spelling is resolved once, however many decisions cite it
+    refs = materialize(pairs.select("ref").distinct().withColumn("key", T.graph_docket(F.col("ref"))), "refs")
+    facts = F.struct("court", "canton", "date")
+    by_docket = refs.join(own.select(F.col("id").alias("target"), facts.alias("t"), "key"), "key")
+    hits = pairs.join(by_docket, "ref").where(F.col("target") != F.col("source")).join(own.select(F.col("id").alias("source"), facts.alias("s")), "source", "left")
     w = Window.partitionBy("source", "ref")
-    hits = refs.join(by_docket, "key").where(F.col("target") != F.col("source")).join(src, "source", "left")
     hits = hits.withColumn("rank", F.row_number().over(w.orderBy(F.col("t.date").desc_nulls_last(), "target"))).withColumn("count", F.count("*").over(w))
     side = lambda a: {k: F.col(f"{a}.{k}") for k in ("court", "canton", "date")}
-    docket = hits.select("source", "ref", "target", F.lit("docket_norm").alias("method"), T.citation_confidence(side("s"), side("t"), F.col("key"), F.col("rank"), F.col("count")).alias("confidence"))
-    series = register.select("bge_reference", F.col("decision_id").alias("target"))
-    prefixed = refs.withColumn("full", F.regexp_replace(F.upper(F.trim("ref")), r"^(?:ATF|DTF) ", "BGE ")).join(series, F.col("full") == F.col("bge_reference")).select("source", "ref", "target", F.lit("bge_norm").alias("method"), F.lit(0.9).alias("confidence"))
-    first = docket.unionByName(prefixed)
-    still = refs.join(first.select("ref").distinct(), "ref", "left_anti")
-    bare = still.join(series, F.concat(F.lit("BGE "), F.col("ref")) == F.col("bge_reference")).select("source", "ref", "target", F.lit("bge_bare").alias("method"), F.lit(0.85).alias("confidence"))
+    docket = materialize(hits.select("source", "ref", "target", F.lit("docket_norm").alias("method"), T.citation_confidence(side("s"), side("t"), F.col("key"), F.col("rank"), F.col("count")).alias("confidence")), "docket")
+    series = register.select("bge_reference", F.col("decision_id").alias("target"), "volume", "division", "first_page")
+    told = lambda df, method, confidence: df.select("ref", "target", F.lit(method).alias("method"), F.lit(confidence).alias("confidence"))
+    prefixed = told(refs.join(series, F.regexp_replace(F.upper(F.trim("ref")), r"^(?:ATF|DTF) ", "BGE ") == F.col("bge_reference")), "bge_norm", 0.9)
+    still = refs.join(docket.select("ref").union(prefixed.select("ref")).distinct(), "ref", "left_anti")
+    bare = told(still.join(series, F.concat(F.lit("BGE "), F.col("ref")) == F.col("bge_reference")), "bge_bare", 0.85)
     still = still.join(bare.select("ref").distinct(), "ref", "left_anti")
     p = r"^(?:BGE|ATF|DTF)? ?(\d{1,3}) ([IVX]{1,4}) (\d{1,4})$"
-    pages = still.where(F.col("ref").rlike(p)).select("ref", F.regexp_extract("ref", p, 1).cast("int").alias("volume"), F.regexp_extract("ref", p, 2).alias("division"), F.regexp_extract("ref", p, 3).cast("int").alias("page")).distinct()
-    begun = J.asof_join(pages, register.select("volume", "division", "first_page", F.col("decision_id").alias("target")), ["volume", "division"], "page", "first_page", window, ["target"])
-    pin = still.join(begun.select("ref", "target"), "ref").select("source", "ref", "target", F.lit("bge_pincite").alias("method"), F.lit(0.75).alias("confidence"))
-    return first.unionByName(bare).unionByName(pin).where(F.col("source") != F.col("target")).groupBy("source", "ref", "target").agg(F.max_by("method", "confidence").alias("method"), F.max("confidence").alias("confidence"))
+    pages = still.where(F.col("ref").rlike(p)).select("ref", F.regexp_extract("ref", p, 1).cast("int").alias("volume"), F.regexp_extract("ref", p, 2).alias("division"), F.regexp_extract("ref", p, 3).cast("int").alias("page"))
+    begun = J.asof_join(pages, series, ["volume", "division"], "page", "first_page", window, ["target"])
+    by_ref = materialize(prefixed.unionByName(bare).unionByName(told(begun, "bge_pincite", 0.75)), "by_ref")
+    found = docket.unionByName(pairs.join(by_ref, "ref").select(*docket.columns))
+    return found.where(F.col("source") != F.col("target")).groupBy("source", "ref", "target").agg(F.max_by("method", "confidence").alias("method"), F.max("confidence").alias("confidence"))
 
 
 def neighbours(resolved: DataFrame) -> DataFrame:
@@ -51,8 +58,8 @@ def neighbours(resolved: DataFrame) -> DataFrame:
     return out.join(into, "id", "full").select("id", F.coalesce("cites", F.lit(0)).alias("cites"), F.coalesce("cited_by", F.lit(0)).alias("cited_by"))
 
 
-def chains(links: DataFrame, depth: int = 4) -> DataFrame:
-    """start, hop, node: what is reached from each node over at most ``depth`` links (source, target).
+def chains(links: DataFrame, starts: DataFrame, depth: int = 4) -> DataFrame:
+    """start, hop, node: what is reached from each of ``starts`` (node) over at most ``depth`` links (source, target).
 
     Every hop is one join of the newly reached pairs; pairs reached before are
     left out, so cycles end.
@@ -60,7 +67,8 @@ def chains(links: DataFrame, depth: int = 4) -> DataFrame:
     from tessera.session import materialize
 
     step = materialize(links.select("source", "target").where("source <> target").distinct(), "links")
-    reached = step.select(F.col("source").alias("start"), F.col("target").alias("node"), F.lit(1).alias("hop"))
+    begun = starts.select(F.col(starts.columns[0]).alias("source")).distinct()
+    reached = step.join(begun, "source", "left_semi").select(F.col("source").alias("start"), F.col("target").alias("node"), F.lit(1).alias("hop"))
     front = reached
     for hop in range(2, depth + 1):
         further = front.join(step, F.col("node") == F.col("source")).select("start", F.col("target").alias("node")).where("start <> node").distinct()

@@ -1,16 +1,19 @@
 """Ranked full-text, sparse and dense retrieval.
 
-Texts become a postings table (doc, field, term, tf, first place); a query is
-parsed on the driver and joins the postings of its few terms, so that only
-those travel. Fusion and reranking work on the candidates.
+Texts become an index that is written once and kept (``build_index``): postings
+(doc, field, term, tf, places, len) in the order of their terms. A query is parsed
+on the driver and reads the postings of its few terms, so that only those
+travel. Fusion and reranking work on the candidates.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from dataclasses import dataclass, field
+from math import log
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -27,17 +30,71 @@ def terms(c: Column) -> Column:
     return F.filter(F.split(folded, r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
-def postings(df: DataFrame, id_column: str, columns: list[str]) -> DataFrame:
-    """doc, field, term, tf, places (sorted positions); one row for each document, field and term."""
+def postings(df: DataFrame, id_column: str, columns: list[str], version: list[str] | None = None) -> DataFrame:
+    """doc, field, term, tf, places (sorted positions); one row for each document, field and term.
+
+    With ``version``, several rows of one document count as the one whose
+    ``version`` columns are least; words travel, whole texts don't.
+    """
+    key = F.struct(*version).alias("version") if version else F.lit(0).alias("version")
     words = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), terms(F.col(c)).alias("words")) for c in columns]))
-    long = df.select(F.col(id_column).alias("doc"), words.alias("w")).select("doc", F.col("w.field").alias("field"), F.posexplode("w.words").alias("place", "term"))
-    return long.groupBy("doc", "field", "term").agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("place")).alias("places"))
+    long = df.select(F.col(id_column).alias("doc"), key, words.alias("w")).select("doc", "version", F.col("w.field").alias("field"), F.posexplode("w.words").alias("place", "term"))
+    out = long.groupBy("doc", "version", "field", "term").agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("place")).alias("places"))
+    if version:
+        least = df.select(F.col(id_column).alias("doc"), key).groupBy("doc").agg(F.min("version").alias("version"))
+        out = out.join(least, ["doc", "version"], "left_semi")
+    return out.drop("version")
 
 
-def lengths(df: DataFrame, id_column: str, columns: list[str]) -> DataFrame:
-    """doc, len: the number of words of all ``columns``."""
-    total = sum((F.size(terms(F.col(c))) for c in columns), F.lit(0))
-    return df.select(F.col(id_column).alias("doc"), total.alias("len"))
+@dataclass
+class Index:
+    """A kept index: postings in the order of their terms, the frequency of each term, and the corpus's size."""
+
+    postings: DataFrame  # doc, field, term, tf, places, len
+    terms: DataFrame  # field ("" for all together), term, df, tf
+    n: int
+    average: float
+
+
+def build_index(df: DataFrame, id_column: str, columns: list[str], path: str, version: list[str] | None = None, partitions: int | None = None) -> None:
+    """Write an index of ``columns`` to ``path``, in place of any that is there.
+
+    The texts are read once. The postings carry their document's length and lie
+    range-partitioned and sorted by term, so that a query's filter on its terms
+    reads the row groups of those terms alone; a term in very many documents is
+    split over partitions by document. The last thing written is ``meta``,
+    without which there is no index.
+    """
+    spark = df.sparkSession
+    raw = f"{path}/raw"
+    postings(df, id_column, columns, version).write.mode("overwrite").parquet(raw)
+    rows = spark.read.parquet(raw)
+    sizes = rows.groupBy("doc").agg(F.sum("tf").alias("len"))
+    n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows.join(sizes, "doc").repartitionByRange(n, "term", "doc").sortWithinPartitions("term", "doc").write.mode("overwrite").parquet(f"{path}/postings")
+    by_field = rows.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
+    everywhere = rows.groupBy("doc", "term").agg(F.sum("tf").alias("tf")).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf")).select(F.lit("").alias("field"), "term", "df", "tf")
+    by_field.unionByName(everywhere).repartitionByRange(n, "term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/terms")
+    held = df.select(F.count_distinct(F.col(id_column)).alias("n")).first()["n"]
+    words = sizes.agg(F.sum("len")).first()[0] or 0
+    spark.createDataFrame([(held, words / held if held else 0.0)], "n bigint, average double").coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+
+
+def open_index(spark: SparkSession, path: str) -> Index:
+    """The index that ``build_index`` wrote to ``path``."""
+    meta = spark.read.schema("n bigint, average double").parquet(f"{path}/meta").first()
+    return Index(spark.read.parquet(f"{path}/postings"), spark.read.schema("field string, term string, df bigint, tf bigint").parquet(f"{path}/terms"), meta["n"], meta["average"])
+
+
+def kept_index(df: DataFrame, name: str, id_column: str, columns: list[str], version: list[str] | None = None) -> Index:
+    """The index of ``df``, kept in the shared folder and built where there is none yet for the files that ``df`` reads as they now are."""
+    from tessera.session import exists, files_of, shared_dir
+
+    mark = hashlib.md5(repr((name, id_column, columns, version, files_of(df))).encode()).hexdigest()[:16]
+    path = f"{shared_dir(df.sparkSession)}/index-{name}-{mark}"
+    if not exists(df.sparkSession, f"{path}/meta/_SUCCESS"):
+        build_index(df, id_column, columns, path, version)
+    return open_index(df.sparkSession, path)
 
 
 @dataclass
@@ -97,9 +154,9 @@ def parse(text: str) -> Query:
     return q
 
 
-def match(index: DataFrame, q: Query) -> DataFrame:
+def match(index: Index, q: Query) -> DataFrame:
     """doc of every document that the query matches."""
-    rows = index.where(F.col("field") == q.focus) if q.focus else index
+    rows = index.postings.where(F.col("field") == q.focus) if q.focus else index.postings
     need: list[DataFrame] = []
     if q.must:
         hit = rows.where(F.col("term").isin(q.must)).groupBy("doc").agg(F.countDistinct("term").alias("n"))
@@ -114,7 +171,7 @@ def match(index: DataFrame, q: Query) -> DataFrame:
             first = first.join(nxt, ["doc", "field", "place"])
         need.append(first.select("doc").distinct())
     if not need:
-        return index.select("doc").limit(0)
+        return index.postings.select("doc").limit(0)
     out = need[0]
     for other in need[1:]:
         out = out.join(other, "doc", "left_semi")
@@ -123,22 +180,20 @@ def match(index: DataFrame, q: Query) -> DataFrame:
     return out
 
 
-def bm25(index: DataFrame, sizes: DataFrame, words: list[str], weights: dict[str, float] | None = None) -> DataFrame:
+def bm25(index: Index, words: list[str], weights: dict[str, float] | None = None, focus: str | None = None) -> DataFrame:
     """doc, score of every document with one of ``words``; smaller is better, as with a rank.
 
     A column's weight multiplies its term frequencies. The statistics are those
-    of all documents.
+    of all documents; of the postings only those of the words are read.
     """
-    stats = sizes.agg(F.count("*").alias("n"), F.avg("len").alias("avg")).first()
-    n, average = stats["n"], stats["avg"] or 1.0
+    asked = sorted(set(words))
+    df = {r["term"]: r["df"] for r in index.terms.where(F.col("term").isin(asked) & (F.col("field") == (focus or ""))).collect()}
     weight = F.coalesce(*[F.when(F.col("field") == f, F.lit(float(w))) for f, w in (weights or {}).items()], F.lit(1.0))
-    tf = index.where(F.col("term").isin(sorted(set(words)))).groupBy("doc", "term").agg(F.sum(F.col("tf") * weight).alias("tf"))
-    df = {r["term"]: r["df"] for r in tf.groupBy("term").agg(F.count("*").alias("df")).collect()}
-    from math import log
-
-    idf = F.coalesce(*[F.when(F.col("term") == t, F.lit(max(1e-6, log((n - k + 0.5) / (k + 0.5))))) for t, k in df.items()], F.lit(0.0))
-    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / average))
-    return tf.join(sizes, "doc").groupBy("doc").agg((-F.sum(part)).alias("score"))
+    rows = index.postings.where(F.col("term").isin(asked))
+    tf = (rows.where(F.col("field") == focus) if focus else rows).groupBy("doc", "term", "len").agg(F.sum(F.col("tf") * weight).alias("tf"))
+    idf = F.coalesce(*[F.when(F.col("term") == t, F.lit(max(1e-6, log((index.n - k + 0.5) / (k + 0.5))))) for t, k in df.items()], F.lit(0.0))
+    part = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / (index.average or 1.0)))
+    return tf.groupBy("doc").agg((-F.sum(part)).alias("score"))
 
 
 def fuse(lists: list[tuple[DataFrame, float]], k: int = 60) -> DataFrame:
@@ -156,6 +211,15 @@ def ranked(scored: DataFrame, by: Column, top: int) -> DataFrame:
     return best.withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(by, "doc")))
 
 
+def interleaved(lists: dict[str, DataFrame], top: int) -> DataFrame:
+    """corpus, rank, doc: the ``top`` best of each (doc, score; smaller is better), by rank and then by corpus; ties go to the smallest doc."""
+    every = None
+    for name, scored in lists.items():
+        one = ranked(scored, F.col("score"), top).select(F.lit(name).alias("corpus"), "rank", "doc")
+        every = one if every is None else every.unionByName(one)
+    return every.orderBy("rank", "corpus")
+
+
 def sparse(index: DataFrame, query: dict[str, float], least: float = 0.01) -> DataFrame:
     """doc, score: inner products with a sparse query over (doc, token, weight)."""
     w = F.coalesce(*[F.when(F.col("token") == t, F.lit(float(x))) for t, x in query.items()], F.lit(0.0))

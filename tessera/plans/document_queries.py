@@ -11,19 +11,20 @@ from tessera.functions import text as T
 from tessera.operators import search as S
 from tessera.plans.registry import Registry
 from tessera.plans.scalar_queries import graph_docket_sql
-from tessera.sources.tables import table
+from tessera.sources.tables import first_versions, table
 
 R = Registry()
 c = F.col
 
 
 def _d(s: SparkSession, d: str, *columns: str) -> DataFrame:
-    return table(s, d, "decisions", "decision_id", *columns).distinct()
+    """Rows as they are; what is made of them is made distinct afterwards, so that no text is moved for it."""
+    return table(s, d, "decisions", "decision_id", *columns)
 
 
 @R.add()
 def scl_09_header_date(s: SparkSession, d: str) -> DataFrame:
-    return _d(s, d, "full_text").where(c("full_text").isNotNull()).select("decision_id", D.header_date(c("full_text")).alias("h")).select("decision_id", "h.day", "h.method")
+    return _d(s, d, "full_text").where(c("full_text").isNotNull()).select("decision_id", D.header_date(c("full_text")).alias("h")).select("decision_id", "h.day", "h.method").distinct()
 
 
 @R.add(r"""SELECT DISTINCT doc_id, CASE WHEN m <> '' THEN strftime(try_cast(regexp_extract(m, '(\d{2})\.(\d{2})\.(\d{4})', 3) || '-' || regexp_extract(m, '(\d{2})\.(\d{2})\.(\d{4})', 2) || '-' || regexp_extract(m, '(\d{2})\.(\d{2})\.(\d{4})', 1) AS DATE), '%Y-%m-%d') END AS day FROM (SELECT doc_id, regexp_extract(text, '\b\d{2}\.\d{2}\.\d{4}\b', 0) AS m FROM documents WHERE text IS NOT NULL)""")
@@ -50,8 +51,8 @@ def scl_62_embedding_text(s: SparkSession, d: str) -> DataFrame:
 
 @R.add()
 def scl_18_headnote(s: SparkSession, d: str) -> DataFrame:
-    made = F.concat(F.lit("Regeste\n"), F.coalesce("regeste", F.lit("")), F.lit("\nSachverhalt\n"), F.coalesce("full_text", F.lit("")))
-    return _d(s, d, "regeste", "full_text").select("decision_id", D.headnote(made).alias("headnote")).distinct()
+    """The head-note that stands in a document, by its hash."""
+    return table(s, d, "documents", "doc_id", "text").select("doc_id", D.headnote(c("text")).alias("h")).where(c("h").isNotNull()).select("doc_id", F.length("h").alias("n_chars"), F.md5("h").alias("headnote_hash"))
 
 
 @R.add("""SELECT DISTINCT decision_id, coalesce(CASE WHEN regexp_matches(docket_number, '^[67][A-Z][_.]') OR court = 'bstger' THEN 'criminal' WHEN regexp_matches(docket_number, '^[89]C[_.]') THEN 'social_security' WHEN regexp_matches(docket_number, '^[45][A-Z][_.]') THEN 'private' END,
@@ -62,7 +63,7 @@ def scl_32_branch(s: SparkSession, d: str) -> DataFrame:
 
 @R.add()
 def scl_33_chamber(s: SparkSession, d: str) -> DataFrame:
-    return _d(s, d, "docket_number").groupBy(D.chamber(c("docket_number")).alias("chamber")).agg(F.count("*").alias("n"))
+    return _d(s, d, "docket_number").distinct().groupBy(D.chamber(c("docket_number")).alias("chamber")).agg(F.count("*").alias("n"))
 
 
 @R.add(r"""SELECT DISTINCT docket_number, CASE WHEN l = '' OR l IS NULL THEN NULL WHEN contains(docket_number, '.') OR y < 2007 THEN 'old_' || lower(l) WHEN l = 'A' THEN 'civil_or_public' WHEN l = 'B' THEN 'criminal' WHEN l = 'C' THEN 'public' WHEN l = 'D' THEN 'constitutional' ELSE 'other' END AS kind FROM (SELECT docket_number, regexp_extract(docket_number, '^\d([A-Z])[_.]', 1) AS l, try_cast(nullif(regexp_extract(docket_number, '/(\d{4})$', 1), '') AS INT) AS y FROM decisions)""")
@@ -125,15 +126,17 @@ def scl_60_series_anomaly(s: SparkSession, d: str) -> DataFrame:
 
 @R.add()
 def scl_31_headnote_language(s: SparkSession, d: str) -> DataFrame:
-    return _d(s, d, "regeste").groupBy(D.headnote_language(c("regeste")).alias("lang")).agg(F.count("*").alias("n"))
+    return _d(s, d, "regeste").select("decision_id", D.headnote_language(c("regeste")).alias("lang"), F.md5("regeste").alias("h")).distinct().groupBy("lang").agg(F.count("*").alias("n"))
 
 
-@R.add("""SELECT decision_id, count(*) FILTER (WHERE is_prior_instance = 1) AS priors, count(DISTINCT target_ref) AS refs FROM (SELECT DISTINCT decision_id FROM decisions) LEFT JOIN decision_citations ON source_decision_id = decision_id WHERE decision_id IN ('gr_gerichte_SR2_02_588', 'sg_gerichte_FO_2014_4097', 'nobody') GROUP BY 1""")
+@R.add("""SELECT k.decision_id, h.decision_id IS NOT NULL AS held, count(x.target_ref) FILTER (WHERE is_prior_instance = 1) AS priors, count(DISTINCT target_ref) AS refs FROM (SELECT DISTINCT member_decision_id AS decision_id FROM decision_representations WHERE member_decision_id IS NOT NULL) k LEFT JOIN (SELECT DISTINCT decision_id FROM decisions) h USING (decision_id) LEFT JOIN decision_citations x ON x.source_decision_id = k.decision_id GROUP BY 1, 2""")
 def srv_get_decisions(s: SparkSession, d: str) -> DataFrame:
-    ids = s.createDataFrame([("gr_gerichte_SR2_02_588",), ("sg_gerichte_FO_2014_4097",), ("nobody",)], "decision_id string")
-    x = table(s, d, "decision_citations", "source_decision_id", "target_ref", "is_prior_instance").withColumnRenamed("source_decision_id", "decision_id")
-    held = table(s, d, "decisions", "decision_id").distinct().join(F.broadcast(ids), "decision_id", "left_semi")
-    return held.join(x, "decision_id", "left").groupBy("decision_id").agg(F.count_if(c("is_prior_instance") == 1).alias("priors"), F.countDistinct("target_ref").alias("refs"))
+    """A batch of ids asked for, those that are not held included."""
+    ids = table(s, d, "decision_representations", "member_decision_id").select(c("member_decision_id").alias("decision_id")).where(c("decision_id").isNotNull()).distinct()
+    held = table(s, d, "decisions", "decision_id").distinct().withColumn("held", F.lit(True))
+    x = table(s, d, "decision_citations", "source_decision_id", "target_ref", "is_prior_instance").withColumnRenamed("source_decision_id", "decision_id").groupBy("decision_id").agg(F.count_if((c("is_prior_instance") == 1) & c("target_ref").isNotNull()).alias("priors"), F.countDistinct("target_ref").alias("refs"))
+    none = F.lit(0).cast("bigint")
+    return ids.join(held, "decision_id", "left").join(x, "decision_id", "left").select("decision_id", F.coalesce("held", F.lit(False)).alias("held"), F.coalesce("priors", none).alias("priors"), F.coalesce("refs", none).alias("refs"))
 
 
 @R.add("""SELECT court, canton, left(decision_date, 4) AS y, count(DISTINCT decision_id) AS n FROM decisions WHERE regexp_matches(decision_date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') GROUP BY 1, 2, 3""")
@@ -141,37 +144,43 @@ def srv_get_statistics(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "decisions", "decision_id", "court", "canton", "decision_date").where(c("decision_date").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$")).groupBy("court", "canton", F.substring("decision_date", 1, 4).alias("y")).agg(F.countDistinct("decision_id").alias("n"))
 
 
-@R.add("""SELECT k AS citation, decision_id FROM (SELECT unnest(['BGE 111 I 14', 'BGE 999 I 1', 'BGE 106 V 291']) AS k) LEFT JOIN bge_register ON bge_reference = k""")
+@R.add(r"""SELECT DISTINCT k AS citation, decision_id, decision_id IS NOT NULL AS supported FROM (SELECT DISTINCT regexp_replace(upper(trim(target_ref)), '^(?:ATF|DTF) ', 'BGE ') AS k FROM citation_gaps WHERE target_ref IS NOT NULL) LEFT JOIN bge_register ON bge_reference = k""")
 def srv_cite(s: SparkSession, d: str) -> DataFrame:
-    asked = s.createDataFrame([("BGE 111 I 14",), ("BGE 999 I 1",), ("BGE 106 V 291",)], "citation string")
-    return asked.join(table(s, d, "bge_register", "bge_reference", "decision_id").withColumnRenamed("bge_reference", "citation"), "citation", "left")
+    """Whether each reference once recorded as unresolved is in the published series."""
+    asked = table(s, d, "citation_gaps", "target_ref").where(c("target_ref").isNotNull()).select(F.regexp_replace(F.upper(F.trim("target_ref")), r"^(?:ATF|DTF) ", "BGE ").alias("citation")).distinct()
+    found = asked.join(table(s, d, "bge_register", "bge_reference", "decision_id").withColumnRenamed("bge_reference", "citation"), "citation", "left")
+    return found.select("citation", "decision_id", c("decision_id").isNotNull().alias("supported")).distinct()
 
 
 @R.add()
 def srv_search_decisions(s: SparkSession, d: str) -> DataFrame:
-    rows = table(s, d, "decisions", "decision_id", "court", "canton", "title", "regeste", "full_text", "docket_number").dropDuplicates(["decision_id"])
-    fields = ["docket_number", "title", "regeste", "full_text"]
-    index, sizes = S.postings(rows, "decision_id", fields), S.lengths(rows, "decision_id", fields)
+    from tessera.plans.search_queries import decisions_index
+
+    index = decisions_index(s, d)
     q = S.parse("Kündigung Mietvertrag")
-    every = S.ranked(S.bm25(index, sizes, q.must, S.COLUMN_WEIGHTS), c("score"), 100)
-    title = S.ranked(S.bm25(index.where("field = 'title'"), sizes, q.must), c("score"), 100)
+    every = S.ranked(S.bm25(index, q.must, S.COLUMN_WEIGHTS), c("score"), 100)
+    title = S.ranked(S.bm25(index, q.must, focus="title"), c("score"), 100)
     strict = S.ranked(S.match(index, q), c("doc"), 100)
     fused = S.fuse([(every, 1.5), (title, 0.95), (strict, 1.3)])
-    hits = fused.join(rows.select(c("decision_id").alias("doc"), "court", "title"), "doc")
-    return hits.orderBy(c("score").desc(), "doc").limit(20)
+    shown = first_versions(table(s, d, "decisions", "decision_id", "scraped_at", "court", "title"), "court", "title").select(c("decision_id").alias("doc"), "court", "title")
+    return shown.join(F.broadcast(fused), "doc").orderBy(c("score").desc(), "doc").limit(20)
 
 
-@R.add("""SELECT term, doc FROM (SELECT bge_reference AS doc, 'federal' AS term, row_number() OVER (ORDER BY first_page, bge_reference) AS r FROM bge_register UNION ALL SELECT docket_number, 'cantonal', row_number() OVER (ORDER BY docket_number) FROM (SELECT DISTINCT docket_number FROM decisions WHERE canton <> 'CH')) WHERE r <= 5""")
+@R.add()
 def fts_25_interleaved_corpora(s: SparkSession, d: str) -> DataFrame:
-    one = table(s, d, "bge_register", "bge_reference", "first_page").orderBy("first_page", "bge_reference").limit(5).select(F.lit("federal").alias("term"), c("bge_reference").alias("doc"))
-    two = table(s, d, "decisions", "docket_number", "canton").where("canton <> 'CH'").select("docket_number").distinct().orderBy("docket_number").limit(5).select(F.lit("cantonal").alias("term"), c("docket_number").alias("doc"))
-    return one.unionByName(two)
+    """The best hits of two corpora, taken in turn: corpus, rank, doc."""
+    from tessera.plans.search_queries import _index, decisions_index
+
+    words = S.parse("Beschwerde Mangel").must
+    lists = {"decisions": S.bm25(decisions_index(s, d), words), "documents": S.bm25(_index(s, d), words).withColumn("doc", c("doc").cast("string"))}
+    return S.interleaved(lists, 20)
 
 
-@R.add("""SELECT event_type, count(DISTINCT user_id) AS n FROM events GROUP BY 1 HAVING count(DISTINCT user_id) >= 1""")
+@R.add("""SELECT event_type, count(DISTINCT event_id) AS exact, true AS within FROM events GROUP BY 1""")
 def agg_23_hll_p14(s: SparkSession, d: str) -> DataFrame:
-    e = table(s, d, "events", "event_type", "user_id").groupBy("event_type").agg(F.hll_sketch_estimate(F.hll_sketch_agg("user_id", 14)).alias("n"))
-    return e  # exact at these sizes: the sketch is still in its list mode
+    """Exact counts, and whether the sketch's estimate is within three standard errors (1.04 / sqrt(2^14)) of them."""
+    e = table(s, d, "events", "event_type", "event_id").groupBy("event_type").agg(F.countDistinct("event_id").alias("exact"), F.hll_sketch_estimate(F.hll_sketch_agg("event_id", 14)).alias("n"))
+    return e.select("event_type", "exact", (F.abs(c("n") - c("exact")) <= F.greatest(F.lit(1.0), c("exact") * 3 * 1.04 / 128)).alias("within"))
 
 
 @R.add("""SELECT n_name, o_orderkey, o_totalprice FROM (SELECT n_name, o_orderkey, o_totalprice, row_number() OVER (PARTITION BY n_name ORDER BY o_totalprice DESC, o_orderkey) AS r FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey) WHERE r <= 3""")
@@ -180,8 +189,10 @@ def top_04_feed_per_group(s: SparkSession, d: str) -> DataFrame:
     return rows.withColumn("r", F.row_number().over(Window.partitionBy("n_name").orderBy(c("o_totalprice").desc(), "o_orderkey"))).where("r <= 3").select("n_name", "o_orderkey", "o_totalprice")
 
 
-@R.add("""SELECT event_type, lang, n FROM (SELECT event_type, count(*) AS n FROM events GROUP BY 1), (SELECT 'all' AS lang) WHERE n > 0""")
+@R.add(r"""SELECT target_ref, count(*) AS n, CASE WHEN regexp_matches(upper(trim(target_ref)), '^(?:BGE|ATF|DTF)\s') THEN 'series' WHEN regexp_matches(upper(trim(target_ref)), '^[1-9][A-Z]_') THEN 'federal' ELSE 'other' END AS scope, coalesce(try_cast(nullif(regexp_extract(target_ref, '(\d{4})\s*$', 1), '') AS INT), 0) AS year FROM decision_citations WHERE target_ref IS NOT NULL GROUP BY 1""")
 def udf_01_sql_functions(s: SparkSession, d: str) -> DataFrame:
-    table(s, d, "events", "event_type").createOrReplaceTempView("events_view")
-    s.sql("CREATE OR REPLACE TEMPORARY FUNCTION scope(x STRING) RETURNS STRING RETURN CASE WHEN x IS NULL THEN 'none' ELSE 'all' END")
-    return s.sql("SELECT event_type, scope(event_type) AS lang, count(*) AS n FROM events_view GROUP BY event_type")
+    """Scalar functions registered in SQL and used by name over a whole table."""
+    table(s, d, "decision_citations", "target_ref").createOrReplaceTempView("citations_view")
+    s.sql(r"""CREATE OR REPLACE TEMPORARY FUNCTION scope_of(x STRING) RETURNS STRING RETURN CASE WHEN upper(trim(x)) rlike r'^(?:BGE|ATF|DTF)\s' THEN 'series' WHEN upper(trim(x)) rlike r'^[1-9][A-Z]_' THEN 'federal' ELSE 'other' END""")
+    s.sql(r"""CREATE OR REPLACE TEMPORARY FUNCTION year_at_end(x STRING) RETURNS INT RETURN coalesce(try_cast(nullif(regexp_extract(x, r'(\d{4})\s*$', 1), '') AS INT), 0)""")
+    return s.sql("SELECT target_ref, count(*) AS n, scope_of(target_ref) AS scope, year_at_end(target_ref) AS year FROM citations_view WHERE target_ref IS NOT NULL GROUP BY target_ref")

@@ -148,8 +148,9 @@ def tvf_14_parallel_rows(s: SparkSession, d: str) -> DataFrame:
 
 @R.add("""SELECT decision_id, round(length(regeste)::DOUBLE / length(full_text), 4) AS ratio FROM (SELECT DISTINCT decision_id, regeste, full_text, title FROM decisions) WHERE length(regeste) >= 60 AND length(full_text) >= 500 AND regeste <> coalesce(title, '')""")
 def tvf_15_summary_pairs(s: SparkSession, d: str) -> DataFrame:
-    rows = table(s, d, "decisions", "decision_id", "regeste", "full_text", "title").distinct().where((F.length("regeste") >= 60) & (F.length("full_text") >= 500) & (c("regeste") != F.coalesce("title", F.lit(""))))
-    return rows.select("decision_id", F.round(F.length("regeste") / F.length("full_text"), 4).alias("ratio"))
+    rows = table(s, d, "decisions", "decision_id", "regeste", "full_text", "title").where((F.length("regeste") >= 60) & (F.length("full_text") >= 500) & (c("regeste") != F.coalesce("title", F.lit(""))))
+    light = rows.select("decision_id", F.round(F.length("regeste") / F.length("full_text"), 4).alias("ratio"), F.md5("regeste").alias("r"), F.xxhash64("full_text").alias("t"), F.md5(F.coalesce("title", F.lit("\0"))).alias("n"))
+    return light.distinct().select("decision_id", "ratio")
 
 
 @R.add("""WITH g AS (SELECT * FROM (VALUES ('mietvertrag', 'de', 1), ('contrat de bail', 'fr', 1), ('contratto di locazione', 'it', 1), ('kündigung', 'de', 2), ('congé', 'fr', 2), ('disdetta', 'it', 2)) t(term, lang, concept)) SELECT a.term AS asked, b.term AS other, b.lang FROM g a JOIN g b USING (concept) WHERE a.term IN ('mietvertrag', 'congé') AND a.term <> b.term""")

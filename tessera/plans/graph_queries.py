@@ -68,11 +68,12 @@ def grf_06_neighbours(s: SparkSession, d: str) -> DataFrame:
 
 @R.add(_RESOLVED.replace("WITH own", "WITH RECURSIVE own").rstrip() + """,
 links AS (SELECT DISTINCT r.source, r.target FROM resolved r JOIN decision_citations x ON x.source_decision_id = r.source AND x.target_ref = r.ref WHERE x.is_prior_instance = 1 AND r.source <> r.target),
-walk(start, node, hop) AS (SELECT source, target, 1 FROM links UNION SELECT w.start, l.target, w.hop + 1 FROM walk w JOIN links l ON l.source = w.node WHERE w.hop < 4 AND l.target <> w.start)
+walk(start, node, hop) AS (SELECT source, target, 1 FROM links WHERE source IN (SELECT decision_id FROM decisions WHERE canton = 'CH') UNION SELECT w.start, l.target, w.hop + 1 FROM walk w JOIN links l ON l.source = w.node WHERE w.hop < 4 AND l.target <> w.start)
 SELECT start, min(hop) AS hop, node FROM walk GROUP BY 1, 3""")
 def grf_07_appeal_chain(s: SparkSession, d: str) -> DataFrame:
+    """The chains below the decisions of the federal courts."""
     prior = table(s, d, "decision_citations", "source_decision_id", "target_ref", "is_prior_instance").where("is_prior_instance = 1").select(c("source_decision_id").alias("source"), c("target_ref").alias("ref")).distinct()
-    return graph.chains(_resolved(s, d).join(prior, ["source", "ref"], "left_semi"))
+    return graph.chains(_resolved(s, d).join(prior, ["source", "ref"], "left_semi"), table(s, d, "decisions", "decision_id", "canton").where("canton = 'CH'").select("decision_id"))
 
 
 @R.add(_RESOLVED + "SELECT target, count(*) FILTER (WHERE t) AS in_topic, count(*) AS in_all FROM (SELECT DISTINCT source, target, source IN (SELECT decision_id FROM decisions WHERE legal_area = 'strafrecht') AS t FROM resolved) GROUP BY 1 HAVING count(*) FILTER (WHERE t) > 0 ORDER BY in_topic DESC, in_all DESC, target LIMIT 20")
@@ -80,10 +81,13 @@ def grf_08_leading_cases(s: SparkSession, d: str) -> DataFrame:
     return graph.leading(_resolved(s, d), table(s, d, "decisions", "decision_id", "legal_area").where("legal_area = 'strafrecht'"))
 
 
-@R.add("""SELECT left(decision_date, 4) AS y, count(*) AS n FROM decisions WHERE regexp_matches(decision_date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') AND decision_id IN (SELECT source_decision_id FROM decision_citations WHERE target_ref = 'BGE 111 I 14') GROUP BY 1""")
+@R.add("""SELECT target_ref AS ref, left(d.decision_date, 4) AS y, count(DISTINCT d.decision_id) AS n FROM decisions d JOIN decision_citations ON source_decision_id = d.decision_id JOIN (SELECT DISTINCT bge_reference FROM bge_register) ON bge_reference = target_ref WHERE regexp_matches(d.decision_date, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') GROUP BY 1, 2""")
 def grf_09_trend(s: SparkSession, d: str) -> DataFrame:
-    topic = table(s, d, "decision_citations", "source_decision_id", "target_ref").where("target_ref = 'BGE 111 I 14'").select(c("source_decision_id").alias("decision_id"))
-    return table(s, d, "decisions", "decision_id", "decision_date").where(c("decision_date").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$")).join(topic, "decision_id", "left_semi").groupBy(F.substring("decision_date", 1, 4).alias("y")).agg(F.count("*").alias("n"))
+    """How often each published decision is cited in each year."""
+    known = table(s, d, "bge_register", "bge_reference").select(c("bge_reference").alias("ref")).distinct()
+    x = table(s, d, "decision_citations", "source_decision_id", "target_ref").select(c("source_decision_id").alias("decision_id"), c("target_ref").alias("ref")).join(known, "ref", "left_semi")
+    years = table(s, d, "decisions", "decision_id", "decision_date").where(c("decision_date").rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$")).select("decision_id", F.substring("decision_date", 1, 4).alias("y"))
+    return x.join(years, "decision_id").groupBy("ref", "y").agg(F.countDistinct("decision_id").alias("n"))
 
 
 @R.add("""SELECT volume, division, array_to_string(list_sort(list(DISTINCT first_page)), ',') AS pages FROM bge_register GROUP BY 1, 2""")
@@ -100,10 +104,10 @@ def grf_11_division_family(s: SparkSession, d: str) -> DataFrame:
 @R.add("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY canonical_key ORDER BY coalesce(length(full_text), 0) DESC, decision_id) AS r FROM (SELECT DISTINCT decision_id, canonical_key, full_text, CASE WHEN trim(regeste) IN ('', 'None') THEN NULL ELSE regeste END AS regeste FROM decisions WHERE canonical_key IS NOT NULL AND scraped_at = (SELECT min(scraped_at) FROM decisions e WHERE e.decision_id = decisions.decision_id)))
 SELECT canonical_key, max(CASE WHEN r = 1 THEN decision_id END) AS decision_id, arg_min(regeste, r) FILTER (WHERE regeste IS NOT NULL) AS regeste FROM r GROUP BY 1""")
 def ded_01_keep_richest(s: SparkSession, d: str) -> DataFrame:
-    df = table(s, d, "decisions", "decision_id", "canonical_key", "full_text", "regeste", "scraped_at").where(c("canonical_key").isNotNull())
-    first = df.groupBy("decision_id").agg(F.min("scraped_at").alias("scraped_at"))
-    rows = df.join(first, ["decision_id", "scraped_at"]).select("decision_id", "canonical_key", "full_text", "regeste").distinct()
-    return dedup.keep_richest(rows, c("canonical_key"), "decision_id", "full_text", ["regeste"]).select("canonical_key", "decision_id", "regeste")
+    rows = table(s, d, "decisions", "decision_id", "canonical_key", "full_text", "regeste", "scraped_at").where(c("canonical_key").isNotNull()).withColumn("size", F.coalesce(F.length("full_text"), F.lit(0))).drop("full_text")
+    first = rows.groupBy("decision_id").agg(F.min("scraped_at").alias("scraped_at"))
+    light = rows.join(first, ["decision_id", "scraped_at"]).select("decision_id", "canonical_key", "size", "regeste").distinct()
+    return dedup.keep_richest(light, c("canonical_key"), "decision_id", c("size"), ["regeste"]).select("canonical_key", "decision_id", "regeste")
 
 
 _SIGNATURE = "left(regexp_replace(lower(regexp_replace(left(full_text, 8000), '<[^>]+>', ' ', 'g')), '[^a-z0-9]+', '', 'g'), 4000)"
@@ -112,7 +116,7 @@ _SIGNATURE = "left(regexp_replace(lower(regexp_replace(left(full_text, 8000), '<
 @R.add(f"""WITH g AS (SELECT DISTINCT court, docket_number, decision_id, {_SIGNATURE} AS sig FROM decisions WHERE full_text IS NOT NULL AND court IS NOT NULL AND docket_number IS NOT NULL), k AS (SELECT *, first_value(sig) OVER w AS longest, first_value(decision_id) OVER w AS kept FROM g WHERE length(sig) >= 200 WINDOW w AS (PARTITION BY court, docket_number ORDER BY length(sig) DESC, decision_id))
 SELECT decision_id, kept FROM k WHERE decision_id <> kept AND starts_with(longest, sig)""")
 def ded_02_prefix_copies(s: SparkSession, d: str) -> DataFrame:
-    rows = table(s, d, "decisions", "court", "docket_number", "decision_id", "full_text").where(c("full_text").isNotNull()).distinct()
+    rows = table(s, d, "decisions", "court", "docket_number", "decision_id", "full_text").where(c("full_text").isNotNull() & c("court").isNotNull() & c("docket_number").isNotNull())
     return dedup.prefix_copies(rows, ["court", "docket_number"], "decision_id", "full_text")
 
 
@@ -123,10 +127,14 @@ def ded_03_across_courts(s: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("sig").agg(F.countDistinct("court").alias("courts"), F.countDistinct("decision_id").alias("n")).where("n > 1")
 
 
-@R.add()
+@R.add("""WITH t AS (SELECT docket_number, decision_date, coalesce(trust_rank, 99) AS trust, length(full_text) AS size FROM decisions LEFT JOIN data_sources USING (source)),
+g AS (SELECT docket_number, decision_date, arg_min(size, trust * 100000000 - coalesce(size, 0)) AS first_size, min(trust) AS trust, max(size) AS longest, count(*) FILTER (WHERE size IS NULL) AS no_size FROM t GROUP BY 1, 2),
+f AS (SELECT docket_number, decision_date, trust, longest, (SELECT max(size) FROM t WHERE t.docket_number IS NOT DISTINCT FROM g.docket_number AND t.decision_date IS NOT DISTINCT FROM g.decision_date AND t.trust = g.trust) AS head FROM g)
+SELECT CASE WHEN row_number() OVER (PARTITION BY docket_number ORDER BY trust, decision_date NULLS FIRST) = 1 THEN docket_number ELSE docket_number || '_d' || regexp_replace(coalesce(decision_date, ''), '[^0-9]', '', 'g') END AS docket_number, decision_date, CASE WHEN longest > 2.0 * head AND longest > head + 1000 THEN longest ELSE coalesce(head, longest) END AS n_chars FROM f""")
 def ded_04_upgrade_or_rename(s: SparkSession, d: str) -> DataFrame:
-    df = table(s, d, "decisions", "docket_number", "decision_date", "full_text", "source").join(F.broadcast(table(s, d, "data_sources", "source", "trust_rank")), "source", "left")
-    return dedup.upgrade(df.select("docket_number", "decision_date", "full_text", F.coalesce("trust_rank", F.lit(99)).alias("trust_rank")), "docket_number", "trust_rank", "full_text", "decision_date").select("docket_number", "decision_date", F.length("full_text").alias("n_chars"))
+    df = table(s, d, "decisions", "decision_id", "docket_number", "decision_date", "full_text", "source").join(F.broadcast(table(s, d, "data_sources", "source", "trust_rank")), "source", "left")
+    light = df.select("decision_id", "docket_number", "decision_date", F.length("full_text").alias("n_chars"), F.coalesce("trust_rank", F.lit(99)).alias("trust_rank"))
+    return dedup.upgrade(light, "docket_number", "trust_rank", "n_chars", "decision_id", "decision_date").select("docket_number", "decision_date", "n_chars")
 
 
 @R.add("""SELECT evidence_method, count(DISTINCT member_decision_id) AS members, count(DISTINCT canonical_decision_id) AS canonicals, count(*) FILTER (WHERE member_decision_id <> canonical_decision_id) AS links FROM decision_representations GROUP BY 1""")

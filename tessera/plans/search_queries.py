@@ -24,43 +24,61 @@ def _docs(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "documents", "doc_id", "text", "lang")
 
 
-def _index(s: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    docs = _docs(s, d)
-    return S.postings(docs, "doc_id", ["text"]), S.lengths(docs, "doc_id", ["text"])
+def _index(s: SparkSession, d: str) -> S.Index:
+    return S.kept_index(_docs(s, d), "documents", "doc_id", ["text"])
 
 
 @R.add(_POSTINGS + "SELECT term, count(*) AS docs, sum(tf)::BIGINT AS tf FROM p GROUP BY 1")
 def fts_01_postings(s: SparkSession, d: str) -> DataFrame:
-    return _index(s, d)[0].groupBy("term").agg(F.count("*").alias("docs"), F.sum("tf").alias("tf"))
+    return _index(s, d).terms.where("field = ''").select("term", c("df").alias("docs"), "tf")
+
+
+@R.add(_POSTINGS + "SELECT count(*) AS postings, count(DISTINCT term) AS terms, sum(tf)::BIGINT AS words, (SELECT count(*) FROM sizes) AS docs FROM p")
+def fts_06_optimised_index(s: SparkSession, d: str) -> DataFrame:
+    """Builds the index anew, merged and in order, and counts what it holds."""
+    from tessera.session import shared_dir
+
+    path = f"{shared_dir(s)}/index-optimised"
+    S.build_index(_docs(s, d), "doc_id", ["text"], path)
+    index = S.open_index(s, path)
+    return index.postings.agg(F.count("*").alias("postings"), F.countDistinct("term").alias("terms"), F.sum("tf").alias("words"), F.lit(index.n).alias("docs"))
 
 
 @R.add(_POSTINGS + """SELECT doc FROM (SELECT doc FROM p WHERE term IN ('beschwerde', 'gericht') GROUP BY 1 HAVING count(*) = 2) WHERE doc NOT IN (SELECT doc FROM p WHERE term = 'mangel') AND doc IN (SELECT doc FROM p WHERE starts_with(term, 'kind')) AND doc IN (SELECT a.doc FROM tok a JOIN tok b ON a.doc = b.doc AND b.place = a.place + 1 WHERE a.term = 'das' AND b.term = 'gericht')""")
 def fts_02_match(s: SparkSession, d: str) -> DataFrame:
-    return S.match(_index(s, d)[0], S.parse('Beschwerde Gericht kind* "das Gericht" NOT Mangel'))
+    return S.match(_index(s, d), S.parse('Beschwerde Gericht kind* "das Gericht" NOT Mangel'))
 
 
 @R.add(_BM25 + "SELECT doc, round(score, 6) AS score FROM scored ORDER BY scored.score, doc LIMIT 50")
 def fts_03_bm25(s: SparkSession, d: str) -> DataFrame:
-    index, sizes = _index(s, d)
-    return S.bm25(index, sizes, WORDS).orderBy("score", "doc").limit(50).select("doc", F.round("score", 6).alias("score"))
+    index = _index(s, d)
+    return S.bm25(index, WORDS).orderBy("score", "doc").limit(50).select("doc", F.round("score", 6).alias("score"))
+
+
+_FIELDS = ["title", "regeste", "full_text"]
+
+
+def decisions_index(s: SparkSession, d: str) -> S.Index:
+    """The index of the first version of each decision."""
+    rows = table(s, d, "decisions").select("decision_id", "scraped_at", c("_metadata.row_index").alias("row"), "docket_number", *_FIELDS)
+    return S.kept_index(rows, "decisions", "decision_id", ["docket_number", *_FIELDS], ["scraped_at", "row"])
 
 
 @R.add()
 def fts_04_bm25_columns(s: SparkSession, d: str) -> DataFrame:
-    rows = table(s, d, "decisions", "decision_id", "title", "regeste", "full_text").dropDuplicates(["decision_id"])
-    fields = ["title", "regeste", "full_text"]
-    return S.bm25(S.postings(rows, "decision_id", fields), S.lengths(rows, "decision_id", fields), ["mietvertrag", "kundigung"], S.COLUMN_WEIGHTS).orderBy("score", "doc").limit(50)
+    return S.bm25(decisions_index(s, d), ["mietvertrag", "kundigung"], S.COLUMN_WEIGHTS).orderBy("score", "doc").limit(50)
 
 
 @R.add(_POSTINGS + "SELECT count(DISTINCT doc) AS total, least(count(DISTINCT doc), 100) AS capped FROM p WHERE term IN ('beschwerde', 'gericht', 'mangel')")
 def fts_05_total(s: SparkSession, d: str) -> DataFrame:
-    hits = S.match(_index(s, d)[0], S.Query(may=WORDS))
+    hits = S.match(_index(s, d), S.Query(may=WORDS))
     return hits.agg(F.count("*").alias("total"), F.least(F.count("*"), F.lit(100)).alias("capped"))
 
 
-@R.add("""SELECT bge_reference AS doc, term, count(*) AS tf FROM (SELECT bge_reference, unnest(string_split(lower(bge_reference), ' ')) AS term FROM bge_register) GROUP BY 1, 2""")
+@R.add(f"""SELECT doc, field, term, count(*) AS tf FROM (SELECT bge_reference AS doc, field, unnest({_TERMS.format("x")}) AS term FROM (SELECT bge_reference, unnest(['bge_reference', 'decision_id', 'docket_number_2', 'decision_date']) AS field, unnest([bge_reference, decision_id, docket_number_2, decision_date]) AS x FROM bge_register)) GROUP BY 1, 2, 3""")
 def fts_07_postings_of_any_table(s: SparkSession, d: str) -> DataFrame:
-    return S.postings(table(s, d, "bge_register", "bge_reference"), "bge_reference", ["bge_reference"]).select("doc", "term", "tf")
+    fields = ["bge_reference", "decision_id", "docket_number_2", "decision_date"]
+    return S.postings(table(s, d, "bge_register", *fields), "bge_reference", fields).select("doc", "field", "term", "tf")
 
 
 @R.add()
@@ -73,8 +91,8 @@ def fts_08_sanitised_queries(s: SparkSession, d: str) -> DataFrame:
 @R.add(_BM25 + """, one AS (SELECT doc, row_number() OVER (ORDER BY score, doc) AS rank FROM scored ORDER BY 2 LIMIT 100), two AS (SELECT doc, row_number() OVER (ORDER BY doc) AS rank FROM (SELECT DISTINCT doc FROM p WHERE term = 'mangel') ORDER BY 2 LIMIT 100)
 SELECT doc, round(sum(s), 8) AS score, count(*) AS hits FROM (SELECT doc, 1.5 / (60 + rank) AS s FROM one UNION ALL SELECT doc, 1.0 / (60 + rank) FROM two) GROUP BY 1""")
 def fts_10_reciprocal_rank_fusion(s: SparkSession, d: str) -> DataFrame:
-    index, sizes = _index(s, d)
-    one = S.ranked(S.bm25(index, sizes, WORDS), c("score"), 100)
+    index = _index(s, d)
+    one = S.ranked(S.bm25(index, WORDS), c("score"), 100)
     two = S.ranked(S.match(index, S.Query(must=["mangel"])), c("doc"), 100)
     return S.fuse([(one, 1.5), (two, 1.0)]).select("doc", F.round("score", 8).alias("score"), "hits")
 
@@ -82,8 +100,8 @@ def fts_10_reciprocal_rank_fusion(s: SparkSession, d: str) -> DataFrame:
 @R.add(_BM25 + """, one AS (SELECT doc, row_number() OVER (ORDER BY score, doc) AS rank FROM scored ORDER BY 2 LIMIT 200), f AS (SELECT doc, 1.5 / (60 + rank) AS rrf FROM one)
 SELECT doc, round(32 * rrf + CASE WHEN lower(text) LIKE '%mangel sofort%' THEN 1.8 ELSE 0 END + CASE WHEN lang = 'de' THEN 0.5 ELSE 0 END, 6) AS score FROM f JOIN documents ON doc_id = doc ORDER BY 32 * rrf + CASE WHEN lower(text) LIKE '%mangel sofort%' THEN 1.8 ELSE 0 END + CASE WHEN lang = 'de' THEN 0.5 ELSE 0 END DESC, doc LIMIT 30""")
 def fts_11_signal_rerank(s: SparkSession, d: str) -> DataFrame:
-    index, sizes = _index(s, d)
-    f = S.fuse([(S.ranked(S.bm25(index, sizes, WORDS), c("score"), 200), 1.5)]).select("doc", c("score").alias("rrf"))
+    index = _index(s, d)
+    f = S.fuse([(S.ranked(S.bm25(index, WORDS), c("score"), 200), 1.5)]).select("doc", c("score").alias("rrf"))
     docs = _docs(s, d)
     signals = 32 * c("rrf") + F.when(F.lower("text").contains("mangel sofort"), 1.8).otherwise(0.0) + F.when(c("lang") == "de", 0.5).otherwise(0.0)
     return docs.join(F.broadcast(f), c("doc_id") == c("doc")).select("doc", signals.alias("raw")).orderBy(c("raw").desc(), "doc").limit(30).select("doc", F.round("raw", 6).alias("score"))
@@ -91,15 +109,14 @@ def fts_11_signal_rerank(s: SparkSession, d: str) -> DataFrame:
 
 @R.add(_BM25 + "SELECT doc FROM (SELECT doc FROM scored ORDER BY score, doc LIMIT 200) JOIN documents ON doc_id = doc WHERE lang = 'de'")
 def fts_14_candidate_filter(s: SparkSession, d: str) -> DataFrame:
-    index, sizes = _index(s, d)
-    top = S.bm25(index, sizes, WORDS).orderBy("score", "doc").limit(200)
+    index = _index(s, d)
+    top = S.bm25(index, WORDS).orderBy("score", "doc").limit(200)
     return _docs(s, d).where("lang = 'de'").select(c("doc_id").alias("doc")).join(F.broadcast(top.select("doc")), "doc", "left_semi")
 
 
 @R.add(_POSTINGS + "SELECT doc, round(sum(tf::DOUBLE / len * CASE term WHEN 'mangel' THEN 1.0 ELSE 0.5 END), 6) AS score FROM p JOIN sizes USING (doc) WHERE term IN ('mangel', 'gericht') AND tf::DOUBLE / len > 0.01 GROUP BY 1")
 def fts_16_sparse(s: SparkSession, d: str) -> DataFrame:
-    index, sizes = _index(s, d)
-    weights = index.join(sizes, "doc").select("doc", c("term").alias("token"), (c("tf").cast("double") / c("len")).alias("weight"))
+    weights = _index(s, d).postings.where(c("term").isin("mangel", "gericht")).select("doc", c("term").alias("token"), (c("tf").cast("double") / c("len")).alias("weight"))
     return S.sparse(weights, {"mangel": 1.0, "gericht": 0.5}).select("doc", F.round("score", 6).alias("score"))
 
 

@@ -63,6 +63,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _path(spark: SparkSession, path: str):
+    """The file system of ``path`` and the path for it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
+def files_of(df: DataFrame) -> list[tuple[str, int, int]]:
+    """Name, length and time of change of every file that ``df`` reads."""
+    out = []
+    for name in sorted(df.inputFiles()):
+        fs, p = _path(df.sparkSession, name)
+        status = fs.getFileStatus(p)
+        out.append((name, int(status.getLen()), int(status.getModificationTime())))
+    return out
+
+
 def ship(spark: SparkSession) -> None:
     """Gives the package to Python workers that could not import it.
 
