@@ -19,15 +19,47 @@ def mad_band(df: DataFrame, by: list[str], value: str, k: float = 5.0, least: in
     return spread.where(F.col("_n") >= least).select(*by, "middle", (F.col("middle") - half).alias("low"), (F.col("middle") + half).alias("high"))
 
 
-def floor_percentiles(df: DataFrame, by: list[str], value: str, shares: list[float]) -> DataFrame:
-    """by and a column pNN for each share: the value at index min(floor(share * n), n - 1) of the sorted values.
+def percentiles(df: DataFrame, by: list[str], value: str, shares: list[float], interpolate: bool, buckets: int = 64) -> DataFrame:
+    """by and a column pNN for each share, exactly: of the n sorted values the one at ``min(floor(share * n), n - 1)``, or interpolated at ``share * (n - 1)``.
 
-    Ranks come from a window over each group; nothing is collected.
+    Equal values are counted first. Approximate quantiles cut each group's
+    values into ``buckets``; their counts tell in which bucket each wanted rank
+    lies, and only those buckets are sorted, so that no task sorts a whole group.
+    Null values and groups without any others are left out.
     """
-    w = Window.partitionBy(*by)
-    ranked = df.where(F.col(value).isNotNull()).withColumn("_i", F.row_number().over(w.orderBy(value)) - 1).withColumn("_n", F.count("*").over(w))
-    picks = [F.max(F.when(F.col("_i") == F.least(F.floor(p * F.col("_n")), F.col("_n") - 1), F.col(value))).alias(f"p{round(p * 100)}") for p in shares]
-    return ranked.groupBy(*by).agg(*picks)
+    counted = df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_c"))
+    cuts = counted.groupBy(*by).agg(F.percentile_approx("_v", [k / buckets for k in range(1, buckets)], 1000).alias("_cuts"), F.sum("_c").alias("_n"))
+    placed = counted.join(cuts, by).withColumn("_b", F.size(F.filter("_cuts", lambda x: x < F.col("_v")))).drop("_cuts")
+    # a row for each group and bucket
+    before = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = placed.groupBy(*by, "_b").agg(F.sum("_c").alias("_size")).withColumn("_start", F.coalesce(F.sum("_size").over(before), F.lit(0)))
+    n = F.col("_n")
+    if interpolate:
+        ranks = [r for p in shares for r in (F.floor(p * (n - 1)), F.ceil(p * (n - 1)))]
+    else:
+        ranks = [F.least(F.floor(p * n), n - 1) for p in shares]
+    inside = lambda r: (F.col("_start") <= r) & (r < F.col("_start") + F.col("_size"))
+    near = placed.join(starts, [*by, "_b"]).where(F.exists(F.array(*ranks), inside))
+    upto = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    ranged = near.withColumn("_at", F.col("_start") + F.coalesce(F.sum("_c").over(upto), F.lit(0)))
+    held = lambda r: F.max(F.when((F.col("_at") <= r) & (r < F.col("_at") + F.col("_c")), F.col("_v")))
+    wide = ranged.groupBy(*by, "_n").agg(*[held(r).alias(f"_{k}") for k, r in enumerate(ranks)])
+    if not interpolate:
+        return wide.select(*by, *[F.col(f"_{k}").alias(f"p{round(p * 100)}") for k, p in enumerate(shares)])
+    part = lambda p: p * (n - 1) - F.floor(p * (n - 1))
+    return wide.select(*by, *[(F.col(f"_{2 * k}") + part(p) * (F.col(f"_{2 * k + 1}") - F.col(f"_{2 * k}"))).alias(f"p{round(p * 100)}") for k, p in enumerate(shares)])
+
+
+def positions(df: DataFrame, keys: list[str], name: str = "pos") -> DataFrame:
+    """``df`` with the position of each row, from 0, in the order of ``keys``: sorted ranges and the ranges' offsets, so no task sees all rows."""
+    from tessera.session import materialize
+
+    sort = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    ranged = materialize(sort.withColumn("_part", F.spark_partition_id()).withColumn("_in", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "ranges")
+    sizes = ranged.groupBy("_part").agg(F.max("_in").alias("n")).withColumn("n", F.col("n") + 1)
+    # a row for each range
+    starts = sizes.withColumn("_start", F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(1)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    return ranged.join(F.broadcast(starts.select("_part", "_start")), "_part").withColumn(name, F.col("_start") + F.col("_in")).drop("_part", "_in", "_start")
 
 
 def merkle_root(df: DataFrame, order: str, leaf: Column) -> DataFrame:
@@ -41,10 +73,7 @@ def merkle_root(df: DataFrame, order: str, leaf: Column) -> DataFrame:
     from tessera.session import materialize
 
     hashed = df.select(F.col(order).alias("k"), F.sha2(F.concat(F.lit(b"\x00"), leaf.cast("binary")), 256).alias("h"))
-    ranged = materialize(hashed.repartitionByRange("k").sortWithinPartitions("k").withColumn("part", F.spark_partition_id()).withColumn("in_part", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "leaves")
-    sizes = ranged.groupBy("part").agg(F.max("in_part").alias("n")).withColumn("n", F.col("n") + 1)
-    starts = sizes.withColumn("start", F.coalesce(F.sum("n").over(Window.partitionBy(F.lit(1)).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    level = ranged.join(F.broadcast(starts.select("part", "start")), "part").select((F.col("start") + F.col("in_part")).alias("i"), "h")
+    level = positions(hashed, ["k"], "i").select("i", "h")
     n = left = df.count()
     while left > 1:
         both = level.groupBy(F.floor(F.col("i") / 2).alias("j")).agg(F.min(F.struct("i", "h")).alias("a"), F.max(F.struct("i", "h")).alias("b"))
@@ -81,9 +110,13 @@ def retrieval_metrics(results: DataFrame, relevant: DataFrame, k: int = 10) -> D
     return j.select("query", z(1.0 / F.col("first")).alias("mrr"), z(F.col("n") / F.col("all")).alias("recall"), z(F.col("dcg") / best).alias("ndcg"), z((F.col("first") == 1).cast("double")).alias("hit1"))
 
 
-def noisy_count(n: Column, seed: int, epsilon: float = 1.0, least: int = 10) -> Column:
-    """The count with Laplace noise of scale 1/epsilon, never negative; null below ``least``."""
-    u = F.rand(seed) - 0.5
+def noisy_count(n: Column, seed: int, key: Column | None = None, epsilon: float = 1.0, least: int = 10) -> Column:
+    """The count with Laplace noise of scale 1/epsilon, never negative; null below ``least``.
+
+    The noise follows from ``key`` and ``seed``, so that a count asked for again
+    has the same one, and asking often tells no more.
+    """
+    u = F.conv(F.substring(F.md5(F.concat((n if key is None else key).cast("string"), F.lit(f"#{seed}"))), 1, 8), 16, 10).cast("double") / float(1 << 32) - 0.5
     return F.when(n >= least, F.greatest(F.lit(0.0), F.bround(n + F.lit(1 / epsilon) * F.signum(u) * F.log(1 - 2 * F.abs(u)))).cast("bigint"))
 
 

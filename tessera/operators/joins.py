@@ -38,11 +38,29 @@ def asof_join(left: DataFrame, right: DataFrame, by: list[str], at: str, start:
     return best.select("_m.*")
 
 
-def nearest_before(events: DataFrame, shown: DataFrame, keys: list[str], event_time: str, shown_time: str, event_id: list[str]) -> DataFrame:
-    """Credits each event to the nearest earlier row of ``shown`` with the same keys."""
-    pairs = events.join(shown, keys).where(F.col(event_time) > F.col(shown_time))
-    best = Window.partitionBy(*event_id).orderBy(F.col(shown_time).desc())
-    return pairs.withColumn("_r", F.row_number().over(best)).where("_r = 1").drop("_r")
+def nearest_before(events: DataFrame, shown: DataFrame, keys: list[str], event_time: str, shown_time: str, width: int = 86_400) -> DataFrame:
+    """Credits each event to the nearest earlier row of ``shown`` with the same keys; events without one are left out.
+
+    Both sides are cut into blocks of ``width`` seconds. The last row of each
+    block is carried over to later ones, one row for each key and block; within
+    its block an event looks back. No pairs are formed, and a hot key is spread
+    over its blocks. What is shown at the event's own time is not earlier.
+    """
+    block = lambda t: F.floor(F.unix_seconds(F.col(t).cast("timestamp")) / width)
+    extra = [x for x in shown.columns if x not in keys]
+    seen = shown.select(*keys, block(shown_time).alias("_b"), F.struct(F.col(shown_time).alias("_t"), *extra).alias("_s"))
+    asked = events.select(*keys, block(event_time).alias("_b"), F.col(event_time).alias("_t"), F.struct(*events.columns).alias("_e"))
+    nothing = lambda df, name: F.lit(None).cast(df.schema[name].dataType)
+    lasts = seen.groupBy(*keys, "_b").agg(F.max("_s").alias("_l"))
+    blocks = lasts.unionByName(asked.select(*keys, "_b").distinct().withColumn("_l", nothing(lasts, "_l"))).groupBy(*keys, "_b").agg(F.max("_l").alias("_l"))
+    # a row for each block of a key
+    earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carried = blocks.withColumn("_c", F.max("_l").over(earlier)).select(*keys, "_b", "_c")
+    both = asked.withColumn("_s", nothing(seen, "_s")).unionByName(seen.withColumn("_t", F.col("_s._t")).withColumn("_e", nothing(asked, "_e")))
+    before = Window.partitionBy(*keys, "_b").orderBy("_t", F.col("_s").isNotNull()).rowsBetween(Window.unboundedPreceding, -1)
+    near = both.withColumn("_n", F.last("_s", ignorenulls=True).over(before)).where(F.col("_e").isNotNull()).join(carried, [*keys, "_b"], "left")
+    found = near.withColumn("_m", F.coalesce("_n", "_c")).where(F.col("_m").isNotNull())
+    return found.select("_e.*", *[F.col(f"_m.{x}").alias(x) for x in extra])
 
 
 def key_index(sources: list[DataFrame], key: str, value: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -108,12 +108,12 @@ def agg_16_day_cells(s: SparkSession, d: str) -> DataFrame:
 
 @R.add("""SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95 FROM events GROUP BY 1""")
 def agg_17_interpolated_percentile(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "events", "event_type", "value").groupBy("event_type").agg(F.round(F.percentile("value", 0.5), 6).alias("p50"), F.round(F.percentile("value", 0.95), 6).alias("p95"))
+    return table(s, d, "events", "event_type", "value").transform(lambda df: A.percentiles(df, ["event_type"], "value", [0.5, 0.95], True)).select("event_type", F.round("p50", 6).alias("p50"), F.round("p95", 6).alias("p95"))
 
 
 @R.add("""SELECT event_type, max(CASE WHEN i = least(floor(0.5 * n), n - 1) THEN value END) AS p50, max(CASE WHEN i = least(floor(0.95 * n), n - 1) THEN value END) AS p95 FROM (SELECT event_type, value, row_number() OVER (PARTITION BY event_type ORDER BY value) - 1 AS i, count(*) OVER (PARTITION BY event_type) AS n FROM events WHERE value IS NOT NULL) GROUP BY 1""")
 def agg_18_floor_percentile(s: SparkSession, d: str) -> DataFrame:
-    return A.floor_percentiles(table(s, d, "events", "event_type", "value"), ["event_type"], "value", [0.5, 0.95])
+    return A.percentiles(table(s, d, "events", "event_type", "value"), ["event_type"], "value", [0.5, 0.95], False)
 
 
 @R.add("""WITH n AS (SELECT event_type, ts::DATE AS day, count(*)::DOUBLE AS v FROM events GROUP BY 1, 2), m AS (SELECT event_type, median(v) AS middle FROM n GROUP BY 1) SELECT event_type, middle, middle - greatest(5 * mad, 0.05 * middle) AS low, middle + greatest(5 * mad, 0.05 * middle) AS high FROM (SELECT event_type, middle, median(abs(v - middle)) AS mad FROM n JOIN m USING (event_type) GROUP BY 1, 2)""")
@@ -122,10 +122,15 @@ def agg_19_mad_band(s: SparkSession, d: str) -> DataFrame:
     return A.mad_band(n, ["event_type"], "v")
 
 
-@R.add("""SELECT event_type, true AS close FROM events GROUP BY 1""")
+def _close(estimate: Column, exact: Column, lg: int = 12) -> Column:
+    return F.abs(estimate - exact) <= F.greatest(F.lit(1.0), exact * 3 * 1.04 / 2 ** (lg / 2))
+
+
+@R.add("""SELECT event_type, count(DISTINCT event_id) AS exact, true AS close FROM events GROUP BY 1""")
 def agg_20_hll_estimate(s: SparkSession, d: str) -> DataFrame:
-    n = table(s, d, "events", "event_type", "user_id").groupBy("event_type").agg(F.hll_sketch_estimate(F.hll_sketch_agg("user_id", 12)).alias("e"), F.countDistinct("user_id").alias("n"))
-    return n.select("event_type", (F.abs(c("e") - c("n")) <= 0.05 * c("n") + 1).alias("close"))
+    """Exact counts, and whether the estimate is within three standard errors (1.04 / sqrt(2^12)) of them."""
+    n = table(s, d, "events", "event_type", "event_id").groupBy("event_type").agg(F.hll_sketch_estimate(F.hll_sketch_agg("event_id", 12)).alias("e"), F.countDistinct("event_id").alias("exact"))
+    return n.select("event_type", "exact", _close(c("e"), c("exact")).alias("close"))
 
 
 @R.add()
@@ -133,12 +138,13 @@ def agg_21_hll_wire(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "events", "event_type", "user_id").groupBy("event_type").agg(F.concat(F.lit("12:"), F.base64(F.hll_sketch_agg("user_id", 12))).alias("sketch"))
 
 
-@R.add("""SELECT strftime(ts, '%G-W%V') AS week, true AS close FROM events GROUP BY 1""")
+@R.add("""SELECT strftime(ts, '%G-W%V') AS week, count(DISTINCT event_id) AS exact, true AS close FROM events GROUP BY 1""")
 def agg_22_hll_union(s: SparkSession, d: str) -> DataFrame:
-    daily = table(s, d, "events", "ts", "user_id").groupBy(F.to_date("ts").alias("day")).agg(F.hll_sketch_agg("user_id", 12).alias("sketch"))
+    """Weekly counts from daily sketches, beside the exact ones."""
+    daily = table(s, d, "events", "ts", "event_id").groupBy(F.to_date("ts").alias("day")).agg(F.hll_sketch_agg("event_id", 12).alias("sketch"))
     weekly = daily.groupBy(T.iso_week(c("day")).alias("week")).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("e"))
-    exact = table(s, d, "events", "ts", "user_id").groupBy(T.iso_week(c("ts")).alias("week")).agg(F.countDistinct("user_id").alias("n"))
-    return weekly.join(exact, "week").select("week", (F.abs(c("e") - c("n")) <= 0.05 * c("n") + 1).alias("close"))
+    exact = table(s, d, "events", "ts", "event_id").groupBy(T.iso_week(c("ts")).alias("week")).agg(F.countDistinct("event_id").alias("exact"))
+    return weekly.join(exact, "week").select("week", "exact", _close(c("e"), c("exact")).alias("close"))
 
 
 @R.add("""SELECT week, sum(n)::BIGINT AS n, max(n) AS most, count(*) AS days FROM (SELECT strftime(ts, '%G-W%V') AS week, ts::DATE AS day, count(*) AS n FROM events GROUP BY 1, 2) GROUP BY 1""")
@@ -147,10 +153,10 @@ def agg_24_weekly_rollup(s: SparkSession, d: str) -> DataFrame:
     return daily.groupBy("week").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.count("*").alias("days"))
 
 
-@R.add()
+@R.add("""WITH n AS (SELECT event_type, count(DISTINCT user_id) AS n, ('0x' || substr(md5(event_type || '#42'), 1, 8))::BIGINT / 4294967296.0 - 0.5 AS u FROM events GROUP BY 1) SELECT event_type, CASE WHEN n >= 10 THEN greatest(0, round_even(n + sign(u) * ln(1 - 2 * abs(u)), 0))::BIGINT END AS n_noisy FROM n""")
 def agg_25_noisy_counts(s: SparkSession, d: str) -> DataFrame:
     n = table(s, d, "events", "event_type", "user_id").groupBy("event_type").agg(F.countDistinct("user_id").alias("n"))
-    return n.select("event_type", A.noisy_count(c("n"), 42).alias("n_noisy"))
+    return n.select("event_type", A.noisy_count(c("n"), 42, c("event_type")).alias("n_noisy"))
 
 
 @R.add("""SELECT event_type, count(*) AS n FROM events WHERE ts::DATE > (SELECT max(ts::DATE) FROM events) - 7 GROUP BY 1""")

@@ -55,7 +55,7 @@ def inc_10_streaming_windows(s: SparkSession, d: str) -> DataFrame:
 
     stream = s.readStream.schema(C.EVENTS).option("pathGlobFilter", "events.parquet").parquet(d)
     name = f"windows_{uuid.uuid4().hex[:8]}"
-    out = C.run_available(C.tumbling(stream, "ts", "event_type", late="40 days"), name, "complete", f"{shared_dir(s)}/{name}")
+    out = C.run_available(C.tumbling(stream, "ts", "event_type", late="40 days"), "rows", "complete", f"{shared_dir(s)}/{name}")
     return out.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
@@ -63,8 +63,12 @@ def inc_10_streaming_windows(s: SparkSession, d: str) -> DataFrame:
 def inc_11_idempotent_rollup(s: SparkSession, d: str) -> DataFrame:
     from tessera.functions.text import iso_week
 
-    weekly = table(s, d, "events", "ts").groupBy(iso_week(c("ts")).alias("week")).agg(F.count("*").alias("n"))
-    return I.rollup_rewrite(weekly, weekly.where("week >= '2024-W03'"), "week")
+    """Weeks rolled up while the last three days were missing; those that these touch are rolled up again."""
+    events = table(s, d, "events", "ts").withColumn("week", iso_week(c("ts")))
+    cut = F.lit(events.agg(F.max("ts")).first()[0]).cast("timestamp_ntz") - F.expr("INTERVAL '3' DAY")
+    late = events.where(c("ts") >= cut)
+    rolled = lambda df: df.groupBy("week").agg(F.count("*").alias("n"))
+    return I.rollup_rewrite(rolled(events.where(c("ts") < cut)), rolled(events.join(late.select("week").distinct(), "week", "left_semi")), "week")
 
 
 @R.add("""WITH e AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), g AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM e) SELECT user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS n FROM g GROUP BY user_id, k""")
@@ -124,7 +128,7 @@ def inc_07_seen_set(s: SparkSession, d: str) -> DataFrame:
 
     stream = s.readStream.schema(C.EVENTS).option("pathGlobFilter", "events.parquet").parquet(d)
     name = f"seen_{uuid.uuid4().hex[:8]}"
-    seen = C.run_available(C.once(stream, "user_id", "ts", "60 days").select("user_id"), name, "append", f"{shared_dir(s)}/{name}")
+    seen = C.run_available(C.once(stream, "user_id", "ts", "60 days").select("user_id"), "rows", "append", f"{shared_dir(s)}/{name}")
     return seen.join(table(s, d, "events", "user_id", "event_id"), "user_id").groupBy("user_id").agg(F.min("event_id").alias("first_event"))
 
 
@@ -134,17 +138,17 @@ def inc_26_verdicts_from_stream(s: SparkSession, d: str) -> DataFrame:
 
     stream = s.readStream.schema(C.EVENTS).option("pathGlobFilter", "events.parquet").parquet(d)
     name = f"visitors_{uuid.uuid4().hex[:8]}"
-    out = C.run_available(C.visitors(stream, "ts"), name, "update", f"{shared_dir(s)}/{name}")
+    out = C.run_available(C.visitors(stream, "ts"), "rows", "update", f"{shared_dir(s)}/{name}")
     last = out.groupBy("user_id").agg(F.max_by("verdict", "n").alias("verdict"))
     return last.groupBy("verdict").agg(F.count("*").alias("visitors"))
 
 
-@R.add("""SELECT target_ref AS k, CASE WHEN citation_count > 3 THEN 1 ELSE 0 END AS retry_count FROM citation_gaps""")
+@R.add("""SELECT target_ref AS k, CASE WHEN citation_count > 3 THEN 1 ELSE 0 END AS retry_count, CASE WHEN citation_count > 3 THEN strftime(checked_at::DATE + 7, '%Y-%m-%d') END AS next_retry_at FROM citation_gaps""")
 def inc_18_retry(s: SparkSession, d: str) -> DataFrame:
     gaps = table(s, d, "citation_gaps", "target_ref", "citation_count", "checked_at")
     queue = gaps.select(c("target_ref").alias("k"), F.lit(0).alias("retry_count"), F.lit(None).cast("date").alias("next_retry_at"))
     failed = gaps.where("citation_count > 3").select(c("target_ref").alias("k"), F.to_date("checked_at").alias("at"))
-    return I.retry(queue, failed, "k", "at").select("k", "retry_count")
+    return I.retry(queue, failed, "k", "at").select("k", "retry_count", c("next_retry_at").cast("string").alias("next_retry_at"))
 
 
 @R.add("""SELECT event_type, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events WHERE ts >= DATE '2024-01-30' - 10 GROUP BY 1, 2""")
@@ -153,8 +157,7 @@ def inc_22_history_window(s: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("event_type", F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count("*").alias("n"))
 
 
-@R.add("""SELECT doc_id FROM documents WHERE doc_id > 300""")
+@R.add("""SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)""")
 def inc_23_resume(s: SparkSession, d: str) -> DataFrame:
-    """What an earlier run has not done: an anti-join on its keys, not an offset."""
-    docs = table(s, d, "documents", "doc_id")
-    return docs.join(docs.where("doc_id <= 300"), "doc_id", "left_anti")
+    """The documents that an earlier run has not embedded: an anti-join on its keys, not an offset."""
+    return table(s, d, "documents", "doc_id").join(table(s, d, "embeddings", "vec_id").withColumnRenamed("vec_id", "doc_id"), "doc_id", "left_anti")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.functions import text as T
 from tessera.operators import joins as J
+from tessera.operators.aggregates import positions
 from tessera.plans.registry import Registry
 from tessera.plans.scalar_queries import graph_docket_sql
 from tessera.sources.tables import table
@@ -137,7 +138,7 @@ def join_17_nearest_earlier(s: SparkSession, d: str) -> DataFrame:
     e = table(s, d, "events", "event_id", "user_id", "event_type", "ts")
     bought = e.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
     seen = e.where("event_type = 'view'").select("user_id", c("ts").alias("shown_at"))
-    return J.nearest_before(bought, seen, ["user_id"], "ts", "shown_at", ["event_id"]).select("event_id", "user_id", "shown_at")
+    return J.nearest_before(bought, seen, ["user_id"], "ts", "shown_at").select("event_id", "user_id", "shown_at")
 
 
 @R.add(r"""WITH t AS (SELECT doc_id, unnest(regexp_extract_all(left(text, 600), '[0-9][A-Z]_[0-9]{1,5}/[0-9]{4}')) AS token, generate_subscripts(regexp_extract_all(left(text, 600), '[0-9][A-Z]_[0-9]{1,5}/[0-9]{4}'), 1) AS pos FROM documents), k AS (SELECT docket_number AS token, min(decision_id) AS decision_id, count(DISTINCT decision_id) AS n FROM decisions GROUP BY 1),
@@ -255,23 +256,32 @@ def top_03_newest_of_each_court(s: SparkSession, d: str) -> DataFrame:
 @R.add("""SELECT docket_number, row_number() OVER (ORDER BY list_transform(regexp_extract_all(docket_number, '[0-9]+'), lambda x: x::BIGINT), docket_number) AS pos FROM (SELECT DISTINCT docket_number FROM version_removals)""")
 def top_05_natural_sort(s: SparkSession, d: str) -> DataFrame:
     key = F.transform(F.regexp_extract_all("docket_number", F.lit("[0-9]+"), F.lit(0)), lambda x: x.cast("bigint"))
-    return table(s, d, "version_removals", "docket_number").distinct().select("docket_number", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy(key, "docket_number")).alias("pos"))
+    rows = table(s, d, "version_removals", "docket_number").distinct().select("docket_number", key.alias("key"))
+    return positions(rows, ["key", "docket_number"]).select("docket_number", (c("pos") + 1).alias("pos"))
 
 
-@R.add()
+def _drawn(*keys: str, seed: int = 42) -> Column:
+    """A row's place in a sample: it follows from the row and the seed, not from partitions."""
+    return F.md5(F.concat_ws("-", *keys, F.lit(f"#{seed}")))
+
+
+@R.add("""SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY md5(l_orderkey || '-' || l_linenumber || '-#42'), l_orderkey, l_linenumber LIMIT 100""")
 def top_06_random_sample(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "lineitem", "l_orderkey", "l_linenumber").orderBy(F.rand(42)).limit(100)
+    return table(s, d, "lineitem", "l_orderkey", "l_linenumber").orderBy(_drawn("l_orderkey", "l_linenumber"), "l_orderkey", "l_linenumber").limit(100)
 
 
-@R.add()
+@R.add("""SELECT target_type, source_decision_id, target_ref FROM (SELECT *, row_number() OVER (PARTITION BY target_type ORDER BY md5(concat_ws('-', source_decision_id, target_ref, '#42')), source_decision_id, target_ref) AS r FROM (SELECT DISTINCT target_type, source_decision_id, target_ref FROM decision_citations)) WHERE r <= 50""")
 def top_07_stratified_sample(s: SparkSession, d: str) -> DataFrame:
+    """A sample of each type; Spark keeps the best fifty of each task before it brings a type together."""
     df = table(s, d, "decision_citations", "target_type", "source_decision_id", "target_ref").distinct()
-    return df.withColumn("r", F.row_number().over(Window.partitionBy("target_type").orderBy(F.rand(42)))).where("r <= 50").drop("r")
+    order = Window.partitionBy("target_type").orderBy(_drawn("source_decision_id", "target_ref"), "source_decision_id", "target_ref")
+    return df.withColumn("r", F.row_number().over(order)).where("r <= 50").drop("r")
 
 
-@R.add()
+@R.add("""SELECT ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 8 AS shard, count(*) AS n FROM documents GROUP BY 1""")
 def top_08_hash_shards(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents", "doc_id").groupBy(F.pmod(F.xxhash64("doc_id"), F.lit(8)).alias("shard")).agg(F.count("*").alias("n"))
+    shard = F.conv(F.substring(F.md5(c("doc_id").cast("string")), 1, 8), 16, 10).cast("bigint") % 8
+    return table(s, d, "documents", "doc_id").groupBy(shard.alias("shard")).agg(F.count("*").alias("n"))
 
 
 @R.add("""SELECT DISTINCT id FROM (SELECT decision_id AS id FROM decisions UNION SELECT decision_id FROM bge_register)""")

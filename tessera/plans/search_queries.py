@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,9 +84,15 @@ def fts_07_postings_of_any_table(s: SparkSession, d: str) -> DataFrame:
 
 @R.add()
 def fts_08_sanitised_queries(s: SparkSession, d: str) -> DataFrame:
-    texts = ["Art. 64 StGB Verwahrung", "Obligationenrecht OR", "Miete OR Pacht", '"Treu und Glauben"', "", "OR", 'a "b', "4A_291/2017"]
-    rows = [(t, q.must, q.may, q.never, [" ".join(p) for p in q.phrases]) for t in texts for q in [S.parse(t)]]
-    return s.createDataFrame(rows, "query string, must array<string>, may array<string>, never array<string>, phrases array<string>")
+    """Every reference once recorded as unresolved, read as a query."""
+    schema = "must array<string>, may array<string>, never array<string>, phrases array<string>"
+
+    @F.pandas_udf(schema)
+    def read(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([(q.must, q.may, q.never, [" ".join(p) for p in q.phrases]) for q in map(S.parse, texts)], columns=["must", "may", "never", "phrases"])
+
+    rows = table(s, d, "citation_gaps", "target_ref").where(c("target_ref").isNotNull())
+    return rows.select("target_ref", read("target_ref").alias("q")).select("target_ref", *[F.array_join(f"q.{k}", " ").alias(k) for k in ("must", "may", "never", "phrases")])
 
 
 @R.add(_BM25 + """, one AS (SELECT doc, row_number() OVER (ORDER BY score, doc) AS rank FROM scored ORDER BY 2 LIMIT 100), two AS (SELECT doc, row_number() OVER (ORDER BY doc) AS rank FROM (SELECT DISTINCT doc FROM p WHERE term = 'mangel') ORDER BY 2 LIMIT 100)

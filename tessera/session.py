@@ -51,14 +51,40 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """This application's folder in the shared one; deleted when its file system closes."""
+    path = os.path.join(shared_dir(spark), f"tessera-{spark.sparkContext.applicationId}")
+    if getattr(spark.sparkContext, "_tessera_folder", None) != path:
+        fs, p = _path(spark, path)
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+        spark.sparkContext._tessera_folder = path
+    return path
+
+
+def write_atomically(spark: SparkSession, path: str, text: str) -> None:
+    """Puts ``text`` into the file ``path``: readers see the old or the new one, never none."""
+    jvm = spark._jvm
+    fresh = f"{path}.{uuid.uuid4().hex[:8]}"
+    fs, p = _path(spark, fresh)
+    out = fs.create(p)
+    out.write(bytearray(text.encode()))
+    out.close()
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri() if p.toUri().getScheme() else fs.getUri(), spark._jsc.hadoopConfiguration())
+    context.rename(p, jvm.org.apache.hadoop.fs.Path(path), options)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table into the shared folder and read it back.
 
     Cuts the lineage in a way that survives the loss of executors, and keeps
-    the result columnar, so later readers prune columns.
+    the result columnar, so later readers prune columns. The tables of a session
+    lie in one folder, which goes when the session ends.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    path = os.path.join(_own_folder(spark), f"{name}-{uuid.uuid4().hex[:12]}")
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

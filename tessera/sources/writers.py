@@ -9,15 +9,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.quality import group_gate, row_gate
+from tessera.session import write_atomically
+
+
+#: Most rows of a dashboard's panel, which the driver holds.
+PANEL = 10_000
 
 
 def by_partition(df: DataFrame, path: str, column: str) -> None:
     """One folder for each value, zstd, replacing what was there.
 
-    Rows are brought together by the column and, within it, spread by a hash,
-    so that a value that holds most rows is many files and not one task.
+    Rows are brought together by the column; adaptive execution splits a value
+    that holds most rows into files of the advised size.
     """
-    df.repartition(column, F.pmod(F.xxhash64(*df.columns[:1]), F.lit(16))).write.partitionBy(column).option("compression", "zstd").mode("overwrite").parquet(path)
+    df.hint("rebalance", column).write.partitionBy(column).option("compression", "zstd").mode("overwrite").parquet(path)
 
 
 def replace_rows(spark: SparkSession, path: str, fresh: DataFrame, key: str, out: str) -> None:
@@ -28,7 +33,7 @@ def replace_rows(spark: SparkSession, path: str, fresh: DataFrame, key: str, out
 
 def monthly(df: DataFrame, path: str, at: str) -> None:
     """Daily rows compacted into a folder for each month."""
-    df.withColumn("month", F.date_format(at, "yyyy-MM")).repartition("month").write.partitionBy("month").option("compression", "zstd").mode("overwrite").parquet(path)
+    df.withColumn("month", F.date_format(at, "yyyy-MM")).hint("rebalance", "month").write.partitionBy("month").option("compression", "zstd").mode("overwrite").parquet(path)
 
 
 def snapshot(df: DataFrame, root: str, version: int, by: str, least: int = 500) -> str:
@@ -48,7 +53,7 @@ def snapshot(df: DataFrame, root: str, version: int, by: str, least: int = 500)
         shrunk = group_gate(new, last, by, least=least)
         if not shrunk.isEmpty():
             raise ValueError(f"groups have shrunk: {[r[by] for r in shrunk.limit(20).collect()]}")
-    spark.createDataFrame([(path,)], "path string").coalesce(1).write.mode("overwrite").json(pointer)
+    write_atomically(spark, pointer, json.dumps({"path": path}))
     return path
 
 
@@ -88,5 +93,11 @@ def atom(rows: list[dict], title: str, link: str) -> str:
 
 
 def dashboard(parts: dict[str, DataFrame]) -> str:
-    """One JSON object of small aggregates, by name."""
-    return json.dumps({k: [r.asDict() for r in df.limit(10_000).collect()] for k, df in parts.items()}, ensure_ascii=False, default=str, sort_keys=True)
+    """One JSON object of small aggregates, by name; an aggregate of more than ``PANEL`` rows is no panel and raises ValueError."""
+    out = {}
+    for name, df in parts.items():
+        rows = df.limit(PANEL + 1).collect()
+        if len(rows) > PANEL:
+            raise ValueError(f"{name} has more than {PANEL} rows")
+        out[name] = [r.asDict() for r in rows]
+    return json.dumps(out, ensure_ascii=False, default=str, sort_keys=True)

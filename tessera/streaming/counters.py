@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -35,6 +36,8 @@ def once(events: DataFrame, key: str, at: str, late: str = "1 day") -> DataFrame
 
 VISITOR = "user_id bigint, n bigint, gaps bigint, mean_gap double, cv double, verdict string"
 IDLE = 1800.0
+#: Seconds of event time after which a visitor is forgotten.
+FORGET = 30 * 86_400
 
 
 def _merge(state: tuple, times: list[float]) -> tuple:
@@ -54,17 +57,26 @@ def verdict(n: int, gaps: int, total: float, squares: float) -> tuple[float, flo
     return mean, cv, kind
 
 
-def visitors(events: DataFrame, at: str) -> DataFrame:
-    """user_id, n, gaps, mean_gap, cv, verdict from state kept for each user (update mode)."""
+def visitors(events: DataFrame, at: str, late: str = "1 day") -> DataFrame:
+    """user_id, n, gaps, mean_gap, cv, verdict from state kept for each user (update mode).
+
+    A user's state is dropped once the watermark has passed their last event by
+    ``FORGET`` seconds; a later event begins anew.
+    """
 
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
         kept = state.get if state.exists else (0, 0, 0.0, 0.0, None)
         times = [x.timestamp() for b in batches for x in pd.to_datetime(b[at])]
         kept = _merge(tuple(kept), times)
         state.update(kept)
+        state.setTimeoutTimestamp(max(int(kept[4] * 1000), state.getCurrentWatermarkMs()) + FORGET * 1000)
         yield pd.DataFrame([(key[0], kept[0], kept[1], *verdict(*kept[:4]))], columns=["user_id", "n", "gaps", "mean_gap", "cv", "verdict"])
 
-    return events.select("user_id", at).groupBy("user_id").applyInPandasWithState(step, VISITOR, "n bigint, gaps bigint, total double, squares double, last double", "update", GroupStateTimeout.NoTimeout)
+    timed = events.select("user_id", at, F.col(at).cast("timestamp").alias("_t")).withWatermark("_t", late)
+    return timed.groupBy("user_id").applyInPandasWithState(step, VISITOR, "n bigint, gaps bigint, total double, squares double, last double", "update", GroupStateTimeout.EventTimeTimeout)
 
 
 def visitors_batch(events: DataFrame, at: str) -> DataFrame:
@@ -79,7 +91,21 @@ def visitors_batch(events: DataFrame, at: str) -> DataFrame:
     return s.select("user_id", "n", "gaps", F.coalesce("mean_gap", F.lit(0.0)).alias("mean_gap"), F.coalesce("cv", F.lit(0.0)).alias("cv"), F.when(bot, "bot").otherwise("person").alias("verdict"))
 
 
-def run_available(stream: DataFrame, name: str, mode: str, checkpoint: str) -> DataFrame:
-    """Processes what is there into a memory table ``name`` and returns it (tests and backfills)."""
-    stream.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
-    return stream.sparkSession.table(name)
+def run_available(stream: DataFrame, name: str, mode: str, folder: str) -> DataFrame:
+    """Processes what is there into Parquet in ``folder``/``name``, beside its checkpoint, and returns what was written.
+
+    Each batch has a folder of its own that a repeated batch replaces, so that
+    it counts once. In complete mode the last batch is the result.
+    """
+    out = f"{folder}/{name}"
+
+    def keep(rows: DataFrame, batch: int) -> None:
+        path = out if mode == "complete" else f"{out}/batch={batch}"
+        rows.write.mode("overwrite").parquet(path)
+
+    stream.writeStream.foreachBatch(keep).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    reader = stream.sparkSession.read.schema(stream.schema)
+    try:
+        return reader.parquet(out).select(*stream.columns)
+    except AnalysisException:  # nothing has come
+        return stream.sparkSession.createDataFrame([], stream.schema)
