@@ -119,3 +119,29 @@ class PagedSource(DataSource):
 def register_paged(spark: SparkSession) -> None:
     """Makes ``spark.read.format("paged")`` known."""
     spark.dataSource.register(PagedSource)
+
+
+def corpus(spark: SparkSession, path: str, courts: list[str] | None = None) -> DataFrame:
+    """The table at ``path``, of ``courts`` only (in any case) if given."""
+    df = spark.read.parquet(path)
+    return df.where(F.lower("court").isin([x.lower() for x in courts])) if courts else df
+
+
+def table_else_jsonl(spark: SparkSession, path: str, folder: str, schema: str) -> tuple[DataFrame, str]:
+    """(rows, 'table') of the Parquet table at ``path`` if there is one, else (rows, 'jsonl') of the JSON lines in ``folder``."""
+    from tessera.session import exists
+
+    return (spark.read.parquet(path), "table") if exists(spark, path) else (jsonl(spark, folder, schema), "jsonl")
+
+
+def recent(df: DataFrame, key: str, day: str, today: str, days: int = 14) -> DataFrame:
+    """key, day of the rows of the last ``days`` up to ``today`` (ISO days), each key once with its first day."""
+    inside = F.col(day).try_cast("date").between(F.date_sub(F.lit(today).cast("date"), days), F.lit(today).cast("date"))
+    return df.where(inside).groupBy(key).agg(F.min(day).alias(day))
+
+
+def cohorts(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+    """day, client_class, cohort of a log of visitors; lines of another form are left out."""
+    p = r"^(\d{4}-\d{2}-\d{2}) (\S+) ([0-9a-f]{8})$"
+    g = lambda i: F.regexp_extract("value", p, i)
+    return spark.read.text(paths).where(F.col("value").rlike(p)).select(g(1).alias("day"), g(2).alias("client_class"), g(3).alias("cohort"))

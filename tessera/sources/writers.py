@@ -101,3 +101,15 @@ def dashboard(parts: dict[str, DataFrame]) -> str:
             raise ValueError(f"{name} has more than {PANEL} rows")
         out[name] = [r.asDict() for r in rows]
     return json.dumps(out, ensure_ascii=False, default=str, sort_keys=True)
+
+
+def query_to_parquet(spark: SparkSession, sql: str, path: str) -> None:
+    """The result of ``sql``, with booleans as 0 and 1."""
+    df = spark.sql(sql)
+    df.select(*[F.col(n).cast("int").alias(n) if k == "boolean" else F.col(n) for n, k in df.dtypes]).write.mode("overwrite").option("compression", "zstd").parquet(path)
+
+
+def report(df: DataFrame, folder: str, day: str) -> None:
+    """A report of checks as JSON lines under ``latest`` and under its day."""
+    for name in (day, "latest"):
+        df.coalesce(1).write.mode("overwrite").json(f"{folder}/{name}")

@@ -109,3 +109,9 @@ def run_available(stream: DataFrame, name: str, mode: str, folder: str) -> DataF
         return reader.parquet(out).select(*stream.columns)
     except AnalysisException:  # nothing has come
         return stream.sparkSession.createDataFrame([], stream.schema)
+
+
+def syslog(lines: DataFrame) -> DataFrame:
+    """client, agent, client_class of datagrams ``client|agent|class``; the class may be missing, other lines are dropped."""
+    parts = F.split("value", r"\|")
+    return lines.where(F.size(parts) >= 2).select(parts[0].alias("client"), parts[1].alias("agent"), F.get(parts, F.lit(2)).alias("client_class"))
