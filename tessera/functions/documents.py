@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,7 +21,17 @@ HEADER_DATE = rf"(?i)(?:urteil|entscheid|beschluss|verfügung|arrêt|décision|j
 BODY_MARKS = ["Sachverhalt", "Erwägung", "Faits", "Considérant", "Fatti", "Considerando", "Das Gericht", "A. "]
 
 
-def _day(match: Column, pattern: str, first: int) -> Column:
+def _bound(column: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(column)``, where ``column`` is worked out once however often it is used."""
+    return F.transform(F.array(column), use)[0]
+
+
+def _day(text: Column, pattern: str, first: int) -> Column:
+    """The day that the first match of ``pattern`` tells; its parts are read from the match alone."""
+    return _bound(F.regexp_extract(text, pattern, 0), lambda match: _day_of(match, pattern, first))
+
+
+def _day_of(match: Column, pattern: str, first: int) -> Column:
     g = lambda i: F.regexp_extract(match, pattern, first + i)
     month = F.coalesce(*[F.when(F.lower(g(1)) == w, F.lit(n)) for w, n in MONTH_WORDS.items()])
     named = F.format_string("%04d-%02d-%02d", g(2).try_cast("int"), month, g(0).try_cast("int"))
@@ -163,3 +175,105 @@ def headnote_language(c: Column) -> Column:
 
 def filled(c: Column, default: Column) -> Column:
     return F.coalesce(blank_to_null(c), default)
+
+
+_DOCKET_DATE = rf"(?i)(\d[A-Z]{{1,3}}[._ ]\d{{1,5}}/\d{{4}})\s*,?\s*(?:vom|du|del|of)\s+(?:{DATE.removeprefix('(?i)')})"
+
+
+def docket_date(c: Column, read: int = 2500) -> Column:
+    """struct<docket, day> of the head's first docket with a date right behind it; the day is null if its year is before the docket's."""
+    head = F.substring(c, 1, read)
+    docket = F.regexp_replace(F.regexp_extract(head, _DOCKET_DATE, 1), r"^(\w+)[._ ]", "$1_")
+    day = _day(head, _DOCKET_DATE, 2)
+    sane = F.substring(day, 1, 4).try_cast("int") >= F.regexp_extract(docket, r"/(\d{4})$", 1).try_cast("int")
+    return F.when(docket != "", F.struct(docket.alias("docket"), F.when(sane, day).alias("day")))
+
+
+def demux_dates(decided: Column, published: Column, read: Column) -> Column:
+    """struct<decided, published, origin>: a decision date that is a first of January is a volume's year, hence a publication.
+
+    ``read`` is the day found in the text. A stored publication stays; the
+    decision's day is then the one read, or none.
+    """
+    synthetic = F.coalesce(decided.rlike(r"^\d{4}-01-01$"), F.lit(False))
+    day = F.when(synthetic | decided.isNull(), read).otherwise(decided)
+    out = F.when(published.isNotNull(), published).when(synthetic, decided)
+    origin = F.when(published.isNotNull(), "stored").when(synthetic, "volume_year")
+    return F.struct(day.alias("decided"), out.alias("published"), origin.alias("origin"))
+
+
+# Words of the place and day that end a decision, and words by which a date is one of a law.
+_SIGNED = rf"(?i)(?:^|\n)\s*[A-ZÀ-Ý][\w. -]{{2,30}},\s+(?:den|le|il|li|ils)?\s*(?:{DATE.removeprefix('(?i)')})"
+_OF_LAW = r"(?i)(?:gesetz|verordnung|loi|ordonnance|legge|ordinanza|SR \d|RS \d)"
+
+
+def decision_day(c: Column, stored: Column) -> Column:
+    """struct<day, method, confidence, category> of the day a decision was taken.
+
+    The date after the title in the first 1,500 characters, else the first date
+    of the first 500 that is no law's, else the last signature in the last 1,500.
+    ``category`` compares it with the stored day: same, different, only_text,
+    only_stored or none.
+    """
+    typed = _day(F.substring(c, 1, 1500), HEADER_DATE, 1)
+    plain = F.filter(F.regexp_extract_all(F.substring(c, 1, 500), F.lit(rf"(?is).{{0,30}}?(?:{DATE.removeprefix('(?i)')}).{{0,12}}"), F.lit(0)), lambda x: ~x.rlike(_OF_LAW))
+    bare = first_date(F.get(plain, F.lit(0)))
+    ends = F.regexp_extract_all(F.substring(c, -1500, 1500), F.lit(_SIGNED), F.lit(0))
+    signed = first_date(F.element_at(F.when(F.size(ends) > 0, ends), -1))
+    iso = F.when(stored.rlike(r"^\d{4}-\d{2}-\d{2}$"), stored)
+
+    def told(x: Column) -> Column:
+        day = F.coalesce(x["typed"], x["bare"], x["signed"])
+        method = F.when(x["typed"].isNotNull(), "title").when(x["bare"].isNotNull(), "head").when(x["signed"].isNotNull(), "signature")
+        confidence = F.when(x["typed"].isNotNull(), 0.95).when(x["bare"].isNotNull(), 0.7).when(x["signed"].isNotNull(), 0.8).otherwise(0.0)
+        category = F.when(day.isNull() & iso.isNull(), "none").when(day.isNull(), "only_stored").when(iso.isNull(), "only_text").when(day == iso, "same").otherwise("different")
+        return F.struct(day.alias("day"), method.alias("method"), confidence.alias("confidence"), category.alias("category"))
+
+    return _bound(F.struct(typed.alias("typed"), bare.alias("bare"), signed.alias("signed")), told)
+
+
+# Words of a remedy in the head, the most particular first.
+REMEDIES = [("enforcement", "rechtsöffnung|mainlevée|rigetto dell"), ("appeal", "berufung|appel|appello|appellazione"), ("revision", "revisionsgesuch|revision|révision|revisione"), ("recourse", "rekurs"), ("objection", "einsprache|opposition|opposizione"), ("complaint", "beschwerde|recours|ricorso"), ("action", "klage|demande|azione")]
+
+
+def remedy(c: Column, read: int = 2000) -> Column:
+    """The kind of remedy that the head of a text names, before its facts; null for none."""
+    head = F.lower(F.regexp_extract(F.substring(c, 1, read), r"(?is)^(.*?)(?:\b(?:Sachverhalt|Faits|Fatti|Erwägung|Considérant|Considerando)\b|\z)", 1))
+    return F.coalesce(*[F.when(head.rlike(rf"(?U)\b(?:{p})"), F.lit(n)) for n, p in REMEDIES])
+
+
+def source_kind(module: Column) -> Column:
+    """The kind of source that a module's dotted name tells."""
+    return F.when(module.contains(".cantonal."), "cantonal_court").when(module.startswith("scrapers."), "federal_or_authority").otherwise("unknown")
+
+
+def representation_role(docket: Column) -> Column:
+    """publication_page for a record under a plain case number, else judgment."""
+    return F.when(F.coalesce(F.trim(docket).rlike(r"^\d{2,3}[ .]\d{4}[ .]\d{1,5}$"), F.lit(False)), "publication_page").otherwise("judgment")
+
+
+def regroup_key(court: Column, docket: Column, day: Column) -> Column:
+    """The key of one decision: of the series its place, which no date can break; of all others court, docket and day."""
+    place = r"(?i)^\s*(?:BGE\s+)?(\d{1,3})\s+([IVX]{1,4}[ab]?)\s+(\d{1,4})\s*$"
+    of_series = F.coalesce(docket.rlike(place) & court.startswith("bge"), F.lit(False))
+    bare = F.regexp_replace(F.upper(F.coalesce(docket, F.lit(""))), "[^0-9A-Z]", "")
+    empty = lambda x: F.coalesce(F.nullif(x, F.lit("")), F.lit("?"))
+    return F.when(of_series, F.concat_ws("|", F.lit("bge"), F.regexp_extract(docket, place, 1), F.upper(F.regexp_extract(docket, place, 2)), F.regexp_extract(docket, place, 3))).otherwise(F.concat_ws("|", empty(court), bare, empty(day)))
+
+
+def docket_behind(c: Column, day: Column, read: int = 4000) -> Column:
+    """The first federal docket in the head of a published decision whose year lies within three before and one after ``day``'s; null for none."""
+    p = r"\b(\d[A-Z])[._ ](\d+)/(\d{4})\b"
+    year = F.nullif(F.regexp_extract(day, r"^\d{4}", 0), F.lit("")).cast("int")
+    near = lambda x: year.isNull() | F.regexp_extract(x, p, 3).cast("int").between(year - 3, year + 1)
+    first = F.get(F.filter(F.regexp_extract_all(F.substring(c, 1, read), F.lit(p), F.lit(0)), near), F.lit(0))
+    return F.regexp_replace(first, r"^(\d[A-Z])[._ ]", "$1_")
+
+
+def topic_score(topic: str, title: Column, note: Column, area: Column) -> Column:
+    """How well a record fits a topic: 3 for the topic in its title, 2 in its head-note, 1 for each of its longer words in either or in the subject."""
+    words = [w for w in topic.lower().split() if len(w) > 3]
+    low = [F.lower(F.coalesce(x, F.lit(""))) for x in (title, note, area)]
+    whole = F.lit(topic.lower())
+    hit = lambda x: F.when(x, 1).otherwise(0)
+    return 3 * hit(low[0].contains(whole)) + 2 * hit(low[1].contains(whole)) + sum((hit(low[0].contains(w) | low[1].contains(w) | low[2].contains(w)) for w in words), F.lit(0))

@@ -131,3 +131,46 @@ def deltas(flushes: DataFrame, source: str, day: str, name: str, value: str, ord
     days = last.select(source, day).distinct().withColumn("_before", F.lag(day).over(Window.partitionBy(source).orderBy(day)))
     previous = last.select(source, F.col(day).alias("_before"), name, F.col("v").alias("_p"))
     return last.join(days, [source, day]).join(previous, [source, "_before", name], "left").select(source, day, name, F.greatest(F.lit(0), F.col("v") - F.coalesce("_p", F.lit(0))).alias("delta"))
+
+
+def graded_scores(runs: DataFrame, labels: DataFrame, k: int = 10, relevant: int = 2) -> DataFrame:
+    """query, mrr, recall, ndcg at ``k`` and true ranks; only grades of at least ``relevant`` count as found, all grades as gain.
+
+    runs: query, doc, rank; labels: query, doc, grade. Queries without a hit have zeros.
+    """
+    gain = lambda grade, rank: (F.pow(F.lit(2.0), grade) - 1) / F.log2(rank + 1.0)
+    found = runs.where(F.col("rank") <= k).join(labels, ["query", "doc"])
+    good = F.col("grade") >= relevant
+    per = found.groupBy("query").agg(F.max(F.when(good, 1.0 / F.col("rank"))).alias("rr"), F.count_if(good).alias("hits"), F.sum(gain(F.col("grade"), F.col("rank"))).alias("dcg"))
+    by_grade = labels.groupBy("query", "grade").agg(F.count("*").alias("n"))
+    # grades are few: the best k by counts of each grade, not by sorting labels
+    ideal = by_grade.groupBy("query").agg(F.sum(F.when(good, F.col("n")).otherwise(0)).alias("n_rel"), F.sort_array(F.collect_list(F.struct("grade", F.least("n", F.lit(k)).alias("n"))), asc=False).alias("g"))
+    best = F.slice(F.flatten(F.transform("g", lambda x: F.array_repeat(x["grade"], x["n"].cast("int")))), 1, k)
+    total = F.aggregate(F.transform(best, lambda g, i: (F.pow(F.lit(2.0), g) - 1) / F.log2(i + 2.0)), F.lit(0.0), lambda a, b: a + b)
+    j = ideal.join(per, "query", "left")
+    z = lambda x: F.coalesce(x, F.lit(0.0))
+    return j.select("query", z(F.col("rr")).alias("mrr"), z(F.col("hits") / F.least(F.greatest("n_rel", F.lit(1)), F.lit(k))).alias("recall"), (z(F.col("dcg")) / F.when(total > 0, total).otherwise(1.0)).alias("ndcg"))
+
+
+def topological_order(needs: dict[str, list[str]]) -> list[str]:
+    """Targets after what they need, ready ones by name; raises ValueError for a cycle or an unknown need."""
+    import heapq
+
+    unknown = {n for ns in needs.values() for n in ns} - set(needs)
+    if unknown:
+        raise ValueError(f"unknown targets: {sorted(unknown)}")
+    left = {t: set(ns) for t, ns in needs.items()}
+    ready = [t for t, ns in left.items() if not ns]
+    heapq.heapify(ready)
+    out: list[str] = []
+    while ready:
+        t = heapq.heappop(ready)
+        out.append(t)
+        for other, ns in left.items():
+            if t in ns:
+                ns.remove(t)
+                if not ns:
+                    heapq.heappush(ready, other)
+    if len(out) < len(needs):
+        raise ValueError(f"a cycle among {sorted(set(needs) - set(out))}")
+    return out

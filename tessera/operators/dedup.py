@@ -66,3 +66,17 @@ def upgrade(rows: DataFrame, id_column: str, priority: str, size: str, row: str,
     first = Window.partitionBy(id_column).orderBy(F.col(f"f.{priority}"), date)
     renamed = F.when(F.row_number().over(first) == 1, F.col(id_column)).otherwise(F.concat(F.col(id_column), F.lit("_d"), F.regexp_replace(F.coalesce(F.col(date), F.lit("")), "[^0-9]", "")))
     return g.withColumn("kept", kept).select(renamed.alias(id_column), date, F.col(f"kept.{size}").alias(size), F.col(f"kept.{row}").alias("text_from"), F.col(f"f.{priority}").alias(priority))
+
+
+def representations(df: DataFrame, id_column: str, channels: dict[str, Column]) -> DataFrame:
+    """member, canonical, methods: ids that share a value of any channel with a smaller id, each once.
+
+    The channels' keys are exploded into one equi-grouping; a value that very
+    many ids share is aggregated before it is joined. Null and empty values tie
+    nothing. A member met by several canonical ids belongs to the smallest.
+    """
+    keys = F.array(*[F.struct(F.lit(n).alias("method"), e.alias("key")) for n, e in channels.items()])
+    k = df.select(F.col(id_column).alias("member"), F.explode(keys).alias("k")).select("member", "k.method", "k.key").where(F.coalesce("key", F.lit("")) != "").distinct()
+    heads = k.groupBy("method", "key").agg(F.min("member").alias("canonical"), F.count("*").alias("n")).where("n > 1").drop("n")
+    pairs = k.join(heads, ["method", "key"]).where("member <> canonical")
+    return pairs.groupBy("member").agg(F.min("canonical").alias("canonical"), F.array_sort(F.collect_set("method")).alias("methods"))

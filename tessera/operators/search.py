@@ -256,6 +256,10 @@ def condense(text: str, most: int = 250) -> str:
     return " ".join(out)
 
 
+#: A docket and nothing else.
+DOCKET_INTENT = r"^\s*(?:\d[A-Z][_. ]\d{1,5}/\d{4}|[A-F]-\d{1,5}/\d{4}|[A-Z]{2}[. ]\d{4}[. ]\d{1,5})\s*$"
+
+
 def docket_intent(text: str) -> bool:
     """True if a query is a docket and nothing else."""
-    return bool(re.fullmatch(r"\s*(?:\d[A-Z][_. ]\d{1,5}/\d{4}|[A-F]-\d{1,5}/\d{4}|[A-Z]{2}[. ]\d{4}[. ]\d{1,5})\s*", text))
+    return re.match(DOCKET_INTENT, text) is not None
