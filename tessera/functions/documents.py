@@ -216,7 +216,7 @@ def decision_day(c: Column, stored: Column) -> Column:
     only_stored or none.
     """
     typed = _day(F.substring(c, 1, 1500), HEADER_DATE, 1)
-    plain = F.filter(F.regexp_extract_all(F.substring(c, 1, 500), F.lit(rf"(?is).{{0,30}}?(?:{DATE.removeprefix('(?i)')}).{{0,12}}"), F.lit(0)), lambda x: ~x.rlike(_OF_LAW))
+    plain = F.filter(F.regexp_extract_all(F.substring(c, 1, 500), F.lit(rf"(?is).{{0,30}}?(?:{DATE.removeprefix('(?i)')})"), F.lit(0)), lambda x: ~x.rlike(_OF_LAW))
     bare = first_date(F.get(plain, F.lit(0)))
     ends = F.regexp_extract_all(F.substring(c, -1500, 1500), F.lit(_SIGNED), F.lit(0))
     signed = first_date(F.element_at(F.when(F.size(ends) > 0, ends), -1))
