@@ -45,7 +45,6 @@ HEAD = "\0header"
 _EDGE = ".,;:!?()[]«»„“”\"'’‹›…"
 _DIVIDED = re.compile(r"([^\W\d_])([-¬­‐])\s*$")
 _GAP = re.compile(r"\s{2,}|\s[-–—|·]\s")
-_DASH = re.compile(r"\s[-–—|·]\s")
 #: A page line that is more than a number.
 _DECORATED = re.compile(r"[^\d\s]")
 
@@ -59,10 +58,15 @@ def is_page(line: str) -> bool:
     return len(line) < PAGE_CHARS and _PAGE.match(line) is not None
 
 
+def _parted(line: str) -> bool:
+    """Whether a line may have several parts."""
+    return "  " in line or "\t" in line or " - " in line or " – " in line or " — " in line or " | " in line or " · " in line
+
+
 def parts(line: str) -> tuple[list[str], bool]:
     """The parts of a line between gaps and dashes, folded, without page numbers; and whether there were such."""
     low = line.strip().casefold()
-    if "  " not in low and "\t" not in low and not _DASH.search(low):
+    if not _parted(low):
         return ([low], False) if low else ([], False)
     split = [p for p in map(str.strip, _GAP.split(low)) if p]
     kept = [p for p in split if not _PAGE.match(p)]
@@ -261,9 +265,10 @@ class Repairer:
             names |= {docket.strip().casefold()}
         named: list[int] = []
         back: Counter = Counter()
+        longest = max(map(len, names), default=0)
         numbered: list[int] = []
         for i, line in enumerate(lines):
-            if len(line) > HEAD_CHARS and len(line.strip()) > HEAD_CHARS:
+            if len(line) > longest and not _parted(line) and len(line.strip()) > longest or len(line) > HEAD_CHARS and len(line.strip()) > HEAD_CHARS:
                 continue
             own, number = parts(line)
             if own and names.issuperset(own):
@@ -348,7 +353,7 @@ class Repairer:
         for kind, item in items:
             if kind == "hyphen":
                 item = core(item)
-                choices = self.lexicon.candidates(item) if read else []
+                choices = self._choices(item) if read else []
                 item = choices[0][0] if choices else item
             if item:
                 fixed.append((kind, item))
