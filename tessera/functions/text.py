@@ -213,9 +213,24 @@ def snippet(c: Column, word: Column, before: int = 100, after: int = 200) -> Col
     return F.concat(F.when(start > 1, F.lit("...")).otherwise(F.lit("")), piece, F.when(start + before + after <= F.length(c), F.lit("...")).otherwise(F.lit("")))
 
 
-def cohort(ip: Column, time: Column) -> Column:
-    """Eight digits that tell visitors of a month apart."""
-    return F.substring(F.sha2(F.concat_ws("|", ip, F.date_format(time, "yyyy-MM")), 256), 1, 8)
+def cohort(ip: Column, time: Column, agent: Column | None = None) -> Column:
+    """Eight digits that tell visitors of a month apart, by address and, if given, agent."""
+    return F.substring(F.sha2(F.concat_ws("|", *[x for x in (ip, agent) if x is not None], F.date_format(time, "yyyy-MM")), 256), 1, 8)
+
+
+# Kinds of visitors by their agents; the first that fits counts.
+AGENTS = [
+    ("ai_crawler", r"gptbot|chatgpt|oai-searchbot|claudebot|claude-web|anthropic|perplexity|ccbot|bytespider|google-extended|amazonbot|applebot-extended|meta-externalagent|cohere-ai|diffbot"),
+    ("search_engine", r"googlebot|bingbot|duckduckbot|yandex|baiduspider|applebot|seznambot|qwant|petalbot"),
+    ("seo", r"ahrefs|semrush|mj12bot|dotbot|blexbot|dataforseo"), ("monitor", r"uptimerobot|pingdom|statuscake|zabbix|nagios|healthcheck"), ("script", r"curl|wget|python|aiohttp|httpx|go-http|okhttp|axios|node-fetch|java/|libwww|postman"),
+    ("mcp_client", r"mcp|modelcontextprotocol"), ("headless", r"headless|phantomjs|puppeteer|playwright|selenium"), ("bot", r"bot\b|crawler|spider|slurp"), ("mobile", r"iphone|android|mobile"), ("browser", r"mozilla|opera|safari|firefox|chrome|edg/"),
+]
+
+
+def agent_class(agent: Column) -> Column:
+    """The kind of visitor that an agent's name tells; none for null or blank, other for any that fits nothing."""
+    low = F.lower(agent)
+    return F.when(F.trim(F.coalesce(agent, F.lit(""))) == "", "none").otherwise(F.coalesce(*[F.when(low.rlike(p), F.lit(n)) for n, p in AGENTS], F.lit("other")))
 
 
 def stable_id(c: Column) -> Column:

@@ -6,8 +6,10 @@ table share one scan: their conditions become columns of one aggregation.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,15 +28,44 @@ class Check:
 
 
 def run(df: DataFrame, checks: list[Check], by: str | None = None) -> DataFrame:
-    """check, [by,] severity, metric, low, high, passed: one row for each check (and group)."""
+    """check, [by,] severity, metric, low, high, passed: one row for each check (and group).
+
+    All checks share one scan. A check that can't be worked out on ``df`` is a
+    critical failure without a metric; the others are run all the same.
+    """
     keys = [by] if by else []
-    wide = df.groupBy(*keys).agg(*[k.metric.cast("double").alias(k.name) for k in checks])
-    rows = F.array(*[F.struct(F.lit(k.name).alias("check"), F.lit(k.severity).alias("severity"), F.col(k.name).alias("metric"), F.lit(k.low).cast("double").alias("low"), F.lit(k.high).cast("double").alias("high")) for k in checks])
+    good, broken = [], []
+    for k in checks:
+        try:
+            df.agg(k.metric.cast("double")).schema  # noqa: B018
+            good.append(k)
+        except AnalysisException:
+            broken.append(k)
+    told = lambda k, severity, metric: F.struct(F.lit(k.name).alias("check"), F.lit(severity).alias("severity"), metric.alias("metric"), F.lit(k.low).cast("double").alias("low"), F.lit(k.high).cast("double").alias("high"))
+    wide = df.groupBy(*keys).agg(F.lit(1).alias("_"), *[k.metric.cast("double").alias(k.name) for k in good])
+    rows = F.array(*[told(k, k.severity, F.col(k.name)) for k in good], *[told(k, CRITICAL, F.lit(None).cast("double")) for k in broken])
     long = wide.select(*keys, F.explode(rows).alias("r")).select("r.check", *keys, "r.severity", "r.metric", "r.low", "r.high")
     inside = F.coalesce(F.col("metric") <= F.col("high"), F.lit(True)) & F.coalesce(F.col("metric") >= F.col("low"), F.lit(True))
     return long.withColumn("passed", inside & F.col("metric").isNotNull())
 
 
+#: Groups of checks by name, filled by ``group_of_checks``.
+GROUPS: dict[str, Callable[..., list[Check]]] = {}
+
+
+def group_of_checks(f: Callable[..., list[Check]]) -> Callable[..., list[Check]]:
+    """Makes a function that gives checks known under its name."""
+    GROUPS[f.__name__] = f
+    return f
+
+
+def discovered(group: str, as_of: str = "2024-12-31", critical_only: bool = False) -> list[Check]:
+    """The checks of a group; with ``critical_only`` the critical ones."""
+    f = GROUPS[group]
+    checks = f(as_of) if f.__code__.co_argcount else f()
+    return [k for k in checks if k.severity == CRITICAL or not critical_only]
+
+
 def safe_to_publish(report: DataFrame) -> bool:
     """True if no critical check failed."""
     return report.where((F.col("severity") == CRITICAL) & ~F.col("passed")).isEmpty()
@@ -59,6 +90,7 @@ def _empty(c: str) -> Column:
 ISO = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
+@group_of_checks
 def decision_checks(as_of: str) -> list[Check]:
     """The checks of the decisions table; counts unless a name ends in _pct."""
     n, c = F.count_if, F.col
@@ -106,6 +138,7 @@ def decision_checks(as_of: str) -> list[Check]:
     ]
 
 
+@group_of_checks
 def graph_checks() -> list[Check]:
     """The checks of the citation table."""
     c = F.col

@@ -241,6 +241,18 @@ def nearest(df: DataFrame, id_column: str, vector: str, query: list[float], top:
     return rows.select(id_column, cosine(F.col(vector), query).alias("score")).where(F.col("score").isNotNull()).orderBy(F.col("score").desc(), id_column).limit(top)
 
 
+def tuned(index: Index, asked: list[tuple[str, str]], grid: list[dict[str, float]], k: int = 10) -> DataFrame:
+    """weights, mrr of each of ``grid``, the best first: how high the documents of ``asked`` (query, doc) stand. One small job for each query and weights."""
+    out = []
+    for weights in grid:
+        total = 0.0
+        for text, doc in asked:
+            found = [r["doc"] for r in bm25(index, _words(text), weights).orderBy("score", "doc").limit(k).collect()]
+            total += 1 / (found.index(doc) + 1) if doc in found else 0.0
+        out.append((",".join(f"{f}={w}" for f, w in sorted(weights.items())), total / max(1, len(asked))))
+    return index.postings.sparkSession.createDataFrame(sorted(out, key=lambda x: (-x[1], x[0])), "weights string, mrr double")
+
+
 def condense(text: str, most: int = 250) -> str:
     """A long text as a query: its references first, then its commonest longer words."""
     refs = re.findall(r"(?:BGE|ATF|DTF) \d+ [IVX]+ \d+|\d[A-Z][_.]\d+/\d{4}|[Aa]rt\. \d+\w* [A-Z]\w+", text)

@@ -101,9 +101,9 @@ def agg_15_upsert_counter(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "decision_citations", "source_decision_id", "target_ref", "mention_count", "is_prior_instance").groupBy("source_decision_id", "target_ref").agg(F.sum("mention_count").alias("mentions"), F.max("is_prior_instance").alias("prior"))
 
 
-@R.add("""SELECT ts::DATE::VARCHAR AS day, event_type, count(*) AS n, round(sum(value), 4) AS total, count(*) FILTER (WHERE value > 50) AS big, count(DISTINCT user_id) AS users FROM events GROUP BY 1, 2""")
+@R.add("""SELECT ts::DATE::VARCHAR AS day, event_type, count(*) AS n, round(sum(value), 4) AS total, count(*) FILTER (WHERE value > 50) AS big, count(DISTINCT user_id) AS users, sum(event_id * 37 % 10000)::BIGINT AS bytes, count(*) FILTER (WHERE 100 + event_id * 37 % 600 BETWEEN 400 AND 499) AS n4xx, count(*) FILTER (WHERE 100 + event_id * 37 % 600 BETWEEN 500 AND 599) AS n5xx FROM events GROUP BY 1, 2""")
 def agg_16_day_cells(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "events", "ts", "event_type", "value", "user_id").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"), F.count_if(c("value") > 50).alias("big"), F.countDistinct("user_id").alias("users"))
+    return table(s, d, "events", "event_id", "ts", "event_type", "value", "user_id").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"), F.count_if(c("value") > 50).alias("big"), F.countDistinct("user_id").alias("users"), F.sum(c("event_id") * 37 % 10000).alias("bytes"), F.count_if((100 + c("event_id") * 37 % 600).between(400, 499)).alias("n4xx"), F.count_if((100 + c("event_id") * 37 % 600).between(500, 599)).alias("n5xx"))
 
 
 @R.add("""SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95 FROM events GROUP BY 1""")

@@ -71,6 +71,14 @@ def tvf_11_chunks(s: SparkSession, d: str) -> DataFrame:
     return _texts(s, d).select("doc_id", F.posexplode(E.chunks_udf()(c("text"))).alias("n", "chunk"))
 
 
+@R.add()
+def tvf_11_all_chunks(s: SparkSession, d: str) -> DataFrame:
+    """Every document whole, in chunks."""
+    from pyspark.sql.types import ArrayType, StringType
+
+    return _texts(s, d).select("doc_id", F.posexplode(E.as_udf(E.all_chunks, ArrayType(StringType()))(c("text"))).alias("n", "chunk"))
+
+
 @R.add(r"""SELECT doc_id, unnest(list_distinct(regexp_extract_all(left(text, 600), '\b[A-Z]{2}\.\d{4}\.\d{1,6}\b'))) AS docket FROM documents""")
 def tvf_20_header_dockets(s: SparkSession, d: str) -> DataFrame:
     return _texts(s, d).select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.substring("text", 1, 600), F.lit(r"\b[A-Z]{2}\.\d{4}\.\d{1,6}\b"), F.lit(0)))).alias("docket"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.orphans import DIVISIONS, PLACE_CUES, SERIES, citation_references, orphan_report, orphans
+from tessera.operators.orphans import citation_references, orphan_report, orphans
 from tessera.operators.timestamps import NORMAL, normalised
 from tessera.sources.tables import first_versions, table
 
@@ -36,12 +36,12 @@ def p3_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _key_sql(ref: str) -> str:
-    low = f"lower({ref})"
-    series = rf"^[^\p{{L}}\p{{N}}]*(?:(?:{SERIES})[^\p{{L}}\p{{N}}]*)?(\d{{1,3}})[^\p{{L}}\p{{N}}]*({DIVISIONS})[^\p{{L}}\p{{N}}]*(\d{{1,4}})[^\p{{L}}\p{{N}}]*$"
-    place = r"^[^\p{L}\p{N}_]*(?:" + "|".join(PLACE_CUES) + r")[^\p{L}\p{N}_]*\d+[a-z]?(?:[.,-]\d{1,3})*[^\p{L}\p{N}_]*(?:ss|sgg|seg|segg|ff|f|s)?[^\p{L}\p{N}_]*$"
-    return rf"""CASE WHEN {ref} IS NULL OR regexp_matches({low}, '{place}') THEN NULL
-      WHEN regexp_matches({low}, '{series}') THEN 'bge' || regexp_extract({low}, '{series}', 1) || regexp_extract({low}, '{series}', 2) || regexp_extract({low}, '{series}', 3)
-      WHEN regexp_matches({low}, '\d[^\d]+\d') OR regexp_matches({low}, '\d{{6}}') THEN regexp_replace({low}, '[^\p{{L}}\p{{N}}]+', '', 'g') END"""
+    """The rule of a reference's key, written out for itself."""
+    return rf"""CASE WHEN {ref} IS NULL THEN NULL
+      WHEN regexp_matches(lower({ref}), '^[^\p{{L}}\p{{N}}_]*(?:cons|consid|considérant|erw|erwägung|e|rz|rn|ziff|doc|dok|act|akt|p|pp|pag|pagina|page|s|seite|n|nr|no|ch|cf|fn|note|beilage|pièce|allegato|annexe|art|§|abs|al|cpv|lit|let|bl)[^\p{{L}}\p{{N}}_]*\d+[a-z]?(?:[.,-]\d{{1,3}})*[^\p{{L}}\p{{N}}_]*(?:ss|sgg|seg|segg|ff|f|s)?[^\p{{L}}\p{{N}}_]*$') THEN NULL
+      WHEN regexp_matches(regexp_replace(lower({ref}), '[^\p{{L}}\p{{N}}]+', ' ', 'g'), '^ ?(?:(?:bge|atf|dtf) ?)?\d{{1,3}} ?(?:iii|ii|iv|ia|ib|i|v) ?\d{{1,4}} ?$')
+        THEN 'bge' || regexp_replace(regexp_replace(lower({ref}), '[^\p{{L}}\p{{N}}]+', '', 'g'), '^(?:bge|atf|dtf)', '')
+      WHEN regexp_matches({ref}, '\d[^\d]+\d|\d{{6}}') THEN regexp_replace(lower({ref}), '[^\p{{L}}\p{{N}}]+', '', 'g') END"""
 
 
 _ORPHANS_SQL = f"""

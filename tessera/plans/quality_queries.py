@@ -101,9 +101,11 @@ def qc_shrink_gate(s: SparkSession, d: str) -> DataFrame:
     return Q.group_gate(live.where("has_full_text and text_length > 1500"), live, "court", least=50)
 
 
-@R.add("""WITH n AS (SELECT court, left(scraped_at::VARCHAR, 7) AS m, count(*)::DOUBLE AS v FROM decisions GROUP BY 1, 2), md AS (SELECT court, median(v) AS middle, count(*) AS k FROM n GROUP BY 1) SELECT court, middle FROM md WHERE k >= 3""")
+@R.add("""WITH n AS (SELECT court, left(scraped_at::VARCHAR, 7) AS m, count(*)::DOUBLE AS v FROM decisions GROUP BY 1, 2), md AS (SELECT court, median(v) AS middle, count(*) AS k FROM n GROUP BY 1), b AS (SELECT court, middle, median(abs(v - middle)) AS mad FROM n JOIN md USING (court) WHERE k >= 3 GROUP BY 1, 2) SELECT court, middle, middle - greatest(5 * mad, 0.05 * middle) AS low, middle + greatest(5 * mad, 0.05 * middle) AS high, (SELECT count(*) FROM n WHERE n.court = b.court AND (v < middle - greatest(5 * mad, 0.05 * middle) OR v > middle + greatest(5 * mad, 0.05 * middle))) AS outside FROM b""")
 def qc_drift_band(s: SparkSession, d: str) -> DataFrame:
+    """The band of each court's monthly rows, and how many months lie outside."""
     from tessera.operators.aggregates import mad_band
 
     n = table(s, d, "decisions", "court", "scraped_at").groupBy("court", F.date_format("scraped_at", "yyyy-MM").alias("m")).agg(F.count("*").cast("double").alias("v"))
-    return mad_band(n, ["court"], "v").select("court", "middle")
+    band = mad_band(n, ["court"], "v")
+    return n.join(band, "court").groupBy("court", "middle", "low", "high").agg(F.count_if((c("v") < c("low")) | (c("v") > c("high"))).alias("outside"))

@@ -8,11 +8,12 @@ from pyspark.sql.window import Window
 
 from tessera.functions import documents as D
 from tessera.functions import extract as E
+from tessera.functions import text as T
 from tessera.operators import dedup
 from tessera.operators import quality as Q
 from tessera.operators import search as S
 from tessera.operators.aggregates import mad_band, percentiles
-from tessera.plans import extract_queries
+from tessera.plans import extract_queries, graph_queries
 from tessera.plans.registry import Registry
 from tessera.sources.tables import table
 
@@ -295,3 +296,95 @@ def fts_15_condensed_queries(s: SparkSession, d: str) -> DataFrame:
 def fts_13_provisions_of_queries(s: SparkSession, d: str) -> DataFrame:
     """The provisions that a query names, here every head-note."""
     return _decisions(s, d, "regeste").where(c("regeste").isNotNull()).select("decision_id", F.explode(E.statutes(c("regeste"))).alias("r")).select("decision_id", "r.law", "r.article", "r.paragraph", "r.normalised").distinct()
+
+
+@R.add(f"""SELECT 'ART.' || article || '.' || law AS article, count(*) AS n, count(DISTINCT doc_id) AS docs FROM ({_STATUTES}) GROUP BY 1""")
+def agg_10_articles_of_provisions(s: SparkSession, d: str) -> DataFrame:
+    """Paragraphs of an article counted as the article, over all rows."""
+    return _provisions(s, d).groupBy(F.concat_ws(".", F.lit("ART"), "article", "law").alias("article")).agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("docs"))
+
+
+@R.add(f"""WITH a AS (SELECT * FROM (VALUES {", ".join(f"('{k}', '{v}')" for k, vs in ALIASES.items() for v in vs)}) t(name, law)) SELECT coalesce(name, law) || ' ' || article AS provision, count(DISTINCT doc_id) AS docs FROM ({_STATUTES}) LEFT JOIN a USING (law) GROUP BY 1 ORDER BY docs DESC, provision LIMIT 100""")
+def agg_13_top_statutes(s: SparkSession, d: str) -> DataFrame:
+    """The articles that most documents cite, whatever language the law's name is in."""
+    names = s.createDataFrame([(k, v) for k, vs in ALIASES.items() for v in vs], "name string, law string")
+    named = _provisions(s, d).join(F.broadcast(names), "law", "left").select("doc_id", F.concat_ws(" ", F.coalesce("name", "law"), "article").alias("provision"))
+    return named.groupBy("provision").agg(F.countDistinct("doc_id").alias("docs")).orderBy(c("docs").desc(), "provision").limit(100)
+
+
+@R.add(graph_queries._RESOLVED + f"""SELECT method, count(*) AS n, count(*) FILTER (WHERE a.date >= b.date) AS sane, count(*) FILTER (WHERE a.date < b.date) AS backwards FROM resolved r LEFT JOIN (SELECT decision_id, max(CASE WHEN {_ISO.format("decision_date")} THEN decision_date END) AS date FROM decisions GROUP BY 1) a ON a.decision_id = r.source LEFT JOIN (SELECT decision_id, max(CASE WHEN {_ISO.format("decision_date")} THEN decision_date END) AS date FROM decisions GROUP BY 1) b ON b.decision_id = r.target GROUP BY 1""")
+def agg_35_precision_by_method(s: SparkSession, d: str) -> DataFrame:
+    """Resolved citations by method, and whether the citing decision is the later one."""
+    days = _decisions(s, d, "decision_date").groupBy("decision_id").agg(F.max(F.when(c("decision_date").rlike(Q.ISO), c("decision_date"))).alias("day"))
+    r = graph_queries._resolved(s, d).join(days.toDF("source", "a"), "source", "left").join(days.toDF("target", "b"), "target", "left")
+    return r.groupBy("method").agg(F.count("*").alias("n"), F.count_if(c("a") >= c("b")).alias("sane"), F.count_if(c("a") < c("b")).alias("backwards"))
+
+
+@R.add("""WITH l AS (SELECT court, count(*) AS live FROM decisions GROUP BY 1), w AS (SELECT court, count(*) AS shadow FROM decisions WHERE has_full_text GROUP BY 1) SELECT court, live, coalesce(shadow, 0) AS shadow, abs(coalesce(shadow, 0) - live) <= 0.02 * live AS passed FROM l LEFT JOIN w USING (court)""")
+def agg_55_table_comparison(s: SparkSession, d: str) -> DataFrame:
+    """Rows of two states of a table within a tolerance of two percent, court by court."""
+    rows = _decisions(s, d, "court", "has_full_text")
+    live, shadow = rows.groupBy("court").agg(F.count("*").alias("live")), rows.where("has_full_text").groupBy("court").agg(F.count("*").alias("shadow"))
+    both = live.join(shadow, "court", "left").withColumn("shadow", F.coalesce("shadow", F.lit(0).cast("bigint")))
+    return both.withColumn("passed", F.abs(c("shadow") - c("live")) <= 0.02 * c("live"))
+
+
+@R.add(r"""SELECT DISTINCT target_ref, r.decision_id FROM decision_citations JOIN bge_register r ON r.volume = regexp_extract(target_ref, '^(?:BGE|ATF|DTF) (\d+) ([IVX]+[ab]?) (\d+)$', 1)::INT AND r.division = regexp_extract(target_ref, '^(?:BGE|ATF|DTF) (\d+) ([IVX]+[ab]?) (\d+)$', 2) AND r.first_page = regexp_extract(target_ref, '^(?:BGE|ATF|DTF) (\d+) ([IVX]+[ab]?) (\d+)$', 3)::INT WHERE regexp_matches(target_ref, '^(?:BGE|ATF|DTF) (\d+) ([IVX]+[ab]?) (\d+)$')""")
+def join_22_series_keys(s: SparkSession, d: str) -> DataFrame:
+    """References to the series by volume, division and page in place of a prefix of the id."""
+    p = r"^(?:BGE|ATF|DTF) (\d+) ([IVX]+[ab]?) (\d+)$"
+    refs = table(s, d, "decision_citations", "target_ref").where(c("target_ref").rlike(p)).distinct()
+    keyed = refs.select("target_ref", F.regexp_extract("target_ref", p, 1).cast("int").alias("volume"), F.regexp_extract("target_ref", p, 2).alias("division"), F.regexp_extract("target_ref", p, 3).cast("int").alias("first_page"))
+    return keyed.join(table(s, d, "bge_register", "volume", "division", "first_page", "decision_id"), ["volume", "division", "first_page"]).select("target_ref", "decision_id").distinct()
+
+
+@R.add("""SELECT count(*) AS links, count(*) FILTER (WHERE member_decision_id NOT IN (SELECT decision_id FROM decisions WHERE decision_id IS NOT NULL)) AS orphans, count(*) FILTER (WHERE member_decision_id NOT IN (SELECT decision_id FROM decisions WHERE decision_id IS NOT NULL)) <= 0.01 * count(*) AS passed FROM decision_representations WHERE member_decision_id IS NOT NULL""")
+def join_24_orphan_gate(s: SparkSession, d: str) -> DataFrame:
+    """Links to records that are not held, of which a hundredth may be."""
+    links = table(s, d, "decision_representations", "member_decision_id").where(c("member_decision_id").isNotNull())
+    held = _decisions(s, d).distinct().select(c("decision_id").alias("member_decision_id"), F.lit(1).alias("held"))
+    n = links.join(held, "member_decision_id", "left").agg(F.count("*").alias("links"), F.count_if(c("held").isNull()).alias("orphans"))
+    return n.withColumn("passed", c("orphans") <= 0.01 * c("links"))
+
+
+_AGENT_NAMES = {"Mozilla/5.0 (compatible; GPTBot/1.0)": "ai_crawler", "Mozilla/5.0 (compatible; Googlebot/2.1)": "search_engine", "AhrefsBot/7.0": "seo", "UptimeRobot/2.0": "monitor", "curl/8.4": "script", "python-requests/2.31": "script", "HeadlessChrome/120": "headless", "SomeBot/1": "bot", "Mozilla/5.0 (iPhone)": "mobile", "Mozilla/5.0 (X11)": "browser", "xyz": "other", "": "none"}
+
+
+@R.add("SELECT kind, count(*) AS n FROM (SELECT CASE event_id % 12 " + " ".join(f"WHEN {n} THEN '{k}'" for n, k in enumerate(_AGENT_NAMES.values())) + " END AS kind FROM events) GROUP BY 1")
+def prj_13_agent_classes(s: SparkSession, d: str) -> DataFrame:
+    """Visitors by the kind that their agent tells; the agents are dealt out to the events."""
+    agents = F.array(*[F.lit(a) for a in _AGENT_NAMES])
+    return table(s, d, "events", "event_id").groupBy(T.agent_class(F.get(agents, (c("event_id") % 12).cast("int"))).alias("kind")).agg(F.count("*").alias("n"))
+
+
+@R.add("""SELECT 'critical' AS severity, 'broken' AS "check", false AS passed UNION ALL SELECT 'critical', 'corpus_total_count', true""")
+def udf_04_broken_check(s: SparkSession, d: str) -> DataFrame:
+    """A check that can't be worked out is a critical failure, and the others are run all the same."""
+    checks = [k for k in Q.decision_checks("2024-12-31") if k.name == "corpus_total_count"] + [Q.Check("broken", F.sum("no_such_column"), 0)]
+    return Q.run(_decisions(s, d), checks).select("severity", "check", "passed")
+
+
+@R.add("""SELECT true AS graph_is_safe, false AS decisions_are_safe""")
+def udf_05_safe_to_publish(s: SparkSession, d: str) -> DataFrame:
+    """The gate on the reports of two tables: repeated ids are critical."""
+    graph = Q.run(table(s, d, "decision_citations"), Q.discovered("graph_checks"))
+    own = Q.run(table(s, d, "decisions"), Q.discovered("decision_checks", critical_only=True))
+    return s.createDataFrame([(Q.safe_to_publish(graph), Q.safe_to_publish(own))], "graph_is_safe boolean, decisions_are_safe boolean")
+
+
+@R.add()
+def udf_06_weight_search(s: SparkSession, d: str) -> DataFrame:
+    """Column weights tried against titles as queries: the weights and how well they rank the titles' own records."""
+    from tessera.plans.search_queries import decisions_index
+
+    titles = _decisions(s, d, "title").where(F.length("title") > 8).groupBy("title").agg(F.min("decision_id").alias("doc"), F.count_distinct("decision_id").alias("n"))
+    asked = [(r["title"], r["doc"]) for r in titles.orderBy("n", "title").limit(5).collect()]
+    grid = [{"title": t, "regeste": 5.0, "full_text": 1.2} for t in (1.0, 6.0)]
+    return S.tuned(decisions_index(s, d), asked, grid)
+
+
+@R.add("""SELECT DISTINCT doc_id AS doc FROM documents WHERE list_contains(string_split_regex(lower(docket_number), '[^\\p{L}\\p{N}]+'), 'ca')""".replace("\\\\", "\\"))
+def fts_02_column_focus(s: SparkSession, d: str) -> DataFrame:
+    """A query that looks into one column only."""
+    index = S.kept_index(table(s, d, "documents", "doc_id", "docket_number", "doc_kind"), "dockets", "doc_id", ["docket_number", "doc_kind"])
+    return S.match(index, S.parse("docket_number: CA"))

@@ -162,9 +162,9 @@ def scl_39_parse_national_id(s: SparkSession, d: str) -> DataFrame:
     return table(s, d, "decisions", "decision_id", "court", "docket_number").where(F.lower("docket_number").rlike("[a-z0-9]")).select("decision_id", p["court"].alias("parsed_court"), p["docket"].alias("parsed_docket"), p["version"].alias("version")).distinct()
 
 
-@R.add("""SELECT event_id, left(sha256(user_id::VARCHAR || '|' || strftime(ts, '%Y-%m')), 8) AS cohort FROM events""")
+@R.add("""SELECT event_id, left(sha256(user_id::VARCHAR || '|' || props || '|' || strftime(ts, '%Y-%m')), 8) AS cohort FROM events""")
 def scl_42_cohort(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "events", "event_id", "user_id", "ts").select("event_id", T.cohort(c("user_id").cast("string"), c("ts")).alias("cohort"))
+    return table(s, d, "events", "event_id", "user_id", "ts", "props").select("event_id", T.cohort(c("user_id").cast("string"), c("ts"), c("props")).alias("cohort"))
 
 
 @R.add("""SELECT event_id, strftime(ts, '%G-W%V') AS week, strftime(ts, '%Y-%m') AS month FROM events""")

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.plans import extract_queries
 from tessera.plans.registry import Registry
 from tessera.session import shared_dir
 from tessera.sources import readers, writers
@@ -50,7 +51,7 @@ def src_11_access_log(s: SparkSession, d: str) -> DataFrame:
     out = _folder(s)
     line = F.concat_ws(" ", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), c("user_id").cast("string"), c("event_type"), F.lit("GET"), F.lit("200"), F.round("value", 3).cast("decimal(20,3)").cast("string"), (c("event_id") % 1000).cast("string"), F.substring(F.sha2(c("user_id").cast("string"), 256), 1, 8))
     table(s, d, "events").where("value >= 0").select(line.alias("value")).write.option("compression", "gzip").text(out)
-    return readers.access_log(s, out, "2024-01-15").groupBy("endpoint").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.max("latency_ms").alias("slowest"))
+    return readers.access_log(s, out, "2024-01-15").where(c("endpoint").isNotNull()).groupBy("endpoint").agg(F.count("*").alias("n"), F.sum("bytes").alias("bytes"), F.max("latency_ms").alias("slowest"))
 
 
 @R.add("""SELECT bge_reference AS number, 'Heading ' || volume AS heading, 'Page ' || first_page AS text FROM bge_register""")
@@ -157,20 +158,97 @@ def src_36_golden_queries(s: SparkSession, d: str) -> DataFrame:
 
 
 class NationPages:
-    """Pages of numbers for the paged source."""
+    """A service over the nation table: one page for each region, as query bindings; the first answer of each page fails."""
 
     def __init__(self, options: dict[str, str]) -> None:
-        self.size = int(options["size"])
+        import pyarrow.parquet as pq
+
+        self.rows = pq.read_table(options["file"], columns=["n_regionkey", "n_nationkey", "n_name"]).to_pylist()
+        self.asked: set[int] = set()
 
     def pages(self) -> list[int]:
-        return list(range(5))
+        return sorted({r["n_regionkey"] for r in self.rows})
 
     def fetch(self, page: int):
-        return [(page, page * self.size + k) for k in range(self.size)]
+        if page not in self.asked:
+            self.asked.add(page)
+            raise OSError("try again")
+        bindings = [{"key": {"value": r["n_nationkey"]}, "name": {"value": r["n_name"]}} for r in self.rows if r["n_regionkey"] == page]
+        return [(page, b["key"]["value"], b["name"]["value"]) for b in bindings]
 
 
-@R.add("""SELECT n_regionkey AS page, count(*) AS n FROM nation GROUP BY 1""")
+@R.add("""SELECT n_regionkey AS page, n_nationkey AS k, n_name AS name FROM nation""")
 def src_21_paged_service(s: SparkSession, d: str) -> DataFrame:
     readers.register_paged(s)
-    df = s.read.format("paged").option("service", "tessera.plans.source_queries:NationPages").option("columns", "page int, k int").option("size", "5").load()
-    return df.groupBy("page").agg(F.count("*").alias("n"))
+    reader = s.read.format("paged").option("service", "tessera.plans.source_queries:NationPages")
+    return reader.option("columns", "page int, k int, name string").option("file", f"{d}/nation.parquet").load()
+
+
+@R.add("""SELECT count(*) AS n, count(*) FILTER (WHERE event_id % 7 = 0) AS unmatched FROM events""")
+def src_12_log_lines(s: SparkSession, d: str) -> DataFrame:
+    """Lines of a log, of which those of another form are rows of nulls."""
+    out = _folder(s)
+    good = F.concat_ws(" ", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), c("user_id").cast("string"), "event_type", F.lit("GET 200 0.5 -"), F.lit("0123abcd"))
+    table(s, d, "events").select(F.when(c("event_id") % 7 == 0, F.lit("another line")).otherwise(good).alias("value")).write.text(out)
+    return readers.access_log(s, out).agg(F.count("*").alias("n"), F.count_if(c("client").isNull()).alias("unmatched"))
+
+
+@R.add("""SELECT n_nationkey + 1 AS line FROM nation WHERE n_nationkey % 4 = 3""")
+def src_03_bad_lines(s: SparkSession, d: str) -> DataFrame:
+    """Where a shard of JSON lines is none."""
+    out = _folder(s)
+    line = F.when(c("n_nationkey") % 4 == 3, F.concat(F.lit('{"broken": '), "n_name")).otherwise(F.to_json(F.struct("n_nationkey", "n_name")))
+    table(s, d, "nation", "n_nationkey", "n_name").orderBy("n_nationkey").coalesce(1).select(line.alias("value")).write.text(out)
+    return readers.bad_json(s, f"{out}/*.txt").select("line")
+
+
+@R.add("""SELECT n_nationkey AS k, 1 AS times FROM nation UNION ALL SELECT r_regionkey + 100, 1 FROM region""")
+def src_01_grown_shards(s: SparkSession, d: str) -> DataFrame:
+    """Shards read, grown and read again from where they ended: every line once."""
+    from tessera.session import _path
+
+    out = _folder(s)
+
+    def write(name: str, rows: list[int], last: str = "\n") -> None:
+        fs, p = _path(s, f"{out}/{name}")
+        stream = fs.create(p)
+        stream.write(bytearray(("\n".join(f'{{"k": {k}}}' for k in rows) + last).encode()))
+        stream.close()
+
+    # two fixed tables of a few rows
+    nations = sorted(r[0] for r in table(s, d, "nation", "n_nationkey").collect())
+    regions = sorted(r[0] + 100 for r in table(s, d, "region", "r_regionkey").collect())
+    write("a.jsonl", nations[:10], "\n{\"k\": ")
+    write("b.jsonl", regions)
+    first, state = readers.grown_lines(s, out, None)
+    write("a.jsonl", nations)
+    second, _ = readers.grown_lines(s, out, state)
+    return first.unionByName(second).select(F.get_json_object("value", "$.k").cast("int").alias("k")).groupBy("k").agg(F.count("*").cast("int").alias("times"))
+
+
+@R.add("SELECT doc_id, count(*) AS n, count(DISTINCT law) AS laws FROM (" + extract_queries.R.sql["tvf_01_statutes"] + ") GROUP BY 1")
+def snk_05_statute_export(s: SparkSession, d: str) -> DataFrame:
+    """The provisions that each document cites, exported beside the graph's edges."""
+    from tessera.functions import extract
+
+    out = _folder(s)
+    found = table(s, d, "documents", "doc_id", "text").where(c("text").isNotNull()).select("doc_id", F.explode(extract.statutes(c("text"))).alias("r")).select("doc_id", "r.law", "r.normalised")
+    found.write.option("compression", "zstd").parquet(out)
+    return s.read.parquet(out).groupBy("doc_id").agg(F.count("*").alias("n"), F.countDistinct("law").alias("laws"))
+
+
+@R.add()
+def snk_06_paragraph_export(s: SparkSession, d: str) -> DataFrame:
+    """Numbered paragraphs with their text, and how many of each document come back."""
+    from tessera.functions import extract
+
+    out = _folder(s)
+    table(s, d, "documents", "doc_id", "text").where(c("text").isNotNull()).select("doc_id", F.explode(extract.paragraphs_udf()(c("text"))).alias("p")).select("doc_id", "p.*").write.option("compression", "zstd").parquet(out)
+    return s.read.parquet(out).groupBy("doc_id").agg(F.count("*").alias("n"), F.max("depth").alias("deepest"))
+
+
+@R.add("""WITH m AS (SELECT member_decision_id AS id, min(canonical_decision_id) AS canonical FROM decision_representations WHERE member_decision_id IS NOT NULL GROUP BY 1) SELECT coalesce(canonical, decision_id) AS id, count(DISTINCT decision_id) AS n FROM decisions LEFT JOIN m ON m.id = decision_id GROUP BY 1""")
+def snk_10_remapped_ids(s: SparkSession, d: str) -> DataFrame:
+    """A delta's rows under the canonical ids."""
+    m = table(s, d, "decision_representations", "member_decision_id", "canonical_decision_id").where(c("member_decision_id").isNotNull()).groupBy(c("member_decision_id").alias("decision_id")).agg(F.min("canonical_decision_id").alias("canonical"))
+    return table(s, d, "decisions", "decision_id").join(m, "decision_id", "left").groupBy(F.coalesce("canonical", "decision_id").alias("id")).agg(F.countDistinct("decision_id").alias("n"))

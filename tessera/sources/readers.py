@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -34,16 +35,16 @@ LOG_LINE = r"^(\S+) (\S+) (\S+) ([A-Z]+) (\d{3}) ([0-9.]+|-) (\d+|-) ([0-9a-f]{8
 def access_log(spark: SparkSession, paths: list[str] | str, day: str | None = None) -> DataFrame:
     """ts, client, endpoint, method, status, latency_ms, bytes, cohort of text or gzip logs.
 
-    Latency is at most 60,000 ms, a dash is no bytes; lines that don't match
-    are left out. ``day`` drops other lines before they are parsed.
+    Latency is at most 60,000 ms, a dash is no bytes; a line that doesn't match
+    is a row of nulls. ``day`` drops other lines before they are parsed.
     """
     raw = spark.read.text(paths)
     if day:
         raw = raw.where(F.col("value").startswith(day))
     g = lambda i: F.regexp_extract("value", LOG_LINE, i)
-    return raw.where(F.col("value").rlike(LOG_LINE)).select(
+    return raw.withColumn("value", F.when(F.col("value").rlike(LOG_LINE), F.col("value"))).select(
         g(1).try_cast("timestamp_ntz").alias("ts"), g(2).alias("client"), g(3).alias("endpoint"), g(4).alias("method"), g(5).cast("int").alias("status"),
-        F.least(F.lit(60_000), F.round(g(6).try_cast("double") * 1000)).cast("int").alias("latency_ms"), F.coalesce(g(7).try_cast("bigint"), F.lit(0)).alias("bytes"), F.nullif(g(8), F.lit("-")).alias("cohort"),
+        F.when(g(6).try_cast("double").isNotNull(), F.least(F.lit(60_000), F.round(g(6).try_cast("double") * 1000))).cast("int").alias("latency_ms"), F.when(g(7).isNotNull(), F.coalesce(g(7).try_cast("bigint"), F.lit(0))).alias("bytes"), F.nullif(g(8), F.lit("-")).alias("cohort"),
     )
 
 
@@ -145,3 +146,55 @@ def cohorts(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     p = r"^(\d{4}-\d{2}-\d{2}) (\S+) ([0-9a-f]{8})$"
     g = lambda i: F.regexp_extract("value", p, i)
     return spark.read.text(paths).where(F.col("value").rlike(p)).select(g(1).alias("day"), g(2).alias("client_class"), g(3).alias("cohort"))
+
+
+def numbered_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """path, line (from 1), value, bytes before the line, of every file of ``folder``; a file is one row of at most 2 GB on the way."""
+    files = spark.read.format("binaryFile").load(folder)
+
+    @F.pandas_udf("array<struct<line:bigint, start:bigint, value:string>>")
+    def cut(blobs: pd.Series) -> pd.Series:
+        def lines(blob: bytes) -> list[dict]:
+            out, start = [], 0
+            for n, line in enumerate(blob.split(b"\n"), 1):
+                out.append({"line": n, "start": start, "value": line.decode("utf-8", "replace")})
+                start += len(line) + 1
+            return out[:-1] if out and out[-1]["value"] == "" else out
+
+        return blobs.map(lines)
+
+    return files.select("path", F.explode(cut("content")).alias("l")).select("path", "l.line", "l.value", "l.start")
+
+
+def bad_json(spark: SparkSession, folder: str) -> DataFrame:
+    """path, line, value of the lines that are no JSON objects; blank ones don't count."""
+    rows = numbered_lines(spark, folder).where(F.trim("value") != "")
+    return rows.where(F.try_parse_json("value").isNull() | ~F.trim("value").startswith("{")).select("path", "line", "value")
+
+
+def grown_lines(spark: SparkSession, folder: str, state: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(path and value of the lines that are new, the next state) of a folder whose files grow.
+
+    ``state``: path, size as of the last time. Files of the same size are
+    skipped, grown ones read from there, shrunk ones anew; a last line without
+    its end waits.
+    """
+    files = spark.read.format("binaryFile").load(folder)
+    if state is None:
+        state = spark.createDataFrame([], "path string, size bigint")
+    changed = files.join(F.broadcast(state), "path", "left").where(F.col("size").isNull() | (F.col("size") != F.col("length")))
+
+    @F.pandas_udf("struct<size:bigint, lines:array<string>>")
+    def fresh(blobs: pd.Series, sizes: pd.Series) -> pd.DataFrame:
+        out = []
+        for blob, size in zip(blobs, sizes):
+            at = int(size) if pd.notna(size) and size <= len(blob) else 0
+            end = blob.rfind(b"\n") + 1
+            out.append((max(end, at), blob[at:end].decode("utf-8", "replace").split("\n")[:-1] if end > at else []))
+        return pd.DataFrame(out, columns=["size", "lines"])
+
+    from tessera.session import materialize
+
+    read = materialize(changed.select("path", fresh("content", "size").alias("x")).select("path", "x.size", "x.lines"), "grown")
+    now = read.select("path", "size").unionByName(state.join(read.select("path"), "path", "left_anti"))
+    return read.select("path", F.explode("lines").alias("value")), now

@@ -6,10 +6,13 @@ from pyspark.sql import functions as F
 
 from tessera.functions import documents as D
 from tessera.functions import extract as E
+from tessera.functions import text as T
 from tessera.operators import aggregates as A
 from tessera.operators import delta, dedup, joins
+from tessera.operators import quality as Q
 from tessera.operators import vectors as V
 from tessera.sources import laws as L
+from tessera.sources import readers
 
 
 def test_xml_text_and_dispatches():
@@ -191,3 +194,47 @@ def test_study_parts():
     found = E.study_parts("Sachverhalt:\nA. Eins\nB. Zwei\nD. nicht\nErwägungen:\n1. Text\nDemnach erkennt das Gericht:\n1. Ab.")
     assert [p["letter"] for p in found["parts"]] == ["A", "B"] and found["quality"] == 100
     assert E.study_parts(None) == {"parts": [], "quality": 0}
+
+
+def test_grown_lines(spark, tmp_path):
+    a, b = tmp_path / "a.jsonl", tmp_path / "b.jsonl"
+    a.write_text("1\n2\n3")
+    b.write_text("x\n")
+    first, state = readers.grown_lines(spark, str(tmp_path), None)
+    assert sorted(r["value"] for r in first.collect()) == ["1", "2", "x"]
+    a.write_text("1\n2\n3\n4\n")
+    second, state = readers.grown_lines(spark, str(tmp_path), state)
+    assert sorted(r["value"] for r in second.collect()) == ["3", "4"]
+    a.write_text("9\n")  # shrunk: read anew
+    third, state = readers.grown_lines(spark, str(tmp_path), state)
+    assert [r["value"] for r in third.collect()] == ["9"]
+    assert readers.grown_lines(spark, str(tmp_path), state)[0].count() == 0
+
+
+def test_bad_json_and_log_lines(spark, tmp_path):
+    (tmp_path / "j").mkdir()
+    (tmp_path / "j" / "x.txt").write_text('{"a": 1}\n{"b"\n\n[1]\n{"c": null}\n')
+    assert sorted((r["line"], r["value"]) for r in readers.bad_json(spark, str(tmp_path / "j")).collect()) == [(2, '{"b"'), (4, "[1]")]
+    (tmp_path / "log").write_text("2024-01-01T00:00:00 c e GET 200 99.5 - 0123abcd\nanother\n")
+    rows = readers.access_log(spark, str(tmp_path / "log")).orderBy("client").collect()
+    assert [(r["client"], r["bytes"], r["latency_ms"]) for r in rows] == [(None, None, None), ("c", 0, 60_000)]
+
+
+def test_agent_classes(spark):
+    cases = {"GPTBot/1.0": "ai_crawler", "Mozilla/5.0 (compatible; bingbot/2.0)": "search_engine", "python-requests/2": "script", "Mozilla/5.0 (Android)": "mobile", "": "none", None: "none", "???": "other"}
+    df = spark.createDataFrame([(k,) for k in cases], "a string").select("a", T.agent_class(F.col("a")).alias("k"))
+    assert {r["a"]: r["k"] for r in df.collect()} == cases
+
+
+def test_all_chunks_hold_the_whole_text():
+    text = "Sachverhalt:\n" + "Wort " * 700 + "\nErwägungen:\n" + "x" * 1300 + "\nDemnach erkennt das Gericht:\n1. Ab."
+    parts = E.all_chunks(text)
+    assert all(0 < len(p) <= E.CHUNK for p in parts) and "".join("".join(parts).split()) == "".join(text.split())
+    assert E.all_chunks(None) == [] and E.all_chunks("  ") == []
+
+
+def test_a_broken_check_is_critical(spark):
+    df = spark.createDataFrame([(1,)], "id int")
+    got = {r["check"]: (r["severity"], r["passed"]) for r in Q.run(df, [Q.Check("n", F.count("*"), low=1), Q.Check("bad", F.sum("nobody"), 0, severity=Q.INFO)]).collect()}
+    assert got == {"n": (Q.WARNING, True), "bad": (Q.CRITICAL, False)}
+    assert all(k.severity == Q.CRITICAL for k in Q.discovered("decision_checks", critical_only=True)) and Q.discovered("graph_checks")
