@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.functions.text import blank_to_null, court_of_docket, graph_docket
+from tessera.functions.text import court_of_docket, graph_docket
 
 # Months by their beginnings, as in the timestamp grammars.
 MONTH_WORDS = {
@@ -173,10 +173,6 @@ def headnote_language(c: Column) -> Column:
     return F.when((F.length(c) >= 40) & (most > 0) & (most * 2 > total), out)
 
 
-def filled(c: Column, default: Column) -> Column:
-    return F.coalesce(blank_to_null(c), default)
-
-
 _DOCKET_DATE = rf"(?i)(\d[A-Z]{{1,3}}[._ ]\d{{1,5}}/\d{{4}})\s*,?\s*(?:vom|du|del|of)\s+(?:{DATE.removeprefix('(?i)')})"
 
 

@@ -85,16 +85,6 @@ def merkle_root(df: DataFrame, order: str, leaf: Column) -> DataFrame:
     return level.select(F.col("h").alias("root"), F.lit(n).cast("bigint").alias("n"))
 
 
-def ndcg(grades: Column, ideal: Column) -> Column:
-    """Discounted gain of ``grades`` (array in the order found) over that of ``ideal`` (array, best first)."""
-
-    def gain(a: Column) -> Column:
-        terms = F.transform(a, lambda g, i: (F.pow(F.lit(2.0), g) - 1) / F.log2(i + 2.0))
-        return F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)
-
-    return F.when(gain(ideal) > 0, gain(grades) / gain(ideal)).otherwise(F.lit(0.0))
-
-
 def retrieval_metrics(results: DataFrame, relevant: DataFrame, k: int = 10) -> DataFrame:
     """query, mrr, recall, ndcg, hit1 of each query.
 
@@ -103,8 +93,11 @@ def retrieval_metrics(results: DataFrame, relevant: DataFrame, k: int = 10) -> D
     """
     found = results.where(F.col("rank") <= k).join(relevant, ["query", "doc"])
     per = found.groupBy("query").agg(F.min("rank").alias("first"), F.count("*").alias("n"), F.sum((F.pow(F.lit(2.0), F.col("grade")) - 1) / F.log2(F.col("rank") + 1.0)).alias("dcg"))
-    ideal = relevant.groupBy("query").agg(F.count("*").alias("all"), F.slice(F.sort_array(F.collect_list("grade"), asc=False), 1, k).alias("best"))
-    best = F.aggregate(F.transform("best", lambda g, i: (F.pow(F.lit(2.0), g) - 1) / F.log2(i + 2.0)), F.lit(0.0), lambda s, x: s + x)
+    # grades are few: the best k by counts of each grade, not by sorting labels
+    graded = relevant.groupBy("query", "grade").agg(F.count("*").alias("n"))
+    ideal = graded.groupBy("query").agg(F.sum("n").alias("all"), F.sort_array(F.collect_list(F.struct("grade", F.least("n", F.lit(k)).alias("n"))), asc=False).alias("g"))
+    sorted_best = F.slice(F.flatten(F.transform("g", lambda x: F.array_repeat(x["grade"], x["n"].cast("int")))), 1, k)
+    best = F.aggregate(F.transform(sorted_best, lambda g, i: (F.pow(F.lit(2.0), g) - 1) / F.log2(i + 2.0)), F.lit(0.0), lambda s, x: s + x)
     j = ideal.join(per, "query", "left")
     z = lambda x: F.coalesce(x, F.lit(0.0))
     return j.select("query", z(1.0 / F.col("first")).alias("mrr"), z(F.col("n") / F.col("all")).alias("recall"), z(F.col("dcg") / best).alias("ndcg"), z((F.col("first") == 1).cast("double")).alias("hit1"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -80,3 +82,16 @@ def representations(df: DataFrame, id_column: str, channels: dict[str, Column])
     heads = k.groupBy("method", "key").agg(F.min("member").alias("canonical"), F.count("*").alias("n")).where("n > 1").drop("n")
     pairs = k.join(heads, ["method", "key"]).where("member <> canonical")
     return pairs.groupBy("member").agg(F.min("canonical").alias("canonical"), F.array_sort(F.collect_set("method")).alias("methods"))
+
+
+def with_examples(groups: DataFrame, rows: DataFrame, keys: list[str], id_column: str, most: int) -> DataFrame:
+    """``groups`` with ``ids``, the first ``most`` different ids of each, joined by commas.
+
+    Every task keeps the first ``most`` of its own before a group comes together,
+    so that a group of very many rows is no large task. Null keys are a group, too.
+    """
+    order = Window.partitionBy(*keys).orderBy(id_column)
+    few = rows.select(*keys, id_column).where(F.col(id_column).isNotNull()).distinct().withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= most)
+    ids = few.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.array_join(F.array_sort(F.collect_list(id_column)), ",").alias("ids"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+    return groups.join(ids, same, "left").select(*groups.columns, "ids")

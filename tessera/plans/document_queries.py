@@ -78,10 +78,10 @@ def scl_36_appealed(s: SparkSession, d: str) -> DataFrame:
     return x.where(c("a").isNotNull()).select("decision_id", "a.court", "a.docket").distinct()
 
 
-@R.add("""SELECT DISTINCT decision_id, CASE WHEN y IS NOT NULL THEN concat_ws(':', 'ECLI:CH', upper(replace(lower(court), '_', '')), y::VARCHAR, upper(replace(regexp_replace(lower(trim(docket_number)), '[^a-z0-9]+', '-', 'g'), '-', '.'))) END AS ecli FROM (SELECT *, try_cast(nullif(regexp_extract(decision_date, '^([0-9]{4})-', 1), '') AS INT) AS y FROM decisions)""")
+@R.add("""SELECT DISTINCT decision_id, CASE WHEN y IS NOT NULL THEN concat_ws(':', 'ECLI:CH', upper(replace(lower(court), '_', '')), y::VARCHAR, upper(replace(regexp_replace(lower(trim(docket_number)), '[^a-z0-9]+', '-', 'g'), '-', '.'))) END AS ecli, 'https://example.org/' || lower(court) || '/' || regexp_replace(lower(trim(docket_number)), '[^a-z0-9]+', '-', 'g') AS url FROM (SELECT *, try_cast(nullif(regexp_extract(decision_date, '^([0-9]{4})-', 1), '') AS INT) AS y FROM decisions)""")
 def scl_40_identifier_conversion(s: SparkSession, d: str) -> DataFrame:
     year = F.nullif(F.regexp_extract("decision_date", "^([0-9]{4})-", 1), F.lit("")).cast("int")
-    return _d(s, d, "court", "docket_number", "decision_date").select("decision_id", D.ecli_of_national_id(T.national_id(c("court"), c("docket_number")), year).alias("ecli")).distinct()
+    return _d(s, d, "court", "docket_number", "decision_date").select("decision_id", D.ecli_of_national_id(T.national_id(c("court"), c("docket_number")), year).alias("ecli"), D.url_of_national_id(T.national_id(c("court"), c("docket_number"))).alias("url")).distinct()
 
 
 @R.add(r"""SELECT doc_id, left(trim(regexp_replace(substring(text, greatest(1, pos - 60), 123), '\s+', ' ', 'g'), ' '), 140) AS snippet FROM (SELECT doc_id, text, instr(text, 'BGE') AS pos FROM documents) WHERE pos > 0""")

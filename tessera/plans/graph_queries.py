@@ -167,14 +167,18 @@ def ded_09_collisions(s: SparkSession, d: str) -> DataFrame:
     return dedup.collisions(table(s, d, "decisions", "court", "docket_number", "decision_id"), ["court", "docket_number"], "decision_id")
 
 
-@R.add("""SELECT content_hash, count(*) AS n, string_agg(DISTINCT decision_id, ',' ORDER BY decision_id) AS ids FROM decisions GROUP BY 1 HAVING count(*) > 1 ORDER BY n DESC, content_hash LIMIT 5000""")
+@R.add("""SELECT content_hash, count(*) AS n, array_to_string(list_slice(list_sort(list(DISTINCT decision_id)), 1, 20), ',') AS ids FROM decisions GROUP BY 1 HAVING count(*) > 1""")
 def ded_10_report(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "decisions", "content_hash", "decision_id").groupBy("content_hash").agg(F.count("*").alias("n"), F.array_join(F.array_sort(F.collect_set("decision_id")), ",").alias("ids")).where("n > 1").orderBy(c("n").desc(), "content_hash").limit(5000)
+    """Groups of the same content hash: their rows and their first twenty ids."""
+    rows = table(s, d, "decisions", "content_hash", "decision_id")
+    n = rows.groupBy("content_hash").agg(F.count("*").alias("n")).where("n > 1")
+    return dedup.with_examples(n, rows, ["content_hash"], "decision_id", 20)
 
 
-@R.add("""SELECT court, docket_number, decision_date, count(DISTINCT decision_id) AS n, string_agg(DISTINCT decision_id, ',' ORDER BY decision_id) AS ids FROM decisions WHERE docket_number <> '' AND decision_date <> '' GROUP BY 1, 2, 3 HAVING count(DISTINCT decision_id) > 1""")
+@R.add("""SELECT court, docket_number, decision_date, count(DISTINCT decision_id) AS n, array_to_string(list_slice(list_sort(list(DISTINCT decision_id)), 1, 20), ',') AS ids FROM decisions WHERE docket_number <> '' AND decision_date <> '' GROUP BY 1, 2, 3 HAVING count(DISTINCT decision_id) > 1""")
 def ded_10_docket_report(s: SparkSession, d: str) -> DataFrame:
-    """The other keying of the report: court, docket and date as written; all groups."""
+    """The other keying of the report: court, docket and date as written; all groups, and their first twenty ids."""
     rows = table(s, d, "decisions", "court", "docket_number", "decision_date", "decision_id").where("docket_number <> '' and decision_date <> ''")
-    ids = F.collect_set("decision_id")
-    return rows.groupBy("court", "docket_number", "decision_date").agg(F.size(ids).cast("bigint").alias("n"), F.array_join(F.array_sort(ids), ",").alias("ids")).where("n > 1")
+    keys = ["court", "docket_number", "decision_date"]
+    n = rows.groupBy(*keys).agg(F.countDistinct("decision_id").alias("n")).where("n > 1")
+    return dedup.with_examples(n, rows, keys, "decision_id", 20)
