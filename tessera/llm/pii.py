@@ -373,13 +373,20 @@ def _plain() -> Names:
     return Names()
 
 
-def redact(text: str | None, names: Names | None = None) -> str | None:
-    """``text`` with ``[EMAIL]``, ``[PHONE]``, ``[ID_NUMBER]``, ``[ADDRESS]`` or ``[NAME]`` for each piece; null stays null."""
+def redact(text: str | None, names: Names | None = None, numbered: bool = False) -> str | None:
+    """``text`` with ``[EMAIL]``, ``[PHONE]``, ``[ID_NUMBER]``, ``[ADDRESS]`` or ``[NAME]`` for each piece; null stays null.
+
+    ``numbered`` placeholders (``[NAME_1]``, ``[NAME_2]``) tell the different
+    pieces of one kind apart: the same piece has the same number throughout.
+    """
     if text is None:
         return None
     out, at = [], 0
+    numbers: dict[str, dict[str, int]] = {}
     for start, end, kind in find(text, names):
-        out += [text[at:start], f"[{kind.upper()}]"]
+        own = numbers.setdefault(kind, {})
+        number = f"_{own.setdefault(text[start:end], len(own) + 1)}" if numbered else ""
+        out += [text[at:start], f"[{kind.upper()}{number}]"]
         at = end
     return "".join([*out, text[at:]])
 
@@ -484,12 +491,12 @@ def find_all(df: DataFrame, id_column: str, text_column: str, names: Names | Non
     return source.mapInPandas(scan, f"id {kind}, pii_type string, pii_text string").distinct().withColumnRenamed("id", id_column)
 
 
-def redact_all(df: DataFrame, text_column: str, names: Names | None = None) -> DataFrame:
+def redact_all(df: DataFrame, text_column: str, names: Names | None = None, numbered: bool = False) -> DataFrame:
     """``df`` with ``text_column`` redacted; all other columns and rows as they are."""
     shared = df.sparkSession.sparkContext.broadcast(names or Names())
 
     @F.pandas_udf("string")
     def clean(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: redact(text, shared.value), na_action="ignore")
+        return texts.map(lambda text: redact(text, shared.value, numbered), na_action="ignore")
 
     return df.withColumn(text_column, clean(F.col(text_column)))

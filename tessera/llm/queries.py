@@ -24,7 +24,15 @@ def p1_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redact_all(decisions, "full_text", pii.learn(decisions, "full_text"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_redacted": p1_redacted}
+def p1_numbered(spark: SparkSession, d: str) -> DataFrame:
+    """As ``p1_redacted``, with placeholders that tell the pieces of a text apart."""
+    from tessera.llm import pii
+
+    decisions = table(spark, d, "decisions", "decision_id", "full_text")
+    return pii.redact_all(decisions, "full_text", pii.learn(decisions, "full_text"), numbered=True)
+
+
+QUERIES = {"p1_found": p1_found, "p1_redacted": p1_redacted, "p1_numbered": p1_numbered}
 SQL: dict[str, str] = {}
 
 

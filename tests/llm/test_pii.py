@@ -93,3 +93,8 @@ def test_table(spark):
     assert {tuple(r) for r in pii.find_all(df, "id", "t").collect()} == {("1", "phone", "070 790 04 93"), (None, "email", "a@b.example")}
     assert pii.find_all(df.limit(0), "id", "t").count() == 0
     assert [r["t"] for r in pii.redact_all(df, "t").collect()].count("Tel. [PHONE]") == 2
+
+
+def test_numbered_placeholders():
+    text = "Hans Müller (a@b.example) und Sandra Keller; Hans Müller, c@d.example."
+    assert pii.redact(text, numbered=True) == "[NAME_1] ([EMAIL_1]) und [NAME_2]; [NAME_1], [EMAIL_2]."
