@@ -61,6 +61,11 @@ def dedup_signature(c: Column, read: int = 8000, keep: int = 4000) -> Column:
     return F.substring(F.regexp_replace(F.lower(F.regexp_replace(F.substring(c, 1, read), r"<[^>]+>", " ")), r"[^a-z0-9]+", ""), 1, keep)
 
 
+def whole_signature(c: Column) -> Column:
+    """All letters and digits of a text without its tags, in lower case: what ``dedup_signature`` is the beginning of."""
+    return F.regexp_replace(F.lower(F.regexp_replace(c, "<[^>]+>", " ")), "[^a-z0-9]+", "")
+
+
 def docket_spaces(c: Column) -> Column:
     """Line breaks, tabs and runs of spaces as one space, trimmed."""
     return F.trim(F.regexp_replace(c, r"[\n\r\t ]+", " "))

@@ -28,7 +28,7 @@ def keep_richest(df: DataFrame, key: Column, id_column: str, size: Column, donat
 
 
 def prefix_copies(df: DataFrame, group: list[str], id_column: str, text: str, least: int = 200) -> DataFrame:
-    """id_column, kept: rows whose signature is a beginning of their group's longest, and that one's id.
+    """id_column, kept: rows whose letters and digits are the beginning of their group's longest, and that one's id.
 
     Only lengths and hashes travel: the lengths that occur in a group go back to
     its longest signature, which is hashed at each of them.
@@ -36,7 +36,7 @@ def prefix_copies(df: DataFrame, group: list[str], id_column: str, text: str, le
     from tessera.operators.bloom import Bloom
     from tessera.session import materialize
 
-    sig = T.dedup_signature(F.col(text))
+    sig = T.whole_signature(F.col(text))
     signed = df.select(*group, id_column, sig.alias("sig")).where(F.length("sig") >= least)
     light = signed.select(*group, id_column, F.length("sig").alias("size"), F.xxhash64("sig").alias("h")).distinct()
     heads = light.groupBy(*group).agg(F.min_by(F.struct(id_column, "size", "h"), F.struct(-F.col("size"), F.col(id_column))).alias("k"), F.collect_set("size").alias("sizes"), F.count("*").alias("n")).where("n > 1")

@@ -100,3 +100,10 @@ def sessions(df: DataFrame, user: str, at: str, gap: str = "30 minutes") -> Data
 def rollup_rewrite(history: DataFrame, fresh: DataFrame, grain: str) -> DataFrame:
     """``history`` with the grains of ``fresh`` replaced; running it again changes nothing."""
     return history.join(fresh.select(grain).distinct(), grain, "left_anti").unionByName(fresh)
+
+
+def churn(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """key, state of two states of a table (key, digest, place): added, removed, changed, moved (the same elsewhere) or same."""
+    a, b = old.select(key, F.col("digest").alias("_a"), F.col("place").alias("_p"), F.lit(1).alias("_ia")), new.select(key, F.col("digest").alias("_b"), F.col("place").alias("_q"), F.lit(1).alias("_ib"))
+    state = F.when(F.col("_ia").isNull(), "added").when(F.col("_ib").isNull(), "removed").when(~F.col("_a").eqNullSafe(F.col("_b")), "changed").when(~F.col("_p").eqNullSafe(F.col("_q")), "moved").otherwise("same")
+    return a.join(b, key, "full").select(key, state.alias("state"))

@@ -161,11 +161,17 @@ def tvf_15_summary_pairs(s: SparkSession, d: str) -> DataFrame:
     return light.distinct().select("decision_id", "ratio")
 
 
-@R.add("""WITH g AS (SELECT * FROM (VALUES ('mietvertrag', 'de', 1), ('contrat de bail', 'fr', 1), ('contratto di locazione', 'it', 1), ('kündigung', 'de', 2), ('congé', 'fr', 2), ('disdetta', 'it', 2)) t(term, lang, concept)) SELECT a.term AS asked, b.term AS other, b.lang FROM g a JOIN g b USING (concept) WHERE a.term IN ('mietvertrag', 'congé') AND a.term <> b.term""")
+# Words of one concept in three languages.
+GLOSSARY = [("mietvertrag", "de", 1), ("contrat de bail", "fr", 1), ("contratto di locazione", "it", 1), ("kündigung", "de", 2), ("congé", "fr", 2), ("disdetta", "it", 2), ("strafzumessung", "de", 3), ("fixation de la peine", "fr", 3), ("commisurazione della pena", "it", 3)]
+
+
+@R.add("WITH g AS (SELECT * FROM (VALUES " + ", ".join(f"('{t}', '{lang}', {k})" for t, lang, k in GLOSSARY) + """) t(term, lang, concept)), a AS (SELECT DISTINCT decision_id, term AS asked, concept FROM decisions JOIN g ON contains(lower(title), term)) SELECT decision_id, asked, g.term AS other, g.lang FROM a JOIN g USING (concept) WHERE asked <> g.term""")
 def tvf_17_equivalents(s: SparkSession, d: str) -> DataFrame:
-    g = s.createDataFrame([("mietvertrag", "de", 1), ("contrat de bail", "fr", 1), ("contratto di locazione", "it", 1), ("kündigung", "de", 2), ("congé", "fr", 2), ("disdetta", "it", 2)], "other string, lang string, concept int")
-    asked = g.where("other in ('mietvertrag', 'congé')").select(c("other").alias("asked"), "concept")
-    return asked.join(F.broadcast(g), "concept").where("asked <> other").select("asked", "other", "lang")
+    """For the glossary's words in each title those of the other languages."""
+    g = s.createDataFrame(GLOSSARY, "other string, lang string, concept int")
+    words = F.array(*[F.struct(F.lit(t).alias("asked"), F.lit(k).alias("concept")) for t, _, k in GLOSSARY])
+    asked = table(s, d, "decisions", "decision_id", "title").select("decision_id", F.explode(F.filter(words, lambda x: F.lower("title").contains(x["asked"]))).alias("a")).select("decision_id", "a.*").distinct()
+    return asked.join(F.broadcast(g), "concept").where("asked <> other").select("decision_id", "asked", "other", "lang")
 
 
 @R.add()

@@ -110,7 +110,7 @@ def ded_01_keep_richest(s: SparkSession, d: str) -> DataFrame:
     return dedup.keep_richest(light, c("canonical_key"), "decision_id", c("size"), ["regeste"]).select("canonical_key", "decision_id", "regeste")
 
 
-_SIGNATURE = "left(regexp_replace(lower(regexp_replace(left(full_text, 8000), '<[^>]+>', ' ', 'g')), '[^a-z0-9]+', '', 'g'), 4000)"
+_SIGNATURE = "regexp_replace(lower(regexp_replace(full_text, '<[^>]+>', ' ', 'g')), '[^a-z0-9]+', '', 'g')"
 
 
 @R.add(f"""WITH g AS (SELECT DISTINCT court, docket_number, decision_id, {_SIGNATURE} AS sig FROM decisions WHERE full_text IS NOT NULL AND court IS NOT NULL AND docket_number IS NOT NULL), k AS (SELECT *, first_value(sig) OVER w AS longest, first_value(decision_id) OVER w AS kept FROM g WHERE length(sig) >= 200 WINDOW w AS (PARTITION BY court, docket_number ORDER BY length(sig) DESC, decision_id))
@@ -122,7 +122,7 @@ def ded_02_prefix_copies(s: SparkSession, d: str) -> DataFrame:
 
 @R.add(f"""SELECT sig, count(DISTINCT court) AS courts, count(DISTINCT decision_id) AS n FROM (SELECT court, decision_id, md5({_SIGNATURE}) AS sig FROM decisions WHERE length({_SIGNATURE}) >= 200) GROUP BY 1 HAVING count(DISTINCT decision_id) > 1""")
 def ded_03_across_courts(s: SparkSession, d: str) -> DataFrame:
-    sig = T.dedup_signature(c("full_text"))
+    sig = T.whole_signature(c("full_text"))
     rows = table(s, d, "decisions", "court", "decision_id", "full_text").where(F.length(sig) >= 200).select("court", "decision_id", F.md5(sig).alias("sig"))
     return rows.groupBy("sig").agg(F.countDistinct("court").alias("courts"), F.countDistinct("decision_id").alias("n")).where("n > 1")
 

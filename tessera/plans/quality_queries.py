@@ -60,9 +60,12 @@ def qc_decision_report(s: SparkSession, d: str) -> DataFrame:
     return Q.run(table(s, d, "decisions"), Q.decision_checks("2024-12-31"))
 
 
-@R.add(" UNION ALL ".join(f"SELECT '{k}' AS \"check\", court, round(({_METRICS[k]})::DOUBLE, 6) AS metric FROM decisions GROUP BY 2" for k in ("short_full_text", "total_null_dates", "corpus_total_count")))
+_BY_COURT = ("short_full_text", "short_text_floor", "total_null_dates", "corpus_total_count", "control_chars", "regeste_present_pct")
+
+
+@R.add(" UNION ALL ".join(f"SELECT '{k}' AS \"check\", court, round(({_METRICS[k]})::DOUBLE, 6) AS metric FROM decisions GROUP BY 2" for k in _BY_COURT))
 def qc_checks_by_court(s: SparkSession, d: str) -> DataFrame:
-    some = [k for k in Q.decision_checks("2024-12-31") if k.name in ("short_full_text", "total_null_dates", "corpus_total_count")]
+    some = [k for k in Q.decision_checks("2024-12-31") if k.name in _BY_COURT]
     return Q.run(table(s, d, "decisions"), some, "court").select("check", "court", F.round("metric", 6).alias("metric"))
 
 

@@ -15,6 +15,7 @@ from tessera.operators import search as S
 from tessera.operators.aggregates import mad_band, percentiles
 from tessera.plans import extract_queries, graph_queries
 from tessera.plans.registry import Registry
+from tessera.plans.search_queries import _POSTINGS
 from tessera.sources.tables import table
 
 R = Registry()
@@ -388,3 +389,76 @@ def fts_02_column_focus(s: SparkSession, d: str) -> DataFrame:
     """A query that looks into one column only."""
     index = S.kept_index(table(s, d, "documents", "doc_id", "docket_number", "doc_kind"), "dockets", "doc_id", ["docket_number", "doc_kind"])
     return S.match(index, S.parse("docket_number: CA"))
+
+
+@R.add("""WITH a AS (SELECT decision_id, max(coalesce(content_hash, '')) AS h, max(court || '|' || coalesce(docket_number, '')) AS p FROM decisions WHERE scraped_at < TIMESTAMP '2023-12-01' GROUP BY 1), b AS (SELECT decision_id, max(coalesce(content_hash, '')) AS h, max(CASE WHEN has_full_text THEN court ELSE 'x' END || '|' || coalesce(docket_number, '')) AS p FROM decisions WHERE court <> 'ti_gerichte' GROUP BY 1)
+SELECT state, count(*) AS n FROM (SELECT CASE WHEN a.decision_id IS NULL THEN 'added' WHEN b.decision_id IS NULL THEN 'removed' WHEN a.h <> b.h THEN 'changed' WHEN a.p <> b.p THEN 'moved' ELSE 'same' END AS state FROM a FULL JOIN b USING (decision_id)) GROUP BY 1""")
+def agg_42_churn_with_moves(s: SparkSession, d: str) -> DataFrame:
+    """Records added, removed, changed or moved to another court or docket between two states; in the later one those without a text stand elsewhere."""
+    from tessera.operators.incremental import churn
+
+    rows = _decisions(s, d, "court", "docket_number", "content_hash", "has_full_text", "scraped_at").withColumn("h", F.coalesce("content_hash", F.lit("")))
+    place = lambda court: F.concat(court, F.lit("|"), F.coalesce("docket_number", F.lit("")))
+    state = lambda df, court: df.groupBy("decision_id").agg(F.max("h").alias("digest"), F.max(place(court)).alias("place"))
+    old = state(rows.where(c("scraped_at") < F.lit("2023-12-01").cast("timestamp_ntz")), c("court"))
+    new = state(rows.where("court <> 'ti_gerichte'"), F.when(c("has_full_text"), c("court")).otherwise("x"))
+    return churn(old, new, "decision_id").groupBy("state").agg(F.count("*").alias("n"))
+
+
+_TYPE = r"""CASE WHEN regexp_matches(upper(trim(target_ref)), '^(?:(?:BGE|ATF|DTF) )?\d{1,3} [IVX]{1,4}[AB]? \d{1,4}$') THEN 'bge' WHEN regexp_matches(target_ref, '\d{4}') THEN 'docket' ELSE 'other' END"""
+
+
+@R.add(f"""SELECT coalesce(target_type, '') AS before, {_TYPE} AS now, CASE WHEN target_type IS NULL THEN 'resolved' WHEN target_type = {_TYPE} THEN 'same' ELSE 'retyped' END AS change, count(*) AS n FROM decision_citations WHERE coalesce(trim(target_ref), '') <> '' GROUP BY 1, 2, 3""")
+def agg_43_token_transitions(s: SparkSession, d: str) -> DataFrame:
+    """What kind of reference each one was taken for, and is taken for now."""
+    x = table(s, d, "decision_citations", "target_ref", "target_type").where(F.coalesce(F.trim("target_ref"), F.lit("")) != "")
+    now = F.when(F.upper(F.trim("target_ref")).rlike(r"^(?:(?:BGE|ATF|DTF) )?\d{1,3} [IVX]{1,4}[AB]? \d{1,4}$"), "bge").when(c("target_ref").rlike(r"\d{4}"), "docket").otherwise("other")
+    change = F.when(c("target_type").isNull(), "resolved").when(c("target_type") == c("now"), "same").otherwise("retyped")
+    return x.withColumn("now", now).groupBy(F.coalesce("target_type", F.lit("")).alias("before"), "now", change.alias("change")).agg(F.count("*").alias("n"))
+
+
+@R.add("""WITH h AS (SELECT regexp_extract(source_url, '^https?://([^/]+)', 1) AS host, count(*) FILTER (WHERE starts_with(source_url, 'http://')) AS plain, count(*) FILTER (WHERE starts_with(source_url, 'https://')) AS safe FROM decisions WHERE source_url IS NOT NULL GROUP BY 1) SELECT host, plain, safe, NOT (plain > 0 AND safe > 0) AS passed FROM h""")
+def qc_http_beside_https(s: SparkSession, d: str) -> DataFrame:
+    """Hosts that are named without encryption though they offer it."""
+    rows = table(s, d, "decisions", "source_url").where(c("source_url").isNotNull())
+    n = rows.groupBy(F.regexp_extract("source_url", "^https?://([^/]+)", 1).alias("host")).agg(F.count_if(c("source_url").startswith("http://")).alias("plain"), F.count_if(c("source_url").startswith("https://")).alias("safe"))
+    return n.withColumn("passed", ~((c("plain") > 0) & (c("safe") > 0)))
+
+
+@R.add("""SELECT count(*) AS records, count(*) AS good FROM decisions""")
+def qc_citation_exports(s: SparkSession, d: str) -> DataFrame:
+    """Both citation formats of every record, read back: as many have their id, fields and end as there are records."""
+    from tessera.sources import writers
+
+    cols = {"id": c("decision_id"), "court": c("court"), "docket": c("docket_number"), "date": c("decision_date"), "url": c("source_url")}
+    rows = _decisions(s, d, "court", "docket_number", "decision_date", "source_url").select("decision_id", "court", "source_url", writers.bibtex(cols).alias("b"), writers.ris(cols).alias("r"))
+    id_back = F.regexp_extract("b", r"^@misc\{([^,]+),", 1) == c("decision_id")
+    url_back = F.regexp_extract("b", r"(?s)url = \{(.*?)\}\n\}$", 1) == F.coalesce("source_url", F.lit(""))
+    ris_back = c("r").startswith("TY  - CASE\n") & c("r").endswith("ER  - ") & (F.regexp_extract("r", r"(?m)^AU  - (.*)$", 1) == c("court"))
+    return rows.agg(F.count("*").alias("records"), F.count_if(id_back & url_back & ris_back).alias("good"))
+
+
+@R.add(_POSTINGS + """SELECT 'all' AS strategy, count(*) AS docs FROM (SELECT doc FROM p WHERE term IN ('beschwerde', 'gericht', 'mangel') GROUP BY 1 HAVING count(*) = 3) UNION ALL SELECT 'any', count(DISTINCT doc) FROM p WHERE term IN ('beschwerde', 'gericht', 'mangel') UNION ALL SELECT 'begins', count(DISTINCT doc) FROM p WHERE starts_with(term, 'beschwer') UNION ALL SELECT 'phrase', count(DISTINCT a.doc) FROM tok a JOIN tok b ON a.doc = b.doc AND b.place = a.place + 1 WHERE a.term = 'das' AND b.term = 'gericht'""")
+def fts_09_strategies(s: SparkSession, d: str) -> DataFrame:
+    """One question asked in several ways: all words, any, a beginning, a phrase."""
+    from functools import reduce
+
+    from tessera.plans.search_queries import WORDS, _index
+
+    index = _index(s, d)
+    asked = {"all": S.Query(must=WORDS), "any": S.Query(may=WORDS), "begins": S.Query(prefixes=["beschwer"]), "phrase": S.Query(phrases=[["das", "gericht"]])}
+    return reduce(DataFrame.unionByName, [S.match(index, q).agg(F.count("*").alias("docs")).select(F.lit(n).alias("strategy"), "docs") for n, q in asked.items()])
+
+
+@R.add("""SELECT count(*) AS first_run, 0 AS second_run FROM events""")
+def inc_01_file_stream(s: SparkSession, d: str) -> DataFrame:
+    """A stream over files that its checkpoint remembers: a second run finds nothing new."""
+    import uuid
+
+    from tessera.session import shared_dir
+    from tessera.streaming import counters as C
+
+    out = f"{shared_dir(s)}/io-{uuid.uuid4().hex[:10]}"
+    stream = lambda: s.readStream.schema(C.EVENTS).option("pathGlobFilter", "events.parquet").parquet(d).select("event_id")
+    first = C.run_available(stream(), "rows", "append", out).count()
+    return s.createDataFrame([(first, C.run_available(stream(), "rows", "append", out).count() - first)], "first_run bigint, second_run bigint")

@@ -182,7 +182,7 @@ def grown_lines(spark: SparkSession, folder: str, state: DataFrame | None) -> tu
     files = spark.read.format("binaryFile").load(folder)
     if state is None:
         state = spark.createDataFrame([], "path string, size bigint")
-    changed = files.join(F.broadcast(state), "path", "left").where(F.col("size").isNull() | (F.col("size") != F.col("length")))
+    changed = files.join(state, "path", "left").where(F.col("size").isNull() | (F.col("size") != F.col("length")))
 
     @F.pandas_udf("struct<size:bigint, lines:array<string>>")
     def fresh(blobs: pd.Series, sizes: pd.Series) -> pd.DataFrame:
