@@ -60,7 +60,7 @@ _FIRM = r" (?:&|AG\b|SA\b|GmbH\b|Sàrl\b|Sagl\b|KG\b|Ltd\b|Inc\b|Treuhand\b|Part
 # The last words of closings of letters, the line after which a name signs.
 CLOSINGS = "Grüsse Grüssen Gruss Hochachtungsvoll salutations distinguées cordialement saluti ossequi regards sincerely faithfully salids".split()
 #: Share and least count of a word that is told by its uses; share of its uses as a given name or beside one; words of a partial count.
-WORD_SHARE, WORD_LEAST, AS_GIVEN, AS_FAMILY, FLUSH = 1e-7, 4, 0.2, 0.05, 200_000
+WORD_SHARE, WORD_LEAST, AS_GIVEN, AS_FAMILY, FLUSH = 1e-6, 4, 0.2, 0.05, 200_000
 # Words of streets, in compounds and alone.
 STREET_ENDS = "strasse straße gasse weg platz rain halde allee ring graben quai steig hof matte".split()
 STREET_WORDS = (
@@ -433,7 +433,7 @@ def learn(df: DataFrame, text_column: str) -> Names:
     name (there, after an office, an initial or a known given name). A word that
     mostly stands as a given name is one; one that hardly ever stands as a
     family name is a common word. Only words above a least share of all words
-    are told, which bounds both lists whatever the corpus (``WORD_SHARE``: 1e7
+    are told, which bounds both lists whatever the corpus (``WORD_SHARE``: 1e6
     words at most, and by Zipf's law far fewer); a rarer word may be a name.
     """
 
