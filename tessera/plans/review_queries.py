@@ -15,7 +15,7 @@ from tessera.operators import search as S
 from tessera.operators.aggregates import mad_band, percentiles
 from tessera.plans import extract_queries, graph_queries
 from tessera.plans.registry import Registry
-from tessera.plans.search_queries import _POSTINGS
+from tessera.plans.search_queries import _BM25, _POSTINGS
 from tessera.sources.tables import table
 
 R = Registry()
@@ -462,3 +462,90 @@ def inc_01_file_stream(s: SparkSession, d: str) -> DataFrame:
     stream = lambda: s.readStream.schema(C.EVENTS).option("pathGlobFilter", "events.parquet").parquet(d).select("event_id")
     first = C.run_available(stream(), "rows", "append", out).count()
     return s.createDataFrame([(first, C.run_available(stream(), "rows", "append", out).count() - first)], "first_run bigint, second_run bigint")
+
+
+@R.add("""SELECT decision_id, arg_min(v, (coalesce(scraped_at, TIMESTAMP '9999-12-31'), v)) AS headnote FROM (SELECT decision_id, scraped_at, regeste AS v FROM decisions WHERE decision_id IS NOT NULL AND lower(trim(regeste)) NOT IN ('', 'none', 'n/a', '-')) GROUP BY 1""")
+def srv_get_headnotes(s: SparkSession, d: str) -> DataFrame:
+    """The head-note of each decision: the first one that says anything."""
+    rows = _decisions(s, d, "regeste", "scraped_at").where(c("decision_id").isNotNull() & ~F.lower(F.trim("regeste")).isin("", "none", "n/a", "-"))
+    at = F.struct(F.coalesce("scraped_at", F.lit("9999-12-31").cast("timestamp_ntz")), "regeste")
+    return rows.groupBy("decision_id").agg(F.min_by("regeste", at).alias("headnote"))
+
+
+@R.add()
+def srv_get_paragraphs(s: SparkSession, d: str) -> DataFrame:
+    """The paragraphs that head-notes refer to by number, of every decision: number and text hash."""
+    from pyspark.sql.types import ArrayType, StringType
+
+    hints = _decisions(s, d, "regeste").where(c("regeste").isNotNull()).select("decision_id", F.explode(E.as_udf(E.paragraph_hints, ArrayType(StringType()))(c("regeste"))).alias("number")).distinct()
+    found = _decisions(s, d, "full_text").where(c("full_text").isNotNull()).select("decision_id", F.explode(E.paragraphs_udf()(c("full_text"))).alias("p")).select("decision_id", "p.number", F.md5("p.text").alias("text_hash")).distinct()
+    return hints.join(found, ["decision_id", "number"], "left")
+
+
+@R.add(graph_queries._RESOLVED + """, best AS (SELECT source, ref, max(confidence) AS confidence, count(*) AS targets FROM resolved WHERE confidence >= 0.5 GROUP BY 1, 2), r AS (SELECT DISTINCT source, ref FROM refs)
+SELECT r.source, r.ref, round(confidence, 4) AS confidence, coalesce(targets, 0) AS targets FROM r LEFT JOIN best USING (source, ref)""")
+def srv_find_citations(s: SparkSession, d: str) -> DataFrame:
+    """Every reference of every decision with its surest target's confidence from one half up; those without one stay, unresolved."""
+    found = graph_queries._resolved(s, d).where("confidence >= 0.5").groupBy("source", "ref").agg(F.max("confidence").alias("confidence"), F.count("*").alias("targets"))
+    refs = table(s, d, "decision_citations", "source_decision_id", "target_ref").where(c("target_ref").isNotNull() & c("source_decision_id").isNotNull()).toDF("source", "ref").distinct()
+    return refs.join(found, ["source", "ref"], "left").select("source", "ref", F.round("confidence", 4).alias("confidence"), F.coalesce("targets", F.lit(0).cast("bigint")).alias("targets"))
+
+
+@R.add(_BM25 + "SELECT doc, round(score, 6) AS score FROM scored JOIN documents ON doc_id = doc WHERE court = 'bger' AND fetched_at >= TIMESTAMP '2023-02-01' ORDER BY scored.score, doc LIMIT 20 OFFSET 5")
+def srv_search_filtered(s: SparkSession, d: str) -> DataFrame:
+    """A page of hits of one court and period."""
+    from tessera.plans.search_queries import WORDS, _index
+
+    fit = table(s, d, "documents", "doc_id", "court", "fetched_at").where((c("court") == "bger") & (c("fetched_at") >= F.lit("2023-02-01").cast("timestamp_ntz"))).select(c("doc_id").alias("doc"))
+    hits = S.bm25(_index(s, d), WORDS).join(fit, "doc", "left_semi")
+    return hits.orderBy("score", "doc").offset(5).limit(20).select("doc", F.round("score", 6).alias("score"))
+
+
+@R.add("""SELECT b.volume AS law, b.division || ' ' || b.first_page AS article, b.decision_id FROM bge_register b JOIN (SELECT DISTINCT target_ref FROM citation_gaps) g ON g.target_ref = b.bge_reference""")
+def srv_get_law(s: SparkSession, d: str) -> DataFrame:
+    """Articles of a store looked up by the references that ask for them."""
+    store = table(s, d, "bge_register", "bge_reference", "volume", "division", "first_page", "decision_id")
+    asked = table(s, d, "citation_gaps", "target_ref").toDF("bge_reference").distinct()
+    return store.join(asked, "bge_reference", "left_semi").select(c("volume").alias("law"), F.concat_ws(" ", "division", "first_page").alias("article"), "decision_id")
+
+
+@R.add(graph_queries._RESOLVED + f"""SELECT method, CASE WHEN a.y IS NULL OR b.y IS NULL THEN 'uncertain' WHEN a.y < b.y THEN 'wrong' ELSE 'correct' END AS verdict, count(*) AS n FROM resolved r LEFT JOIN (SELECT decision_id, max(try_cast(left(decision_date, 4) AS INT)) AS y FROM decisions WHERE {_ISO.format("decision_date")} GROUP BY 1) a ON a.decision_id = r.source LEFT JOIN (SELECT decision_id, max(try_cast(left(decision_date, 4) AS INT)) AS y FROM decisions WHERE {_ISO.format("decision_date")} GROUP BY 1) b ON b.decision_id = r.target GROUP BY 1, 2""")
+def agg_51_adjudicated_citations(s: SparkSession, d: str) -> DataFrame:
+    """Resolved citations by method and verdict: wrong if the target is of a later year, uncertain if a date is missing."""
+    years = _decisions(s, d, "decision_date").where(c("decision_date").rlike(Q.ISO)).groupBy("decision_id").agg(F.max(F.substring("decision_date", 1, 4).cast("int")).alias("y"))
+    r = graph_queries._resolved(s, d).join(years.toDF("source", "a"), "source", "left").join(years.toDF("target", "b"), "target", "left")
+    verdict = F.when(c("a").isNull() | c("b").isNull(), "uncertain").when(c("a") < c("b"), "wrong").otherwise("correct")
+    return r.groupBy("method", verdict.alias("verdict")).agg(F.count("*").alias("n"))
+
+
+@R.add("SELECT name, array_to_string(list_sort(list(DISTINCT law)), ',') AS aliases, sum(n)::BIGINT AS n FROM (SELECT * FROM (VALUES " + ", ".join(f"('{k}', '{v}')" for k, vs in ALIASES.items() for v in vs) + f""") t(name, law)) a JOIN (SELECT law, count(*) AS n FROM ({_STATUTES}) GROUP BY 1) USING (law) GROUP BY 1""")
+def agg_52_law_codes(s: SparkSession, d: str) -> DataFrame:
+    """The table of laws: the abbreviations of each that texts use, and how often."""
+    names = s.createDataFrame([(k, v) for k, vs in ALIASES.items() for v in vs], "name string, law string")
+    used = _provisions(s, d).groupBy("law").agg(F.count("*").alias("n")).join(F.broadcast(names), "law")
+    return used.groupBy("name").agg(F.array_join(F.array_sort(F.collect_set("law")), ",").alias("aliases"), F.sum("n").alias("n"))
+
+
+@R.add(r"""WITH k AS (SELECT DISTINCT regexp_replace(lower(docket_number), '[^a-z0-9]+', '', 'g') AS key FROM decisions WHERE docket_number IS NOT NULL) SELECT coalesce(classification, '') AS classification, CASE WHEN k.key IS NOT NULL THEN 'present_under_other_spelling' ELSE 'missing' END AS refined, count(*) AS n FROM (SELECT *, regexp_replace(lower(target_ref), '[^a-z0-9]+', '', 'g') AS key FROM citation_gaps WHERE target_ref IS NOT NULL) g LEFT JOIN k USING (key) GROUP BY 1, 2""")
+def agg_53_gaps_by_spelling(s: SparkSession, d: str) -> DataFrame:
+    """Gaps that turn out to be held under another spelling."""
+    squeezed = lambda x: F.regexp_replace(F.lower(x), "[^a-z0-9]+", "")
+    held = table(s, d, "decisions", "docket_number").where(c("docket_number").isNotNull()).select(squeezed("docket_number").alias("key")).distinct().withColumn("held", F.lit(1))
+    gaps = table(s, d, "citation_gaps", "target_ref", "classification").where(c("target_ref").isNotNull()).withColumn("key", squeezed("target_ref"))
+    refined = F.when(c("held").isNotNull(), "present_under_other_spelling").otherwise("missing")
+    return gaps.join(held, "key", "left").groupBy(F.coalesce("classification", F.lit("")).alias("classification"), refined.alias("refined")).agg(F.count("*").alias("n"))
+
+
+@R.add("""SELECT o_orderkey AS id FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 20""")
+def snk_20_atom_feed(s: SparkSession, d: str) -> DataFrame:
+    """The newest orders as an Atom feed, read back as XML."""
+    import uuid
+
+    from tessera.session import shared_dir
+    from tessera.sources import writers
+
+    rows = table(s, d, "orders", "o_orderkey", "o_orderdate", "o_totalprice").orderBy(c("o_orderdate").desc(), c("o_orderkey").desc()).limit(20).collect()
+    feed = writers.atom([{"title": str(r["o_totalprice"]), "link": f"https://example.org/{r['o_orderkey']}", "date": str(r["o_orderdate"])} for r in rows], "Orders", "https://example.org")
+    out = f"{shared_dir(s)}/io-{uuid.uuid4().hex[:10]}"
+    s.createDataFrame([(feed,)], "value string").coalesce(1).write.text(out)
+    return s.read.schema("id string").option("rowTag", "entry").xml(out).select(F.regexp_extract("id", r"(\d+)$", 1).cast("bigint").alias("id"))
