@@ -409,7 +409,7 @@ _TYPE = r"""CASE WHEN regexp_matches(upper(trim(target_ref)), '^(?:(?:BGE|ATF|DT
 
 
 @R.add(f"""SELECT coalesce(target_type, '') AS before, {_TYPE} AS now, CASE WHEN target_type IS NULL THEN 'resolved' WHEN target_type = {_TYPE} THEN 'same' ELSE 'retyped' END AS change, count(*) AS n FROM decision_citations WHERE coalesce(trim(target_ref), '') <> '' GROUP BY 1, 2, 3""")
-def agg_43_token_transitions(s: SparkSession, d: str) -> DataFrame:
+def agg_43_type_transitions(s: SparkSession, d: str) -> DataFrame:
     """What kind of reference each one was taken for, and is taken for now."""
     x = table(s, d, "decision_citations", "target_ref", "target_type").where(F.coalesce(F.trim("target_ref"), F.lit("")) != "")
     now = F.when(F.upper(F.trim("target_ref")).rlike(r"^(?:(?:BGE|ATF|DTF) )?\d{1,3} [IVX]{1,4}[AB]? \d{1,4}$"), "bge").when(c("target_ref").rlike(r"\d{4}"), "docket").otherwise("other")
