@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 K1, B = 1.2, 0.75
+#: Version of what an index holds; one of another version is built anew.
+FORMAT = 2
 #: Letters with marks and what they fold to.
 FOLD = ("àáâãäåçèéêëìíîïñòóôõöøùúûüýÿ", "aaaaaaceeeeiiiinoooooouuuuyy")
 #: Weights of a hit in a column of the hosted ranking.
@@ -31,15 +33,18 @@ def terms(c: Column) -> Column:
 
 
 def postings(df: DataFrame, id_column: str, columns: list[str], version: list[str] | None = None) -> DataFrame:
-    """doc, field, term, tf, places (sorted positions); one row for each document, field and term.
+    """doc, field, term, tf, places (sorted positions), len (words of the document): one row for each document, field and term.
 
     With ``version``, several rows of one document count as the one whose
-    ``version`` columns are least; words travel, whole texts don't.
+    ``version`` columns are least; without it they are taken together, and
+    ``len`` is that of the longest. Words travel, whole texts don't.
     """
     key = F.struct(*version).alias("version") if version else F.lit(0).alias("version")
-    words = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), terms(F.col(c)).alias("words")) for c in columns]))
-    long = df.select(F.col(id_column).alias("doc"), key, words.alias("w")).select("doc", "version", F.col("w.field").alias("field"), F.posexplode("w.words").alias("place", "term"))
-    out = long.groupBy("doc", "version", "field", "term").agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("place")).alias("places"))
+    fields = F.array(*[F.struct(F.lit(c).alias("field"), terms(F.col(c)).alias("words")) for c in columns])
+    # the fields' words are worked out once, for their number and for themselves
+    counted = F.transform(F.array(fields), lambda ws: F.transform(ws, lambda w: F.struct(w["field"].alias("field"), w["words"].alias("words"), F.aggregate(ws, F.lit(0), lambda n, x: n + F.size(x["words"])).alias("len"))))[0]
+    long = df.select(F.col(id_column).alias("doc"), key, F.explode(counted).alias("w")).select("doc", "version", F.col("w.field").alias("field"), F.col("w.len").alias("len"), F.posexplode("w.words").alias("place", "term"))
+    out = long.groupBy("doc", "version", "field", "term").agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("place")).alias("places"), F.max("len").cast("bigint").alias("len"))
     if version:
         least = df.select(F.col(id_column).alias("doc"), key).groupBy("doc").agg(F.min("version").alias("version"))
         out = out.join(least, ["doc", "version"], "left_semi")
@@ -56,6 +61,9 @@ class Index:
     average: float
 
 
+_TERMS = "field string, term string, df bigint, tf bigint"
+
+
 def build_index(df: DataFrame, id_column: str, columns: list[str], path: str, version: list[str] | None = None, partitions: int | None = None) -> None:
     """Write an index of ``columns`` to ``path``, in place of any that is there.
 
@@ -69,32 +77,39 @@ def build_index(df: DataFrame, id_column: str, columns: list[str], path: str, ve
     raw = f"{path}/raw"
     postings(df, id_column, columns, version).write.mode("overwrite").parquet(raw)
     rows = spark.read.parquet(raw)
-    sizes = rows.groupBy("doc").agg(F.sum("tf").alias("len"))
     n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows.join(sizes, "doc").repartitionByRange(n, "term", "doc").sortWithinPartitions("term", "doc").write.mode("overwrite").parquet(f"{path}/postings")
+    rows.repartitionByRange(n, "term", "doc").sortWithinPartitions("term", "doc").write.mode("overwrite").parquet(f"{path}/postings")
     by_field = rows.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
-    everywhere = rows.groupBy("doc", "term").agg(F.sum("tf").alias("tf")).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf")).select(F.lit("").alias("field"), "term", "df", "tf")
-    by_field.unionByName(everywhere).repartitionByRange(n, "term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/terms")
+    if len(columns) == 1:
+        both = by_field.select(F.explode(F.array(F.col("field"), F.lit(""))).alias("field"), "term", "df", "tf")
+    else:
+        everywhere = rows.groupBy("doc", "term").agg(F.sum("tf").alias("tf")).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
+        both = by_field.unionByName(everywhere.select(F.lit("").alias("field"), "term", "df", "tf"))
+    both.repartitionByRange(n, "term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/terms")
     held = df.select(F.count_distinct(F.col(id_column)).alias("n")).first()["n"]
-    words = sizes.agg(F.sum("len")).first()[0] or 0
+    words = spark.read.schema(_TERMS).parquet(f"{path}/terms").where("field = ''").agg(F.sum("tf")).first()[0] or 0
     spark.createDataFrame([(held, words / held if held else 0.0)], "n bigint, average double").coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
 
 
 def open_index(spark: SparkSession, path: str) -> Index:
     """The index that ``build_index`` wrote to ``path``."""
     meta = spark.read.schema("n bigint, average double").parquet(f"{path}/meta").first()
-    return Index(spark.read.parquet(f"{path}/postings"), spark.read.schema("field string, term string, df bigint, tf bigint").parquet(f"{path}/terms"), meta["n"], meta["average"])
+    return Index(spark.read.parquet(f"{path}/postings"), spark.read.schema(_TERMS).parquet(f"{path}/terms"), meta["n"], meta["average"])
 
 
 def kept_index(df: DataFrame, name: str, id_column: str, columns: list[str], version: list[str] | None = None) -> Index:
     """The index of ``df``, kept in the shared folder and built where there is none yet for the files that ``df`` reads as they now are."""
-    from tessera.session import exists, files_of, shared_dir
+    from tessera.session import exists, files_of, rename, scratch, shared_dir
 
-    mark = hashlib.md5(repr((name, id_column, columns, version, files_of(df))).encode()).hexdigest()[:16]
-    path = f"{shared_dir(df.sparkSession)}/index-{name}-{mark}"
-    if not exists(df.sparkSession, f"{path}/meta/_SUCCESS"):
-        build_index(df, id_column, columns, path, version)
-    return open_index(df.sparkSession, path)
+    spark = df.sparkSession
+    mark = hashlib.md5(repr((FORMAT, name, id_column, columns, version, files_of(df))).encode()).hexdigest()[:16]
+    path = f"{shared_dir(spark)}/index-{name}-{mark}"
+    if not exists(spark, f"{path}/meta/_SUCCESS"):
+        fresh = scratch(spark, "index")
+        build_index(df, id_column, columns, fresh, version)
+        if not rename(spark, fresh, path) and not exists(spark, f"{path}/meta/_SUCCESS"):
+            return open_index(spark, fresh)
+    return open_index(spark, path)
 
 
 @dataclass

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +11,7 @@ from tessera.operators import quality as Q
 from tessera.operators.aggregates import positions
 from tessera.plans import extract_queries, quality_queries
 from tessera.plans.registry import Registry
-from tessera.session import shared_dir
+from tessera.session import scratch
 from tessera.sources import readers, writers
 from tessera.sources.tables import table
 from tessera.streaming import counters as C
@@ -24,7 +22,7 @@ _LAST = "scraped_at >= (SELECT max(scraped_at) FROM decisions) - INTERVAL 200 DA
 
 
 def _folder(s: SparkSession) -> str:
-    return f"{shared_dir(s)}/io-{uuid.uuid4().hex[:10]}"
+    return scratch(s, "io")
 
 
 def _recent(s: SparkSession, d: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,11 +49,11 @@ def inc_08_recent_window(s: SparkSession, d: str) -> DataFrame:
 
 @R.add("""SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
 def inc_10_streaming_windows(s: SparkSession, d: str) -> DataFrame:
-    from tessera.session import shared_dir
+    from tessera.session import scratch
 
     stream = s.readStream.schema(C.EVENTS).option("pathGlobFilter", "events.parquet").parquet(d)
-    name = f"windows_{uuid.uuid4().hex[:8]}"
-    out = C.run_available(C.tumbling(stream, "ts", "event_type", late="40 days"), "rows", "complete", f"{shared_dir(s)}/{name}")
+    folder = scratch(s, "windows")
+    out = C.run_available(C.tumbling(stream, "ts", "event_type", late="40 days"), "rows", "complete", folder)
     return out.select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
@@ -124,21 +122,21 @@ def inc_25_visitor_state(s: SparkSession, d: str) -> DataFrame:
 
 @R.add("""SELECT user_id, min(event_id) AS first_event FROM events GROUP BY 1""")
 def inc_07_seen_set(s: SparkSession, d: str) -> DataFrame:
-    from tessera.session import shared_dir
+    from tessera.session import scratch
 
     stream = s.readStream.schema(C.EVENTS).option("pathGlobFilter", "events.parquet").parquet(d)
-    name = f"seen_{uuid.uuid4().hex[:8]}"
-    seen = C.run_available(C.once(stream, "user_id", "ts", "60 days").select("user_id"), "rows", "append", f"{shared_dir(s)}/{name}")
+    folder = scratch(s, "seen")
+    seen = C.run_available(C.once(stream, "user_id", "ts", "60 days").select("user_id"), "rows", "append", folder)
     return seen.join(table(s, d, "events", "user_id", "event_id"), "user_id").groupBy("user_id").agg(F.min("event_id").alias("first_event"))
 
 
 @R.add("""WITH g AS (SELECT user_id, epoch(ts) - lag(epoch(ts)) OVER (PARTITION BY user_id ORDER BY ts) AS g FROM events), h AS (SELECT user_id, CASE WHEN g > 0 AND g < 1800 THEN g END AS g FROM g), s AS (SELECT user_id, count(*) AS n, count(g) AS gaps, avg(g) AS m, stddev_pop(g) / avg(g) AS cv FROM h GROUP BY 1) SELECT verdict, count(*) AS visitors FROM (SELECT CASE WHEN (gaps >= 5 AND (cv < 0.15 OR m < 2.0)) OR n > 120 THEN 'bot' ELSE 'person' END AS verdict FROM s) GROUP BY 1""")
 def inc_26_verdicts_from_stream(s: SparkSession, d: str) -> DataFrame:
-    from tessera.session import shared_dir
+    from tessera.session import scratch
 
     stream = s.readStream.schema(C.EVENTS).option("pathGlobFilter", "events.parquet").parquet(d)
-    name = f"visitors_{uuid.uuid4().hex[:8]}"
-    out = C.run_available(C.visitors(stream, "ts"), "rows", "update", f"{shared_dir(s)}/{name}")
+    folder = scratch(s, "visitors")
+    out = C.run_available(C.visitors(stream, "ts"), "rows", "update", folder)
     last = out.groupBy("user_id").agg(F.max_by("verdict", "n").alias("verdict"))
     return last.groupBy("verdict").agg(F.count("*").alias("visitors"))
 

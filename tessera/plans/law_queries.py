@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +11,7 @@ from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from tessera.functions import extract as E
 from tessera.plans.registry import Registry
-from tessera.session import shared_dir
+from tessera.session import scratch
 from tessera.sources import laws as L
 from tessera.sources import readers
 from tessera.sources.tables import table
@@ -22,7 +21,7 @@ c = F.col
 
 
 def _folder(s: SparkSession) -> str:
-    return f"{shared_dir(s)}/io-{uuid.uuid4().hex[:10]}"
+    return scratch(s, "io")
 
 
 def _rows(*names: str) -> ArrayType:

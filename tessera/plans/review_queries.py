@@ -453,12 +453,10 @@ def fts_09_strategies(s: SparkSession, d: str) -> DataFrame:
 @R.add("""SELECT count(*) AS first_run, 0 AS second_run FROM events""")
 def inc_01_file_stream(s: SparkSession, d: str) -> DataFrame:
     """A stream over files that its checkpoint remembers: a second run finds nothing new."""
-    import uuid
-
-    from tessera.session import shared_dir
+    from tessera.session import scratch
     from tessera.streaming import counters as C
 
-    out = f"{shared_dir(s)}/io-{uuid.uuid4().hex[:10]}"
+    out = scratch(s, "io")
     stream = lambda: s.readStream.schema(C.EVENTS).option("pathGlobFilter", "events.parquet").parquet(d).select("event_id")
     first = C.run_available(stream(), "rows", "append", out).count()
     return s.createDataFrame([(first, C.run_available(stream(), "rows", "append", out).count() - first)], "first_run bigint, second_run bigint")
@@ -539,13 +537,11 @@ def agg_53_gaps_by_spelling(s: SparkSession, d: str) -> DataFrame:
 @R.add("""SELECT o_orderkey AS id FROM orders ORDER BY o_orderdate DESC, o_orderkey DESC LIMIT 20""")
 def snk_20_atom_feed(s: SparkSession, d: str) -> DataFrame:
     """The newest orders as an Atom feed, read back as XML."""
-    import uuid
-
-    from tessera.session import shared_dir
+    from tessera.session import scratch
     from tessera.sources import writers
 
     rows = table(s, d, "orders", "o_orderkey", "o_orderdate", "o_totalprice").orderBy(c("o_orderdate").desc(), c("o_orderkey").desc()).limit(20).collect()
     feed = writers.atom([{"title": str(r["o_totalprice"]), "link": f"https://example.org/{r['o_orderkey']}", "date": str(r["o_orderdate"])} for r in rows], "Orders", "https://example.org")
-    out = f"{shared_dir(s)}/io-{uuid.uuid4().hex[:10]}"
+    out = scratch(s, "io")
     s.createDataFrame([(feed,)], "value string").coalesce(1).write.text(out)
     return s.read.schema("id string").option("rowTag", "entry").xml(out).select(F.regexp_extract("id", r"(\d+)$", 1).cast("bigint").alias("id"))

@@ -37,9 +37,9 @@ def fts_01_postings(s: SparkSession, d: str) -> DataFrame:
 @R.add(_POSTINGS + "SELECT count(*) AS postings, count(DISTINCT term) AS terms, sum(tf)::BIGINT AS words, (SELECT count(*) FROM sizes) AS docs FROM p")
 def fts_06_optimised_index(s: SparkSession, d: str) -> DataFrame:
     """Builds the index anew, merged and in order, and counts what it holds."""
-    from tessera.session import shared_dir
+    from tessera.session import scratch
 
-    path = f"{shared_dir(s)}/index-optimised"
+    path = scratch(s, "index")
     S.build_index(_docs(s, d), "doc_id", ["text"], path)
     index = S.open_index(s, path)
     return index.postings.agg(F.count("*").alias("postings"), F.countDistinct("term").alias("terms"), F.sum("tf").alias("words"), F.lit(index.n).alias("docs"))

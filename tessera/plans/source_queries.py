@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.plans import extract_queries
 from tessera.plans.registry import Registry
-from tessera.session import shared_dir
+from tessera.session import scratch
 from tessera.sources import readers, writers
 from tessera.sources.tables import table
 
@@ -18,7 +16,7 @@ c = F.col
 
 
 def _folder(s: SparkSession) -> str:
-    return f"{shared_dir(s)}/io-{uuid.uuid4().hex[:10]}"
+    return scratch(s, "io")
 
 
 @R.add("""SELECT doc_id, lang, n_chars FROM documents""")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +10,7 @@ from tessera.operators import search as S
 from tessera.operators import vectors as V
 from tessera.plans.registry import Registry
 from tessera.plans.search_queries import _BM25, WORDS, _index
-from tessera.session import shared_dir
+from tessera.session import scratch
 from tessera.sources.tables import table
 
 R = Registry()
@@ -54,7 +52,7 @@ def fts_21_vector_build(s: SparkSession, d: str) -> DataFrame:
 @R.add("SELECT coalesce(lang, '') AS lang, count(*) AS n, sum(length(text))::BIGINT AS chars FROM documents WHERE length(trim(text, ' ')) > 0 GROUP BY 1")
 def fts_18_vectors_by_language(s: SparkSession, d: str) -> DataFrame:
     """Vectors written into a folder for each language, and read back."""
-    out = f"{shared_dir(s)}/io-{uuid.uuid4().hex[:10]}"
+    out = scratch(s, "io")
     rows = V.encode(_documents(s, d), "doc_id", "text", shape).join(table(s, d, "documents", "doc_id", "lang"), "doc_id").withColumn("folder", F.concat(F.lit("l-"), F.coalesce("lang", F.lit(""))))
     rows.select("doc_id", "vector", "folder").hint("rebalance", "folder").write.partitionBy("folder").parquet(out)
     return s.read.parquet(out).groupBy(F.regexp_replace("folder", "^l-", "").alias("lang")).agg(F.count("*").alias("n"), F.sum(c("vector")[0].cast("bigint")).alias("chars"))

@@ -62,6 +62,18 @@ def _own_folder(spark: SparkSession) -> str:
     return path
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in this application's folder, which all executors share."""
+    return os.path.join(_own_folder(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def rename(spark: SparkSession, path: str, to: str) -> bool:
+    """Moves ``path`` to ``to``; False, leaving both, if something is there."""
+    fs, p = _path(spark, path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    return not fs.exists(target) and fs.rename(p, target)
+
+
 def write_atomically(spark: SparkSession, path: str, text: str) -> None:
     """Puts ``text`` into the file ``path``: readers see the old or the new one, never none."""
     jvm = spark._jvm
@@ -84,7 +96,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     lie in one folder, which goes when the session ends.
     """
     spark = df.sparkSession
-    path = os.path.join(_own_folder(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+    path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
