@@ -259,14 +259,15 @@ def _name(t: str, start: int, end: int, names: Names) -> tuple[int, int] | None:
 def _initial(t: str, last: int, names: Names | None) -> tuple[int, int, str] | None:
     """(start, end, family) of the name whose (last) initial's point stands at ``last``; before or behind it the family name.
 
-    An initial at a text's start, or at a line's with more words behind, is rather
-    the letter of a paragraph.
+    An initial at a text's start, or at a paragraph's with more words or nothing
+    behind, is rather the letter of a paragraph.
     """
     at = last - 1
-    if at > 1 and t[at - 2 : at] in _FIRST_INITIALS:
-        at -= 2
-    elif at > 2 and t[at - 1] in "- " and t[at - 3 : at - 1] in _FIRST_INITIALS:
-        at -= 3
+    for first in (at - 2, at - 3):
+        # another initial before it, with or without a blank or hyphen between
+        if first >= 0 and t[first : first + 2] in _FIRST_INITIALS and t[first + 2 : at] in ("", " ", "-") and not (first and (t[first - 1].isalnum() or t[first - 1] in "_.'’@-")):
+            at = first
+            break
     if at and (t[at - 1].isalnum() or t[at - 1] in "_.'’@-"):
         return None
     m = _AFTER_INITIAL.match(t, last + 1)
@@ -274,8 +275,10 @@ def _initial(t: str, last: int, names: Names | None) -> tuple[int, int, str] | N
         if at == 0 or _FIRM_AFTER.match(t, m.end()):
             return None
         if t[at - 1] == "\n":
+            # where nothing is learned about words, the end of a sentence counts as that of a paragraph
+            opens = t[at - 2 : at - 1] in ("", "\n") or not (names and names.common) and t[at - 2] in ".!?:;"
             stop = t.find("\n", m.end())
-            if any(map(str.isalnum, t[m.end() : len(t) if stop < 0 else stop])):
+            if opens and (stop < 0 and m.end() == len(t) or any(map(str.isalnum, t[m.end() : len(t) if stop < 0 else stop]))):
                 return None
         return at, m.end(), m.group(2)
     if names is not None and t[at - 2 : at] == ", " and t[at:last] != "M":  # M. is a title, too

@@ -98,3 +98,12 @@ def test_table(spark):
 def test_numbered_placeholders():
     text = "Hans Müller (a@b.example) und Sandra Keller; Hans Müller, c@d.example."
     assert pii.redact(text, numbered=True) == "[NAME_1] ([EMAIL_1]) und [NAME_2]; [NAME_1], [EMAIL_2]."
+
+
+def test_initials_at_lines_and_behind_abbreviations():
+    cases = {
+        "Freundliche Grüsse\nH. Zgraggen» Er war dort.": {"H. Zgraggen"}, "in Sachen\nS. Zgraggen Er wies sich aus.": {"S. Zgraggen"}, "nach Art. 4 RPG. M. Zgraggen ist der Halbbruder.": {"M. Zgraggen"},
+        "Text.\n\nA. Zgraggen wohnt dort.": set(), "J. P. Zgraggen, J.-P. Imfeld": {"J.-P. Imfeld"}, "Mit J. P. Zgraggen kam er.": {"J. P. Zgraggen"},
+    }
+    for text, names in cases.items():
+        assert {text[a:b] for a, b, k in pii.find(text) if k == "name"} == names, text
