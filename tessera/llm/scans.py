@@ -74,16 +74,18 @@ def parts(line: str) -> tuple[list[str], bool]:
 
 
 def running(lines: list[str], pages: set[int]) -> set[str]:
-    """Parts of short lines that stand beside a line of ``pages``, or in one line with a page number, twice or more."""
+    """Parts of short lines that stand beside a line of ``pages``, or in one line with a page number, twice or more and on half of the pages."""
     beside: Counter = Counter()
+    shown = len(pages)
     near = {j for i in pages for j in (i - 1, i + 1) if 0 <= j < len(lines)} - pages
     for i, line in enumerate(lines):
         if i not in near and "  " not in line and "\t" not in line or i in pages or not 2 < len(line.strip()) <= HEAD_CHARS or line.rstrip().endswith((".", ",", ";", ":", "-", "¬")):
             continue
         own, number = parts(line)
+        shown += number
         if i in near or number:
             beside.update({p for p in own if len(p) > 2})
-    return {p for p, n in beside.items() if n > 1}
+    return {p for p, n in beside.items() if n > 1 and 2 * n >= shown}
 
 
 def statistics(df: DataFrame, columns: list[str]) -> tuple[dict[str, int], dict[tuple[str, str], int], int, set[str]]:
