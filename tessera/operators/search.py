@@ -1,7 +1,7 @@
 """Ranked full-text, sparse and dense retrieval.
 
 Texts become an index that is written once and kept (``build_index``): postings
-(doc, field, term, tf, places, len) in the order of their terms. A query is parsed
+(doc, field, term, tf, places, len) in runs sorted by term. A query is parsed
 on the driver and reads the postings of its few terms, so that only those
 travel. Fusion and reranking work on the candidates.
 """
@@ -10,16 +10,23 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from math import log
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 from pyspark.sql.window import Window
 
 K1, B = 1.2, 0.75
 #: Version of what an index holds; one of another version is built anew.
-FORMAT = 2
+FORMAT = 3
+#: Words whose postings are made at once, texts of a batch, bytes of a row group and rows of a page of the postings.
+PIECE, TEXTS, GROUP_BYTES, PAGE_ROWS = 1_000_000, 2_000, 8 << 20, 5_000
 #: Letters with marks and what they fold to.
 FOLD = ("àáâãäåçèéêëìíîïñòóôõöøùúûüýÿ", "aaaaaaceeeeiiiinoooooouuuuyy")
 #: Weights of a hit in a column of the hosted ranking.
@@ -32,6 +39,84 @@ def terms(c: Column) -> Column:
     return F.filter(F.split(folded, r"[^\p{L}\p{N}]+"), lambda t: t != "")
 
 
+_MADE = "field string, term string, tf bigint, places array<int>, len bigint, first boolean"
+
+
+def _per_row(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """The postings of each row by itself, from _words (the words of each of ``columns``); the other columns go with them."""
+    n = len(columns)
+    for whole in batches:
+        at = 0
+        sizes = np.concatenate([[0], np.cumsum(pc.list_value_length(whole.column("_words").flatten()).to_numpy(zero_copy_only=False).reshape(-1, n).sum(axis=1))])
+        while at < whole.num_rows:
+            end = max(at + 1, int(np.searchsorted(sizes, sizes[at] + PIECE, side="right")) - 1)
+            batch = whole.slice(at, end - at)
+            at = end
+            texts = batch.column("_words").flatten()
+            lengths = pc.list_value_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
+            words = texts.flatten().dictionary_encode()
+            unlike = max(1, len(words.dictionary))
+            text = np.repeat(np.arange(len(lengths)), lengths)
+            group = text * unlike + words.indices.to_numpy(zero_copy_only=False)
+            order = np.argsort(group, kind="stable")
+            places = (np.arange(len(group)) - (np.cumsum(lengths) - lengths)[text])[order].astype(np.int32)
+            group = group[order]
+            starts = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, dtype=np.int64)
+            ends = np.append(starts[1:], len(group))[: len(starts)]
+            group = group[starts]
+            row, field, word = group // unlike // n, group // unlike % n, group % unlike
+            first = np.zeros(len(group), dtype=bool)
+            first[np.unique(row * unlike + word, return_index=True)[1]] = True
+            # in the order of the index
+            ranks = [np.argsort(pc.sort_indices(x).to_numpy()) for x in (words.dictionary, batch.column("doc"))]
+            by = np.lexsort((ranks[1][row], ranks[0][word]))
+            row, field, word, first, starts, ends = (x[by] for x in (row, field, word, first, starts, ends))
+            sizes_of = ends - starts
+            offsets = np.concatenate([[0], np.cumsum(sizes_of)])
+            places = places[np.arange(len(places)) + np.repeat(starts - offsets[:-1], sizes_of)]
+            made = {
+                "field": pa.array(columns, pa.string()).take(pa.array(field)),
+                "term": words.dictionary.take(pa.array(word)),
+                "tf": pa.array(sizes_of, pa.int64()),
+                "places": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(places, pa.int32())),
+                "len": pa.array(lengths.reshape(-1, n).sum(axis=1)[row], pa.int64()),
+                "first": pa.array(first),
+            }
+            kept = {c: batch.column(c).take(pa.array(row)) for c in batch.schema.names if c != "_words"}
+            yield pa.RecordBatch.from_pydict(kept | made)
+
+
+def _flagged(df: DataFrame, id_column: str, columns: list[str], version: list[str] | None = None) -> DataFrame:
+    """``postings``, with ``first``: true for one of a document's fields that hold the term.
+
+    A row's postings are made where it is read and stay there. Only those of
+    documents that have several rows meet by a shuffle; a Bloom filter tells them.
+    """
+    from tessera.operators.bloom import Bloom
+    from tessera.session import materialize
+
+    key = F.struct(*version).alias("version") if version else F.lit(0).alias("version")
+    rows = df.select(F.col(id_column).alias("doc"), key, *columns)
+    repeated = materialize(rows.groupBy("doc").agg(F.count("*").alias("n")).where((F.col("n") > 1) | F.col("doc").isNull()).select("doc"), "repeated")
+    several = repeated.count()
+
+    def made(some: DataFrame, *keys: str) -> DataFrame:
+        split = some.select(*keys, F.array(*[terms(F.col(c)) for c in columns]).alias("_words"))
+        head = [f for f in split.schema if f.name in keys]
+        return split.mapInArrow(lambda batches: _per_row(batches, columns), StructType(head + StructType.fromDDL(_MADE).fields))
+
+    if not several:
+        return made(rows, "doc")
+    told = rows.withColumn("_several", F.coalesce(Bloom(repeated, "doc", several).might_hold(F.col("doc")), F.lit(True)))
+    alone = made(told.where(~F.col("_several")), "doc")
+    merged = made(told.where("_several"), "doc", "version").groupBy("doc", "version", "field", "term").agg(F.sum("tf").alias("tf"), F.array_sort(F.flatten(F.collect_list("places"))).alias("places"), F.max("len").alias("len"))
+    if version:
+        least = told.where("_several").groupBy("doc").agg(F.min("version").alias("version"))
+        merged = merged.join(least, ["doc", "version"], "left_semi")
+    merged = merged.withColumn("first", F.row_number().over(Window.partitionBy("doc", "term").orderBy("field")) == 1)
+    return alone.unionByName(merged.drop("version").sortWithinPartitions("term", "doc"))
+
+
 def postings(df: DataFrame, id_column: str, columns: list[str], version: list[str] | None = None) -> DataFrame:
     """doc, field, term, tf, places (sorted positions), len (words of the document): one row for each document, field and term.
 
@@ -39,16 +124,7 @@ def postings(df: DataFrame, id_column: str, columns: list[str], version: list[st
     ``version`` columns are least; without it they are taken together, and
     ``len`` is that of the longest. Words travel, whole texts don't.
     """
-    key = F.struct(*version).alias("version") if version else F.lit(0).alias("version")
-    fields = F.array(*[F.struct(F.lit(c).alias("field"), terms(F.col(c)).alias("words")) for c in columns])
-    # the fields' words are worked out once, for their number and for themselves
-    counted = F.transform(F.array(fields), lambda ws: F.transform(ws, lambda w: F.struct(w["field"].alias("field"), w["words"].alias("words"), F.aggregate(ws, F.lit(0), lambda n, x: n + F.size(x["words"])).alias("len"))))[0]
-    long = df.select(F.col(id_column).alias("doc"), key, F.explode(counted).alias("w")).select("doc", "version", F.col("w.field").alias("field"), F.col("w.len").alias("len"), F.posexplode("w.words").alias("place", "term"))
-    out = long.groupBy("doc", "version", "field", "term").agg(F.count("*").alias("tf"), F.array_sort(F.collect_list("place")).alias("places"), F.max("len").cast("bigint").alias("len"))
-    if version:
-        least = df.select(F.col(id_column).alias("doc"), key).groupBy("doc").agg(F.min("version").alias("version"))
-        out = out.join(least, ["doc", "version"], "left_semi")
-    return out.drop("version")
+    return _flagged(df, id_column, columns, version).drop("first")
 
 
 @dataclass
@@ -67,24 +143,30 @@ _TERMS = "field string, term string, df bigint, tf bigint"
 def build_index(df: DataFrame, id_column: str, columns: list[str], path: str, version: list[str] | None = None, partitions: int | None = None) -> None:
     """Write an index of ``columns`` to ``path``, in place of any that is there.
 
-    The texts are read once. The postings carry their document's length and lie
-    range-partitioned and sorted by term, so that a query's filter on its terms
-    reads the row groups of those terms alone; a term in very many documents is
-    split over partitions by document. The last thing written is ``meta``,
-    without which there is no index.
+    The texts are read once. The postings carry their document's length and
+    stay in the partition of their text, as runs of up to ``TEXTS`` texts or
+    ``PIECE`` words that are sorted by term, so that a query's filter on its
+    terms reads the pages of those terms alone; a term in very many documents
+    is spread over the runs. Of documents with one row nothing but counts of
+    terms is shuffled, and no second copy is written. ``partitions`` are those
+    of the terms. The last thing written is ``meta``, without which there is no
+    index.
     """
+    from tessera.session import materialize
+
     spark = df.sparkSession
-    raw = f"{path}/raw"
-    postings(df, id_column, columns, version).write.mode("overwrite").parquet(raw)
-    rows = spark.read.parquet(raw)
     n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows.repartitionByRange(n, "term", "doc").sortWithinPartitions("term", "doc").write.mode("overwrite").parquet(f"{path}/postings")
-    by_field = rows.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
-    if len(columns) == 1:
-        both = by_field.select(F.explode(F.array(F.col("field"), F.lit(""))).alias("field"), "term", "df", "tf")
-    else:
-        everywhere = rows.groupBy("doc", "term").agg(F.sum("tf").alias("tf")).groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"))
-        both = by_field.unionByName(everywhere.select(F.lit("").alias("field"), "term", "df", "tf"))
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, str(TEXTS))
+    try:
+        _flagged(df, id_column, columns, version).write.mode("overwrite").options(**{"compression": "zstd", "parquet.block.size": str(GROUP_BYTES), "parquet.page.row.count.limit": str(PAGE_ROWS)}).parquet(f"{path}/postings")
+    finally:
+        spark.conf.set(batch, before)
+    rows = spark.read.parquet(f"{path}/postings")
+    by_field = materialize(rows.groupBy("field", "term").agg(F.count("*").alias("df"), F.sum("tf").alias("tf"), F.count_if("first").alias("docs")), "terms")
+    everywhere = by_field.groupBy("term").agg(F.sum("docs").alias("df"), F.sum("tf").alias("tf")).select(F.lit("").alias("field"), "term", "df", "tf")
+    both = by_field.drop("docs").unionByName(everywhere)
     both.repartitionByRange(n, "term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{path}/terms")
     held = df.select(F.count_distinct(F.col(id_column)).alias("n")).first()["n"]
     words = spark.read.schema(_TERMS).parquet(f"{path}/terms").where("field = ''").agg(F.sum("tf")).first()[0] or 0
@@ -94,7 +176,7 @@ def build_index(df: DataFrame, id_column: str, columns: list[str], path: str, ve
 def open_index(spark: SparkSession, path: str) -> Index:
     """The index that ``build_index`` wrote to ``path``."""
     meta = spark.read.schema("n bigint, average double").parquet(f"{path}/meta").first()
-    return Index(spark.read.parquet(f"{path}/postings"), spark.read.schema(_TERMS).parquet(f"{path}/terms"), meta["n"], meta["average"])
+    return Index(spark.read.parquet(f"{path}/postings").drop("first"), spark.read.schema(_TERMS).parquet(f"{path}/terms"), meta["n"], meta["average"])
 
 
 def kept_index(df: DataFrame, name: str, id_column: str, columns: list[str], version: list[str] | None = None) -> Index:
